@@ -217,3 +217,7 @@ def q_p14(spark, sf):
     return j.select(C.key,
                     fi.item_age_col(ft.rating_year_col(C.ts), F.col("movie_year")).alias("item_age"),
                     fi.fill_unknown_col("primary_genre").alias("primary_genre"))
+
+
+# Further query groups register themselves on import.
+from . import q_quality, q_features  # noqa: E402,F401
