@@ -24,11 +24,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "nan"
+            return None
         return round(v, 6) + 0.0
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
