@@ -220,4 +220,4 @@ def q_p14(spark, sf):
 
 
 # Further query groups register themselves on import.
-from . import q_quality, q_features, q_eval, q_io  # noqa: E402,F401
+from . import q_quality, q_features, q_eval, q_io, q_models  # noqa: E402,F401
