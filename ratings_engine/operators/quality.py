@@ -87,12 +87,11 @@ def remove_duplicates(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts),
     keys = list(keys)
     if order is None:
         return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ordered = list(order) + [c for c in rest if c not in order]
+    ordered = list(order) + [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(ordered)])
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return agg.select(*[F.col(k) for k in keys],
-                      *[F.col(f"_first._o{i}").alias(c) for i, c in enumerate(ordered)]).select(*df.columns)
+    pos = {c: i for i, c in enumerate(ordered)}
+    return agg.select(*[F.col(c) if c in keys else F.col(f"_first._o{pos[c]}").alias(c) for c in df.columns])
 
 
 def iqr_bounds(df: DataFrame, col: str = COLS.rating, exact: bool = True,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import COLS, Cols
 from ..functions.quantiles import exact_quantiles, approx_quantiles
+from ..functions.formatting import short_title
 from ..functions.temporal import rating_year_col, month_col
 
 
@@ -52,7 +53,7 @@ def attach_titles(top: DataFrame, items: DataFrame, title_len: int = 35, c: Cols
     """
     keys = top.select(c.item)
     dim_k = items.join(F.broadcast(keys), c.item, "left_semi") \
-        .select(c.item, F.substring(c.title, 1, title_len).alias("short_title"))
+        .select(c.item, short_title(c.title, title_len).alias("short_title"))
     return top.join(F.broadcast(dim_k), c.item, "left")
 
 

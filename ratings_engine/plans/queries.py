@@ -219,5 +219,22 @@ def q_p14(spark, sf):
                     fi.fill_unknown_col("primary_genre").alias("primary_genre"))
 
 
+# ---------------------------------------------------------------- P22-P24
+
+
+@register("p22_p24_format_columns", """
+with a as (select item_id, count(*) * 1000 as n from {R} r group by item_id)
+select a.item_id, a.n,
+       case when n >= 1e6 then printf('%.2fM', n / 1e6) when n >= 1e3 then printf('%.1fK', n / 1e3)
+            else cast(cast(n as bigint) as varchar) end as n_text,
+       substr(i.title, 1, 35) as short_title
+from a join {I} i using (item_id)""")
+def q_p22(spark, sf):
+    from ..functions.formatting import format_magnitude, short_title
+    a = R(spark, sf).groupBy(C.item).agg((F.count(F.lit(1)) * 1000).alias("n"))
+    return a.join(I(spark, sf), C.item).select(C.item, "n", format_magnitude("n").alias("n_text"),
+                                              short_title(C.title).alias("short_title"))
+
+
 # Further query groups register themselves on import.
 from . import q_quality, q_features, q_eval, q_io, q_models  # noqa: E402,F401
