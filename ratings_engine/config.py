@@ -106,3 +106,15 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialize(df, name: str = "materialized"):
+    """Cut lineage: write ``df`` once as a Parquet table under the shared
+    checkpoint folder and read it back, so that several branches of a plan
+    scan the written rows (with column pruning and filter push-down) instead
+    of recomputing an expensive input such as a join. A lost executor then
+    re-reads files instead of replaying the lineage. (An RDD ``checkpoint()``
+    would compute the input twice and lose the columnar scan.)"""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

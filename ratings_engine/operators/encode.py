@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 
 
 def encode_category(df: DataFrame, col: str, index_col: str = "genre_index",
-                    vec_col: str = "genre_encoded", one_hot: bool = True) -> DataFrame:
+                    vec_col: str = "genre_encoded", one_hot: bool = True,
+                    fit_on: DataFrame | None = None) -> DataFrame:
     """E1 + E2: frequency-ordered index (ties by label), unseen labels kept;
     one-hot with the last slot dropped. With ``keep`` there are labels + 1
     slots, so every known label keeps its slot.
 
     Fitting counts labels with a distributed aggregate; only the label list
-    (one entry per category) reaches the driver.
+    (one entry per category) reaches the driver. ``fit_on`` may be a leaner
+    frame with the same label column and row multiset (e.g. before wide
+    joins), so the fit does not recompute the whole upstream plan.
     """
     stages = [StringIndexer(inputCol=col, outputCol=index_col, handleInvalid="keep",
                             stringOrderType="frequencyDesc")]
     if one_hot:
         stages.append(OneHotEncoder(inputCol=index_col, outputCol=vec_col, dropLast=True))
-    return Pipeline(stages=stages).fit(df).transform(df)
+    return Pipeline(stages=stages).fit(df if fit_on is None else fit_on.select(col)).transform(df)
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_invalid: str = "skip") -> DataFrame:

@@ -100,17 +100,30 @@ def binary_label_col(col: str | Column = COLS.rating, threshold: float = DEFAULT
 
 
 def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool = True,
-                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                 hot_rows: int = DEFAULT_HOT_ROWS, materialize_input: bool = False) -> DataFrame:
     """Temporal -> user -> item -> category encoding -> interaction, as in
     the reference. The row count is unchanged (all joins are left joins on
-    unique dimension keys)."""
+    unique dimension keys).
+
+    Several statistics tables are computed from ``r``; when ``r`` is itself
+    expensive (a join or a view rather than a table scan) pass
+    ``materialize_input=True`` to checkpoint it once.
+    """
     from .encode import encode_category
 
+    if materialize_input:
+        from ..config import materialize
+        r = materialize(r)
     df = ft.temporal_features(r, c)
     df = user_features(df, c=c)
     df = item_features(df, items, c=c)
     df = df.withColumn("primary_genre", fi.fill_unknown_col("primary_genre"))
     if encode:
-        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded")
+        # Same rows and labels as df, without the statistics joins: the fit job
+        # only scans the ratings' item column and the dimension.
+        labels = r.select(c.item).join(
+            items.select(c.item, fi.primary_genre_col(c.genres).alias("primary_genre")), c.item, "left") \
+            .select(fi.fill_unknown_col("primary_genre").alias("primary_genre"))
+        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", fit_on=labels)
     df = user_category_mean(df, "primary_genre", c)
     return rating_order(df, c, hot_rows)
