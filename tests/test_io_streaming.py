@@ -126,3 +126,43 @@ def test_run_log_fixture(spark, tmpdir_path):
     assert [r["duration_ms"] for r in top] == [7000, 4000]
     spans = {r["runs"] for r in rl.experiment_spans(runs).collect()}
     assert spans == {3, 2}
+
+
+def test_bounded_intake_and_ingest_until(spark, tmpdir_path):
+    src, sink, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "sink", "ckpt"))
+    for f in range(6):
+        _write_lines(src, f"p{f}.json", [_msg(f, k, 4.0, k) for k in range(3)])
+    raw = ig.read_rating_stream(spark, "files", path=src, max_per_trigger=2)
+    q = ig.append_stream(ig.parse_ratings(raw), sink, ckpt, processing_time="1 second")
+    n = ig.ingest_until(q, n_rows=6, seconds=120, poll=0.5)
+    assert n >= 6 and not q.isActive
+    # No micro-batch read more than 2 files (6 rows)
+    assert all(p["numInputRows"] <= 6 for p in q.recentProgress)
+
+
+def test_ingest_rate_streaming_form(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    _write_lines(src, "a.json", [_msg(1, k, 4.0, k) for k in range(5)])
+    raw = ig.read_rating_stream(spark, "files", path=src, max_per_trigger=1)
+    rate = ig.ingest_rate_stream(ig.parse_ratings(raw), "processed_at", seconds=3)
+    q = (rate.writeStream.format("memory").queryName("rate_test").outputMode("update")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("rate_test").agg(F.max("rows_added")).first()[0]
+    assert got == 5
+
+
+def test_select_available_falls_back(spark):
+    from ratings_engine.operators.encode import select_available
+    df = spark.createDataFrame([(1, 2, 3.0)], "user_id int, item_id int, a double")
+    assert select_available(df, ["a", "b", "c"], ["user_id", "item_id"]).columns == ["user_id", "item_id"]
+    df2 = df.withColumn("b", F.lit(1))
+    assert select_available(df2, ["a", "b", "c"], ["user_id", "item_id"]).columns == ["a", "b"]
+
+
+def test_best_row_and_leaderboard(spark):
+    res = spark.createDataFrame([("lr", 0.9), ("rf", 0.8), ("gbt", 0.8), ("dt", 1.1)], "model string, rmse double")
+    b = rl.best_row(res, "rmse", "model").first()
+    assert (b["model"], b["rmse"]) == ("gbt", 0.8)
+    top = rl.leaderboard(res, "rmse", 2, True, ["model"]).collect()
+    assert [(r["model"], r["position"]) for r in top] == [("gbt", 1), ("rf", 2)]
