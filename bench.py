@@ -27,8 +27,13 @@ def main():
     from ratings_engine.config import build_session
     from ratings_engine.plans.registry import all_queries
 
+    try:
+        mem_gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2 ** 30
+    except (ValueError, OSError):
+        mem_gb = 8.0
+    driver_mem = f"{max(1, min(16, int(mem_gb * 0.6)))}g"   # local mode: the driver JVM is the executor
     spark = build_session(f"local[{cpus}]", app="ratings_engine-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+                          extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": driver_mem})
     spark.sparkContext.setLogLevel("ERROR")
     # Warm-up (not timed): JVM start-up, code generation paths and file listing.
     from ratings_engine.sources.views import ratings_view

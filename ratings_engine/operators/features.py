@@ -101,29 +101,37 @@ def binary_label_col(col: str | Column = COLS.rating, threshold: float = DEFAULT
 
 def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool = True,
                  hot_rows: int = DEFAULT_HOT_ROWS, materialize_input: bool = False) -> DataFrame:
-    """Temporal -> user -> item -> category encoding -> interaction, as in
-    the reference. The row count is unchanged (all joins are left joins on
-    unique dimension keys).
-
-    Several statistics tables are computed from ``r``; when ``r`` is itself
-    expensive (a join or a view rather than a table scan) pass
-    ``materialize_input=True`` to checkpoint it once.
+    """Temporal, user, item, category-encoding and interaction columns,
+    with the reference's values. The row count is unchanged (all joins are
+    left joins on keys that are unique on the statistics side).
+
+    Every statistics table (user, item, user x category, label counts, hot
+    users) is aggregated from the lean input ``r`` -- not from the widening
+    frame -- so no branch re-runs the other joins. The ordered columns are
+    computed first on the lean rows (their values do not depend on the
+    other features). When ``r`` is itself expensive (a join or a view rather
+    than a table scan) pass ``materialize_input=True`` to write it once.
     """
     from .encode import encode_category
 
     if materialize_input:
         from ..config import materialize
         r = materialize(r)
-    df = ft.temporal_features(r, c)
-    df = user_features(df, c=c)
-    df = item_features(df, items, c=c)
-    df = df.withColumn("primary_genre", fi.fill_unknown_col("primary_genre"))
+    dim = items.select(c.item, fi.title_year_col(c.title).alias("movie_year"),
+                       fi.genre_count_col(c.genres).alias("genre_count"),
+                       fi.fill_unknown_col(fi.primary_genre_col(c.genres)).alias("primary_genre"), c.genres)
+    # ratings with their (filled) category: for label counts and user x category means
+    r_cat = r.select(c.user, c.item, c.rating).join(dim.select(c.item, "primary_genre"), c.item, "left") \
+        .withColumn("primary_genre", fi.fill_unknown_col("primary_genre"))
+    ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("user_genre_avg_rating"))
+
+    df = rating_order(ft.temporal_features(r, c), c, hot_rows)
+    df = df.join(user_stats_table(r, c), c.user, "left") \
+        .withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
+    df = df.join(item_stats_table(r, c), c.item, "left").join(dim, c.item, "left")
+    ry = ft.rating_year_col(c.ts)
+    df = df.withColumns({"rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year")),
+                         "primary_genre": fi.fill_unknown_col("primary_genre")})
     if encode:
-        # Same rows and labels as df, without the statistics joins: the fit job
-        # only scans the ratings' item column and the dimension.
-        labels = r.select(c.item).join(
-            items.select(c.item, fi.primary_genre_col(c.genres).alias("primary_genre")), c.item, "left") \
-            .select(fi.fill_unknown_col("primary_genre").alias("primary_genre"))
-        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", fit_on=labels)
-    df = user_category_mean(df, "primary_genre", c)
-    return rating_order(df, c, hot_rows)
+        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", fit_on=r_cat)
+    return df.join(ug, [c.user, "primary_genre"], "left")

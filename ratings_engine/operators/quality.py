@@ -154,7 +154,8 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
                    lo: float = DEFAULTS.rating_min, hi: float = DEFAULTS.rating_max,
                    hyper_min: int = DEFAULTS.hyperactive_min, susp_min_n: int = DEFAULTS.suspicious_min_n,
                    susp_sd: float = DEFAULTS.suspicious_max_sd, exact: bool = True,
-                   rel_err: float = DEFAULTS.quantile_rel_err, c: Cols = COLS) -> DataFrame:
+                   rel_err: float = DEFAULTS.quantile_rel_err, c: Cols = COLS,
+                   materialize_dedup: bool = True) -> DataFrame:
     """The whole cleaning report as one row.
 
     Steps as in the reference: missing report on the input, drop missing,
@@ -162,6 +163,10 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
     range removed, then hyperactive / suspicious users on the valid rows
     (reported, not removed). Every part is a one-row aggregate; they are
     combined with one-row cross products.
+
+    The de-duplicated rows feed three measures (IQR, outliers, user checks);
+    with ``materialize_dedup`` they are written once under the shared
+    checkpoint folder instead of re-running the de-duplication shuffle three times.
     """
     miss = missing_report(df)
     miss_one = miss.groupBy("total_rows").agg(
@@ -173,6 +178,9 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
     nonmissing = drop_missing(df, list(CRITICAL))
     dups = duplicate_extra(nonmissing, keys).select(F.col("dup_extra").alias("duplicate_rows"))
     dedup = remove_duplicates(nonmissing, keys, order)
+    if materialize_dedup:
+        from ..config import materialize
+        dedup = materialize(dedup, "dedup")
     b = iqr_bounds(dedup, c.rating, exact, rel_err)
     oc = outlier_counts(dedup, b, c.rating, lo, hi)
     valid = remove_out_of_range(dedup, lo, hi)

@@ -158,7 +158,9 @@ select j.*, cast(lab.idx as double) as genre_index, {_ONEHOT_SQL} as genre_encod
          as time_since_last_rating
 from j join lab using (primary_genre)""")
 def q_w10(spark, sf):
-    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf))
+    # R is a join view here (a table in production): write it once so the
+    # statistics branches scan it instead of re-running the join each time.
+    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), materialize_input=True)
     f = en.vector_to_text(f, "genre_encoded").withColumn(
         "rating_datetime", F.date_format("rating_datetime", "yyyy-MM-dd HH:mm:ss"))
     return f.select(*W10_COLUMNS)

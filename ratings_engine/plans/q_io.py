@@ -76,12 +76,13 @@ def q_p1_props(spark, sf):
 @register("t1_ingest_stream", """
 select user_id, item_id, cast(rating as float) as rating, ts from {R} r""")
 def q_t1(spark, sf):
-    """Wire messages are written as JSON-lines files, ingested by the streaming
-    job (4 files per micro-batch, availableNow), then the sink is read back."""
+    """Wire messages are written as JSON-lines files (one per input partition),
+    ingested by the streaming job (bounded files per micro-batch, availableNow),
+    then the sink is read back."""
     base = scratch_path(spark, "ingest")
     src, sink, ckpt = f"{base}/source", f"{base}/sink", f"{base}/checkpoint"
-    ig.wire_messages(ratings_view(spark, sf)).select("value").repartition(8).write.mode("overwrite").text(src)
-    q = ig.ingest(spark, sink, ckpt, source="files", path=src, max_per_trigger=4, available_now=True)
+    ig.wire_messages(ratings_view(spark, sf)).select("value").write.mode("overwrite").text(src)
+    q = ig.ingest(spark, sink, ckpt, source="files", path=src, max_per_trigger=8, available_now=True)
     q.awaitTermination()
     return _parsed_fields(tb.read_table(spark, sink))
 

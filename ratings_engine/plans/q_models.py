@@ -31,7 +31,7 @@ SMALL_GRID = dict(ranks=(3, 6), iters=(3,), regs=(0.1, 0.5))
 
 
 def supervised(spark, sf, fraction=0.1):
-    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False)
+    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False, materialize_input=True)
     return md.prepare_supervised(f, md.FEATURES, 3.5, fraction)
 
 
@@ -144,7 +144,7 @@ def q_g6(spark, sf):
 
 @register("e3_e4_feature_importance", heavy=True)
 def q_e4(spark, sf):
-    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False)
+    f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False, materialize_input=True)
     tr, _, used = md.prepare_supervised(f, md.FEATURES_WITH_LEAKY, 3.5, 0.1)
     return md.feature_importance(tr, used, trees=5, depth=5)
 
