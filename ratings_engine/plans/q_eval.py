@@ -201,7 +201,8 @@ with s as {_SCORED},
 h as (select score, count(*) filter (where label = 1) as p, count(*) filter (where label = 0) as n from s group by score),
 t as (select sum(p) as tp, sum(n) as tn from h)
 select {rd('''sum(a.p * b.n * case when a.score > b.score then 1.0 when a.score = b.score then 0.5 else 0.0 end)
-          / (max(t.tp) * max(t.tn))''', 9)} as auc, max(t.tp) as n_pos, max(t.tn) as n_neg
+          / (max(t.tp) * max(t.tn))''', 9)} as auc, cast(max(t.tp) as bigint) as n_pos,
+       cast(max(t.tn) as bigint) as n_neg
 from h a, h b, t""")
 def q_m9(spark, sf):
     a = ev.auc_roc(scored_labels(spark, sf))

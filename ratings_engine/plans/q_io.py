@@ -21,8 +21,8 @@ w as (select cast(floor(epoch(ts) / 3) * 3 as bigint) as window_start, count(*)
 lst as (select * from w order by window_start desc limit 60),
 tot as (select count(*) as a from events),
 rate as (select window_start, rows_added,
-                a - sum(rows_added) over () + sum(rows_added) over (order by window_start
-                  rows between unbounded preceding and current row) as total_rows,
+                cast(a - sum(rows_added) over () + sum(rows_added) over (order by window_start
+                  rows between unbounded preceding and current row) as bigint) as total_rows,
                 cast(floor(rows_added / 3) as bigint) as rows_per_sec from lst, tot)"""
 
 TARGET = 25_000
@@ -39,12 +39,10 @@ def q_s10(spark, sf):
     text = r.select(*[F.col(c).cast("string").alias(w) for c, w in
                       (("user_id", "userId"), ("item_id", "movieId"), ("rating", "rating"), ("ts", "timestamp"))])
     msgs, _ = ig.publish_events(text)
-    parsed = ig.parse_ratings(msgs.select("key", "value", F.lit(None).cast("timestamp").alias("kafka_timestamp")))
     back = msgs.select("key", F.from_json("value", "userId int, movieId int, rating float, timestamp bigint")
                        .alias("d")).select("key", F.col("d.userId").alias("user_id"),
                                            F.col("d.movieId").alias("item_id"), F.col("d.rating").alias("rating"),
                                            F.col("d.timestamp").alias("ts"))
-    del parsed
     return back
 
 
@@ -96,7 +94,7 @@ def q_t3(spark, sf):
 , cur as (select (select a from tot) as count, (select rows_per_sec from rate order by window_start desc limit 1) as speed)
 select count, {TARGET} as target, least(1.0 * count / {TARGET}, 1.0) as progress,
        greatest({TARGET} - count, 0) as remaining,
-       case when speed > 0 then cast(floor(({TARGET} - count) / speed) as bigint) end as eta_seconds,
+       case when speed > 0 then cast(floor(({TARGET} - count) / speed) as double) end as eta_seconds,
        case when speed > 0 then 'active' when count > 0 then 'idle' else 'empty' end as state
 from cur""")
 def q_t4(spark, sf):

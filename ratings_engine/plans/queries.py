@@ -103,7 +103,7 @@ with a as (select user_id, count(*) as n from {R} r group by user_id),
      m as (select min(n) as lo, max(n) as hi from a),
      b as (select least(cast(floor(60 * cast(n - lo as double) / cast(hi - lo as double)) as bigint) + 1, 60) as bin,
                   lo, hi from a, m)
-select cast(bin as int) as bin, round(lo + (bin - 1) * (hi - lo) / 60.0, 6) as bin_start,
+select cast(bin as bigint) as bin, round(lo + (bin - 1) * (hi - lo) / 60.0, 6) as bin_start,
        round(lo + bin * (hi - lo) / 60.0, 6) as bin_end, count(*) as n_users
 from b group by bin, lo, hi""")
 def q_a8(spark, sf):

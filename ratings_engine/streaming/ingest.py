@@ -183,7 +183,7 @@ def ingest_progress(count: Column, target: Column | int, speed: Column) -> dict[
     return {
         "progress": F.least(F.try_divide(count.cast("double"), tgt.cast("double")), F.lit(1.0)),
         "remaining": F.greatest(tgt - count, F.lit(0)),
-        "eta_seconds": F.when(speed > 0, F.floor((tgt - count) / speed)).cast("bigint"),
+        "eta_seconds": F.when(speed > 0, F.floor((tgt - count) / speed)).cast("double"),
         "state": F.when(speed > 0, F.lit("active")).when(count > 0, F.lit("idle")).otherwise(F.lit("empty")),
     }
 

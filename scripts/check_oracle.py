@@ -79,6 +79,11 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:300]}")
             bad += 1
             continue
+        sd = {c: str(t) for c, t in sdf.dtypes.items()}
+        od = {c: str(t) for c, t in odf.dtypes.items()}
+        dt_diff = {c: (sd[c], od.get(c)) for c in sd if c in od and sd[c] != od[c]}
+        if dt_diff:
+            print(f"DTYPE {name}: {dt_diff}")
         sc, sr = canon(sdf)
         oc, orr = canon(odf)
         if sc != oc:
