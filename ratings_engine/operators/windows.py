@@ -7,10 +7,13 @@ table. ``ordered_sequence`` splits such hot groups:
 1. A partial aggregate finds the hot keys (more than ``hot_rows`` rows) and
    their min/max order value. There are at most total/hot_rows of them, so
    this table has a proven bound and is broadcast.
-2. Each hot key is cut into ``ceil(n / hot_rows)`` contiguous segments of its
-   order value (equal width between its min and max); cold keys keep one
-   segment. Segments are a deterministic function of the row, so a re-run
-   after a lost executor assigns the same segment.
+2. Each hot key is cut into ``oversample * ceil(n / hot_rows)`` contiguous
+   segments of its order value (equal width between its min and max); cold
+   keys keep one segment. Oversampling keeps segments small when a hot key's
+   rows are unevenly spread in time; rows sharing one order value stay in one
+   segment (they must, to keep the order). Segments are a deterministic
+   function of the row, so a re-run after a lost executor assigns the same
+   segment.
 3. The window runs on (key, segment): row_number and lag are local.
 4. Per hot (key, segment) counts and last values (bounded: one row per hot
    segment) give each segment its offset and the value preceding it; a
@@ -27,7 +30,7 @@ DEFAULT_HOT_ROWS = 2_000_000
 
 def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
                      rn_col: str = "rating_order", prev_col: str = "_prev",
-                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                     hot_rows: int = DEFAULT_HOT_ROWS, oversample: int = 4) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by key order by order) and
     ``prev_col`` = lag(lag_col) over the same window. ``order[0]`` must be
     numeric (it defines the segments); ``order`` should end in a unique
@@ -37,7 +40,7 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
     hot = (df.groupBy(key)
            .agg(F.count(F.lit(1)).alias("_n"), F.min(seg_by).alias("_lo"), F.max(seg_by).alias("_hi"))
            .where(F.col("_n") > hot_rows)
-           .select(key, "_lo", "_hi", F.ceil(F.col("_n") / F.lit(hot_rows)).alias("_s")))
+           .select(key, "_lo", "_hi", (F.ceil(F.col("_n") / F.lit(hot_rows)) * oversample).alias("_s")))
     x = df.join(F.broadcast(hot), key, "left")  # at most total/hot_rows rows
     width = (F.col("_hi") - F.col("_lo")).cast("double")
     seg = F.when(F.col("_s").isNull() | (width <= 0), F.lit(0)).otherwise(
@@ -54,7 +57,7 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
         key, "_seg",
         F.coalesce(F.sum("_c").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.lag("_last").over(ws).alias("_plast"))
-    # one row per hot segment: bounded by total/hot_rows + number of hot keys
+    # one row per hot segment: at most oversample * (total/hot_rows + hot keys) rows
     out = local.join(F.broadcast(seg_stats), [key, "_seg"], "left")
     return out.withColumns({
         rn_col: (F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"),
