@@ -70,11 +70,13 @@ def improvement_pct(base: Column, new: Column) -> Column:
 
 # ------------------------------------------------------------------ classification
 
-def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """M6: tn, fp, fn, tp in one aggregate."""
+def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     by: list[str] | None = None) -> DataFrame:
+    """M6: tn, fp, fn, tp in one aggregate (one row, or one per ``by`` group)."""
     y, p = F.col(label), F.col(prediction)
-    return df.agg(F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-                  F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"))
+    g = df.groupBy(*by) if by else df
+    return g.agg(F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+                 F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"))
 
 
 def binary_prf(cm: DataFrame, digits: int = 4) -> DataFrame:
@@ -87,7 +89,7 @@ def binary_prf(cm: DataFrame, digits: int = 4) -> DataFrame:
                      F.round(f1, digits).alias("f1"))
 
 
-def averaged_metrics(cm: DataFrame, digits: int | None = None) -> DataFrame:
+def averaged_metrics(cm: DataFrame, digits: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """M8 from the confusion counts: accuracy; weighted P/R/F1 (weights = true
     class shares, as MulticlassClassificationEvaluator); macro P and R = mean of
     the two classes; macro F1 = harmonic mean of macro P and macro R (the
@@ -114,7 +116,7 @@ def averaged_metrics(cm: DataFrame, digits: int | None = None) -> DataFrame:
         "micro_f1": acc,
     }
     r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
-    return cm.select(*[r(v).alias(k) for k, v in cols.items()])
+    return cm.select(*(keep or []), *[r(v).alias(k) for k, v in cols.items()])
 
 
 def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int | None = None) -> DataFrame:

@@ -73,24 +73,32 @@ def als_regression_metrics(model: ALSModel, test: DataFrame, c: Cols = COLS) ->
 
 
 def als_grid(train: DataFrame, test: DataFrame, ranks=(5, 10, 20), iters=(5, 10, 15), regs=(0.01, 0.1, 0.5),
-             seed: int = DEFAULTS.seed, c: Cols = COLS) -> DataFrame:
+             seed: int = DEFAULTS.seed, c: Cols = COLS, parallelism: int = 1) -> DataFrame:
     """Fit every (rank, maxIter, regParam); RMSE on test and fit+score seconds.
 
     Train and test are cached around the loop (the reference re-reads them
-    for each of its 27 fits) and released afterwards.
+    for each of its 27 fits) and released afterwards. ``parallelism`` > 1
+    submits fits from driver threads (like CrossValidator's parallelism).
     """
     spark = train.sparkSession
     tr = train.select(c.user, c.item, c.rating).cache()
     te = test.select(c.user, c.item, c.rating).cache()
-    rows = []
+    points = [(r, it, reg) for r in ranks for it in iters for reg in regs]
+
+    def run(p):
+        r, it, reg = p
+        t0 = time.time()
+        m = fit_als(tr, r, it, reg, seed, c)
+        rmse = als_regression_metrics(m, te, c).first()["rmse"]
+        return (int(r), int(it), float(reg), float(rmse), round(time.time() - t0, 3))
+
     try:
-        for r in ranks:
-            for it in iters:
-                for reg in regs:
-                    t0 = time.time()
-                    m = fit_als(tr, r, it, reg, seed, c)
-                    rmse = als_regression_metrics(m, te, c).first()["rmse"]
-                    rows.append((int(r), int(it), float(reg), float(rmse), round(time.time() - t0, 3)))
+        if parallelism > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=parallelism) as ex:
+                rows = list(ex.map(run, points))
+        else:
+            rows = [run(p) for p in points]
     finally:
         tr.unpersist()
         te.unpersist()

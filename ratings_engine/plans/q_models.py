@@ -27,7 +27,8 @@ from .q_eval import TRAIN, TEST, split  # noqa: F401
 from .queries import rd
 from .registry import register
 
-SMALL_GRID = dict(ranks=(3, 6), iters=(3,), regs=(0.1, 0.5))
+SMALL_GRID = dict(ranks=(3, 6), iters=(3,), regs=(0.1, 0.5), parallelism=4)
+PAR = 4   # model fits submitted concurrently (local[8])
 
 
 def supervised(spark, sf, fraction=0.1):
@@ -93,14 +94,14 @@ def q_r6(spark, sf):
 @register("c1_c5_compare_classifiers", heavy=True)
 def q_c5(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    res, _ = md.compare_classifiers(tr, te, md.classifiers(fast=True))
+    res, _ = md.compare_classifiers(tr, te, md.classifiers(fast=True), parallelism=PAR)
     return res.drop("seconds")
 
 
 @register("g1_g5_compare_regressors", heavy=True)
 def q_g5(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    res, _ = md.compare_regressors(tr, te, md.regressors(fast=True))
+    res, _ = md.compare_regressors(tr, te, md.regressors(fast=True), parallelism=PAR)
     return res.drop("seconds")
 
 
@@ -174,8 +175,8 @@ def q_g10(spark, sf):
 @register("g11_x5_unified_and_final_summary", heavy=True)
 def q_g11(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    cls, _ = md.compare_classifiers(tr, te, two_classifiers())
-    reg, _ = md.compare_regressors(tr, te, two_regressors())
+    cls, _ = md.compare_classifiers(tr, te, two_classifiers(), parallelism=PAR)
+    reg, _ = md.compare_regressors(tr, te, two_regressors(), parallelism=PAR)
     u = md.unified_comparison(cls, reg).drop("seconds")
     return u.crossJoin(rl.final_summary(cls, reg))
 
@@ -183,7 +184,7 @@ def q_g11(spark, sf):
 @register("m12_all_confusion_matrices", heavy=True)
 def q_m12(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    return md.all_confusion_matrices(tr, te, md.classifiers(fast=True))
+    return md.all_confusion_matrices(tr, te, md.classifiers(fast=True), parallelism=PAR)
 
 
 # ------------------------------------------------------------------ run log

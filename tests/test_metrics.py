@@ -105,3 +105,30 @@ def test_diagnosis(spark):
     df = spark.createDataFrame([(0.9, 0.8), (0.45, 0.44), (0.7, 0.68)], "tr double, te double")
     got = [r[0] for r in df.select(md.diagnose_classifier(F.col("tr"), F.col("te"))).collect()]
     assert got == ["OVERFIT", "UNDERFIT", "OK"]
+
+
+def test_compare_models_parallel_and_summary(spark):
+    import random
+    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+    from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+    from ratings_engine.operators import runlog as rl
+    rnd = random.Random(1)
+    data = []
+    for i in range(400):
+        x1, x2 = rnd.random(), rnd.random()
+        rating = round(min(5.0, max(0.5, 0.5 + 4 * x1 + rnd.gauss(0, 0.3))) * 2) / 2
+        data.append((f"k{i}", rating, x1, x2))
+    df = spark.createDataFrame(data, "row_key string, rating double, f1 double, f2 double")
+    tr, te, used = md.prepare_supervised(df, ["f1", "f2", "absent"], 3.5, None)
+    assert used == ["f1", "f2"]
+    cls, _ = md.compare_classifiers(tr, te, {"lr": LogisticRegression(maxIter=5),
+                                             "dt": DecisionTreeClassifier(maxDepth=3)}, parallelism=2)
+    reg, _ = md.compare_regressors(tr, te, {"lin": LinearRegression(maxIter=5),
+                                            "dt": DecisionTreeRegressor(maxDepth=3)}, parallelism=2)
+    assert [r["model"] for r in cls.collect()] == ["lr", "dt"]
+    assert all(r["accuracy"] > 0.8 for r in cls.collect())
+    assert all(r["r2"] > 0.5 for r in reg.collect())
+    s = rl.final_summary(cls, reg).first()
+    assert s["best_classifier"] in ("lr", "dt") and s["best_regressor"] in ("lin", "dt")
+    imp = md.feature_importance(tr, used, trees=3, depth=3)
+    assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
