@@ -49,8 +49,8 @@ def drop_missing(df: DataFrame, cols=CRITICAL) -> DataFrame:
 def missing_report(df: DataFrame, digits: int = 4) -> DataFrame:
     """Per column null (or NaN) count and percentage, in one scan.
 
-    Returns (column_name, null_count, null_pct, total_rows); pct is 0 on an
-    empty table.
+    Returns (column_name, null_count, null_pct, total_rows, total_cells); pct
+    is 0 on an empty table.
     """
     names = df.columns
     one = df.agg(F.count(F.lit(1)).alias("_total"),
@@ -60,7 +60,8 @@ def missing_report(df: DataFrame, digits: int = 4) -> DataFrame:
         for i, n in enumerate(names)])))
     pct = F.when(F.col("_total") > 0,
                  F.round(F.col("null_count") / F.col("_total") * 100, digits)).otherwise(F.lit(0.0))
-    return long.select("column_name", "null_count", pct.alias("null_pct"), F.col("_total").alias("total_rows"))
+    return long.select("column_name", "null_count", pct.alias("null_pct"), F.col("_total").alias("total_rows"),
+                       (F.col("_total") * len(names)).alias("total_cells"))
 
 
 def duplicate_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts)) -> DataFrame:

@@ -25,7 +25,7 @@ def _missing_sql(cols, table, float_cols=()):
         cond = f"{c} is null or isnan({c})" if c in float_cols else f"{c} is null"
         parts.append(f"""select '{c}' as column_name, count(*) filter (where {cond}) as null_count,
   case when count(*) > 0 then {rd(f"100.0 * count(*) filter (where {cond}) / count(*)", 4)} else 0.0 end as null_pct,
-  count(*) as total_rows from {table}""")
+  count(*) as total_rows, count(*) * {len(cols)} as total_cells from {table}""")
     return "\nunion all\n".join(parts)
 
 

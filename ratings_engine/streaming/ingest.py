@@ -22,11 +22,14 @@ from ..sources.schema import WIRE_COLUMNS, WIRE_ITEM, WIRE_RATING, WIRE_TS, WIRE
 def read_rating_stream(spark: SparkSession, source: str = "kafka", *, servers: str | None = None,
                        topic: str = "ratings", path: str | None = None,
                        max_per_trigger: int = DEFAULTS.max_offsets_per_trigger,
-                       starting: str = "earliest") -> DataFrame:
+                       starting: str = "earliest", min_partitions: int | None = None) -> DataFrame:
     """S1 + T2: raw stream with a string-castable ``value`` and a ``kafka_timestamp``.
 
     ``source='kafka'``: subscription from ``starting``, at most
     ``max_per_trigger`` offsets per micro-batch, ``failOnDataLoss=false``.
+    Messages are keyed by user, so one hot user fills one topic partition;
+    ``min_partitions`` makes Spark split large offset ranges of a partition
+    over several tasks instead of one.
     ``source='files'``: JSON lines under ``path``, ``max_per_trigger`` files per
     micro-batch; the file's modification time stands in for the broker time.
     """
@@ -36,8 +39,10 @@ def read_rating_stream(spark: SparkSession, source: str = "kafka", *, servers: s
                .option("subscribe", topic)
                .option("startingOffsets", starting)
                .option("maxOffsetsPerTrigger", max_per_trigger)
-               .option("failOnDataLoss", "false")
-               .load())
+               .option("failOnDataLoss", "false"))
+        if min_partitions:
+            raw = raw.option("minPartitions", min_partitions)
+        raw = raw.load()
         return raw.select("key", "value", F.col("timestamp").alias("kafka_timestamp"))
     raw = spark.readStream.format("text").option("maxFilesPerTrigger", max_per_trigger).load(path)
     return raw.select(F.lit(None).cast("binary").alias("key"), F.col("value"),
