@@ -123,15 +123,21 @@ def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool =
     # ratings with their (filled) category: for label counts and user x category means
     r_cat = r.select(c.user, c.item, c.rating).join(dim.select(c.item, "primary_genre"), c.item, "left") \
         .withColumn("primary_genre", fi.fill_unknown_col("primary_genre"))
-    ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("user_genre_avg_rating"))
+    # user x category means folded into the user table as a map (one entry per
+    # category the user rated: bounded by the number of categories), so the
+    # wide frame is shuffled once for both user-level joins.
+    ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("_m")) \
+        .groupBy(c.user).agg(F.map_from_entries(F.collect_list(F.struct("primary_genre", "_m"))).alias("_ug"))
+    users = user_stats_table(r, c).join(ug, c.user, "left")
 
     df = rating_order(ft.temporal_features(r, c), c, hot_rows)
-    df = df.join(user_stats_table(r, c), c.user, "left") \
+    df = df.join(users, c.user, "left") \
         .withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
     df = df.join(item_stats_table(r, c), c.item, "left").join(dim, c.item, "left")
     ry = ft.rating_year_col(c.ts)
     df = df.withColumns({"rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year")),
                          "primary_genre": fi.fill_unknown_col("primary_genre")})
+    df = df.withColumn("user_genre_avg_rating", F.element_at("_ug", F.col("primary_genre"))).drop("_ug")
     if encode:
         df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", fit_on=r_cat)
-    return df.join(ug, [c.user, "primary_genre"], "left")
+    return df
