@@ -1,38 +1,100 @@
 """Exact and approximate quantiles without pulling a column into one task.
 
-``exact_quantiles`` builds a value histogram with a partial (map-side)
-aggregate, then walks the cumulative counts. Only the histogram -- one row
-per distinct value -- reaches the final single-partition step, so it suits
-discrete domains (half-step ratings, counts, prices in cents). For
-continuous columns use ``approx_quantiles`` (mergeable sketch, one pass).
-Interpolation is linear between the two closest ranks, as in SQL
-``percentile`` / ``quantile_cont``.
+``exact_quantiles`` is a distributed selection: it narrows the value range
+that holds each needed rank with bucket counts (one aggregate per pass over
+the rows still in play, ``buckets`` rows returned per range) until a range
+holds at most ``final_rows`` rows, then orders only those rows. No task ever
+sees more than ``final_rows`` values, whatever the distribution; on small or
+discrete data it finishes in two jobs. Interpolation is linear between the
+two closest ranks, as SQL ``percentile`` / ``quantile_cont``.
+
+``approx_quantiles`` is the one-pass mergeable sketch (``percentile_approx``).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float]) -> DataFrame:
-    """One row: a column per name in ``probs`` plus ``n``."""
-    v = F.col(col)
-    hist = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(v.cast("double").alias("v")) \
-        .agg(F.count(F.lit(1)).alias("c"))
-    run = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(F.lit(0))
-    h = hist.select("v", "c", F.sum("c").over(run).alias("cum"), F.sum("c").over(whole).alias("n"))
-    aggs = []
-    for name, q in probs.items():
-        pos = F.lit(float(q)) * (F.col("n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        first = F.col("cum") - F.col("c")
-        at_lo = F.max(F.when((first <= lo) & (lo < F.col("cum")), F.col("v")))
-        at_hi = F.max(F.when((first <= hi) & (hi < F.col("cum")), F.col("v")))
-        frac = F.max(pos - lo)
-        aggs.append((at_lo + (at_hi - at_lo) * frac).alias(name))
-    return h.agg(*aggs, F.max("n").alias("n"))
+def _values_at_ranks(v: DataFrame, n: int, lo: float, hi: float, ranks: list[int], buckets: int,
+                     final_rows: int) -> dict[int, float]:
+    """Exact value at each 0-based rank of column ``v`` (n values in [lo, hi])."""
+    spark = v.sparkSession
+    # rank -> (a, b, count in [a, b], rows below a)
+    state = {r: (lo, hi, n, 0) for r in ranks}
+    found: dict[int, float] = {}
+    for _ in range(200):                      # each pass shrinks a range by ~buckets
+        pending = {r: s for r, s in state.items() if r not in found}
+        if not pending:
+            break
+        for r, (a, b, cnt, off) in pending.items():
+            if a == b:
+                found[r] = a
+        ranges = sorted({(a, b, cnt) for r, (a, b, cnt, off) in pending.items() if r not in found})
+        small = [x for x in ranges if x[2] <= final_rows]
+        large = [x for x in ranges if x[2] > final_rows]
+        if small:
+            rt = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(small)],
+                                       "_rid int, _a double, _b double")
+            sel = v.join(F.broadcast(rt), (F.col("v") >= F.col("_a")) & (F.col("v") <= F.col("_b")))
+            w = Window.partitionBy("_rid").orderBy("v")     # each partition <= final_rows rows
+            want = []
+            for r, (a, b, cnt, off) in pending.items():
+                if r not in found and (a, b, cnt) in small:
+                    want.append((small.index((a, b, cnt)), r - off + 1, r))
+            wt = spark.createDataFrame(want, "_rid int, _pos int, _rank int")
+            picked = sel.select("_rid", "v", F.row_number().over(w).alias("_pos")) \
+                .join(F.broadcast(wt), ["_rid", "_pos"]).select("_rank", "v").collect()   # one row per rank
+            for row in picked:
+                found[row["_rank"]] = row["v"]
+        if large:
+            rt = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(large)],
+                                       "_rid int, _a double, _b double")
+            width = (F.col("_b") - F.col("_a")) / buckets
+            bkt = F.least(F.floor((F.col("v") - F.col("_a")) / width), F.lit(buckets - 1)).cast("int")
+            hist = (v.join(F.broadcast(rt), (F.col("v") >= F.col("_a")) & (F.col("v") <= F.col("_b")))
+                    .groupBy("_rid", bkt.alias("_k"))
+                    .agg(F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+                    .collect())                                   # <= buckets rows per range
+            by_range: dict[int, list] = {}
+            for h in hist:
+                by_range.setdefault(h["_rid"], []).append(h)
+            for r, (a, b, cnt, off) in pending.items():
+                if r in found or (a, b, cnt) not in large:
+                    continue
+                rows = sorted(by_range[large.index((a, b, cnt))], key=lambda h: h["_k"])
+                below = off
+                for h in rows:
+                    if r < below + h["_c"]:
+                        state[r] = (h["_lo"], h["_hi"], h["_c"], below)
+                        break
+                    below += h["_c"]
+    return found
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], buckets: int = 4096,
+                    final_rows: int = 2_000_000) -> DataFrame:
+    """One row: a column per name in ``probs`` plus ``n`` (NULL/NaN ignored)."""
+    spark = df.sparkSession
+    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n = int(st["n"])
+    names = list(probs)
+    schema = ", ".join(f"`{k}` double" for k in names) + ", n long"
+    if n == 0:
+        return spark.createDataFrame([tuple([None] * len(names)) + (0,)], schema)
+    pos = {k: float(probs[k]) * (n - 1) for k in names}
+    ranks = sorted({int(math.floor(p)) for p in pos.values()} | {int(math.ceil(p)) for p in pos.values()})
+    at = _values_at_ranks(v, n, float(st["lo"]), float(st["hi"]), ranks, buckets, final_rows)
+    out = []
+    for k in names:
+        p = pos[k]
+        a, b = at[int(math.floor(p))], at[int(math.ceil(p))]
+        out.append(a + (b - a) * (p - math.floor(p)))
+    return spark.createDataFrame([tuple(out) + (n,)], schema)
 
 
 def approx_quantiles(df: DataFrame, col: str, probs: dict[str, float], rel_err: float = 0.01) -> DataFrame:

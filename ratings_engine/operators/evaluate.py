@@ -119,24 +119,38 @@ def averaged_metrics(cm: DataFrame, digits: int | None = None, keep: list[str] |
     return cm.select(*(keep or []), *[r(v).alias(k) for k, v in cols.items()])
 
 
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int | None = None) -> DataFrame:
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int | None = None,
+            partitions: int | None = None) -> DataFrame:
     """M9: exact area under ROC by the rank (Mann-Whitney) form with mid-ranks
     for ties: AUC = P(score_pos > score_neg) + 0.5 P(equal).
 
-    Rows are first reduced to a histogram (score -> positives, negatives) by a
-    partial aggregate; only the histogram (one row per distinct score, or at
-    most ``bins`` rows when scores are bucketed) is ordered for the running
-    count of negatives below each score.
+    Rows are reduced to a histogram (score -> positives, negatives) by a
+    partial aggregate. The running count of negatives below each score is a
+    distributed prefix sum: the histogram is range-partitioned by score and
+    written once with its partition id (so every later read agrees on the
+    split); negatives per partition (one row per partition) give each
+    partition its offset, and the running sum inside a partition is a window
+    over that partition only. No task orders more than its range of distinct
+    scores. ``bins`` optionally buckets the scores first (like
+    BinaryClassificationEvaluator's numBins).
     """
+    from ..config import materialize
+
+    spark = df.sparkSession
     s = F.col(score).cast("double")
     if bins:
         s = F.floor(s * bins) / bins
     h = df.groupBy(s.alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"),
                                       F.count_if(F.col(label) != 1).alias("_n"))
-    below = F.coalesce(F.sum("_n").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0))
-    h = h.select("_p", "_n", below.alias("_below"))
-    a = h.agg(F.sum(F.col("_p") * (F.col("_below") + 0.5 * F.col("_n"))).alias("_w"),
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    h = materialize(h.repartitionByRange(n_parts, "_s").withColumn("_pid", F.spark_partition_id()), "auc_hist")
+    per_part = h.groupBy("_pid").agg(F.sum("_n").alias("_pn"))
+    offs = per_part.select("_pid", F.coalesce(F.sum("_pn").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.coalesce(F.sum("_n").over(Window.partitionBy("_pid").orderBy("_s")
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = h.select("_pid", "_p", "_n", local.alias("_local")).join(F.broadcast(offs), "_pid")  # one row per partition
+    a = x.agg(F.sum(F.col("_p") * (F.col("_off") + F.col("_local") + 0.5 * F.col("_n"))).alias("_w"),
               F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
     return a.select((F.col("_w") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
 

@@ -132,3 +132,15 @@ def test_compare_models_parallel_and_summary(spark):
     assert s["best_classifier"] in ("lr", "dt") and s["best_regressor"] in ("lin", "dt")
     imp = md.feature_importance(tr, used, trees=3, depth=3)
     assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
+
+
+def test_auc_distributed_prefix_matches_bruteforce(spark):
+    import random
+    rnd = random.Random(5)
+    data = [(1 if rnd.random() < 0.4 else 0, round(rnd.random(), 2)) for _ in range(600)]
+    df = spark.createDataFrame(data, "label int, score double")
+    pos = [s for l, s in data if l == 1]
+    neg = [s for l, s in data if l == 0]
+    brute = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
+    for parts in (1, 7):
+        assert math.isclose(ev.auc_roc(df, partitions=parts).first()["auc"], brute)
