@@ -156,6 +156,14 @@ def als_cross_validate(train: DataFrame, test: DataFrame, rank: int = 10, max_it
     return row, best
 
 
+def load_or_fit_als(path: str, train: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.1,
+                    c: Cols = COLS) -> ALSModel:
+    """S9 for the recommender: load the saved ALS model at ``path``, else fit
+    with the fallback parameters (rank 10, 10 iterations, reg 0.1) and save it."""
+    from ..sources.tables import load_or_fit
+    return load_or_fit(ALSModel, path, lambda: fit_als(train, rank, max_iter, reg, c=c))
+
+
 def recommend_top_k(model: ALSModel, k: int = 10) -> DataFrame:
     """Top-K items for every user, already-rated items included (as the reference)."""
     return model.recommendForAllUsers(k)

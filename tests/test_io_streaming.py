@@ -166,3 +166,11 @@ def test_best_row_and_leaderboard(spark):
     assert (b["model"], b["rmse"]) == ("gbt", 0.8)
     top = rl.leaderboard(res, "rmse", 2, True, ["model"]).collect()
     assert [(r["model"], r["position"]) for r in top] == [("gbt", 1), ("rf", 2)]
+
+
+def test_load_or_fit_als_fallback_parameters(spark, tmpdir_path):
+    tr = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(9)],
+                               "user_id int, item_id int, rating double")
+    m = rs.load_or_fit_als(f"{tmpdir_path}/als_fallback", tr, max_iter=2)
+    assert m.rank == 10
+    assert rs.load_or_fit_als(f"{tmpdir_path}/als_fallback", tr, rank=3).rank == 10   # loaded, not refit
