@@ -43,7 +43,8 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
            .select(key, "_lo", "_hi", (F.ceil(F.col("_n") / F.lit(hot_rows)) * oversample).alias("_s")))
     x = df.join(F.broadcast(hot), key, "left")  # at most total/hot_rows rows
     width = (F.col("_hi") - F.col("_lo")).cast("double")
-    seg = F.when(F.col("_s").isNull() | (width <= 0), F.lit(0)).otherwise(
+    # NULL order values sort first (ascending), so they belong to segment 0
+    seg = F.when(F.col("_s").isNull() | (width <= 0) | F.col(seg_by).isNull(), F.lit(0)).otherwise(
         F.least(F.floor((F.col(seg_by) - F.col("_lo")).cast("double") / width * F.col("_s")),
                 F.col("_s") - 1)).cast("int")
     x = x.withColumn("_seg", seg).drop("_lo", "_hi")

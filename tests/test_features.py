@@ -76,3 +76,13 @@ def test_zero_fill_only_present_columns(spark):
     df = spark.createDataFrame([(None, float("nan"))], "a int, b double")
     r = fe.zero_fill(df, ["a", "b", "missing"]).first()
     assert r["a"] == 0.0 and r["b"] != r["b"]   # NaN kept
+
+
+def test_ordered_sequence_null_order_values_on_hot_key(spark):
+    data = [(1, i, 1.0, None if i % 7 == 0 else i * 10, f"k{i:03d}") for i in range(60)]
+    df = spark.createDataFrame(data, RSCHEMA)
+    w = Window.partitionBy("user_id").orderBy("ts", "item_id", "row_key")
+    plain = df.select("row_key", F.row_number().over(w).alias("rn"), F.lag("ts").over(w).alias("prev"))
+    seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
+                           hot_rows=10)
+    assert rows(seg, "row_key", "rn", "prev") == rows(plain)
