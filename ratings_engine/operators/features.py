@@ -75,12 +75,13 @@ def user_category_mean(r: DataFrame, category: str = "primary_genre", c: Cols =
     return r.join(s, [c.user, category], "left")
 
 
-def rating_order(r: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def rating_order(r: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS,
+                 rows_per_task: int | None = None) -> DataFrame:
     """W6 + W7: rating_order = row_number by (ts, item, row_key) within user;
     time_since_last_rating = ts - previous ts, 0 for the first rating."""
     order = [c.ts, c.item] + ([c.key] if c.key in r.columns else [])
     s = ordered_sequence(r, c.user, order, c.ts, rn_col="rating_order", prev_col="_prev_ts",
-                         hot_rows=hot_rows)
+                         hot_rows=hot_rows, rows_per_task=rows_per_task)
     return s.withColumn("time_since_last_rating",
                         F.when(F.col("_prev_ts").isNotNull(), F.col(c.ts) - F.col("_prev_ts"))
                         .otherwise(F.lit(0)).cast("bigint")).drop("_prev_ts")

@@ -4,63 +4,69 @@ An ordered window partitioned by user puts every row of a user into one
 task. If one user holds a third of the table, that task holds a third of the
 table. ``ordered_sequence`` splits such hot groups:
 
-1. A partial aggregate finds the hot keys (more than ``hot_rows`` rows) and
-   their min/max order value. There are at most total/hot_rows of them, so
-   this table has a proven bound and is broadcast.
-2. Each hot key is cut into ``oversample * ceil(n / hot_rows)`` contiguous
-   segments of its order value (equal width between its min and max); cold
-   keys keep one segment. Oversampling keeps segments small when a hot key's
-   rows are unevenly spread in time; rows sharing one order value stay in one
-   segment (they must, to keep the order). Segments are a deterministic
-   function of the row, so a re-run after a lost executor assigns the same
-   segment.
-3. The window runs on (key, segment): row_number and lag are local.
-4. Per hot (key, segment) counts and last values (bounded: one row per hot
-   segment) give each segment its offset and the value preceding it; a
-   broadcast join adds them back.
+1. A partial aggregate counts rows per key. Keys with more than ``hot_rows``
+   rows are hot; there are at most total/hot_rows of them, so the hot-key
+   table has a proven bound and is broadcast.
+2. Cold keys use the plain window: each of their groups holds at most
+   ``hot_rows`` rows.
+3. Rows of hot keys are range-partitioned on (key, order...) into
+   ``ceil(hot rows / rows_per_task)`` partitions -- balanced by row count
+   whatever the time distribution, since the order ends in a unique column --
+   and written once with their partition id under the shared checkpoint
+   folder, so every later read agrees on the split (and a lost executor
+   re-reads files rather than re-sampling the range bounds).
+4. The window runs on (key, partition): row_number and lag are local.
+5. Per (hot key, partition) counts and last values (bounded: hot keys x
+   partitions rows) give each slice its offset and the value preceding it;
+   a broadcast join adds them back.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 2_000_000
+DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
 def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
                      rn_col: str = "rating_order", prev_col: str = "_prev",
-                     hot_rows: int = DEFAULT_HOT_ROWS, oversample: int = 4) -> DataFrame:
+                     hot_rows: int = DEFAULT_HOT_ROWS, rows_per_task: int | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by key order by order) and
-    ``prev_col`` = lag(lag_col) over the same window. ``order[0]`` must be
-    numeric (it defines the segments); ``order`` should end in a unique
-    tie-break column so that the numbering is deterministic.
+    ``prev_col`` = lag(lag_col) over the same window. ``order`` should end in
+    a unique tie-break column so that the numbering is deterministic.
     """
-    seg_by = order[0]
-    hot = (df.groupBy(key)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min(seg_by).alias("_lo"), F.max(seg_by).alias("_hi"))
-           .where(F.col("_n") > hot_rows)
-           .select(key, "_lo", "_hi", (F.ceil(F.col("_n") / F.lit(hot_rows)) * oversample).alias("_s")))
-    x = df.join(F.broadcast(hot), key, "left")  # at most total/hot_rows rows
-    width = (F.col("_hi") - F.col("_lo")).cast("double")
-    # NULL order values sort first (ascending), so they belong to segment 0
-    seg = F.when(F.col("_s").isNull() | (width <= 0) | F.col(seg_by).isNull(), F.lit(0)).otherwise(
-        F.least(F.floor((F.col(seg_by) - F.col("_lo")).cast("double") / width * F.col("_s")),
-                F.col("_s") - 1)).cast("int")
-    x = x.withColumn("_seg", seg).drop("_lo", "_hi")
-    w = Window.partitionBy(key, "_seg").orderBy(*order)
-    local = x.withColumns({"_lrn": F.row_number().over(w), "_lprev": F.lag(lag_col).over(w)})
-    seg_stats = (x.where(F.col("_s").isNotNull())
-                 .groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_c"), F.max_by(lag_col, F.struct(*order))
-                                           .alias("_last")))
-    ws = Window.partitionBy(key).orderBy("_seg")
-    seg_stats = seg_stats.select(
-        key, "_seg",
+    from ..config import materialize
+
+    rows_per_task = rows_per_task or DEFAULT_ROWS_PER_TASK
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    summary = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()   # one row
+    w = Window.partitionBy(key).orderBy(*order)
+    plain = {rn_col: F.row_number().over(w), prev_col: F.lag(lag_col).over(w)}
+    if not summary["keys"]:
+        return df.withColumns(plain)
+
+    flagged = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")  # <= total/hot_rows rows
+    cold = flagged.where(F.col("_hot").isNull()).drop("_hot").withColumns(plain)
+
+    parts = max(1, math.ceil(summary["rows"] / rows_per_task))
+    hot_rows_df = flagged.where(F.col("_hot")).drop("_hot")
+    sliced = materialize(hot_rows_df.repartitionByRange(parts, key, *order)
+                         .withColumn("_pid", F.spark_partition_id()), "hot_slices")
+    wl = Window.partitionBy(key, "_pid").orderBy(*order)
+    local = sliced.withColumns({"_lrn": F.row_number().over(wl), "_lprev": F.lag(lag_col).over(wl)})
+    stats = sliced.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"),
+                                             F.max_by(lag_col, F.struct(*order)).alias("_last"))
+    ws = Window.partitionBy(key).orderBy("_pid")   # at most `parts` rows per hot key
+    stats = stats.select(
+        key, "_pid",
         F.coalesce(F.sum("_c").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.lag("_last").over(ws).alias("_plast"))
-    # one row per hot segment: at most oversample * (total/hot_rows + hot keys) rows
-    out = local.join(F.broadcast(seg_stats), [key, "_seg"], "left")
-    return out.withColumns({
-        rn_col: (F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"),
+    hot_out = local.join(F.broadcast(stats), [key, "_pid"], "left").withColumns({   # hot keys x parts rows
+        rn_col: (F.col("_lrn") + F.col("_off")).cast("int"),
         prev_col: F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")),
-    }).drop("_s", "_seg", "_lrn", "_lprev", "_off", "_plast")
+    }).drop("_pid", "_lrn", "_lprev", "_off", "_plast")
+    return cold.unionByName(hot_out.select(*cold.columns))

@@ -71,9 +71,10 @@ def q_w6(spark, sf):
 
 @register("w6_w7_rating_order_hot_split", _ORDER_SQL)
 def q_w6_hot(spark, sf):
-    """Same result with a hot-group threshold of 20 rows, so that every busy
-    user is cut into segments: checks the skew path against the oracle."""
-    return fe.rating_order(ratings_view(spark, sf), hot_rows=20).select(
+    """Same result with a hot-group threshold of 20 rows and 5 000 rows per
+    slice, so that busy users go through the range-sliced path and a user's
+    rows span several slices: checks the skew path against the oracle."""
+    return fe.rating_order(ratings_view(spark, sf), hot_rows=20, rows_per_task=5000).select(
         "row_key", "rating_order", "time_since_last_rating")
 
 

@@ -50,15 +50,15 @@ def test_ordered_sequence_matches_plain_window_on_hot_user(spark):
     df = _random_ratings(spark)
     w = Window.partitionBy("user_id").orderBy("ts", "item_id", "row_key")
     plain = df.select("row_key", F.row_number().over(w).alias("rn"), F.lag("ts").over(w).alias("prev"))
-    for hot in (50, 200, 10_000):
+    for hot, per_task in ((50, 100), (200, 300), (10_000, None)):
         seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
-                               hot_rows=hot)
+                               hot_rows=hot, rows_per_task=per_task)
         assert rows(seg, "row_key", "rn", "prev") == rows(plain)
 
 
 def test_rating_order_is_one_to_n_per_user(spark):
     df = _random_ratings(spark, 800, 3)
-    o = fe.rating_order(df, hot_rows=40)
+    o = fe.rating_order(df, hot_rows=40, rows_per_task=50)
     chk = o.groupBy("user_id").agg(F.count("*").alias("n"), F.min("rating_order").alias("lo"),
                                    F.max("rating_order").alias("hi"), F.countDistinct("rating_order").alias("d"))
     assert chk.where("lo != 1 or hi != n or d != n").count() == 0
@@ -79,10 +79,11 @@ def test_zero_fill_only_present_columns(spark):
 
 
 def test_ordered_sequence_null_order_values_on_hot_key(spark):
-    data = [(1, i, 1.0, None if i % 7 == 0 else i * 10, f"k{i:03d}") for i in range(60)]
+    # one hot user, a burst of equal timestamps and NULL timestamps
+    data = [(1, i, 1.0, None if i % 7 == 0 else (500 if i % 3 == 0 else i * 10), f"k{i:03d}") for i in range(60)]
     df = spark.createDataFrame(data, RSCHEMA)
     w = Window.partitionBy("user_id").orderBy("ts", "item_id", "row_key")
     plain = df.select("row_key", F.row_number().over(w).alias("rn"), F.lag("ts").over(w).alias("prev"))
     seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
-                           hot_rows=10)
+                           hot_rows=10, rows_per_task=8)
     assert rows(seg, "row_key", "rn", "prev") == rows(plain)
