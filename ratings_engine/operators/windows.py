@@ -49,7 +49,9 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
     if not summary["keys"]:
         return df.withColumns(plain)
 
-    flagged = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")  # <= total/hot_rows rows
+    # null-safe: a hot NULL key is split like any other key
+    hk = hot.select(F.col(key).alias("_hk"), F.lit(True).alias("_hot"))
+    flagged = df.join(F.broadcast(hk), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")  # <= total/hot_rows
     cold = flagged.where(F.col("_hot").isNull()).drop("_hot").withColumns(plain)
 
     parts = max(1, math.ceil(summary["rows"] / rows_per_task))
@@ -65,7 +67,9 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
         key, "_pid",
         F.coalesce(F.sum("_c").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.lag("_last").over(ws).alias("_plast"))
-    hot_out = local.join(F.broadcast(stats), [key, "_pid"], "left").withColumns({   # hot keys x parts rows
+    stats = stats.withColumnRenamed(key, "_sk").withColumnRenamed("_pid", "_spid")
+    cond = F.col(key).eqNullSafe(F.col("_sk")) & (F.col("_pid") == F.col("_spid"))
+    hot_out = local.join(F.broadcast(stats), cond, "left").drop("_sk", "_spid").withColumns({   # hot keys x parts
         rn_col: (F.col("_lrn") + F.col("_off")).cast("int"),
         prev_col: F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")),
     }).drop("_pid", "_lrn", "_lprev", "_off", "_plast")

@@ -87,3 +87,13 @@ def test_ordered_sequence_null_order_values_on_hot_key(spark):
     seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
                            hot_rows=10, rows_per_task=8)
     assert rows(seg, "row_key", "rn", "prev") == rows(plain)
+
+
+def test_ordered_sequence_hot_null_key(spark):
+    data = [(None if i < 40 else 2, i % 5, 1.0, i, f"k{i:03d}") for i in range(50)]
+    df = spark.createDataFrame(data, RSCHEMA)
+    w = Window.partitionBy("user_id").orderBy("ts", "item_id", "row_key")
+    plain = df.select("row_key", F.row_number().over(w).alias("rn"), F.lag("ts").over(w).alias("prev"))
+    seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
+                           hot_rows=5, rows_per_task=7)
+    assert rows(seg, "row_key", "rn", "prev") == rows(plain)
