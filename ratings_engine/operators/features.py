@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import COLS, DEFAULTS, Cols
 from ..functions import items as fi
 from ..functions import temporal as ft
-from .windows import DEFAULT_HOT_ROWS, ordered_sequence
+from .windows import DEFAULT_HOT_ROWS, ordered_sequence, salted_join
 
 
 def user_stats_table(r: DataFrame, c: Cols = COLS) -> DataFrame:
@@ -31,10 +31,16 @@ def user_stats_table(r: DataFrame, c: Cols = COLS) -> DataFrame:
         F.datediff(F.max(t), F.min(t)).alias("user_activity_days"))
 
 
-def user_features(r: DataFrame, stats: DataFrame | None = None, c: Cols = COLS) -> DataFrame:
-    """Join the user stats back; deviation = round(rating - rounded mean, 3)."""
+def _salt_cols(df: DataFrame, c: Cols) -> list[str]:
+    return [c.key] if c.key in df.columns else [x for x in (c.ts, c.item) if x in df.columns]
+
+
+def user_features(r: DataFrame, stats: DataFrame | None = None, c: Cols = COLS,
+                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Join the user stats back (salted for hot users);
+    deviation = round(rating - rounded mean, 3)."""
     s = user_stats_table(r, c) if stats is None else stats
-    j = r.join(s, c.user, "left")
+    j = salted_join(r, s, c.user, "user_rating_count", _salt_cols(r, c), hot_rows=hot_rows)
     return j.withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
 
 
@@ -132,9 +138,12 @@ def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool =
     users = user_stats_table(r, c).join(ug, c.user, "left")
 
     df = rating_order(ft.temporal_features(r, c), c, hot_rows)
-    df = df.join(users, c.user, "left") \
+    salt = _salt_cols(df, c)
+    # hot users / items are salted so that no join task receives a hot key's rows
+    df = salted_join(df, users, c.user, "user_rating_count", salt, hot_rows=hot_rows) \
         .withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
-    df = df.join(item_stats_table(r, c), c.item, "left").join(dim, c.item, "left")
+    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # per-item table: item-sized join
+    df = salted_join(df, items_all, c.item, "item_rating_count", salt, hot_rows=hot_rows)
     ry = ft.rating_year_col(c.ts)
     df = df.withColumns({"rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year")),
                          "primary_genre": fi.fill_unknown_col("primary_genre")})

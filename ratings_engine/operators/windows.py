@@ -74,3 +74,26 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
         prev_col: F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")),
     }).drop("_pid", "_lrn", "_lprev", "_off", "_plast")
     return cold.unionByName(hot_out.select(*cold.columns))
+
+
+def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_cols: list[str], *,
+                hot_rows: int = DEFAULT_HOT_ROWS, how: str = "left") -> DataFrame:
+    """Join per-key ``stats`` (one row per key, with its row count in
+    ``count_col``) back to the rows ``df`` without a hot key landing in one task.
+
+    Keys with more than ``hot_rows`` rows get ``ceil(count / hot_rows)`` salts:
+    their rows pick a salt from a hash of ``salt_cols`` (deterministic, so a
+    re-run picks the same) and their single stats row is replicated once per
+    salt. The hot-key table is bounded by total/hot_rows rows and the
+    replicated stats by about total/hot_rows + hot keys rows. Cold keys keep
+    salt 0, so the join is one shuffle on (key, salt) with no skewed partition.
+    """
+    hot = stats.where(F.col(count_col) > hot_rows).select(
+        F.col(key).alias("_hk"), F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_ns"))
+    x = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
+    x = x.withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64(*salt_cols), F.col("_ns"))).cast("int")).drop("_ns")
+    s = stats.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
+    s = s.withColumn("_salt", F.explode(F.when(F.col("_ns").isNull(), F.array(F.lit(0)))
+                                        .otherwise(F.sequence(F.lit(0), F.col("_ns") - 1)))).drop("_ns")
+    return x.join(s, [key, "_salt"], how).drop("_salt")

@@ -29,6 +29,26 @@ def q_w1(spark, sf):
                     "user_activity_days", "user_rating_deviation")
 
 
+_USER_SQL = f"""
+with r as (select * from {{R}} r0),
+us as (select user_id, {rd('avg(rating)', 3)} as user_avg_rating, count(*) as user_rating_count,
+              {rd('var_samp(rating)', 4)} as user_rating_variance,
+              cast(datediff('day', cast(min({TS}) as date), cast(max({TS}) as date)) as int) as user_activity_days
+       from r group by user_id)
+select row_key, user_avg_rating, user_rating_count, user_rating_variance, user_activity_days,
+       {rd('rating - user_avg_rating', 3)} as user_rating_deviation
+from r left join us using (user_id)"""
+
+
+@register("w1_w2_p20_user_features_hot_split", _USER_SQL)
+def q_w1_hot(spark, sf):
+    """Same as w1 with a hot-user threshold of 20 rows: busy users' rows are
+    salted over several join tasks (checks the salted join against the oracle)."""
+    f = fe.user_features(ratings_view(spark, sf), hot_rows=20)
+    return f.select("row_key", "user_avg_rating", "user_rating_count", "user_rating_variance",
+                    "user_activity_days", "user_rating_deviation")
+
+
 @register("w3_w4_item_features", f"""
 with r as (select * from {{R}} r0),
 m as (select max(year({TS})) as max_year from r),

@@ -97,3 +97,13 @@ def test_ordered_sequence_hot_null_key(spark):
     seg = ordered_sequence(df, "user_id", ["ts", "item_id", "row_key"], "ts", rn_col="rn", prev_col="prev",
                            hot_rows=5, rows_per_task=7)
     assert rows(seg, "row_key", "rn", "prev") == rows(plain)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from ratings_engine.operators.windows import salted_join
+    df = _random_ratings(spark, 1500, 11)
+    stats = df.groupBy("user_id").agg(F.count("*").alias("n"), F.avg("rating").alias("m"))
+    plain = df.join(stats, "user_id", "left")
+    for hot in (30, 100_000):
+        got = salted_join(df, stats, "user_id", "n", ["row_key"], hot_rows=hot)
+        assert rows(got, "row_key", "n", "m") == rows(plain, "row_key", "n", "m")
