@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import COLS, DEFAULTS, Cols
 from ..functions import items as fi
 from ..functions import temporal as ft
-from .windows import DEFAULT_HOT_ROWS, ordered_sequence, salted_join
+from .windows import DEFAULT_HOT_ROWS, hot_keys, ordered_sequence, salted_join
 
 
 def user_stats_table(r: DataFrame, c: Cols = COLS) -> DataFrame:
@@ -82,12 +82,12 @@ def user_category_mean(r: DataFrame, category: str = "primary_genre", c: Cols =
 
 
 def rating_order(r: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS,
-                 rows_per_task: int | None = None) -> DataFrame:
+                 rows_per_task: int | None = None, hot: tuple | None = None) -> DataFrame:
     """W6 + W7: rating_order = row_number by (ts, item, row_key) within user;
     time_since_last_rating = ts - previous ts, 0 for the first rating."""
     order = [c.ts, c.item] + ([c.key] if c.key in r.columns else [])
     s = ordered_sequence(r, c.user, order, c.ts, rn_col="rating_order", prev_col="_prev_ts",
-                         hot_rows=hot_rows, rows_per_task=rows_per_task)
+                         hot_rows=hot_rows, rows_per_task=rows_per_task, hot=hot)
     return s.withColumn("time_since_last_rating",
                         F.when(F.col("_prev_ts").isNotNull(), F.col(c.ts) - F.col("_prev_ts"))
                         .otherwise(F.lit(0)).cast("bigint")).drop("_prev_ts")
@@ -136,13 +136,14 @@ def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool =
     ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("_m")) \
         .groupBy(c.user).agg(F.map_from_entries(F.collect_list(F.struct("primary_genre", "_m"))).alias("_ug"))
     users = user_stats_table(r, c).join(ug, c.user, "left")
+    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # key-sized join
 
     df = rating_order(ft.temporal_features(r, c), c, hot_rows)
     salt = _salt_cols(df, c)
-    # hot users / items are salted so that no join task receives a hot key's rows
+    # hot users / items are salted (planned without any action): no join task
+    # receives all rows of a hot key
     df = salted_join(df, users, c.user, "user_rating_count", salt, hot_rows=hot_rows) \
         .withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
-    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # per-item table: item-sized join
     df = salted_join(df, items_all, c.item, "item_rating_count", salt, hot_rows=hot_rows)
     ry = ft.rating_year_col(c.ts)
     df = df.withColumns({"rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year")),

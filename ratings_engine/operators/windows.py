@@ -32,18 +32,31 @@ DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
+def hot_keys(counts: DataFrame, key: str, count_col: str, hot_rows: int = DEFAULT_HOT_ROWS):
+    """(hot-key table with ``_n``, number of hot keys, their rows) from a
+    per-key count table; one small action. The table has at most
+    total/hot_rows rows."""
+    hot = counts.where(F.col(count_col) > hot_rows).select(key, F.col(count_col).alias("_n"))
+    s = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()   # one row
+    return hot, int(s["keys"]), int(s["rows"] or 0)
+
+
 def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
                      rn_col: str = "rating_order", prev_col: str = "_prev",
-                     hot_rows: int = DEFAULT_HOT_ROWS, rows_per_task: int | None = None) -> DataFrame:
+                     hot_rows: int = DEFAULT_HOT_ROWS, rows_per_task: int | None = None,
+                     hot: tuple | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by key order by order) and
     ``prev_col`` = lag(lag_col) over the same window. ``order`` should end in
     a unique tie-break column so that the numbering is deterministic.
+    ``hot`` may pass a precomputed ``hot_keys(...)`` result.
     """
     from ..config import materialize
 
     rows_per_task = rows_per_task or DEFAULT_ROWS_PER_TASK
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    summary = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()   # one row
+    if hot is None:
+        hot = hot_keys(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
+    hot, n_hot_keys, n_hot_rows = hot
+    summary = {"keys": n_hot_keys, "rows": n_hot_rows}
     w = Window.partitionBy(key).orderBy(*order)
     plain = {rn_col: F.row_number().over(w), prev_col: F.lag(lag_col).over(w)}
     if not summary["keys"]:
@@ -77,7 +90,7 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
 
 
 def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_cols: list[str], *,
-                hot_rows: int = DEFAULT_HOT_ROWS, how: str = "left") -> DataFrame:
+                hot_rows: int = DEFAULT_HOT_ROWS, how: str = "left", hot: tuple | None = None) -> DataFrame:
     """Join per-key ``stats`` (one row per key, with its row count in
     ``count_col``) back to the rows ``df`` without a hot key landing in one task.
 
@@ -87,9 +100,14 @@ def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_
     salt. The hot-key table is bounded by total/hot_rows rows and the
     replicated stats by about total/hot_rows + hot keys rows. Cold keys keep
     salt 0, so the join is one shuffle on (key, salt) with no skewed partition.
+    Without ``hot`` the salting is planned unconditionally (no action); with
+    a ``hot_keys`` result showing no hot key it is the plain join.
     """
-    hot = stats.where(F.col(count_col) > hot_rows).select(
-        F.col(key).alias("_hk"), F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_ns"))
+    if hot is not None and not hot[1]:   # known: no hot key -> the plain join (AQE still guards at run time)
+        return df.join(stats, key, how)
+    hot_table = hot[0] if hot is not None else stats.select(key, F.col(count_col).alias("_n")) \
+        .where(F.col("_n") > hot_rows)
+    hot = hot_table.select(F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns"))
     x = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
     x = x.withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
                      .otherwise(F.pmod(F.xxhash64(*salt_cols), F.col("_ns"))).cast("int")).drop("_ns")
