@@ -39,8 +39,8 @@ def global_mean(train: DataFrame, c: Cols = COLS) -> DataFrame:
 
 
 def group_means(train: DataFrame, key: str, c: Cols = COLS) -> DataFrame:
-    """Per-key mean of the training ratings."""
-    return train.groupBy(key).agg(F.avg(c.rating).alias(f"{key}_mean"))
+    """Per-key mean (and row count, used to salt hot keys) of the training ratings."""
+    return train.groupBy(key).agg(F.avg(c.rating).alias(f"{key}_mean"), F.count(F.lit(1)).alias(f"{key}_n"))
 
 
 def mean_baseline(train: DataFrame, test: DataFrame, c: Cols = COLS) -> DataFrame:

@@ -28,10 +28,19 @@ REC_TYPE = T.ArrayType(T.StructType([T.StructField(COLS.item, T.IntegerType()),
 # ------------------------------------------------------------------ baselines
 
 def predict_from_means(test: DataFrame, means: DataFrame, key: str, mean_col: str,
-                       drop_cold: bool = True) -> DataFrame:
+                       drop_cold: bool = True, count_col: str | None = None, c: Cols = COLS,
+                       hot_rows: int | None = None) -> DataFrame:
     """LEFT join of test to per-key means; ``drop_cold`` removes rows without
-    a mean (keys unseen in training), which makes it an inner join."""
-    j = test.join(means, key, "left")
+    a mean (keys unseen in training), which makes it an inner join. With the
+    means' row counts (``count_col``, default ``<key>_n`` when present) hot
+    keys are salted so that no join task receives all test rows of a hot user."""
+    from .windows import DEFAULT_HOT_ROWS, salted_join
+    count_col = count_col or (f"{key}_n" if f"{key}_n" in means.columns else None)
+    if count_col:
+        salt = [c.key] if c.key in test.columns else [x for x in test.columns if x != key]
+        j = salted_join(test, means, key, count_col, salt, hot_rows=hot_rows or DEFAULT_HOT_ROWS)
+    else:
+        j = test.join(means, key, "left")
     return j.where(F.col(mean_col).isNotNull()) if drop_cold else j
 
 

@@ -74,3 +74,16 @@ def test_als_beats_global_mean_on_low_rank(spark):
     als = rs.als_regression_metrics(m, te).first()["rmse"]
     base = {r["baseline"]: r["rmse"] for r in rs.baseline_rmse(tr, te).collect()}
     assert als < 0.5 * base["global_mean"]
+
+
+def test_predict_from_means_salted_equals_plain(spark):
+    rnd = random.Random(4)
+    data = [(1 if rnd.random() < 0.5 else rnd.randint(2, 30), rnd.randint(1, 40), rnd.choice([1.0, 3.0, 4.5]), i,
+             f"r{i}") for i in range(1200)]
+    df = spark.createDataFrame(data, RSCHEMA)
+    tr, te = sp.train_test_split(df, 0.8)
+    from ratings_engine.operators import evaluate as ev
+    means = ev.group_means(tr, "user_id")
+    plain = te.join(means, "user_id", "inner")
+    salted = rs.predict_from_means(te, means, "user_id", "user_id_mean", hot_rows=25)
+    assert rows(salted, "row_key", "user_id_mean") == rows(plain, "row_key", "user_id_mean")
