@@ -75,10 +75,21 @@ def item_features(r: DataFrame, items: DataFrame, stats: DataFrame | None = None
     })
 
 
-def user_category_mean(r: DataFrame, category: str = "primary_genre", c: Cols = COLS) -> DataFrame:
-    """round(avg,3) per (user, category), joined back."""
-    s = r.groupBy(c.user, category).agg(F.round(F.avg(c.rating), 3).alias("user_genre_avg_rating"))
-    return r.join(s, [c.user, category], "left")
+def user_category_mean(r: DataFrame, category: str = "primary_genre", c: Cols = COLS,
+                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """round(avg,3) per (user, category), joined back.
+
+    The means are folded into one map per user (one entry per category the
+    user rated, bounded by the number of categories) with the user's row
+    count, so the join back is on the user alone and can be salted for hot users.
+    """
+    per = r.groupBy(c.user, category).agg(F.round(F.avg(c.rating), 3).alias("_m"), F.count(F.lit(1)).alias("_c"))
+    # a NULL category gets no entry (a map key cannot be NULL): its lookup is
+    # NULL, as the (user, NULL) join key would match nothing
+    entry = F.when(F.col(category).isNotNull(), F.struct(category, "_m"))
+    s = per.groupBy(c.user).agg(F.map_from_entries(F.collect_list(entry)).alias("_ug"), F.sum("_c").alias("_n"))
+    j = salted_join(r, s, c.user, "_n", _salt_cols(r, c), hot_rows=hot_rows)
+    return j.withColumn("user_genre_avg_rating", F.element_at("_ug", F.col(category))).drop("_ug", "_n")
 
 
 def rating_order(r: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS,

@@ -107,3 +107,14 @@ def test_salted_join_equals_plain_join(spark):
     for hot in (30, 100_000):
         got = salted_join(df, stats, "user_id", "n", ["row_key"], hot_rows=hot)
         assert rows(got, "row_key", "n", "m") == rows(plain, "row_key", "n", "m")
+
+
+def test_user_category_mean_null_category_and_hot_user(spark):
+    data = [(1, i, float(i % 5), i, f"k{i}", None if i % 4 == 0 else f"g{i % 3}") for i in range(80)] + \
+           [(2, 1, 3.0, 1, "z1", "g0")]
+    df = spark.createDataFrame(data, RSCHEMA + ", primary_genre string")
+    plain = df.join(df.groupBy("user_id", "primary_genre").agg(F.round(F.avg("rating"), 3).alias("m")),
+                    ["user_id", "primary_genre"], "left")
+    for hot in (10, 10_000):
+        got = fe.user_category_mean(df, hot_rows=hot)
+        assert rows(got, "row_key", "user_genre_avg_rating") == rows(plain, "row_key", "m")
