@@ -75,19 +75,29 @@ _IQR_SQL = """(select q1, median, q3, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lo
               quantile_cont(value, 0.75) as q3 from events) q)"""
 
 
-@register("a17_iqr_bounds", f"select * from {_IQR_SQL} b")
+_BOUNDS = ["q1", "median", "q3", "iqr", "lower_bound", "upper_bound"]
+_BOUNDS_SQL = ", ".join(f"{rd(c, 9)} as {c}" for c in _BOUNDS)
+
+
+def _round_bounds(df):
+    """Presentation only: bounds rounded to 9 dp (the counts use the exact bounds)."""
+    return df.select(*[F.round(c, 9).alias(c) if c in _BOUNDS else F.col(c) for c in df.columns])
+
+
+@register("a17_iqr_bounds", f"select {_BOUNDS_SQL} from {_IQR_SQL} b")
 def q_a17(spark, sf):
-    return qa.iqr_bounds(events_view(spark, sf), "value")
+    return _round_bounds(qa.iqr_bounds(events_view(spark, sf), "value"))
 
 
 @register("a18_outlier_counts", f"""
-select b.*, count(*) filter (where value < lower_bound or value > upper_bound) as outlier_count,
-       count(*) filter (where value < {EV_LO} or value > {EV_HI}) as invalid_count
-from events, {_IQR_SQL} b
-group by all""")
+select {_BOUNDS_SQL}, outlier_count, invalid_count from (
+  select b.*, count(*) filter (where value < lower_bound or value > upper_bound) as outlier_count,
+         count(*) filter (where value < {EV_LO} or value > {EV_HI}) as invalid_count
+  from events, {_IQR_SQL} b
+  group by all) t""")
 def q_a18(spark, sf):
     e = events_view(spark, sf)
-    return qa.outlier_counts(e, qa.iqr_bounds(e, "value"), "value", EV_LO, EV_HI)
+    return _round_bounds(qa.outlier_counts(e, qa.iqr_bounds(e, "value"), "value", EV_LO, EV_HI))
 
 
 @register("a19_hyperactive_users", f"""

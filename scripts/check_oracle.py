@@ -19,6 +19,8 @@ import pandas as pd  # noqa: E402
 from ratings_engine.config import build_session  # noqa: E402
 from ratings_engine.plans.registry import all_queries, render_sql  # noqa: E402
 
+DIGITS = int(os.environ.get("ORACLE_DIGITS", "6"))   # float digits compared
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -29,7 +31,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return round(v, DIGITS) + 0.0
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return norm(v.item())
