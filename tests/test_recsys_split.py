@@ -87,3 +87,22 @@ def test_predict_from_means_salted_equals_plain(spark):
     plain = te.join(means, "user_id", "inner")
     salted = rs.predict_from_means(te, means, "user_id", "user_id_mean", hot_rows=25)
     assert rows(salted, "row_key", "user_id_mean") == rows(plain, "row_key", "user_id_mean")
+
+
+def test_recommend_exclude_seen_matches_bruteforce(spark):
+    rng = np.random.default_rng(7)
+    data = [(u, i, float(rng.integers(1, 6)), 0, f"r{u}_{i}") for u in range(30) for i in range(25)
+            if rng.random() < (0.8 if u == 0 else 0.2)]          # user 0 has seen most items
+    tr = spark.createDataFrame(data, RSCHEMA)
+    m = rs.fit_als(tr, rank=3, max_iter=3)
+    k = 5
+    got = {(r["user_id"], r["rank"]): r["item_id"] for r in rs.recommend_top_k(m, k, exclude_seen=tr).collect()}
+    uf = {r["id"]: np.array(r["features"]) for r in m.userFactors.collect()}
+    itf = {r["id"]: np.array(r["features"]) for r in m.itemFactors.collect()}
+    seen = {(u, i) for u, i, *_ in data}
+    for u in uf:
+        cand = sorted(((float(np.float32(uf[u] @ itf[i])), i) for i in itf if (u, i) not in seen),
+                      key=lambda t: (-t[0], t[1]))[:k]
+        want = [i for _, i in cand]
+        have = [got.get((u, r)) for r in range(1, len(want) + 1)]
+        assert have == want or sorted(have) == sorted(want), (u, have, want)
