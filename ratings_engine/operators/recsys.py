@@ -174,27 +174,29 @@ def load_or_fit_als(path: str, train: DataFrame, rank: int = 10, max_iter: int =
 
 
 def recommend_top_k(model: ALSModel, k: int = 10, exclude_seen: DataFrame | None = None,
-                    c: Cols = COLS) -> DataFrame:
+                    c: Cols = COLS, base: int = 4) -> DataFrame:
     """Top-K items for every user, already-rated items included (as the reference).
 
     With ``exclude_seen`` (the training (user, item) pairs) every user gets
     the K best items they have not rated, exactly: users are grouped by
-    ceil(log2(seen + 1)) and each group asks ALS for K + 2^g - 1 >= K + seen
-    candidates (``recommendForUserSubset``), so after removing seen items at
-    least K remain. There are at most ~log2(items) groups; no fixed cap is put
-    on a user's candidates. Returned in long form (user, item, score, rank).
+    g = ceil(log_base(seen + 1)) and each group asks ALS for K + base^g - 1 >=
+    K + seen candidates (``recommendForUserSubset``), so after removing seen
+    items at least K remain. There are at most ~log_base(items) groups (one
+    scoring job each); no fixed cap is put on a user's candidates. Returned in
+    long form (user, item, score, rank).
     """
     if exclude_seen is None:
         return model.recommendForAllUsers(k)
     seen = exclude_seen.select(c.user, c.item).distinct()
     counts = seen.groupBy(c.user).agg(F.count(F.lit(1)).alias("_s"))
     grp = model.userFactors.select(F.col("id").alias(c.user)).join(counts, c.user, "left") \
-        .select(c.user, F.ceil(F.log2(F.coalesce(F.col("_s"), F.lit(0)) + 1)).cast("int").alias("_g"))
-    groups = [r["_g"] for r in grp.select("_g").distinct().collect()]   # <= log2(items) + 1 values
+        .select(c.user, F.ceil(F.log(float(base), F.coalesce(F.col("_s"), F.lit(0)) + 1) - 1e-9)
+                .cast("int").alias("_g"))
+    groups = [r["_g"] for r in grp.select("_g").distinct().collect()]   # <= log_base(items) + 1 values
     out = None
     for g in sorted(groups):
         users = grp.where(F.col("_g") == g).select(c.user)
-        recs = recs_long(model.recommendForUserSubset(users, k + 2 ** g - 1), c)
+        recs = recs_long(model.recommendForUserSubset(users, k + base ** max(g, 0) - 1), c)
         x = recs.join(seen, [c.user, c.item], "left_anti")
         out = x if out is None else out.unionByName(x)
     w = Window.partitionBy(c.user).orderBy(F.desc("score"), F.asc(c.item))   # <= K + seen rows per user

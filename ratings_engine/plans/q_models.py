@@ -89,6 +89,14 @@ def q_r6(spark, sf):
     return rs.ranking_metrics(rs.recommend_top_k(m, 10), te, (5, 10), 3.5)
 
 
+@register("r6_als_exclude_seen_ranking_metrics", heavy=True)
+def q_r6_unseen(spark, sf):
+    """Ranking metrics of ALS top-10 lists that exclude the user's training items."""
+    tr, te = split(spark, sf)
+    m = rs.fit_als(tr, rank=5, max_iter=3, reg=0.1)
+    return rs.ranking_metrics(rs.recommend_top_k(m, 10, exclude_seen=tr), te, (5, 10), 3.5)
+
+
 # ------------------------------------------------------------------ supervised
 
 @register("c1_c5_compare_classifiers", heavy=True)
