@@ -103,3 +103,19 @@ def approx_quantiles(df: DataFrame, col: str, probs: dict[str, float], rel_err:
     arr = F.percentile_approx(F.col(col).cast("double"), [float(probs[k]) for k in names], acc)
     return df.agg(arr.alias("_q"), F.count(F.col(col)).alias("n")).select(
         *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "n")
+
+
+def var_samp_sums(x) -> "F.Column":
+    """Sample variance from the sums (sum x^2 - (sum x)^2 / n) / (n - 1).
+
+    For ratings (multiples of 0.5) every sum is exact in a double, so the
+    result does not depend on partitioning or merge order (Welford-style
+    ``var_samp`` merges can differ in the last bit, which flips 4-dp rounding
+    on exact halves). NULL for fewer than two values, as ``var_samp``.
+    """
+    n = F.count(x)
+    return F.when(n > 1, (F.sum(x * x) - F.sum(x) * F.sum(x) / n) / (n - 1))
+
+
+def stddev_samp_sums(x) -> "F.Column":
+    return F.sqrt(var_samp_sums(x))

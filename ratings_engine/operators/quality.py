@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COLS, DEFAULTS, Cols
-from ..functions.quantiles import approx_quantiles, exact_quantiles
+from ..functions.quantiles import approx_quantiles, exact_quantiles, stddev_samp_sums
 
 CRITICAL = (COLS.user, COLS.item, COLS.rating, COLS.ts)
 
@@ -125,7 +125,7 @@ def hyperactive_users(df: DataFrame, min_count: int = DEFAULTS.hyperactive_min,
     return (df.groupBy(c.user)
             .agg(F.count(F.lit(1)).alias("rating_count"),
                  F.round(F.avg(c.rating), 2).alias("avg_rating"),
-                 F.round(F.stddev_samp(c.rating), 2).alias("stddev_rating"))
+                 F.round(stddev_samp_sums(F.col(c.rating)), 2).alias("stddev_rating"))
             .where(F.col("rating_count") > min_count))
 
 
@@ -135,7 +135,7 @@ def suspicious_users(df: DataFrame, min_n: int = DEFAULTS.suspicious_min_n,
     s = (df.groupBy(c.user)
          .agg(F.count(F.lit(1)).alias("rating_count"),
               F.round(F.avg(c.rating), 3).alias("avg_rating"),
-              F.round(F.stddev_samp(c.rating), 4).alias("stddev_rating"))
+              F.round(stddev_samp_sums(F.col(c.rating)), 4).alias("stddev_rating"))
          .where(F.col("rating_count") >= min_n))
     return s.where((F.col("stddev_rating") < max_sd) | F.col("stddev_rating").isNull())
 
@@ -185,7 +185,7 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
     b = iqr_bounds(dedup, c.rating, exact, rel_err)
     oc = outlier_counts(dedup, b, c.rating, lo, hi)
     valid = remove_out_of_range(dedup, lo, hi)
-    users = (valid.groupBy(c.user).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(c.rating).alias("sd"))
+    users = (valid.groupBy(c.user).agg(F.count(F.lit(1)).alias("n"), stddev_samp_sums(F.col(c.rating)).alias("sd"))
              .agg(F.sum("n").alias("rows_after"),
                   F.count_if(F.col("n") > hyper_min).alias("hyperactive_users"),
                   F.count_if((F.col("n") >= susp_min_n) &

@@ -9,6 +9,8 @@ from ..sources.views import events_view, ratings_view
 from .queries import HYPERACTIVE_MIN, SUSPICIOUS_MAX_SD, SUSPICIOUS_MIN_N, rd
 from .registry import register
 
+VAR = "(case when count(rating) > 1 then (sum(rating * rating) - sum(rating) * sum(rating) / count(rating)) / (count(rating) - 1) end)"   # sample variance from exact sums
+
 PAIR = ("user_id", "item_id")
 # Range used on the driver data so that the repair step removes rows
 # (the view's ratings span the whole 0.5-5.0 default range).
@@ -102,7 +104,7 @@ def q_a18(spark, sf):
 
 @register("a19_hyperactive_users", f"""
 select user_id, count(*) as rating_count, {rd('avg(rating)', 2)} as avg_rating,
-       {rd('stddev_samp(rating)', 2)} as stddev_rating
+       {rd('sqrt' + VAR, 2)} as stddev_rating
 from {{R}} r group by user_id having count(*) > {HYPERACTIVE_MIN}""")
 def q_a19(spark, sf):
     return qa.hyperactive_users(ratings_view(spark, sf), HYPERACTIVE_MIN)
@@ -111,7 +113,7 @@ def q_a19(spark, sf):
 @register("a20_suspicious_users", f"""
 select * from (
   select user_id, count(*) as rating_count, {rd('avg(rating)', 3)} as avg_rating,
-         {rd('stddev_samp(rating)', 4)} as stddev_rating
+         {rd('sqrt' + VAR, 4)} as stddev_rating
   from {{R}} r group by user_id having count(*) >= {SUSPICIOUS_MIN_N}) s
 where stddev_rating < {SUSPICIOUS_MAX_SD} or stddev_rating is null""")
 def q_a20(spark, sf):
@@ -150,7 +152,7 @@ oc as (select b.*, count(*) filter (where rating < lower_bound or rating > upper
               count(*) filter (where rating < {LO} or rating > {HI}) as invalid_count
        from dd, b group by all),
 v as (select * from dd where rating between {LO} and {HI}),
-u as (select user_id, count(*) as n, stddev_samp(rating) as sd from v group by user_id),
+u as (select user_id, count(*) as n, sqrt(case when count(rating) > 1 then (sum(rating * rating) - sum(rating) * sum(rating) / count(rating)) / (count(rating) - 1) end) as sd from v group by user_id),
 us as (select cast(coalesce(sum(n), 0) as bigint) as rows_after,
               count(*) filter (where n > {HYPERACTIVE_MIN}) as hyperactive_users,
               count(*) filter (where n >= {SUSPICIOUS_MIN_N} and ({rd('sd', 4)} < {SUSPICIOUS_MAX_SD} or sd is null))
