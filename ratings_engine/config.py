@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -80,32 +81,32 @@ def build_session(master: str | None = None, app: str = "ratings_engine",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    A local scratch folder is used only when the session has none (tests).
+    Without one, a ``local`` master (tests, notebooks) gets a scratch folder of
+    its own; any other master is refused, because executors would each write to
+    their own disk and readers would find only part of a table.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ratings-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh sub-folder of the shared checkpoint folder for written tables:
+    the application id and a random part keep two drivers apart."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+    return f"{base}/{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
-_counter = _count()
+def _folder(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
 def materialize(df, name: str = "materialized"):
@@ -114,7 +115,24 @@ def materialize(df, name: str = "materialized"):
     scan the written rows (with column pruning and filter push-down) instead
     of recomputing an expensive input such as a join. A lost executor then
     re-reads files instead of replaying the lineage. (An RDD ``checkpoint()``
-    would compute the input twice and lose the columnar scan.)"""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    would compute the input twice and lose the columnar scan.)
+
+    The application owns the folder: it goes when the application ends, or
+    earlier by ``discard``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    p, fs = _folder(spark, path)
+    fs.deleteOnExit(p)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        if path:
+            p, fs = _folder(t.sparkSession, path)
+            fs.delete(p, True)
