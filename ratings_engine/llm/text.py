@@ -15,7 +15,10 @@ import xxhash
 from pyspark.sql import DataFrame
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+#: Rows and bytes of one Arrow batch: a Python worker holds one batch at a time, so these
+#: bound its memory whatever the length of the texts (a single longer text is a batch of its own).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
@@ -90,6 +93,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    for key, value in BATCH.items():
+        df.sparkSession.conf.set(key, value)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
