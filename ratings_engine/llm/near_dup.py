@@ -5,15 +5,16 @@
 2. Documents with equal sets form a class first (one aggregate), so a group of
    copies, however large, goes on as one representative.
 3. Inverted lists: each representative files ``INDEX`` retained values, rare
-   ones before frequent ones, both by hash. Two sets of similarity 0.8 share
-   each of the smallest values of their union with probability 0.8, so all
-   ``INDEX`` are missed with 0.2 ** 8, under 3e-6 (0.85: 3e-7).
+   ones before frequent ones, both by hash. Of two sets of similarity 0.8 at
+   most a fifth of either's values is not shared, so the filed values miss each
+   other only if ``INDEX`` of ``SKETCH`` fall into that fifth: 2e-6.
 4. A list of up to ``LIST`` members gives all its pairs. A longer one only
-   arises among documents that consist of frequent shingles (large groups of
-   near copies); its members are held against a few pivots first, and then only
-   pairs whose members are not yet in one component are looked at.
+   arises among documents that mostly consist of frequent shingles (large
+   groups of near copies). Its members are held against a few pivots; where
+   they are then not all in one component, ``across`` finds the pairs that
+   could still join two components, by an exact prefix and position filter.
 5. The union sketch of a pair estimates its similarity; pairs more than
-   ``SLACK`` below the threshold (six standard errors) go.
+   ``SLACK`` (six standard errors) below the threshold go.
 6. The rest is verified on the full sets.
 """
 
@@ -28,8 +29,8 @@ from ..config import discard, materialize
 from .components import connected_components
 from .text import Vocab, list_array, map_batches, shingle_set, signed, words_of
 
-SKETCH, INDEX, LIST, PIVOTS = 32, 8, 32, 3
-SLACK = 0.42
+SKETCH, INDEX, LIST = 48, 24, 32
+SLACK = 0.36
 
 
 def sketches(docs: DataFrame, shingle: int, lower: bool = True) -> DataFrame:
@@ -122,8 +123,40 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, num: int, den: int
     return map_batches(both.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
 
 
+def across(rest: DataFrame, docs: DataFrame, shingle: int, num: int, den: int, lower: bool) -> DataFrame:
+    """Pairs (a, b) of ``rest(doc_id, n, c)`` from different components c that
+    can be linked, none left out: with a set's shingles ordered from rare to
+    frequent, linked sets share one of the first ``n - ceil(num/den n) + 1``,
+    and from the first shared one on enough shingles must be left in both.
+    Documents with many shingles of their own so leave the long lists, and
+    those close to the centre of a group are in one component already."""
+    texts = docs.join(rest.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+
+    def run(batches):
+        vocab = Vocab()
+        for batch in batches:
+            sets = [shingle_set(vocab.hashes(words_of(t, lower)), shingle) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)])
+            yield {"doc_id": batch.column(0), "t": list_array(ends, signed(np.concatenate(sets)))}
+
+    long = materialize(map_batches(texts, run, "doc_id bigint, t array<bigint>").select("doc_id", F.explode("t").alias("t")), "rest")
+    counts = long.groupBy("t").agg(F.count("*").alias("df"))
+    order = (long.join(counts, "t").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("o"))
+             .join(rest, "doc_id"))
+    prefix = order.select("doc_id", "n", "c", F.posexplode(F.slice("o", F.lit(1), F.expr(f"int(n - ceil({num} * n / {den}) + 1)"))))
+    filed = materialize(prefix.where("col.df > 1").select(F.col("col.t").alias("t"), "doc_id", "n", "c", (F.col("n") - F.col("pos")).alias("left")), "filed")
+    least = filed.groupBy("t").agg(F.min("n").alias("least"))
+    filed = filed.join(least, "t").where(f"left * {num + den} >= {num} * (n + greatest({num} * n / {den}, least))")
+    mixed_lists = filed.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("t")
+    filed = filed.join(mixed_lists, "t", "left_semi")
+    x, y = (filed.select("t", *(F.col(k).alias(f"{p}_{k}") for k in ("doc_id", "n", "c", "left"))) for p in "ab")
+    return (x.join(y, "t").where("a_doc_id < b_doc_id and a_c <> b_c").where(_similar_size(num, den))
+            .where(f"least(a_left, b_left) * {num + den} >= {num} * (a_n + b_n)")
+            .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, lower: bool = True) -> DataFrame:
-    """``docs(doc_id, text)`` -> per document (doc_id, n_shingles, component_id, kept, class_id, n_links).
+    """``docs(doc_id, text)`` -> per document (doc_id, n_shingles, component_id, kept, class_id).
 
     Documents are linked if ``den * |A and B| >= num * |A or B|`` over their
     sets of ``shingle``-word shingles; ``component_id`` is the smallest doc_id
@@ -153,27 +186,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     discard(near)
     comps = materialize(connected_components(links), "components")
 
-    # Long lists whose members are not all in one component: the pairs across components.
+    # Long lists whose members are not all in one component.
     member = (lists.join(long.select("v"), "v").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
               .select("v", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")))
-    parts = member.groupBy("v", "c").agg(F.count("*").alias("k"))
-    main = parts.groupBy("v").agg(F.max_by("c", F.struct("k", F.col("c"))).alias("main"), F.count("*").alias("cs")).where("cs > 1")
-    member = materialize(member.join(main, "v"), "members")
-    if not member.isEmpty():
-        x = member.where("c <> main").select("v", F.col("doc_id").alias("x"), F.col("n").alias("a_n"), F.col("c").alias("cx"))
-        y = member.select("v", F.col("doc_id").alias("y"), F.col("n").alias("b_n"), F.col("c").alias("cy"), "main")
-        across = (x.join(y, "v").where("cx <> cy and (cy = main or x < y)").where(_similar_size(num, den))
-                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        more = materialize(estimated(across, reps, num, den), "pairs")
+    open_lists = member.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    rest = materialize(member.join(open_lists, "v", "left_semi").select("doc_id", "n", "c").distinct(), "rest")
+    if not rest.isEmpty():
+        more = materialize(estimated(across(rest, known, shingle, num, den, lower), reps, num, den), "pairs")
         links = materialize(links.unionByName(verified(more, known, shingle, num, den, lower)), "links")
         comps = materialize(connected_components(links), "components")
-    degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    ids = classes.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left").join(degree, "class_id", "left")
+        discard(more)
+    discard(rest)
+    ids = classes.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left")
     out = table.select("doc_id", "n", "sig_a", "sig_b").join(ids, ["n", "sig_a", "sig_b"], "left")
     component = F.coalesce("component", "class_id", "doc_id")
     return out.select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
