@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import near_dup, pii, quality_model, quality_rules, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, num=85, den=100)
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_pii(table(spark, sf_dir, "documents")).drop("terms")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": (op1, None),
+    "op2_quality_classifier": (op2, None),
+    "op5_quality_rules": (op5, None),
+    "op7_secret_scan": (op7, None),
+    "op8_pii": (op8, None),
 }
