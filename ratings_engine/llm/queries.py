@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, pii, quality_model, quality_rules, secrets
+from . import decontaminate, lm_score, near_dup, packing, pii, quality_model, quality_rules, quotes, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,10 +39,22 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan_pii(table(spark, sf_dir, "documents")).drop("terms")
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": (op1, None),
     "op2_quality_classifier": (op2, None),
+    "op3_decontamination": (op3, None),
     "op5_quality_rules": (op5, None),
+    "op6_packing": (op6, None),
     "op7_secret_scan": (op7, None),
     "op8_pii": (op8, None),
+    "op9_quote_linking": (op9, quotes.SQL),
+    "op10_lm_score": (op10, None),
 }
