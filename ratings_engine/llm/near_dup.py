@@ -205,3 +205,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each group, that of the smallest doc_id; all
+    columns stay. Rows without doc_id stay; of rows that repeat a doc_id one stays."""
+    gone = near_duplicates(docs, shingle, num, den).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return left
+    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return named.unionByName(left.where("doc_id is null"))

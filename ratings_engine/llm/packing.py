@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import materialize
-from .text import map_batches
+from .text import list_array, map_batches
 
-SIZE, CLOSING, BUCKET = 1024, 0, 100_000
+SIZE, CLOSING, BUCKET = 1024, 0, 25_000
 SPECIAL = "<|endoftext|>"
 
 
@@ -71,14 +71,18 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, ranks: st
                     if len(part) == size:
                         full, made = (task << 32) + made, made + 1
                     doc_ids.append(doc)
-                    rows.append((start, len(part), zlib.crc32(part.tobytes()), len(tokens), full, part.astype(np.int64) if ids else None))
+                    rows.append((start, len(part), zlib.crc32(part.tobytes()), len(tokens), full, part))
             cols = list(zip(*rows)) or [[]] * 6
             out = {"doc_id": doc_ids} | dict(zip(("start", "length", "ids_crc32", "doc_tokens", "full"), cols[:5]))
-            yield out | {"deal": rng.integers(0, 1 << 62, len(rows))} | ({"ids": cols[5]} if ids else {})
+            out["deal"] = rng.integers(0, 1 << 62, len(rows))
+            if ids:
+                flat = np.concatenate(cols[5] or [np.empty(0, "<u4")]).astype(np.int32)
+                out["ids"] = list_array([0, *np.cumsum(out["length"], dtype=np.int64)], flat)
+            yield out
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), run,
                        "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, full bigint, deal bigint"
-                       + (", ids array<bigint>" if ids else ""))
+                       + (", ids array<int>" if ids else ""))
 
 
 def closest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:

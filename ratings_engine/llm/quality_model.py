@@ -17,6 +17,7 @@ from array import array
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,6 +157,25 @@ def held_out(column: str):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _probabilities(texts, words: _Scored, bias: float) -> np.ndarray:
+    z = np.array([words.logit(words_of(x), bias) for x in texts], np.float64)
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the documents that the classifier rejects; all columns stay."""
+    model = docs.sparkSession.sparkContext.broadcast(train(training_rows(docs, labels, t), t))
+    made = []
+
+    @F.pandas_udf("boolean")
+    def good(texts: pd.Series) -> pd.Series:
+        if not made:
+            made.append(_Scored(model.value[0].astype(np.float64), t.grams))
+        return pd.Series(_probabilities(texts, made[0], model.value[1]) >= threshold, dtype=bool)
+
+    return docs.where(good("text"))
+
+
 def score(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
     """``docs(doc_id, text)`` scored by a model trained on ``labels(doc_id,
     quality)`` -> per row (doc_id, held_out, score, predicted).
@@ -173,8 +193,7 @@ def score(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshol
         shares, bias = model.value
         words = _Scored(shares.astype(np.float64), grams)
         for batch in batches:
-            z = np.array([words.logit(words_of(x), bias) for x in batch.column(1).to_pylist()])
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            p = _probabilities(batch.column(1).to_pylist(), words, bias)
             yield {"doc_id": batch.column(0), "score": p, "predicted": (p >= threshold).astype(np.int32)}
 
     return map_batches(docs, run, "doc_id bigint, score double, predicted int").select(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lm_score, near_dup, packing, pii, quality_model, quality_rules, quotes, secrets
+import corpus_pipeline
+
+from . import decontaminate, lm_score, near_dup, packing, pii, quality_model, quality_rules, quotes, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -51,10 +57,12 @@ QUERIES = {
     "op1_minhash_near_dedup": (op1, None),
     "op2_quality_classifier": (op2, None),
     "op3_decontamination": (op3, None),
+    "op4_substring_dedup": (op4, None),
     "op5_quality_rules": (op5, None),
     "op6_packing": (op6, None),
     "op7_secret_scan": (op7, None),
     "op8_pii": (op8, None),
     "op9_quote_linking": (op9, quotes.SQL),
     "op10_lm_score": (op10, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
