@@ -53,8 +53,8 @@ class Encoder:
 
 
 def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, ranks: str | None = None, ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, full, deal[, ids]): windows of each document and its tail.
-    ``full`` numbers the full windows within the table, ``deal`` spreads the tails evenly."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, piece, deal[, ids]): windows of each document and its tail.
+    ``piece`` numbers the rows of the table, ``deal`` spreads them evenly."""
 
     def run(batches):
         encoder = Encoder(path, ranks)
@@ -67,13 +67,11 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, ranks: st
                 tokens = np.append(encoder.ids(text), np.uint32(CLOSING)).astype("<u4")
                 for start in range(0, len(tokens), size):
                     part = tokens[start:start + size]
-                    full = None
-                    if len(part) == size:
-                        full, made = (task << 32) + made, made + 1
                     doc_ids.append(doc)
-                    rows.append((start, len(part), zlib.crc32(part.tobytes()), len(tokens), full, part))
+                    rows.append((start, len(part), zlib.crc32(part.tobytes()), len(tokens), (task << 32) + made, part))
+                    made += 1
             cols = list(zip(*rows)) or [[]] * 6
-            out = {"doc_id": doc_ids} | dict(zip(("start", "length", "ids_crc32", "doc_tokens", "full"), cols[:5]))
+            out = {"doc_id": doc_ids} | dict(zip(("start", "length", "ids_crc32", "doc_tokens", "piece"), cols[:5]))
             out["deal"] = rng.integers(0, 1 << 62, len(rows))
             if ids:
                 flat = np.concatenate(cols[5] or [np.empty(0, "<u4")]).astype(np.int32)
@@ -81,7 +79,7 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, ranks: st
             yield out
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), run,
-                       "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, full bigint, deal bigint"
+                       "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece bigint, deal bigint"
                        + (", ids array<int>" if ids else ""))
 
 
@@ -155,15 +153,17 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None, ranks: str
     hold at most ``size`` ids; what is missing to ``size`` is padding.
     """
     table = materialize(pieces(docs, size, path, ranks, ids), "pieces")
-    extra = ["ids"] if ids else []
     keep = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    whole = table.where("full is not null").select(*keep, F.expr("full * 2 + 1").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"), *extra)
-    tails = table.where("full is null")
+    extra = ["ids"] if ids else []
+    whole = table.where(f"length = {size}").select(*keep, F.expr("piece * 2 + 1").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"), *extra)
+    tails = table.where(f"length < {size}")
     buckets = max(1, -(-tails.count() // BUCKET))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         sequence, offset = place(group["length"].to_numpy(), size)
-        return group.assign(sequence_id=((group["bucket"].to_numpy() << 32) + sequence) * 2, offset=offset)[[*keep, "sequence_id", "offset", *extra]]
+        return pd.DataFrame({"piece": group["piece"], "sequence_id": ((group["bucket"].to_numpy() << 32) + sequence) * 2, "offset": offset})
 
-    packed = tails.select(*keep, F.expr(f"deal % {buckets}").alias("bucket"), *extra).groupBy("bucket").applyInPandas(fill, whole.schema)
-    return whole.unionByName(packed)
+    # Only a tail's length and number go through the buckets; its columns join again after.
+    placed = (tails.select("piece", "length", F.expr(f"deal % {buckets}").alias("bucket")).groupBy("bucket")
+              .applyInPandas(fill, "piece bigint, sequence_id bigint, offset bigint"))
+    return whole.unionByName(tails.join(placed, "piece").select(*keep, "sequence_id", "offset", *extra))

@@ -13,7 +13,6 @@ what the workers get, so scoring is one pass over the documents.
 
 from __future__ import annotations
 
-from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,10 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import map_batches, words_of
+from .text import MIX, map_batches, mixed, words_of
 
 BUCKETS = 1 << 18
 SAME, SAME_NEXT = 0, 1
+CHUNK = 1_000_000     # characters scored together
 
 
 @dataclass(frozen=True)
@@ -38,39 +38,50 @@ class Training:
     seed: int = 7
 
 
-def _bucket(b: bytes) -> int:
-    return 2 + xxhash.xxh32_intdigest(b) % (BUCKETS - 2)
+def word_buckets(words: list[bytes], grams: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, word position) of all features of ``words``: the word itself and
+    its character n-grams, with < and > as its ends (words are cut at 64 bytes for these)."""
+    own = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint64, len(words))
+    marked = ["<" + w[:64].decode("utf-8", "replace") + ">" for w in words]
+    size = np.fromiter(map(len, marked), np.int64, len(words))
+    point = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    word = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(point))     # characters from here to the word's end
+    buckets, of = [mixed(own)], [np.arange(len(words))]
+    for k in grams:
+        at = np.flatnonzero(left >= k)
+        h = np.full(len(at), k, np.uint64)
+        for j in range(k):
+            h = h * MIX + point[at + j]
+        buckets.append(mixed(h))
+        of.append(word[at])
+    return (np.concatenate(buckets) % np.uint64(BUCKETS - 2)).astype(np.int64) + 2, np.concatenate(of)
 
 
 class Features(dict):
-    """Word -> dense id; ``parts[id]`` are the buckets of the word and its character n-grams."""
+    """Word -> dense id; ``parts[id]`` are the buckets of the word and its character n-grams.
+    Starts anew past ``limit`` words, between two documents."""
 
-    def __init__(self, grams=(3, 4), limit: int = 1 << 18):
+    def __init__(self, grams=(3, 4), limit: int = 1 << 19):
         super().__init__()
-        self.grams, self.limit, self.parts = grams, limit, []
+        self.grams, self.limit = grams, limit
+        self.reset()
 
-    def buckets(self, word: bytes) -> list[int]:
-        marked = "<" + word[:64].decode("utf-8", "replace") + ">"
-        out = [_bucket(word)]
-        for k in self.grams:
-            out += [_bucket(marked[i:i + k].encode()) for i in range(max(1, len(marked) - k + 1))]
-        return out
-
-    def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self.parts)
-        self.parts.append(self.add(self.buckets(word)))
-        return i
-
-    def add(self, buckets: list[int]):
-        return np.array(buckets)
-
-    def reset(self):
+    def reset(self) -> None:
         self.clear()
         self.parts = []
 
+    def learn(self, buckets: np.ndarray, of: np.ndarray, n: int) -> None:
+        order = np.argsort(of, kind="stable")
+        self.parts += np.split(buckets[order], np.cumsum(np.bincount(of, minlength=n))[:-1])
+
     def ids(self, words: list[bytes]) -> np.ndarray:
         if len(self) > self.limit:
             self.reset()
+        new = [w for w in set(words) if w not in self]
+        if new:
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.learn(*word_buckets(new, self.grams), len(new))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
@@ -78,25 +89,36 @@ class _Scored(Features):
     """Keeps, per word, only the sum of its features' shares and their number."""
 
     def __init__(self, shares: np.ndarray, grams):
-        super().__init__(grams)
         self.shares = shares
-        self.parts, self.sums = array("d"), array("d")
-
-    def add(self, buckets):
-        self.sums.append(float(self.shares[buckets].sum()))
-        return float(len(buckets))
+        super().__init__(grams)
 
-    def reset(self):
+    def reset(self) -> None:
         self.clear()
-        self.parts, self.sums = array("d"), array("d")
-
-    def logit(self, words: list[bytes], bias: float) -> float:
-        if not words:
-            return bias
+        self.sums, self.sizes = np.empty(0), np.empty(0)
+
+    def learn(self, buckets, of, n) -> None:
+        at = len(self) - n
+        if len(self) > len(self.sums):
+            grow = np.zeros(len(self) + len(self.sums) // 2)
+            self.sums, self.sizes = np.append(self.sums[:at], grow), np.append(self.sizes[:at], grow)
+        self.sums[at:len(self)] = np.bincount(of, self.shares[buckets], n)
+        self.sizes[at:len(self)] = np.bincount(of, minlength=n)
+
+    def logits(self, texts: list, bias: float) -> np.ndarray:
+        """The logit of each text; the words of all are looked up together."""
+        words, ends = [], [0]
+        for text in texts:
+            words += words_of(text)
+            ends.append(len(words))
         ids = self.ids(words)
-        same, later = _repeats(ids)
-        total = np.frombuffer(self.sums)[ids].sum() + same * self.shares[SAME] + later * self.shares[SAME_NEXT]
-        return bias + total / (np.frombuffer(self.parts)[ids].sum() + same + later)
+        sums, sizes = (np.append(0, np.cumsum(x[ids])) for x in (self.sums, self.sizes))
+        out = np.full(len(texts), bias)
+        for i, (a, b) in enumerate(zip(ends, ends[1:])):
+            if a < b:
+                same, later = _repeats(ids[a:b])
+                total = sums[b] - sums[a] + same * self.shares[SAME] + later * self.shares[SAME_NEXT]
+                out[i] += total / (sizes[b] - sizes[a] + same + later)
+        return out
 
 
 def _repeats(ids: np.ndarray) -> tuple[int, int]:
@@ -157,8 +179,15 @@ def held_out(column: str):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _probabilities(texts, words: _Scored, bias: float) -> np.ndarray:
-    z = np.array([words.logit(words_of(x), bias) for x in texts], np.float64)
+def _probabilities(texts: list, words: _Scored, bias: float) -> np.ndarray:
+    z, some, size = [], [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text or "")
+        if size > CHUNK:
+            z.append(words.logits(some, bias))
+            some, size = [], 0
+    z = np.concatenate([*z, words.logits(some, bias)])
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -171,7 +200,7 @@ def accepted(docs: DataFrame, labels: DataFrame, t: Training = Training(), thres
     def good(texts: pd.Series) -> pd.Series:
         if not made:
             made.append(_Scored(model.value[0].astype(np.float64), t.grams))
-        return pd.Series(_probabilities(texts, made[0], model.value[1]) >= threshold, dtype=bool)
+        return pd.Series(_probabilities(list(texts), made[0], model.value[1]) >= threshold, dtype=bool)
 
     return docs.where(good("text"))
 

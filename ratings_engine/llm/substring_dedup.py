@@ -7,7 +7,7 @@ first; the matching is done by automata.
 1. Anchors. A window's anchor is the smallest hash among its runs of ``run``
    words, so equal windows have equal anchors wherever they stand. An anchor of
    two or more documents is shared; its owner is the smallest of them.
-2. Shards. The reference shard of an owner is the text around the anchors that
+2. Shards. The reference shard of an owner is its windows with the anchors that
    it owns. Every other document sends its windows with these anchors, in runs
    as long as the owner stays the same, to the owner's shard. Owners with many
    followers have copies of their shard (salted by the number of documents per
@@ -38,15 +38,18 @@ from .text import Vocab, gram_hashes, map_batches, signed, words_of
 
 WINDOW, RUN = 13, 5
 FOLLOWERS = 512          # documents per copy of a shard, about
-SPANS_BROADCAST = 16 << 20
+SPANS_BROADCAST = 64 << 20
 
 
-def anchors_of(h: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window of a document: the hash of its anchor and the anchor's first word."""
+def anchors_of(h: np.ndarray, window: int, run: int) -> np.ndarray:
+    """The anchor of each window of a document, by doubling the width of a running minimum."""
     g = gram_hashes(h, run)
-    views = np.lib.stride_tricks.sliding_window_view(g, window - run + 1)
-    at = views.argmin(axis=1) + np.arange(len(views))
-    return g[at], at
+    width, need = 1, window - run + 1
+    while width < need:
+        step = min(width, need - width)
+        g = np.minimum(g[:-step], g[step:])
+        width += step
+    return g
 
 
 class Automaton:
@@ -131,7 +134,8 @@ def anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = vocab.hashes(words_of(text))
                 if len(h) >= window:
-                    hs.append(np.unique(anchors_of(h, window, run)[0]))
+                    a = anchors_of(h, window, run)
+                    hs.append(np.unique(a[np.append(True, a[1:] != a[:-1])]))
                     ids.append(np.full(len(hs[-1]), doc))
             if hs:
                 yield {"h": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids)}
@@ -142,38 +146,35 @@ def anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
 def routed(docs: DataFrame, hits: DataFrame, window: int, run: int) -> DataFrame:
     """(owner, copies, copy, role, doc_id, start, text): role 0 the parts of a
     reference shard, role 1 the runs of windows to be matched against it."""
-    reach = window - run
 
     def emit(batches):
         vocab = Vocab()
         for batch in batches:
             rows = []
-            for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            hits = batch.column(2)
+            ends, flat = hits.offsets.to_numpy(), hits.values
+            all_known, all_owner, all_copies = (flat.field(c).to_numpy() for c in ("h", "owner", "copies"))
+            for n, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 words = words_of(text)
-                h, at = anchors_of(vocab.hashes(words), window, run)
-                known = np.array([x["h"] for x in found], np.int64).view(np.uint64)
-                order = np.argsort(known)
-                known = known[order]
-                owner = np.array([x["owner"] for x in found], np.int64)[order]
-                copies = np.array([x["copies"] for x in found], np.int64)[order]
+                h = signed(anchors_of(vocab.hashes(words), window, run))
+                some = slice(ends[n], ends[n + 1])
+                order = np.argsort(all_known[some])
+                known, owner, copies = (x[some][order] for x in (all_known, all_owner, all_copies))
                 i = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                shared = np.flatnonzero(known[i] == h)
-                i = i[shared]
-                own = owner[i] == doc
-                for c in np.unique(copies[i[own]]).tolist():
-                    near = at[shared[own & (copies[i] == c)]]
-                    cover = np.unique(np.concatenate([np.unique(near) + d for d in range(-reach, window)]))
-                    for a, b in _runs(cover[(cover >= 0) & (cover < len(words))]):
-                        part = _join(words[a:b])
-                        rows += [(doc, c, k, 0, doc, a, part) for k in range(c)]
-                starts, i = shared[~own], i[~own]
-                if len(starts):
-                    new = (np.diff(starts) > 1) | (np.diff(owner[i]) != 0) | (np.diff(copies[i]) != 0)
-                    for part in np.split(np.arange(len(starts)), np.flatnonzero(new) + 1):
-                        a, b, j = int(starts[part[0]]), int(starts[part[-1]]) + window, i[part[0]]
-                        c = int(copies[j])
-                        copy = xxhash.xxh32_intdigest(str(doc).encode()) % c
-                        rows.append((int(owner[j]), c, copy, 1, doc, a, _join(words[a:b])))
+                starts = np.flatnonzero(known[i] == h)
+                i = i[starts]
+                # runs of windows of one owner and one number of copies
+                new = (np.diff(starts) > 1) | (np.diff(owner[i]) != 0) | (np.diff(copies[i]) != 0)
+                for part in np.split(np.arange(len(starts)), np.flatnonzero(new) + 1):
+                    if not len(part):
+                        continue
+                    a, j = int(starts[part[0]]), i[part[0]]
+                    run_of = _join(words[a:int(starts[part[-1]]) + window])
+                    o, c = int(owner[j]), int(copies[j])
+                    if o == doc:
+                        rows += [(o, c, k, 0, doc, a, run_of) for k in range(c)]
+                    else:
+                        rows.append((o, c, xxhash.xxh32_intdigest(str(doc).encode()) % c, 1, doc, a, run_of))
                 if len(rows) > 2000:
                     yield dict(zip(ROUTE, zip(*rows)))
                     rows = []
@@ -215,8 +216,20 @@ def matched(routes: DataFrame, window: int) -> DataFrame:
     return map_batches(dealt, emit, "doc_id bigint, s bigint, e bigint, h1 bigint, h2 bigint")
 
 
+def merged(batches):
+    """Overlapping and touching spans of a document as one, in order."""
+    for batch in batches:
+        starts, ends = [], []
+        for s, e in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            s, e = np.sort(s), np.sort(e)                # sorted apart, a span ends where the next start lies beyond
+            cut = s[1:] > e[:-1]
+            starts.append(s[np.append(True, cut)].tolist())
+            ends.append(e[np.append(cut, True)].tolist())
+        yield {"doc_id": batch.column(0), "s": starts, "e": ends}
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """(doc_id, spans): word spans [s, e) of each document to remove."""
+    """(doc_id, s, e): starts and ends of the word spans of each document to remove."""
     docs = docs.where("doc_id is not null and text is not null")
     found = anchors(docs, window, run)
     shared = found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"), F.count("*").alias("n")).where("owner < other")
@@ -228,7 +241,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     first = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
     spans = parts.where("h1 is null").select("doc_id", "s", "e").unionByName(
         rest.join(first, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "s", "e"))
-    out = materialize(spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans")), "spans")
+    out = materialize(map_batches(spans.groupBy("doc_id").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e")), merged,
+                                  "doc_id bigint, s array<int>, e array<int>"), "spans")
     discard(parts)
     return out
 
@@ -244,18 +258,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text:
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     spans = repeated_spans(docs, window, run)
-    size = spans.agg(F.sum(F.size("spans") * 24 + 24)).first()[0] or 0
-    joined = docs.join(F.broadcast(spans) if size <= SPANS_BROADCAST else spans, "doc_id", "left").select("doc_id", "text", "spans")
+    size = spans.agg(F.sum(F.size("s") * 8 + 64)).first()[0] or 0
+    joined = docs.join(F.broadcast(spans) if size <= SPANS_BROADCAST else spans, "doc_id", "left").select("doc_id", "text", "s", "e")
 
     def emit(batches):
         for batch in batches:
             rows = []
-            for body, cut in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for body, s, e in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 words = words_of(body)
                 kept, at = [], 0
-                for x in cut or ():
-                    kept += words[at:x["s"]] if x["s"] > at else ()
-                    at = max(at, x["e"])
+                for start, end in zip(s or (), e or ()):
+                    kept += words[at:start]
+                    at = end
                 kept += words[at:]
                 line = b" ".join(kept)
                 rows.append((len(words), len(words) - len(kept), hashlib.sha256(line).hexdigest(), line.decode("utf-8", "surrogatepass")))
