@@ -126,7 +126,7 @@ def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 if text:
                     parts.append(np.unique(vocab.hashes(text.encode("utf-8", "surrogatepass").split())))
                     size += len(parts[-1])
-            if size > 3_000_000:
+            if size > 1_000_000:
                 yield _counted(parts)
                 parts, size = [], 0
         if parts:

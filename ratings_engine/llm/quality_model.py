@@ -25,7 +25,7 @@ from .text import MIX, map_batches, mixed, words_of
 
 BUCKETS = 1 << 18
 SAME, SAME_NEXT = 0, 1
-CHUNK = 1_000_000     # characters scored together
+CHUNK = 500_000     # characters scored together
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ class Features(dict):
     """Word -> dense id; ``parts[id]`` are the buckets of the word and its character n-grams.
     Starts anew past ``limit`` words, between two documents."""
 
-    def __init__(self, grams=(3, 4), limit: int = 1 << 19):
+    def __init__(self, grams=(3, 4), limit: int = 1 << 18):
         super().__init__()
         self.grams, self.limit = grams, limit
         self.reset()

@@ -36,7 +36,7 @@ class Vocab(dict):
     a task's memory stays bounded whatever the vocabulary of the corpus.
     """
 
-    def __init__(self, limit: int = 1 << 19):
+    def __init__(self, limit: int = 1 << 17):
         super().__init__()
         self.limit, self.table = limit, array("Q")
 
