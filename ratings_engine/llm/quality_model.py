@@ -30,7 +30,7 @@ CHUNK = 500_000     # characters scored together
 
 @dataclass(frozen=True)
 class Training:
-    sample: int = 6000      # labelled rows at most, those of the smallest hash; bounds what the driver holds
+    sample: int = 5000      # labelled rows at most, those of the smallest hash; bounds the training task
     dim: int = 16
     epochs: int = 6
     rate: float = 0.25
@@ -166,13 +166,27 @@ def train(rows: list[tuple[str | None, int]], t: Training = Training()) -> tuple
     return vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, t: Training = Training()) -> list[tuple[str | None, int]]:
-    """A bounded sample of labelled documents that are not held out: the ``t.sample`` ids of the smallest hash."""
+def training_rows(docs: DataFrame, labels: DataFrame, t: Training = Training()) -> DataFrame:
+    """(doc_id, text, quality): a bounded sample of labelled documents that are not
+    held out, the ``t.sample`` ids of the smallest hash."""
     labels = (labels.where("doc_id is not null and quality in (0, 1)").where(~held_out("doc_id"))
               .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(t.sample)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
-    return [(r["text"], r["quality"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"] or ""))]
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
+def trained(docs: DataFrame, labels: DataFrame, t: Training = Training()):
+    """Broadcast (share per bucket, bias). One task trains on the sample, whose size is bounded; the driver gets the shares only."""
+
+    def run(batches):
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        if rows:
+            shares, bias = train([(text, y) for _, text, y in sorted(rows, key=lambda r: (r[0], r[1] or ""))], t)
+            yield {"shares": [shares.astype(np.float32).tobytes()], "bias": [bias]}
+
+    rows = map_batches(training_rows(docs, labels, t).coalesce(1), run, "shares binary, bias double").collect()
+    model = (np.frombuffer(rows[0]["shares"], np.float32), rows[0]["bias"]) if rows else (np.zeros(BUCKETS, np.float32), 0.0)
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
 def held_out(column: str):
@@ -193,7 +207,7 @@ def _probabilities(texts: list, words: _Scored, bias: float) -> np.ndarray:
 
 def accepted(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
     """``docs`` without the documents that the classifier rejects; all columns stay."""
-    model = docs.sparkSession.sparkContext.broadcast(train(training_rows(docs, labels, t), t))
+    model = trained(docs, labels, t)
     made = []
 
     @F.pandas_udf("boolean")
@@ -215,7 +229,7 @@ def score(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshol
     Without any label the model is the bias 0, score 0.5.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    model = docs.sparkSession.sparkContext.broadcast(train(training_rows(docs, labels, t), t))
+    model = trained(docs, labels, t)
     grams = t.grams
 
     def run(batches):
