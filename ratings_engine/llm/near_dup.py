@@ -171,7 +171,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     full = table.where("n > 0 and doc_id is not null")
     classes = full.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class_id"))
     reps = materialize(full.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-                       .select("doc_id", "n", "sketch"), "reps")
+                       .groupBy("doc_id").agg(F.min_by(F.struct("n", "sketch"), F.struct("n", "sig_a", "sig_b")).alias("one"))
+                       .select("doc_id", "one.n", "one.sketch"), "reps")
     lists = materialize(inverted_lists(reps), "lists")
     sizes = lists.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("p0"), F.max("doc_id").alias("p1"),
                                    F.min_by("doc_id", F.xxhash64("doc_id")).alias("p2")).where("m > 1")
