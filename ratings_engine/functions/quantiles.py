@@ -18,6 +18,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import discard, materialize
+
 
 def _values_at_ranks(v: DataFrame, n: int, lo: float, hi: float, ranks: list[int], buckets: int,
                      final_rows: int) -> dict[int, float]:
@@ -26,7 +28,7 @@ def _values_at_ranks(v: DataFrame, n: int, lo: float, hi: float, ranks: list[int
     # rank -> (a, b, count in [a, b], rows below a)
     state = {r: (lo, hi, n, 0) for r in ranks}
     found: dict[int, float] = {}
-    for _ in range(200):                      # each pass shrinks a range by ~buckets
+    while True:                               # each pass shrinks a range by ~buckets, or ends it
         pending = {r: s for r, s in state.items() if r not in found}
         if not pending:
             break
@@ -53,8 +55,10 @@ def _values_at_ranks(v: DataFrame, n: int, lo: float, hi: float, ranks: list[int
         if large:
             rt = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(large)],
                                        "_rid int, _a double, _b double")
-            width = (F.col("_b") - F.col("_a")) / buckets
-            bkt = F.least(F.floor((F.col("v") - F.col("_a")) / width), F.lit(buckets - 1)).cast("int")
+            width = F.col("_b") / buckets - F.col("_a") / buckets
+            # try_divide: a range too narrow to be cut holds its ends only
+            bkt = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("_a"), width)), F.lit(buckets - 1)).cast("int"),
+                             F.when(F.col("v") > F.col("_a"), 1).otherwise(0))
             hist = (v.join(F.broadcast(rt), (F.col("v") >= F.col("_a")) & (F.col("v") <= F.col("_b")))
                     .groupBy("_rid", bkt.alias("_k"))
                     .agg(F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
@@ -75,25 +79,54 @@ def _values_at_ranks(v: DataFrame, n: int, lo: float, hi: float, ranks: list[int
     return found
 
 
+def _ranked(df: DataFrame, col: str):
+    """The column's values, written once as one double column, and a lookup of
+    sorted values by rank. NULL and NaN are left out; infinities are counted
+    apart and stand at the ends."""
+    inf = float("inf")
+    v = materialize(df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")), "values")
+    finite = (F.col("v") > -inf) & (F.col("v") < inf)
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") == -inf).alias("low"), F.count_if(finite).alias("mid"),
+               F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi")).first()
+
+    def at(ranks: list[int], buckets: int, final_rows: int) -> dict[int, float]:
+        out = {r: -inf if r < st["low"] else inf for r in ranks}
+        inner = [r - st["low"] for r in ranks if 0 <= r - st["low"] < st["mid"]]
+        if inner:
+            found = _values_at_ranks(v.where(finite), st["mid"], float(st["lo"]), float(st["hi"]), inner, buckets, final_rows)
+            out |= {r + st["low"]: x for r, x in found.items()}
+        return out
+
+    return v, int(st["n"]), at
+
+
+def value_at_rank(df: DataFrame, col: str, rank: int, buckets: int = 4096, final_rows: int = 2_000_000) -> float:
+    """The value of 0-based ``rank`` in the sorted column."""
+    v, n, at = _ranked(df, col)
+    out = at([rank], buckets, final_rows)[rank]
+    discard(v)
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], buckets: int = 4096,
                     final_rows: int = 2_000_000) -> DataFrame:
-    """One row: a column per name in ``probs`` plus ``n`` (NULL/NaN ignored)."""
+    """One row: a column per name in ``probs`` plus ``n`` (NULL/NaN ignored).
+    The input is read once: all passes scan the written column."""
     spark = df.sparkSession
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n = int(st["n"])
     names = list(probs)
     schema = ", ".join(f"`{k}` double" for k in names) + ", n long"
+    v, n, at = _ranked(df, col)
     if n == 0:
         return spark.createDataFrame([tuple([None] * len(names)) + (0,)], schema)
     pos = {k: float(probs[k]) * (n - 1) for k in names}
     ranks = sorted({int(math.floor(p)) for p in pos.values()} | {int(math.ceil(p)) for p in pos.values()})
-    at = _values_at_ranks(v, n, float(st["lo"]), float(st["hi"]), ranks, buckets, final_rows)
+    value = at(ranks, buckets, final_rows)
+    discard(v)
     out = []
     for k in names:
         p = pos[k]
-        a, b = at[int(math.floor(p))], at[int(math.ceil(p))]
-        out.append(a + (b - a) * (p - math.floor(p)))
+        a, b, part = value[int(math.floor(p))], value[int(math.ceil(p))], p - math.floor(p)
+        out.append(a if a == b or not part else a + (b - a) * part)
     return spark.createDataFrame([tuple(out) + (n,)], schema)
 
 
@@ -105,17 +138,13 @@ def approx_quantiles(df: DataFrame, col: str, probs: dict[str, float], rel_err:
         *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "n")
 
 
-def var_samp_sums(x) -> "F.Column":
-    """Sample variance from the sums (sum x^2 - (sum x)^2 / n) / (n - 1).
+#: Added before rounding, so that exact halves round up whatever the merge order of the partial variances.
+HALF_UP = 1e-9
+
 
-    For ratings (multiples of 0.5) every sum is exact in a double, so the
-    result does not depend on partitioning or merge order (Welford-style
-    ``var_samp`` merges can differ in the last bit, which flips 4-dp rounding
-    on exact halves). NULL for fewer than two values, as ``var_samp``.
-    """
-    n = F.count(x)
-    return F.when(n > 1, (F.sum(x * x) - F.sum(x) * F.sum(x) / n) / (n - 1))
+def rounded_variance(x, digits: int) -> "F.Column":
+    return F.round(F.var_samp(x) + F.lit(HALF_UP), digits)
 
 
-def stddev_samp_sums(x) -> "F.Column":
-    return F.sqrt(var_samp_sums(x))
+def rounded_stddev(x, digits: int) -> "F.Column":
+    return F.round(F.stddev_samp(x) + F.lit(HALF_UP), digits)

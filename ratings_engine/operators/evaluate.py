@@ -22,15 +22,15 @@ def _safe_div(a: Column, b: Column) -> Column:
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """M1: rmse, mae, mse, r2 and n in one pass.
 
-    r2 = 1 - SSE / SST with SST = sum(y^2) - (sum y)^2 / n (as RegressionEvaluator).
+    r2 (NULL for a constant label) = 1 - SSE / SST with SST = sum(y^2) - (sum y)^2 / n (as RegressionEvaluator).
     """
     e = F.col(label) - F.col(prediction)
     a = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"), F.sum(F.abs(e)).alias("_sae"),
                F.sum(F.col(label)).alias("_sy"), F.sum(F.col(label) * F.col(label)).alias("_syy"))
-    mse = F.col("_sse") / F.col("n")
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
-    return a.select(F.sqrt(mse).alias("rmse"), (F.col("_sae") / F.col("n")).alias("mae"), mse.alias("mse"),
-                    (F.lit(1.0) - F.col("_sse") / sst).alias("r2"), "n")
+    mse = F.try_divide("_sse", "n")
+    sst = F.col("_syy") - F.try_divide(F.col("_sy") * F.col("_sy"), F.col("n"))
+    return a.select(F.sqrt(mse).alias("rmse"), F.try_divide("_sae", "n").alias("mae"), mse.alias("mse"),
+                    (F.lit(1.0) - F.try_divide("_sse", sst)).alias("r2"), "n")
 
 
 def global_mean(train: DataFrame, c: Cols = COLS) -> DataFrame:
@@ -140,7 +140,8 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int
     s = F.col(score).cast("double")
     if bins:
         s = F.floor(s * bins) / bins
-    h = df.groupBy(s.alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"),
+    # a row without a score or label cannot be ranked
+    h = df.where(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull()).groupBy(s.alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"),
                                       F.count_if(F.col(label) != 1).alias("_n"))
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     h = materialize(h.repartitionByRange(n_parts, "_s").withColumn("_pid", F.spark_partition_id()), "auc_hist")
@@ -152,7 +153,7 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int
     x = h.select("_pid", "_p", "_n", local.alias("_local")).join(F.broadcast(offs), "_pid")  # one row per partition
     a = x.agg(F.sum(F.col("_p") * (F.col("_off") + F.col("_local") + 0.5 * F.col("_n"))).alias("_w"),
               F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
-    return a.select((F.col("_w") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
+    return a.select(F.coalesce(F.try_divide("_w", F.col("n_pos") * F.col("n_neg")), F.lit(0.0)).alias("auc"), "n_pos", "n_neg")
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", steps: int = 20) -> DataFrame:

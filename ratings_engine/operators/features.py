@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import COLS, DEFAULTS, Cols
 from ..functions import items as fi
 from ..functions import temporal as ft
-from ..functions.quantiles import var_samp_sums
+from ..functions.quantiles import rounded_variance
 from .windows import DEFAULT_HOT_ROWS, ordered_sequence, salted_join
 
 
@@ -28,7 +28,7 @@ def user_stats_table(r: DataFrame, c: Cols = COLS) -> DataFrame:
     return r.groupBy(c.user).agg(
         F.round(F.avg(c.rating), 3).alias("user_avg_rating"),
         F.count(F.lit(1)).alias("user_rating_count"),
-        F.round(var_samp_sums(F.col(c.rating)), 4).alias("user_rating_variance"),
+        rounded_variance(F.col(c.rating), 4).alias("user_rating_variance"),
         F.datediff(F.max(t), F.min(t)).alias("user_activity_days"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COLS, DEFAULTS, Cols
-from ..functions.quantiles import approx_quantiles, exact_quantiles, stddev_samp_sums
+from ..functions.quantiles import approx_quantiles, exact_quantiles, rounded_stddev
 
 CRITICAL = (COLS.user, COLS.item, COLS.rating, COLS.ts)
 
@@ -114,10 +114,11 @@ def outlier_counts(df: DataFrame, bounds: DataFrame, col: str = COLS.rating,
     """Rows strictly outside the IQR fences, and outside the valid range, in one pass."""
     v = F.col(col)
     j = df.select(v.alias("_v")).crossJoin(F.broadcast(bounds))  # one-row side
-    return j.groupBy(*bounds.columns).agg(
+    counts = j.agg(
         F.count_if((F.col("_v") < F.col("lower_bound")) | (F.col("_v") > F.col("upper_bound")))
         .alias("outlier_count"),
         F.count_if((F.col("_v") < valid_lo) | (F.col("_v") > valid_hi)).alias("invalid_count"))
+    return bounds.crossJoin(F.broadcast(counts))  # one row each, also for an empty input
 
 
 def hyperactive_users(df: DataFrame, min_count: int = DEFAULTS.hyperactive_min, c: Cols = COLS) -> DataFrame:
@@ -125,7 +126,7 @@ def hyperactive_users(df: DataFrame, min_count: int = DEFAULTS.hyperactive_min,
     return (df.groupBy(c.user)
             .agg(F.count(F.lit(1)).alias("rating_count"),
                  F.round(F.avg(c.rating), 2).alias("avg_rating"),
-                 F.round(stddev_samp_sums(F.col(c.rating)), 2).alias("stddev_rating"))
+                 rounded_stddev(F.col(c.rating), 2).alias("stddev_rating"))
             .where(F.col("rating_count") > min_count))
 
 
@@ -135,7 +136,7 @@ def suspicious_users(df: DataFrame, min_n: int = DEFAULTS.suspicious_min_n,
     s = (df.groupBy(c.user)
          .agg(F.count(F.lit(1)).alias("rating_count"),
               F.round(F.avg(c.rating), 3).alias("avg_rating"),
-              F.round(stddev_samp_sums(F.col(c.rating)), 4).alias("stddev_rating"))
+              rounded_stddev(F.col(c.rating), 4).alias("stddev_rating"))
          .where(F.col("rating_count") >= min_n))
     return s.where((F.col("stddev_rating") < max_sd) | F.col("stddev_rating").isNull())
 
@@ -185,11 +186,11 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
     b = iqr_bounds(dedup, c.rating, exact, rel_err)
     oc = outlier_counts(dedup, b, c.rating, lo, hi)
     valid = remove_out_of_range(dedup, lo, hi)
-    users = (valid.groupBy(c.user).agg(F.count(F.lit(1)).alias("n"), stddev_samp_sums(F.col(c.rating)).alias("sd"))
+    users = (valid.groupBy(c.user).agg(F.count(F.lit(1)).alias("n"), rounded_stddev(F.col(c.rating), 4).alias("sd"))
              .agg(F.sum("n").alias("rows_after"),
                   F.count_if(F.col("n") > hyper_min).alias("hyperactive_users"),
                   F.count_if((F.col("n") >= susp_min_n) &
-                             ((F.round("sd", 4) < susp_sd) | F.col("sd").isNull())).alias("suspicious_users")))
+                             ((F.col("sd") < susp_sd) | F.col("sd").isNull())).alias("suspicious_users")))
     out = (miss_one.crossJoin(dups).crossJoin(oc).crossJoin(users)
            .withColumn("rows_after", F.coalesce("rows_after", F.lit(0)).cast("bigint")))
     removed = F.col("rows_before") - F.col("rows_after")

@@ -248,8 +248,8 @@ def relevant_counts(rel: DataFrame, c: Cols = COLS) -> DataFrame:
 def ideal_dcg(n_relevant, k: int):
     """W9 in closed form: sum over i = 1..min(n, k) of 1/log2(i + 1)."""
     n = F.least(n_relevant, F.lit(k))
-    return F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.lit(0.0),
-                       lambda acc, i: acc + F.lit(1.0) / F.log2(i + 1))
+    ranks = F.when(n >= 1, F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(ranks, F.lit(0.0), lambda acc, i: acc + F.lit(1.0) / F.log2(i + 1))
 
 
 def ranking_metrics(recs: DataFrame, test: DataFrame, ks=(5, 10), threshold: float = DEFAULTS.like_threshold,

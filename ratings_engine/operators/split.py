@@ -1,7 +1,7 @@
 """Sorting, sampling and splitting.
 
 Splits and samples are **hash based**: a row's side is a function of its key
-(``md5(key)`` prefix against a threshold), so the split is the same after a
+(``md5(key)`` read as a number against a threshold), so the split is the same after a
 repartition, on a re-run after a lost executor, and in any engine that has
 md5. ``randomSplit`` depends on partition layout and is offered only as an
 option.
@@ -20,72 +20,77 @@ def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def hash_unit(key: str | Column, salt: str = "", digits: int = 4) -> Column:
-    """Deterministic value in [0, 1) from the first ``digits`` hex digits of md5(salt:key)."""
+def hash_unit(key: str | Column, salt: str = "", digits: int = 12) -> Column:
+    """Deterministic value in [0, 1) from the first ``digits`` hex digits of md5(salt:key)
+    (12 digits are exact in a double)."""
     k = F.col(key) if isinstance(key, str) else key
     src = F.concat(F.lit(f"{salt}:"), k.cast("string")) if salt else k.cast("string")
     return F.conv(F.substring(F.md5(src), 1, digits), 16, 10).cast("double") / float(16 ** digits)
 
 
-def split_threshold(ratio: float, digits: int = 2) -> str:
-    """Hex prefix bound so that ``substr(md5(key),1,digits) < bound`` keeps ~ratio of rows."""
-    return format(int(round(ratio * 16 ** digits)), f"0{digits}x")
-
-
-def split_flag(key: str = COLS.key, ratio: float = DEFAULTS.split_ratio, digits: int = 2) -> Column:
-    """True for the training side."""
-    return F.substring(F.md5(F.col(key).cast("string")), 1, digits) < F.lit(split_threshold(ratio, digits))
+def split_flag(key: str = COLS.key, ratio: float = DEFAULTS.split_ratio, salt: str = "") -> Column:
+    """True for the training side: the row's hash lies below ``ratio`` (0 and 1 are exact).
+    A split inside one side of another split needs a salt of its own."""
+    return hash_unit(key, salt) < F.lit(float(ratio))
 
 
 def train_test_split(df: DataFrame, ratio: float = DEFAULTS.split_ratio, key: str = COLS.key,
-                     digits: int = 2, method: str = "hash", seed: int = DEFAULTS.seed):
+                     method: str = "hash", seed: int = DEFAULTS.seed):
     """L2: (train, test). ``method='random'`` uses ``randomSplit`` like the reference."""
     if method == "random":
         return tuple(df.randomSplit([ratio, 1 - ratio], seed=seed))
-    flag = split_flag(key, ratio, digits)
+    flag = split_flag(key, ratio)
     return df.where(flag), df.where(~flag)
 
 
 def fold_col(key: str = COLS.key, folds: int = 3, salt: str = "fold") -> Column:
     """Hash fold id in [0, folds) for cross-validation (``foldCol``)."""
-    return F.floor(hash_unit(key, salt, 6) * folds).cast("int")
+    return F.floor(hash_unit(key, salt) * folds).cast("int")
 
 
-def sample_fraction(df: DataFrame, fraction: float, key: str | None = COLS.key, seed: int = DEFAULTS.seed,
-                    digits: int = 4) -> DataFrame:
+def sample_fraction(df: DataFrame, fraction: float, key: str | None = COLS.key, seed: int = DEFAULTS.seed) -> DataFrame:
     """L3: Bernoulli sample. With a key it is hash based (repeatable); without,
     ``DataFrame.sample``. Apply before assembling features."""
     if key is None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return df.where(hash_unit(key, str(seed), digits) < fraction)
+    return df.where(hash_unit(key, str(seed)) < fraction)
 
 
 def sample_rows(df: DataFrame, n: int, total: int | None = None, key: str = COLS.key,
-                seed: int = DEFAULTS.seed, slack: float = 1.05) -> DataFrame:
-    """L4: at most n rows: a hash sample of about n*slack rows, then the n with
-    the smallest hash. Only ~n rows reach the final limit (n is the requested
-    size, not a function of the table)."""
-    u = hash_unit(key, str(seed), 8)
-    if total is None:
-        tot = df.agg(F.count(F.lit(1)).alias("_total"))
-        x = df.crossJoin(F.broadcast(tot)).where(u < F.least(F.lit(1.0), F.lit(n * slack) / F.col("_total")))
-        x = x.drop("_total")
-    else:
-        x = df.where(u < min(1.0, n * slack / max(total, 1)))
-    return x.withColumn("_u", u).orderBy("_u", key).limit(n).drop("_u")
+                seed: int = DEFAULTS.seed) -> DataFrame:
+    """L4: exactly min(n, rows) rows, those of the smallest (hash, key).
+
+    The n-th smallest hash comes from the distributed selection of
+    ``functions.quantiles``; the sample is then a filter, so it keeps the
+    input's partitioning and no task holds it whole. Only rows whose hash
+    equals the n-th (equal keys, or a collision in 48 bits) are ordered by key.
+    """
+    from ..functions.quantiles import value_at_rank
+
+    total = df.count() if total is None else total
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    u = hash_unit(key, str(seed))
+    x = df.withColumn("_u", F.coalesce(u, F.lit(1.0)))
+    bound = value_at_rank(x, "_u", n - 1)
+    below = x.where(F.col("_u") < bound)
+    ties = x.where(F.col("_u") == bound).orderBy(key).limit(n - below.count())
+    return below.unionByName(ties).drop("_u")
 
 
 def nested_fractions(train: DataFrame, fractions=(0.1, 0.2, 0.3, 0.5, 0.7, 1.0), key: str = COLS.key,
                      salt: str = "curve") -> list[tuple[float, DataFrame]]:
     """Growing training subsets; each is a superset of the previous (one hash column)."""
-    u = hash_unit(key, salt, 6)
+    u = hash_unit(key, salt)
     return [(f, train.where(u < f) if f < 1.0 else train) for f in fractions]
 
 
 def nested_fraction_sizes(train: DataFrame, fractions=(0.1, 0.2, 0.3, 0.5, 0.7, 1.0), key: str = COLS.key,
                           salt: str = "curve") -> DataFrame:
     """Sizes of the L5 subsets in one pass."""
-    u = hash_unit(key, salt, 6)
+    u = hash_unit(key, salt)
     one = train.agg(*[F.count_if(u < f if f < 1.0 else F.lit(True)).alias(f"f{i}") for i, f in enumerate(fractions)])
     return one.select(F.inline(F.array(*[F.struct(F.lit(float(f)).alias("fraction"), F.col(f"f{i}").alias("n_rows"))
                                          for i, f in enumerate(fractions)])))

@@ -23,6 +23,9 @@ table. ``ordered_sequence`` splits such hot groups:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -104,7 +107,7 @@ def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_
     a ``hot_keys`` result showing no hot key it is the plain join.
     """
     if hot is not None and not hot[1]:   # known: no hot key -> the plain join (AQE still guards at run time)
-        return df.join(stats, key, how)
+        return _null_safe(df, stats, [key], how)
     hot_table = hot[0] if hot is not None else stats.select(key, F.col(count_col).alias("_n")) \
         .where(F.col("_n") > hot_rows)
     hot = hot_table.select(F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns"))
@@ -114,4 +117,11 @@ def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_
     s = stats.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
     s = s.withColumn("_salt", F.explode(F.when(F.col("_ns").isNull(), F.array(F.lit(0)))
                                         .otherwise(F.sequence(F.lit(0), F.col("_ns") - 1)))).drop("_ns")
-    return x.join(s, [key, "_salt"], how).drop("_salt")
+    return _null_safe(x, s, [key, "_salt"], how).drop("_salt")
+
+
+def _null_safe(x: DataFrame, s: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where NULL meets NULL (a window groups NULL keys too)."""
+    s = s.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    on = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys))
+    return x.join(s, on, how).drop(*(f"_s_{k}" for k in keys))

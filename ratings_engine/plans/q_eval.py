@@ -12,14 +12,14 @@ from ..sources.views import ratings_view, table
 from .queries import rd
 from .registry import register
 
-TRAIN = "(select * from {R} r0 where substr(md5(row_key), 1, 2) < 'cd')"
-TEST = "(select * from {R} r0 where substr(md5(row_key), 1, 2) >= 'cd')"
-
-
 def _hex_unit(expr: str, digits: int) -> str:
     return f"(cast(('0x' || substr(md5({expr}), 1, {digits})) as bigint) / {float(16 ** digits)})"
 
 
+TRAIN = f"(select * from {{R}} r0 where {_hex_unit('row_key', 12)} < 0.8)"
+TEST = f"(select * from {{R}} r0 where {_hex_unit('row_key', 12)} >= 0.8)"
+
+
 def split(spark, sf):
     return sp.train_test_split(ratings_view(spark, sf), 0.8)
 
@@ -40,31 +40,30 @@ def q_l1(spark, sf):
     return sp.top_k(ratings_view(spark, sf), [F.desc("rating"), F.desc("ts"), F.asc("row_key")], 10)
 
 
-@register("l2_train_test_split", """
-select row_key, substr(md5(row_key), 1, 2) < 'cd' as is_train from {R} r""")
+@register("l2_train_test_split", f"""
+select row_key, {_hex_unit('row_key', 12)} < 0.8 as is_train, {_hex_unit('row_key', 12)} < 0.999 as is_train_999, true as is_train_all
+from {{R}} r""")
 def q_l2(spark, sf):
     r = ratings_view(spark, sf)
-    return r.select("row_key", sp.split_flag("row_key", 0.8).alias("is_train"))
+    return r.select("row_key", sp.split_flag("row_key", 0.8).alias("is_train"), sp.split_flag("row_key", 0.999).alias("is_train_999"),
+                    sp.split_flag("row_key", 1.0).alias("is_train_all"))
 
 
 @register("l3_sample_fraction", f"""
-select row_key, rating from {{R}} r where {_hex_unit("'42:' || row_key", 4)} < 0.1""")
+select row_key, rating from {{R}} r where {_hex_unit("'42:' || row_key", 12)} < 0.1""")
 def q_l3(spark, sf):
     return sp.sample_fraction(ratings_view(spark, sf), 0.1, "row_key", 42).select("row_key", "rating")
 
 
 @register("l4_sample_rows", f"""
-select row_key, rating from (
-  select row_key, rating, {_hex_unit("'42:' || row_key", 8)} as u,
-         least(1.0, 1050.0 / count(*) over ()) as lim from {{R}} r) t
-where u < lim order by u, row_key limit 1000""")
+select row_key, rating from {{R}} r order by {_hex_unit("'42:' || row_key", 12)}, row_key limit 1000""")
 def q_l4(spark, sf):
     return sp.sample_rows(ratings_view(spark, sf), 1000, key="row_key", seed=42).select("row_key", "rating")
 
 
 @register("l5_nested_fraction_sizes", f"""
 select f as fraction, (select count(*) from {TRAIN} t
-                       where f >= 1.0 or {_hex_unit("'curve:' || row_key", 6)} < f) as n_rows
+                       where f >= 1.0 or {_hex_unit("'curve:' || row_key", 12)} < f) as n_rows
 from (select unnest([0.1, 0.2, 0.3, 0.5, 0.7, 1.0]) as f) fs""")
 def q_l5(spark, sf):
     tr, _ = split(spark, sf)

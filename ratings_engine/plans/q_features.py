@@ -11,42 +11,29 @@ from ..sources.views import items_view, ratings_view
 from .queries import TS, rd
 from .registry import register
 
-def rds(expr: str, d: int) -> str:
-    """Round like Spark does on a double: half-up on its shortest decimal text."""
-    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,17)), {d}) as double)"
-
-
-VAR = "(case when count(rating) > 1 then (sum(rating * rating) - sum(rating) * sum(rating) / count(rating)) / (count(rating) - 1) end)"   # sample variance from exact sums
+VAR = "(var_samp(rating) + 1e-9)"   # halves round up in both engines
 
 _TITLE_YEAR = r"try_cast(nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '') as int)"
 
 
-@register("w1_w2_p20_user_features", f"""
+_USER_SQL = f"""
 with r as (select * from {{R}} r0),
 us as (select user_id, {rd('avg(rating)', 3)} as user_avg_rating, count(*) as user_rating_count,
-              {rds(VAR, 4)} as user_rating_variance,
+              {rd(VAR, 4)} as user_rating_variance,
               cast(datediff('day', cast(min({TS}) as date), cast(max({TS}) as date)) as int) as user_activity_days
        from r group by user_id)
 select row_key, user_avg_rating, user_rating_count, user_rating_variance, user_activity_days,
        {rd('rating - user_avg_rating', 3)} as user_rating_deviation
-from r left join us using (user_id)""")
+from r left join us using (user_id)"""
+
+
+@register("w1_w2_p20_user_features", _USER_SQL)
 def q_w1(spark, sf):
     f = fe.user_features(ratings_view(spark, sf))
     return f.select("row_key", "user_avg_rating", "user_rating_count", "user_rating_variance",
                     "user_activity_days", "user_rating_deviation")
 
 
-_USER_SQL = f"""
-with r as (select * from {{R}} r0),
-us as (select user_id, {rd('avg(rating)', 3)} as user_avg_rating, count(*) as user_rating_count,
-              {rds(VAR, 4)} as user_rating_variance,
-              cast(datediff('day', cast(min({TS}) as date), cast(max({TS}) as date)) as int) as user_activity_days
-       from r group by user_id)
-select row_key, user_avg_rating, user_rating_count, user_rating_variance, user_activity_days,
-       {rd('rating - user_avg_rating', 3)} as user_rating_deviation
-from r left join us using (user_id)"""
-
-
 @register("w1_w2_p20_user_features_hot_split", _USER_SQL)
 def q_w1_hot(spark, sf):
     """Same as w1 with a hot-user threshold of 20 rows: busy users' rows are
@@ -152,7 +139,7 @@ W10_COLUMNS = [
 with r as (select * from {{R}} r0),
 m as (select max(year({TS})) as max_year from r),
 us as (select user_id, {rd('avg(rating)', 3)} as user_avg_rating, count(*) as user_rating_count,
-              {rds(VAR, 4)} as user_rating_variance,
+              {rd(VAR, 4)} as user_rating_variance,
               cast(datediff('day', cast(min({TS}) as date), cast(max({TS}) as date)) as int) as user_activity_days
        from r group by user_id),
 its as (select item_id, {rd('avg(rating)', 3)} as item_avg_rating, count(*) as item_rating_count,

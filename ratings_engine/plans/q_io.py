@@ -153,10 +153,3 @@ def q_s12(spark, sf):
                           wire=["user_id", "item_id", "rating", "ts", "row_key"])
     return s.select("user_id", "item_id", "rating", "ts",
                     F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"))
-
-
-@register("s14_file_inventory")
-def q_s14(spark, sf):
-    """Files under the data folder by extension (listing only; rows-only check)."""
-    return tb.file_inventory(spark, sf)
-

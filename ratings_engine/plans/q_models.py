@@ -174,10 +174,10 @@ def q_g9(spark, sf):
 
 @register("g10_p23_scale_study", heavy=True)
 def q_g10(spark, sf):
-    tr, _, _ = supervised(spark, sf, fraction=None)
+    tr, te, _ = supervised(spark, sf, fraction=None)
     models = {"linear": LinearRegression(maxIter=5, regParam=0.1, elasticNetParam=0.3),
               "random_forest": RandomForestRegressor(numTrees=3, maxDepth=4, minInstancesPerNode=10, seed=42)}
-    return md.scale_study(tr, (2_000, 10_000, None), models, parallelism=PAR).drop("fit_seconds")
+    return md.scale_study(tr.unionByName(te), (2_000, 10_000, None), models, parallelism=PAR).drop("fit_seconds")
 
 
 @register("g11_x5_unified_and_final_summary", heavy=True)

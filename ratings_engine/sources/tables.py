@@ -18,7 +18,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schem
     return r.load(path)
 
 
-def _missing_path(e: AnalysisException) -> bool:
+def missing_path(e: AnalysisException) -> bool:
     cls = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     cond = cls() if cls else None
     return cond == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
@@ -34,7 +34,7 @@ def read_first_available(spark: SparkSession, paths: list[str], fmt: str = "parq
             df.schema  # noqa: B018  (resolves the relation: fails now if absent)
             return df
         except AnalysisException as e:
-            if not _missing_path(e):
+            if not missing_path(e):
                 raise
             last = e
     raise FileNotFoundError(f"none of {paths} exists") from last
@@ -75,7 +75,7 @@ def load_or_fit(cls, path: str, fit):
     try:
         return cls.load(path)
     except Exception as e:  # noqa: BLE001  (absent or unreadable model dir)
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "Input path" not in str(e):
+        if "PATH_NOT_FOUND" not in str(e) and "Input path does not exist" not in str(e):
             raise
     m = fit()
     save_model(m, path)
@@ -89,7 +89,7 @@ def table_row_count(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         df = read_table(spark, path, fmt)
         df.schema  # noqa: B018
     except AnalysisException as e:
-        if not _missing_path(e):
+        if not missing_path(e):
             raise
         return spark.range(1).select(F.lit(0).cast("bigint").alias("row_count"))
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -9,6 +9,7 @@ restart with the same checkpoint resumes where it stopped.
 
 from __future__ import annotations
 
+import contextlib
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,14 +81,12 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parq
 
 
 def run_until_stopped(q: StreamingQuery) -> None:
-    """Block; stop cleanly on interrupt; stop and re-raise on failure."""
+    """Block until the query ends; its failure is raised, an interrupt ends it quietly."""
     try:
-        q.awaitTermination()
-    except KeyboardInterrupt:
+        with contextlib.suppress(KeyboardInterrupt):
+            q.awaitTermination()
+    finally:
         q.stop()
-    except Exception:
-        q.stop()
-        raise
 
 
 def ingest_until(q: StreamingQuery, n_rows: int | None = None, seconds: float | None = None,
@@ -106,7 +105,10 @@ def ingest_until(q: StreamingQuery, n_rows: int | None = None, seconds: float |
         if (n_rows is not None and total >= n_rows) or (seconds is not None and time.time() - start >= seconds):
             break
         time.sleep(poll)
+    failure = q.exception()
     q.stop()
+    if failure is not None:
+        raise failure
     return total
 
 
