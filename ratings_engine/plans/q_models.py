@@ -10,9 +10,13 @@ G1 with one feature and no regularisation, which equals SQL's
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
@@ -27,25 +31,18 @@ from .q_eval import TRAIN, TEST, split  # noqa: F401
 from .queries import rd
 from .registry import register
 
-SMALL_GRID = dict(ranks=(3, 6), iters=(3,), regs=(0.1, 0.5), parallelism=4)
+# All 27 points of a 3 x 3 x 3 grid, at small ranks and iteration counts.
+SMALL_GRID = dict(ranks=(2, 4, 6), iters=(1, 2, 3), regs=(0.01, 0.1, 0.5), parallelism=4)
 PAR = 4   # model fits submitted concurrently (local[8])
 
 
 def supervised(spark, sf, fraction=0.1):
+    """(train, test, columns). ``fraction`` bounds the rows that classifiers are
+    fitted on; regressors pass None. Every test row is scored."""
     f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False, materialize_input=True)
     return md.prepare_supervised(f, md.FEATURES, 3.5, fraction)
 
 
-def two_classifiers():
-    return {"Logistic_Regression": LogisticRegression(maxIter=5, regParam=0.01),
-            "Decision_Tree_Classifier": DecisionTreeClassifier(maxDepth=5, seed=42)}
-
-
-def two_regressors():
-    return {"Linear_Regression": LinearRegression(maxIter=5, regParam=0.01),
-            "Decision_Tree_Regressor": DecisionTreeRegressor(maxDepth=5, seed=42)}
-
-
 # ------------------------------------------------------------------ ALS
 
 @register("r2_r7_als_metrics", heavy=True)
@@ -78,7 +75,8 @@ def q_a25(spark, sf):
 @register("r5_als_cross_validate", heavy=True)
 def q_r5(spark, sf):
     tr, te = split(spark, sf)
-    row, _ = rs.als_cross_validate(tr, te, rank=4, max_iter=3, reg=0.1, folds=3)
+    best = rs.als_grid(tr, te, **SMALL_GRID).orderBy("rmse", "rank", "max_iter", "reg_param").first()
+    row, _ = rs.als_cross_validate(tr, te, rank=best["rank"], max_iter=best["max_iter"], reg=best["reg_param"], folds=3)
     return row
 
 
@@ -108,7 +106,7 @@ def q_c5(spark, sf):
 
 @register("g1_g5_compare_regressors", heavy=True)
 def q_g5(spark, sf):
-    tr, te, _ = supervised(spark, sf)
+    tr, te, _ = supervised(spark, sf, fraction=None)
     res, _ = md.compare_regressors(tr, te, md.regressors(fast=True), parallelism=PAR)
     return res.drop("seconds")
 
@@ -155,21 +153,46 @@ def q_g6(spark, sf):
 def q_e4(spark, sf):
     f = fe.all_features(ratings_view(spark, sf), items_view(spark, sf), encode=False, materialize_input=True)
     tr, _, used = md.prepare_supervised(f, md.FEATURES_WITH_LEAKY, 3.5, 0.1)
-    return md.feature_importance(tr, used, trees=5, depth=5)
+    return md.feature_importance(tr, used, trees=20, depth=8)
 
 
 @register("g8_cross_validate", heavy=True)
 def q_g8(spark, sf):
+    """Three-fold CV of all eight models: f1 of the classifiers, rmse of the regressors."""
     tr, _, _ = supervised(spark, sf)
-    ev_f1 = MulticlassClassificationEvaluator(labelCol="label_cls", metricName="f1")
-    cv = md.cross_validate(LogisticRegression(maxIter=5, regParam=0.01, labelCol="label_cls"), tr, ev_f1, 3)
-    return spark.range(1).select(F.lit("Logistic_Regression").alias("model"), F.lit(cv).alias("cv_f1"))
+    f1 = MulticlassClassificationEvaluator(labelCol="label_cls", metricName="f1")
+    rmse = RegressionEvaluator(labelCol="rating", metricName="rmse")
+    jobs = [("f1", k, m.copy().setLabelCol("label_cls"), f1) for k, m in md.classifiers(fast=True).items()]
+    jobs += [("rmse", k, m.copy().setLabelCol("rating"), rmse) for k, m in md.regressors(fast=True).items()]
+    with ThreadPoolExecutor(max_workers=PAR) as ex:
+        rows = list(ex.map(lambda j: (j[1], j[0], md.cross_validate(j[2], tr, j[3], 3)), jobs))
+    return spark.createDataFrame(rows, "model string, metric string, cv_value double")
+
+
+@register("m9_m10_fitted_classifier_roc", heavy=True)
+def q_roc_fitted(spark, sf):
+    """ROC points and AUC of a fitted classifier's probability on the whole test side."""
+    tr, te, _ = supervised(spark, sf)
+    m = LogisticRegression(maxIter=5, regParam=0.01, labelCol="label_cls").fit(tr)
+    scored = md.probability_of_positive(m.transform(te)).select("label_cls", "score")
+    return ev.roc_points(scored, "label_cls", "score").crossJoin(ev.auc_roc(scored, "label_cls", "score"))
+
+
+@register("m11_fitted_regressor_residuals", heavy=True)
+def q_residuals_fitted(spark, sf):
+    """Error of three fitted regressors per rating value on the whole test side."""
+    tr, te, _ = supervised(spark, sf, fraction=None)
+    fit = {k: m.copy().setLabelCol("rating").fit(tr) for k, m in md.regressors(fast=True).items() if k != "GBT_Regressor"}
+    e = F.col("rating") - F.col("prediction")
+    parts = [m.transform(te).groupBy("rating").agg(F.count("*").alias("n"), F.avg(e).alias("mean_residual"), F.stddev_samp(e).alias("sd_residual"))
+             .select(F.lit(k).alias("model"), "*") for k, m in fit.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("g9_learning_curve", heavy=True)
 def q_g9(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    return md.learning_curve(tr, te, (0.3, 1.0), trees=3, depth=4)
+    return md.learning_curve(tr, te, trees=3, depth=4)
 
 
 @register("g10_p23_scale_study", heavy=True)
@@ -183,8 +206,9 @@ def q_g10(spark, sf):
 @register("g11_x5_unified_and_final_summary", heavy=True)
 def q_g11(spark, sf):
     tr, te, _ = supervised(spark, sf)
-    cls, _ = md.compare_classifiers(tr, te, two_classifiers(), parallelism=PAR)
-    reg, _ = md.compare_regressors(tr, te, two_regressors(), parallelism=PAR)
+    cls, _ = md.compare_classifiers(tr, te, md.classifiers(fast=True), parallelism=PAR)
+    tr, te, _ = supervised(spark, sf, fraction=None)
+    reg, _ = md.compare_regressors(tr, te, md.regressors(fast=True), parallelism=PAR)
     u = md.unified_comparison(cls, reg).drop("seconds")
     return u.crossJoin(rl.final_summary(cls, reg))
 

@@ -45,6 +45,16 @@ def q_p19(spark, sf):
     return qa.drop_missing(ratings_view(spark, sf))
 
 
+@register("p18_p19_a16_clean", f"""
+select user_id, item_id, rating, ts, row_key from (
+  select *, row_number() over (partition by user_id, item_id, ts order by ts, row_key) as rn from {{R}} r
+  where user_id is not null and item_id is not null and rating is not null and not isnan(rating) and ts is not null) t
+where rn = 1 and rating between {LO} and {HI}""")
+def q_clean(spark, sf):
+    """The whole repair: drop missing, first of each duplicate, valid range."""
+    return qa.clean(ratings_view(spark, sf), lo=LO, hi=HI).select("user_id", "item_id", "rating", "ts", "row_key")
+
+
 @register("a13_missing_report", _missing_sql(_EV_COLS, "events", ("value",)))
 def q_a13(spark, sf):
     return qa.missing_report(events_view(spark, sf))
