@@ -55,7 +55,7 @@ def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "event_type", "value", "props")
 
 
-# Oracle (DuckDB) forms of the same views, used by plans/oracle.py.
+# Oracle (DuckDB) forms of the same views, used by plans/registry.py.
 R_SQL = """(select cast(o_custkey as int) as user_id, cast(l_partkey as int) as item_id,
        cast(ceil(l_quantity/5) as double)/cast(2 as double) as rating,
        cast(epoch(l_shipdate) as bigint) as ts,
