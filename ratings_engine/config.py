@@ -109,6 +109,11 @@ def _folder(spark: SparkSession, path: str):
     return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
+#: Spark 4.1: drop the shuffle files of a query when it ends. They would otherwise stay
+#: on the executors' disks until the driver happens to collect its garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str = "materialized"):
     """Cut lineage: write ``df`` once as a Parquet table under the shared
     checkpoint folder and read it back, so that several branches of a plan
@@ -118,10 +123,15 @@ def materialize(df, name: str = "materialized"):
     would compute the input twice and lose the columnar scan.)
 
     The application owns the folder: it goes when the application ends, or
-    earlier by ``discard``."""
+    earlier by ``discard``. The shuffle files of the write go with its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.select("*").write.mode("errorifexists").parquet(path)   # select: the setting is read when a frame is made
+    finally:
+        spark.conf.set(RELEASE, before)
     p, fs = _folder(spark, path)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratings_engine import config
 
@@ -39,3 +40,12 @@ def test_materialize_keeps_rows_and_discard_removes_them(spark):
     assert os.path.isdir(path)
     config.discard(t)
     assert not os.path.exists(path)
+
+
+def test_materialize_releases_its_shuffle(spark):
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = spark.conf.get(config.RELEASE)
+    table = config.materialize(counts, "counts")
+    assert spark.conf.get(config.RELEASE) == before
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, counts.collect()))
+    config.discard(table)
