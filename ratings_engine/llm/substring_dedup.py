@@ -232,11 +232,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     """(doc_id, s, e): starts and ends of the word spans of each document to remove."""
     docs = docs.where("doc_id is not null and text is not null")
     found = anchors(docs, window, run)
-    shared = found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"), F.count("*").alias("n")).where("owner < other")
     copies = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / FOLLOWERS)))).cast("bigint")
-    hits = (found.join(shared.select("h", "owner", copies.alias("copies")), "h")
+    shared = materialize(found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1")
+                         .select("h", "owner", copies.alias("copies")), "anchors")
+    hits = (found.join(shared, "h")
             .groupBy("doc_id").agg(F.collect_list(F.struct("h", "owner", "copies")).alias("hits")))
     parts = materialize(matched(routed(docs, hits, window, run), window), "spans")
+    discard(shared)
     rest = parts.where("h1 is not null")
     first = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
     spans = parts.where("h1 is null").select("doc_id", "s", "e").unionByName(
