@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COLS, Cols
+from ..operators.windows import DEFAULT_HOT_ROWS, salted_join
 
 # Fixed values of the reference's item format.
 TITLE_YEAR_PATTERN = r"\((\d{4})\)\s*$"
@@ -53,12 +54,14 @@ def item_features(items: DataFrame, c: Cols = COLS) -> DataFrame:
 
 
 def with_item_attributes(r: DataFrame, items: DataFrame, cols: list[str] | None = None,
-                         c: Cols = COLS) -> DataFrame:
+                         c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Fact LEFT JOIN dimension on item; unmatched facts kept with NULLs.
 
-    No broadcast hint: the dimension grows with the catalogue, so Spark's
-    size-checked automatic broadcast (and AQE at run time) decides between a
-    broadcast hash join and a sort-merge join.
+    The rows of an item with more than ``hot_rows`` ratings are salted over
+    several join tasks. Only the item column is read for the counts. A NULL
+    item matches nothing.
     """
-    d = items if cols is None else items.select(c.item, *cols)
-    return r.join(d, c.item, "left")
+    d = (items if cols is None else items.select(c.item, *cols)).where(F.col(c.item).isNotNull())
+    counts = r.groupBy(c.item).agg(F.count(F.lit(1)).alias("_item_n"))
+    salt = [c.key] if c.key in r.columns else [x for x in (c.ts, c.user) if x in r.columns] or r.columns
+    return salted_join(r, d.join(counts, c.item, "left"), c.item, "_item_n", salt, hot_rows=hot_rows).drop("_item_n")

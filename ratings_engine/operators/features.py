@@ -61,14 +61,22 @@ def item_stats_table(r: DataFrame, c: Cols = COLS, recent_years: int = 1) -> Dat
         .alias("item_popularity_trend"))
 
 
+def with_item_stats(r: DataFrame, stats: DataFrame | None = None, c: Cols = COLS,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Item stats joined back (salted for hot items)."""
+    s = item_stats_table(r, c) if stats is None else stats
+    return salted_join(r, s, c.item, "item_rating_count", _salt_cols(r, c), hot_rows=hot_rows)
+
+
 def item_features(r: DataFrame, items: DataFrame, stats: DataFrame | None = None,
-                  c: Cols = COLS) -> DataFrame:
-    """Item stats and dimension attributes joined back."""
+                  c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Item stats and dimension attributes joined back
+    (together, salted for hot items)."""
     s = item_stats_table(r, c) if stats is None else stats
     dim = items.select(c.item, fi.title_year_col(c.title).alias("movie_year"),
                        fi.genre_count_col(c.genres).alias("genre_count"),
                        fi.primary_genre_col(c.genres).alias("primary_genre"), c.genres)
-    j = r.join(s, c.item, "left").join(dim, c.item, "left")
+    j = with_item_stats(r, s.join(dim, c.item, "left"), c, hot_rows)
     ry = ft.rating_year_col(c.ts)
     return j.withColumns({
         "rating_year": ry,
@@ -140,18 +148,20 @@ def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool =
                        fi.genre_count_col(c.genres).alias("genre_count"),
                        fi.fill_unknown_col(fi.primary_genre_col(c.genres)).alias("primary_genre"), c.genres)
     # ratings with their (filled) category: for label counts and user x category means
-    r_cat = r.select(c.user, c.item, c.rating).join(dim.select(c.item, "primary_genre"), c.item, "left") \
-        .withColumn("primary_genre", fi.fill_unknown_col("primary_genre"))
+    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # key-sized join
+    salt = _salt_cols(r, c)
+    r_cat = salted_join(r.select(*dict.fromkeys([c.user, c.item, c.rating, *salt])),
+                        items_all.select(c.item, "item_rating_count", "primary_genre"), c.item, "item_rating_count",
+                        salt, hot_rows=hot_rows) \
+        .select(c.user, c.rating, fi.fill_unknown_col("primary_genre").alias("primary_genre"))
     # user x category means folded into the user table as a map (one entry per
     # category the user rated: bounded by the number of categories), so the
     # wide frame is shuffled once for both user-level joins.
     ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("_m")) \
         .groupBy(c.user).agg(F.map_from_entries(F.collect_list(F.struct("primary_genre", "_m"))).alias("_ug"))
     users = user_stats_table(r, c).join(ug, c.user, "left")
-    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # key-sized join
 
     df = rating_order(ft.temporal_features(r, c), c, hot_rows)
-    salt = _salt_cols(df, c)
     # hot users / items are salted (planned without any action): no join task
     # receives all rows of a hot key
     df = salted_join(df, users, c.user, "user_rating_count", salt, hot_rows=hot_rows) \

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..config import COLS, DEFAULTS, Cols
 from ..functions.quantiles import approx_quantiles, exact_quantiles, rounded_stddev
+from .windows import DEFAULT_HOT_ROWS, salted_join
 
 CRITICAL = (COLS.user, COLS.item, COLS.rating, COLS.ts)
 
@@ -141,9 +142,18 @@ def suspicious_users(df: DataFrame, min_n: int = DEFAULTS.suspicious_min_n,
     return s.where((F.col("stddev_rating") < max_sd) | F.col("stddev_rating").isNull())
 
 
-def exclude_users(df: DataFrame, flagged: DataFrame, c: Cols = COLS) -> DataFrame:
-    """Remove flagged users with a left-anti join (no driver-side id list)."""
-    return df.join(flagged.select(c.user), c.user, "left_anti")
+def exclude_users(df: DataFrame, flagged: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Remove the rows of flagged users (no driver-side id list).
+
+    Flagged users are often the busiest ones: where ``flagged`` carries their
+    ``rating_count``, the rows of those above ``hot_rows`` are salted over
+    several join tasks. A NULL user is never removed.
+    """
+    if "rating_count" not in flagged.columns:
+        return df.join(flagged.select(c.user), c.user, "left_anti")
+    gone = flagged.where(F.col(c.user).isNotNull()).groupBy(c.user).agg(F.max("rating_count").alias("_flagged"))
+    salt = [c.key] if c.key in df.columns else [x for x in (c.ts, c.item) if x in df.columns] or df.columns
+    return salted_join(df, gone, c.user, "_flagged", salt, hot_rows=hot_rows).where("_flagged is null").drop("_flagged")
 
 
 def clean(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(COLS.ts, COLS.key),

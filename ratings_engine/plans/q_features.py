@@ -43,17 +43,26 @@ def q_w1_hot(spark, sf):
                     "user_activity_days", "user_rating_deviation")
 
 
-@register("w3_w4_item_features", f"""
+_ITEM_SQL = f"""
 with r as (select * from {{R}} r0),
 m as (select max(year({TS})) as max_year from r),
 s as (select item_id, {rd('avg(rating)', 3)} as item_avg_rating, count(*) as item_rating_count,
              {rd('1.0 * count(*) filter (where year(' + TS + ') >= (select max_year from m) - 1) / count(*)', 4)}
                as item_popularity_trend
       from r group by item_id)
-select row_key, item_avg_rating, item_rating_count, item_popularity_trend from r left join s using (item_id)""")
+select row_key, item_avg_rating, item_rating_count, item_popularity_trend from r left join s using (item_id)"""
+
+
+@register("w3_w4_item_features", _ITEM_SQL)
 def q_w3(spark, sf):
-    r = ratings_view(spark, sf)
-    return r.join(fe.item_stats_table(r), "item_id", "left").select(
+    return fe.with_item_stats(ratings_view(spark, sf)).select(
+        "row_key", "item_avg_rating", "item_rating_count", "item_popularity_trend")
+
+
+@register("w3_w4_item_features_hot_split", _ITEM_SQL)
+def q_w3_hot(spark, sf):
+    """Same as w3 with a hot-item threshold of 20 rows (salted join)."""
+    return fe.with_item_stats(ratings_view(spark, sf), hot_rows=20).select(
         "row_key", "item_avg_rating", "item_rating_count", "item_popularity_trend")
 
 

@@ -56,6 +56,40 @@ def q_s10c(spark, sf):
     return counts
 
 
+@register("s10_publish_counts_bad_rows", """
+select count(*) filter (where rating <> 0.5 and l.item_id % 7 <> 0) as sent,
+       count(*) filter (where rating = 0.5 or l.item_id % 7 = 0) as skipped from {R} l""")
+def q_s10_bad(spark, sf):
+    """Texts that do not cast are skipped: half ratings are written as a word, some items with a letter."""
+    r = ratings_view(spark, sf)
+    text = r.select(F.col("user_id").cast("string").alias("userId"),
+                    F.when(F.col("item_id") % 7 == 0, F.concat(F.lit("i"), "item_id")).otherwise(F.col("item_id").cast("string")).alias("movieId"),
+                    F.when(F.col("rating") == 0.5, "half").otherwise(F.col("rating").cast("string")).alias("rating"),
+                    F.col("ts").cast("string").alias("timestamp"))
+    _, counts = ig.publish_events(text)
+    return counts
+
+
+@register("s13_commit_history", """
+select o_orderstatus as table_name, count(*) as commits, min(cast(epoch(o_orderdate) as bigint)) * 1000 as first_commit_ms,
+       max(cast(epoch(o_orderdate) as bigint)) * 1000 as last_commit_ms,
+       array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') as operations
+from orders where o_orderkey % 11 <> 0 group by o_orderstatus""")
+def q_s13(spark, sf):
+    """Orders written as commit logs, one table per status; each eleventh line is cut off and must be skipped."""
+    base = scratch_path(spark, "commits")
+    commit = F.struct((F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("timestamp"),
+                      F.col("o_orderpriority").alias("operation"))
+    line = F.to_json(F.struct(commit.alias("commitInfo")))
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 11 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    for status, in o.select("o_orderstatus").distinct().collect():   # a handful of codes
+        o.where(F.col("o_orderstatus") == status).select("value").write.text(f"{base}/{status}/_delta_log")
+    h = tb.commit_history(spark, f"{base}/*/_delta_log/*.txt")
+    return h.select(F.element_at(F.split("table_path", "/"), -1).alias("table_name"), "commits", "first_commit_ms",
+                    "last_commit_ms", F.array_join("operations", ",").alias("operations"))
+
+
 @register("p1_parse_ratings", """
 select user_id, item_id, cast(rating as float) as rating, ts from {R} r""")
 def q_p1(spark, sf):

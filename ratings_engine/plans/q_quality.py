@@ -130,9 +130,19 @@ def q_a20(spark, sf):
     return qa.suspicious_users(ratings_view(spark, sf), SUSPICIOUS_MIN_N, SUSPICIOUS_MAX_SD)
 
 
-@register("j7_exclude_users", f"""
+_J7_SQL = f"""
 select * from {{R}} r where user_id not in (
-  select user_id from {{R}} r2 group by user_id having count(*) > {HYPERACTIVE_MIN})""")
+  select user_id from {{R}} r2 group by user_id having count(*) > {HYPERACTIVE_MIN})"""
+
+
+@register("j7_exclude_users_hot_split", _J7_SQL)
+def q_j7_hot(spark, sf):
+    """Same as j7 with a hot-user threshold of 20 rows (salted join)."""
+    r = ratings_view(spark, sf)
+    return qa.exclude_users(r, qa.hyperactive_users(r, HYPERACTIVE_MIN), hot_rows=20)
+
+
+@register("j7_exclude_users", _J7_SQL)
 def q_j7(spark, sf):
     r = ratings_view(spark, sf)
     return qa.exclude_users(r, qa.hyperactive_users(r, HYPERACTIVE_MIN))

@@ -205,20 +205,33 @@ def q_p11(spark, sf):
     return fi.item_features(I(spark, sf))
 
 
-@register("p14_p15_item_age", r"""
+_ITEM_AGE_SQL = r"""
 select r.row_key,
        case when try_cast(nullif(regexp_extract(i.title, '\((\d{4})\)\s*$', 1), '') as int) is null then 0
             else cast(year(epoch_ms(r.ts*1000)) as int)
                  - try_cast(nullif(regexp_extract(i.title, '\((\d{4})\)\s*$', 1), '') as int) end as item_age,
        coalesce(string_split(i.genres, '|')[1], 'Unknown') as primary_genre
-from {R} r left join {I} i on r.item_id = i.item_id""")
-def q_p14(spark, sf):
-    j = fi.with_item_attributes(R(spark, sf), fi.item_features(I(spark, sf)))
+from {R} r left join {I} i on r.item_id = i.item_id"""
+
+
+def _item_age(spark, sf, **hot):
+    j = fi.with_item_attributes(R(spark, sf), fi.item_features(I(spark, sf)), **hot)
     return j.select(C.key,
                     fi.item_age_col(ft.rating_year_col(C.ts), F.col("movie_year")).alias("item_age"),
                     fi.fill_unknown_col("primary_genre").alias("primary_genre"))
 
 
+@register("p14_p15_item_age", _ITEM_AGE_SQL)
+def q_p14(spark, sf):
+    return _item_age(spark, sf)
+
+
+@register("j1_item_age_hot_split", _ITEM_AGE_SQL)
+def q_j1_hot(spark, sf):
+    """Same as p14_p15 with a hot-item threshold of 20 rows (salted join)."""
+    return _item_age(spark, sf, hot_rows=20)
+
+
 # ---------------------------------------------------------------- P22-P24
 
 

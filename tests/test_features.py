@@ -118,3 +118,24 @@ def test_user_category_mean_null_category_and_hot_user(spark):
     for hot in (10, 10_000):
         got = fe.user_category_mean(df, hot_rows=hot)
         assert rows(got, "row_key", "user_genre_avg_rating") == rows(plain, "row_key", "m")
+
+
+def test_item_attributes_salted(spark):
+    """A hot item, an unknown one and a NULL one (which matches nothing) keep all rows once."""
+    data = [(u, 1, 4.0, u, f"h{u}") for u in range(50)] + [(1, 2, 3.0, 5, "x"), (2, 7, 2.0, 6, "y"), (3, None, 1.0, 7, "z")]
+    df = spark.createDataFrame(data, RSCHEMA)
+    dim = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (None, "D")], "item_id int, primary_genre string")
+    want = sorted([(f"h{u}", "A") for u in range(50)] + [("x", "B"), ("y", "-"), ("z", "-")])
+    for hot in (4, 1000):
+        got = fi.with_item_attributes(df, dim, hot_rows=hot)
+        assert got.columns == [*df.columns, "primary_genre"]
+        assert rows(got.fillna("-", ["primary_genre"]), "row_key", "primary_genre") == want
+
+
+def test_item_features_salted(spark):
+    data = [(u, 1, float(u % 5), 86400 * u, f"h{u}") for u in range(50)] + [(1, None, 3.0, 5, "x"), (2, 7, 2.0, 6, "y")]
+    df = spark.createDataFrame(data, RSCHEMA)
+    dim = spark.createDataFrame([(1, "T (1960)", "A|B")], "item_id int, title string, genres string")
+    a, b = (fe.item_features(df, dim, hot_rows=h) for h in (4, 1000))
+    assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {r["row_key"]: r["item_rating_count"] for r in a.collect()}["x"] == 1

@@ -92,6 +92,17 @@ def test_exclude_users_anti_join(spark):
     assert rows(qa.exclude_users(df, flagged), "user_id") == [(1,)]
 
 
+def test_exclude_users_salted(spark):
+    """Busy flagged users are split; a NULL user stays, a flagged user named twice goes once."""
+    data = [(1, 4.0, f"a{i}") for i in range(40)] + [(2, 3.0, "b"), (None, 2.0, "c"), (3, 1.0, "d")]
+    df = spark.createDataFrame(data, "user_id int, rating double, row_key string")
+    flagged = spark.createDataFrame([(1, 40), (1, 3), (3, 1), (None, 1), (9, 5)], "user_id int, rating_count long")
+    for hot in (3, 1000):
+        got = qa.exclude_users(df, flagged, hot_rows=hot)
+        assert got.columns == df.columns
+        assert sorted(r["row_key"] for r in got.collect()) == ["b", "c"]
+
+
 def test_iqr_exact_and_approx(spark):
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("rating"))
     ex = qa.iqr_bounds(df).first()
