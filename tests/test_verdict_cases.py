@@ -10,6 +10,7 @@ from ratings_engine.operators import quality as qa
 from ratings_engine.operators import recsys as rs
 from ratings_engine.operators import split as sp
 from ratings_engine.streaming.ingest import ingest_until
+from tests.conftest import SF_SMALL
 
 RATINGS = "user_id int, item_id int, rating double, ts long, row_key string"
 
@@ -108,3 +109,11 @@ class _DeadQuery:
 def test_a_failed_stream_is_raised():
     with pytest.raises(RuntimeError, match="sink is gone"):
         ingest_until(_DeadQuery(), n_rows=1)
+
+
+def test_fitted_summary_has_every_family(spark):
+    import __spark_entry__ as entry
+    got = {r["metric"]: r["value"] for r in entry.queries()["m13_metrics_summary_fitted"](spark, SF_SMALL).collect()}
+    assert {k.split("_")[0] for k in got} == {"ALS", "Rec", "Cls"}
+    assert all(v is not None and v == v for v in got.values())
+    assert got["ALS_n"] > 0 and got["ALS_rmse"] > 0 and 0 < got["Cls_accuracy"] <= 1
