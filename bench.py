@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def reference_fits(spark, sf_dir: str) -> dict[str, float]:
     """Seconds to fit and score ALS (rank 20, 20 iterations, reg 0.1) and each
     model at its published settings, on all training rows of the split."""
+    from ratings_engine.plans import queries  # noqa: F401  (registers on import)
     from ratings_engine.operators import models as md
     from ratings_engine.operators import recsys as rs
     from ratings_engine.plans.q_eval import split
