@@ -1,29 +1,35 @@
 """Chat formatting by quotation linking, with DataFrame functions only.
 
-A line's quote level is the number of ``>`` marks it begins with. Quoted lines
-are normalised (lower case, letters and digits only, single blanks) and
-hashed; the hash is joined to the first message of the same conversation that
-has the line as its own (level 0). A message replies to the message most of its
-level-1 lines come from (ties: the later one; if it only quotes deeper levels,
-the shallowest counts). Following replies up gives each message its thread and
-depth, and ordering by (thread, depth, turn) puts a conversation in reply
-order. The body keeps the message's own lines, without quotes and without the
-attribution line that announces one.
-
-Originals are reduced to one row per (conversation, line) before the join, so a
-line that many messages share makes no pairs; no window or list spans a
-conversation, so a conversation may hold any share of the rows.
+A line's quote level is the number of ``>`` marks it begins with. Consecutive
+quoted lines of one level are a passage. Passages are normalised to words (lower
+case, letters and digits only), so wrapping does not matter, and hashed as a
+whole and in aligned runs of 1, 2, 4 ... lines. A run is linked to the nearest
+earlier message of the same conversation that holds its words in a row among its
+own (level 0), at any place; messages that hold it as whole lines come first. A
+line goes by the largest linked run it is in. A message replies to the message
+most of its level-1 lines come from (ties: the later one; if it only quotes
+deeper levels, the shallowest counts). Following replies up gives each message
+its thread and depth, and ordering by (thread, depth, turn) puts a conversation
+in reply order. The body keeps the message's own lines, without quotes and
+without the attribution line that announces one.
+
+Own words are looked at only in conversations with quotes: positions whose next
+1, 2, 4 or 8 words begin a run are hashed at that run's length. Origins and
+quotes of one hash meet by turn in slices of ``SLICE`` turns, whose last origins
+are carried over, so no window or list spans a conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import discard, materialize
 
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
 MAX_ROUNDS = 64
+ANCHORS = (8, 4, 2, 1)     # words that a run is first looked up by, as many as it has
+SLICE = 12                 # turns that meet in one window, as a power of two
 
 
 def level(line: Column) -> Column:
@@ -52,6 +58,75 @@ def body(text: Column) -> Column:
     return F.regexp_replace(joined, r"^\n+|\n+$", "")
 
 
+def _runs(rows: DataFrame) -> DataFrame:
+    """(key, conv_id, turn, level, block, j, run, at, words, m): the passages of each message
+    in runs of 2 ** j lines, ``at`` the lines of a run."""
+    quoting = rows.where("conv_id is not null and turn is not null").where(F.col("text").rlike("(?m)" + MARKS))
+    raw = quoting.select("key", "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    raw = raw.select("key", "conv_id", "turn", "at", level(F.col("line")).alias("level"), normalised(F.col("line")).alias("norm"))
+    raw = raw.withColumn("block", F.col("at") - F.row_number().over(Window.partitionBy("key", "level").orderBy("at")))
+    quoted = raw.where("level > 0 and norm <> ''")
+    block = Window.partitionBy("key", "level", "block")
+    quoted = quoted.withColumn("i", F.row_number().over(block.orderBy("at")) - 1).withColumn("size", F.count("*").over(block))
+    tall = quoted.withColumn("j", F.explode(F.sequence(F.lit(0), F.ceil(F.log2("size")).cast("int"))))
+    of = F.array_sort(F.collect_list(F.struct("at", "norm")))
+    runs = tall.groupBy("key", "conv_id", "turn", "level", "block", "j", F.floor(F.col("i") / F.pow(F.lit(2), F.col("j"))).alias("run")).agg(of.alias("of"))
+    return runs.select("key", "conv_id", "turn", "level", "block", "j", "run", F.col("of.at").alias("at"),
+                       F.split(F.array_join("of.norm", " "), " ").alias("words")).withColumn("m", F.size("words"))
+
+
+def _hash(words: Column) -> Column:
+    return F.xxhash64(F.array_join(words, " "))
+
+
+def _held(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """(conv_id, m, hash, turn, whole): messages whose own words hold a run of ``asked(conv_id, a, anchor, m, hash)``."""
+    own = F.filter(F.split("text", "\n"), lambda x: level(x) == 0)
+    own = F.filter(F.transform(own, normalised), lambda x: x != "")
+    messages = (rows.where("turn is not null").join(asked.select("conv_id").distinct(), "conv_id", "left_semi")
+                .select("key", "conv_id", "turn", own.alias("own")).where("size(own) > 0"))
+    # The last word of a line ends in a line break in ``ends``. Written, as a lambda would compute a whole array for each element.
+    messages = materialize(messages.select("key", "conv_id", "turn", F.split(F.array_join("own", " "), " ").alias("w"),
+                                           F.split(F.concat(F.array_join("own", "\n "), F.lit("\n")), " ").alias("ends")), "own")
+    grams = F.array(*(F.struct(F.lit(a).alias("a"), F.when(F.size("w") >= a, F.transform(F.sequence(F.lit(1), F.size("w") - (a - 1)),
+                    lambda p: _hash(F.slice("w", p, a)))).alias("anchors")) for a in ANCHORS))
+    places = (messages.select("key", "conv_id", F.size("w").alias("n"), F.inline(grams))
+              .select("key", "conv_id", "n", "a", F.posexplode("anchors").alias("p", "anchor")))
+    hits = places.join(asked.select("conv_id", "a", "anchor", "m").distinct(), ["conv_id", "a", "anchor"]).where("p + m <= n")
+    hits = hits.groupBy("key").agg(F.collect_set(F.struct("p", "m")).alias("hits"))
+    ends = lambda i: F.coalesce(F.get("ends", i).endswith("\n"), F.lit(True))
+    found = messages.join(hits, "key").select("conv_id", "turn", F.inline(F.transform("hits", lambda x: F.struct(
+        x["m"].alias("m"), _hash(F.slice("w", x["p"] + 1, x["m"])).alias("hash"),
+        (ends(x["p"] - 1) & ends(x["p"] + x["m"] - 1)).alias("whole")))))
+    return (found.join(asked.select("conv_id", "m", "hash").distinct(), ["conv_id", "m", "hash"], "left_semi")
+            .groupBy("conv_id", "m", "hash", "turn").agg(F.max("whole").alias("whole")))
+
+
+def _nearest(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(conv_id, m, hash, turn, origin): the last turn of ``held`` before each turn of ``asked``, those that hold whole lines first."""
+    by = ["conv_id", "m", "hash"]
+    both = held.select(*by, "turn", F.col("turn").alias("any"), F.when(F.col("whole"), F.col("turn")).alias("whole"), F.lit(False).alias("asks")).unionByName(
+        asked.select(*by, "turn", F.lit(None).cast("bigint").alias("any"), F.lit(None).cast("bigint").alias("whole"), F.lit(True).alias("asks")).distinct())
+    both = both.withColumn("slice", F.shiftright("turn", SLICE))
+    inside = Window.partitionBy(*by, "slice").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    near = both.select(*by, "slice", "turn", "asks", F.max("any").over(inside).alias("any"), F.max("whole").over(inside).alias("whole")).where("asks")
+    carried = both.groupBy(*by, "slice").agg(F.max("any").alias("any"), F.max("whole").alias("whole"))
+    carried = carried.select(*by, "slice", F.max("any").over(before).alias("any0"), F.max("whole").over(before).alias("whole0"))
+    return near.join(carried, [*by, "slice"]).select(*by, "turn", F.coalesce("whole", "whole0", "any", "any0").alias("origin")).where("origin is not null")
+
+
+def _linked_lines(rows: DataFrame) -> DataFrame:
+    """(key, conv_id, turn, level, at, origin): quoted lines found in an earlier message."""
+    runs = _runs(rows)
+    a = F.coalesce(*(F.when(F.col("m") >= k, F.lit(k)) for k in ANCHORS))
+    runs = runs.withColumn("a", a).withColumn("anchor", _hash(F.slice("words", 1, F.col("a")))).withColumn("hash", _hash(F.col("words"))).drop("words")
+    runs = materialize(runs, "runs")
+    origins = _nearest(runs, _held(rows, runs))
+    return (runs.join(origins, ["conv_id", "m", "hash", "turn"]).select("key", "conv_id", "turn", "level", "j", "origin", F.explode("at").alias("at"))
+            .groupBy("key", "conv_id", "turn", "level", "at").agg(F.max_by("origin", "j").alias("origin")))
+
+
 def link_quotes(conversations: DataFrame) -> DataFrame:
     """``conversations(conv_id, turn, role, text)`` -> per row (conv_id, turn,
     role, n_lines, n_quoted, n_linked, max_level, reply_to, thread, depth, body).
@@ -68,11 +143,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
                                 F.col("role").cast("string").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = materialize(rows.withColumn("key", F.monotonically_increasing_id()), "messages")
     long = lines(rows)
-    quoted = long.where("level > 0")
-    first = (long.where("level = 0 and conv_id is not null and turn is not null")
-             .groupBy("conv_id", "norm").agg(F.min("turn").alias("origin")))
-    linked = (quoted.join(first, ["conv_id", "norm"]).where("origin < turn")
-              .groupBy("key", "conv_id", "turn", "level", "origin").agg(F.count("*").alias("n")))
+    linked = _linked_lines(rows).groupBy("key", "conv_id", "turn", "level", "origin").agg(F.count("*").alias("n"))
     linked = materialize(linked, "linked")
     parent = linked.groupBy("key", "conv_id", "turn").agg(
         F.sum("n").alias("n_linked"), F.max_by("origin", F.struct(-F.col("level"), F.col("n"), F.col("origin"))).alias("reply_to"))
@@ -98,7 +169,8 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
                       "reply_to", F.coalesce("top", "turn").alias("thread"), number("depth"), body(F.col("text")).alias("body"))
 
 
-# The same in DuckDB, where a recursive query follows the replies.
+# In DuckDB, by whole lines and their first message; a recursive query follows the replies.
+# It agrees with the above where no line has two originals and quotes keep their lines.
 SQL = r"""
 with recursive messages as (
   select row_number() over () as key, cast(conv_id as bigint) conv_id, cast(turn as bigint) turn, cast(role as varchar) as role, coalesce(text, '') as text

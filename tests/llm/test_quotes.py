@@ -61,6 +61,28 @@ def test_duckdb_agrees(spark, rows):
     assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=key) == sorted(want.fetchall(), key=key)
 
 
+REPEATED = [
+    (1, 1, "a", "Good morning all"),
+    (1, 2, "b", "The report is due on Friday"),
+    (1, 7, "c", "Good morning all\nThe report is due on Friday\nPlease send\nyour part to Kim before noon"),
+    (1, 8, "d", "Good morning all\nno news"),
+    (1, 9, "e", "> Good morning all\n> The report is due on Friday\nok"),             # 7 holds both, 8 one
+    (1, 10, "f", "> please send your part\n> to Kim\n> before noon\nok"),             # wrapped anew
+    (1, 11, "g", "> your part to Kim\nok"),                                            # part of a line
+    (1, 12, "h", "> The report is due on Friday\n> [...]\n> nobody said this\nok"),    # one line of two
+    (1, 5000, "i", "no news"),
+    (1, 9000, "j", "> no news\nok"),
+    (1, 9001, "k", "> Good morning all\n\n> no news"),                                 # two passages, the later origin
+    (1, 9002, "l", "say no news here"),
+    (1, 9003, "m", "> no news\nok"),                                                   # the message of this line, not the nearer mention
+]
+
+
+def test_nearest_message_that_holds_the_passage(spark):
+    got = {r["turn"]: (r["reply_to"], r["n_quoted"], r["n_linked"]) for r in _rows(spark, REPEATED).collect() if r["n_quoted"]}
+    assert got == {9: (7, 2, 2), 10: (7, 3, 3), 11: (7, 1, 1), 12: (7, 2, 1), 9000: (5000, 1, 1), 9001: (5000, 2, 2), 9003: (5000, 1, 1)}
+
+
 def test_no_python_in_the_plan(spark):
     plan = _rows(spark, ROWS)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
