@@ -2,20 +2,29 @@
 sanitisation of the terms around them.
 
 The pattern spans (email, ip, card, phone) are the protected entities. A term
-in the same context can give an entity away without naming it. What a term t
-reveals of an entity e is estimated from the corpus:
+of a document that holds an entity can give it away without naming it. What a
+term t reveals of an entity e is estimated from the corpus:
 
     PMI(e, t) = log(N * df(e, t) / (df(e) * df(t)))     IC(e) = log(N / df(e))
 
 with document frequencies over all N documents. A term whose share PMI / IC is
-``DISCLOSURE`` or more, seen with the entity in ``SUPPORT`` or more different
-contexts, is a span of kind ``term``. Contexts are compared by their words, so
-copies of one passage count as one.
+``DISCLOSURE`` or more is disclosing if its co-occurrence is no chance: of the n
+contexts of e, k lie in documents with t, and by the Chernoff bound so many have
+probability exp(-n KL(k/n, df(t)/N)) at most, which over all pairs tested must
+stay under ``RISK``. A context is the words around the entity (``REACH`` to either
+side), so copies of one passage count as one. Every occurrence of a disclosing term in
+every document is a span of kind ``term``, also where the entity is not spelled out.
+
+The share of a pair is under ``DISCLOSURE`` whenever df(t) is above
+N * (df(e) / N) ** DISCLOSURE, so pairs are formed only below it. The set of
+disclosing terms (8 bytes each) is broadcast.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
@@ -24,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import discard, materialize
-from .spans import digest, in_order
+from .spans import digest, in_order, inside
 from .text import Vocab, map_batches, signed
 
-DISCLOSURE, SUPPORT, REACH = 0.75, 3, 8
+DISCLOSURE, RISK, REACH = 0.75, 0.05, 8
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -37,6 +46,7 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\x20\x09-\x0D]+")
+BLANKS = "\x20\t\n\v\f\r"
 EDGES = ".,;:!?()[]{}\"'<>|*#&%$"
 
 
@@ -98,33 +108,44 @@ def _hash(s: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _contexts(text: str, found: dict):
-    """(entity, term, context, start, end) for the terms within REACH words of each entity."""
+def _outside(text: str, found: dict) -> tuple[list, list, list]:
+    """(entity spans, word spans, those of the words that meet no entity)."""
     spans = sorted((s, e) for v in found.values() for s, e in v)
-    if not spans:
-        return
     words = [m.span() for m in TERM.finditer(text)]
-    starts = [s for s, _ in words]
+    out, at, end = [], 0, 0
+    for a, b in words:
+        while at < len(spans) and spans[at][0] < b:
+            end = max(end, spans[at][1])
+            at += 1
+        if end <= a:
+            out.append((a, b))
+    return spans, words, out
+
+
+def _seen(text: str, found: dict) -> tuple[list, list]:
+    """Distinct (entity, context) and distinct terms of a document."""
+    spans, words, free = _outside(text, found)
+    if not spans:
+        return [], []
+    starts, around = [s for s, _ in words], set(free)
+    near = set()
     for s, e in spans:
-        first, last = np.searchsorted(starts, s, "right") - 1, np.searchsorted(starts, e - 1, "right")
-        around = [i for i in (*range(max(0, first - REACH), first), *range(last, min(len(words), last + REACH)))
-                  if not any(a < words[i][1] and words[i][0] < b for a, b in spans)]
-        context = _hash(" ".join(text[words[i][0]:words[i][1]] for i in around))
-        for i in around:
-            term, left = _clean(text[words[i][0]:words[i][1]])
-            if len(term) >= 4:
-                yield _hash(text[s:e].lower()), _hash(term.lower()), context, words[i][0] + left, words[i][0] + left + len(term)
+        first, last = bisect_right(starts, s) - 1, bisect_right(starts, e - 1)
+        context = [w for w in (*words[max(0, first - REACH):first], *words[last:last + REACH]) if w in around]
+        near.add((_hash(text[s:e].lower()), _hash(" ".join(text[a:b] for a, b in context))))
+    terms = {_clean(text[a:b])[0].lower() for a, b in free}
+    return sorted(near), sorted(map(_hash, terms - {""}))
 
 
-def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(t, df): documents that hold each of ``terms``, over the whole corpus."""
+def _term_counts(docs: DataFrame) -> DataFrame:
+    """(t, df): documents that hold each term, over the whole corpus."""
 
     def run(batches):
         vocab, parts, size = _TermVocab(), [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    parts.append(np.unique(vocab.hashes(text.encode("utf-8", "surrogatepass").split())))
+                    parts.append(np.unique(vocab.hashes(list(set(text.encode("utf-8", "surrogatepass").split())))))
                     size += len(parts[-1])
             if size > 1_000_000:
                 yield _counted(parts)
@@ -132,8 +153,7 @@ def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
         if parts:
             yield _counted(parts)
 
-    counts = map_batches(docs.select("text"), run, "t bigint, df bigint")
-    return counts.join(terms, "t", "left_semi").groupBy("t").agg(F.sum("df").alias("df"))
+    return map_batches(docs.select("text"), run, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df"))
 
 
 class _TermVocab(Vocab):
@@ -150,53 +170,99 @@ def _counted(parts):
     return {"t": signed(t), "df": n}
 
 
-def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(doc_id, s, e): term spans above the disclosure threshold."""
+def disclosing(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms above the disclosure threshold, over the whole corpus."""
+
+    def run(batches):
+        for batch in batches:
+            rows = [r for text in batch.column(0).to_pylist() if text and (r := _seen(text, entities(text)))[0]]
+            yield {"near": [[{"e": e, "context": c} for e, c in near] for near, _ in rows], "ts": [t for _, t in rows]}
+
     total = docs.count()
-    pairs = seen.groupBy("e", "t").agg(F.countDistinct("doc_id").alias("df_et"), F.countDistinct("context").alias("contexts"))
-    pairs = pairs.where(F.col("contexts") >= SUPPORT)
-    df_e = seen.groupBy("e").agg(F.countDistinct("doc_id").alias("df_e"))
-    df_t = _term_counts(docs, pairs.select("t").distinct())
+    scan = map_batches(docs.select("text"), run, "near array<struct<e:bigint,context:bigint>>, ts array<bigint>")
+    scan = materialize(scan.withColumn("key", F.monotonically_increasing_id()), "pii")
+    of = scan.select("key", F.inline("near"))
+    df_e = of.groupBy("e").agg(F.countDistinct("key").alias("df_e"), F.countDistinct("context").alias("n_e")).where(F.col("df_e") < total)
+    df_e = materialize(df_e, "entities")
+    top = df_e.agg(F.max("df_e")).first()[0]
+    if top is None:
+        discard(scan, df_e)
+        return np.empty(0, np.int64)
+    tests = scan.agg(F.sum(F.size(F.array_distinct("near.e")).cast("double") * F.size("ts"))).first()[0]
+    most = lambda n: total * F.pow(n / total, F.lit(DISCLOSURE)) * (1 + 1e-9)
+    df_t = _term_counts(docs).where(F.col("df") <= most(F.lit(top)))
+    held = scan.select("key", F.explode("ts").alias("t")).join(df_t, "t")
+    pairs = held.join(of.join(df_e, "e"), "key").where(F.col("df") <= most(F.col("df_e"))).groupBy("e", "t").agg(
+        F.countDistinct("key").alias("df_et"), F.countDistinct("context").alias("contexts"), *(F.first(c).alias(c) for c in ("df", "df_e", "n_e")))
     share = F.log(F.lit(total) * F.col("df_et") / (F.col("df_e") * F.greatest("df", "df_et"))) / F.log(F.lit(total) / F.col("df_e"))
-    high = pairs.join(df_e, "e").join(df_t, "t").where(F.lit(total) > F.col("df_e")).where(share >= DISCLOSURE).select("e", "t")
-    return seen.join(high, ["e", "t"], "left_semi").select("doc_id", "s", F.col("f").alias("e")).distinct()
+    n = F.least("df_e", "n_e")
+    x = F.least("df_et", "contexts") / n
+    q = F.least(F.col("df") / total, x)
+    chance = n * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
+    terms = pairs.where(share >= DISCLOSURE).where(chance >= math.log(max(1.0, tests or 0) / RISK)).select("t").distinct()
+    out = np.sort(terms.toPandas()["t"].to_numpy(np.int64))
+    discard(scan, df_e)
+    return out
+
+
+class _Disclosing(dict):
+    """Word -> whether its term is in the set; starts anew past ``limit`` words."""
+
+    def __init__(self, terms: np.ndarray, limit: int = 1 << 18):
+        super().__init__()
+        self.terms, self.limit = memoryview(terms), limit
+
+    def __missing__(self, word: bytes) -> bool:
+        h = _hash(_clean(word.decode("utf-8", "surrogatepass"))[0].lower())
+        at = bisect_left(self.terms, h)
+        yes = self[word] = at < len(self.terms) and self.terms[at] == h
+        return yes
+
+    def spans(self, text: str, found: dict) -> list[tuple[int, int]]:
+        """Every occurrence in a text, outside its entities."""
+        if len(self) > self.limit:
+            self.clear()
+        if not len(self.terms):
+            return []
+        words = {w for w in set(text.encode("utf-8", "surrogatepass").split()) if self[w]}
+        if not words:
+            return []
+        taken, out = sorted(s for v in found.values() for s in v), []
+        for word in words:
+            word = word.decode("utf-8", "surrogatepass")
+            term, left = _clean(word)
+            at = text.find(word)
+            while at >= 0:
+                end = at + len(word)
+                if (not at or text[at - 1] in BLANKS) and (end == len(text) or text[end] in BLANKS) and not inside(taken, at, end):
+                    out.append((at + left, at + left + len(term)))
+                at = text.find(word, end)     # a word with blanks around it does not overlap itself
+        return sorted(out)
 
 
 def scan_pii(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> per row (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms).
 
     ``spans`` lists base and term spans of the whole text (code points, end
-    exclusive), ``terms`` the term spans alone. Null and empty texts have none.
-    A row without doc_id has its base spans only; rows that repeat a doc_id
-    with one text share their term spans.
+    exclusive), ``terms`` the term spans alone, null if there are none. Null and
+    empty texts have none. Each row counts as a document, whatever its doc_id.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    terms = docs.sparkSession.sparkContext.broadcast(disclosing(docs))
 
     def run(batches):
+        marks = _Disclosing(terms.value)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in batch.column(1).to_pylist():
                 found = entities(text or "")
-                near = list(_contexts(text, found)) if doc is not None and any(found.values()) else []
-                rows.append((*(len(v) for v in found.values()), digest(found), ",".join(in_order(found)),
-                             [dict(zip(("e", "t", "context", "s", "f"), x)) for x in near]))
-            yield {"doc_id": batch.column(0)} | dict(zip(("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"), list(zip(*rows)) or [[]] * 7))
-
-    scan = materialize(map_batches(docs, run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
-                                   "base string, near array<struct<e:bigint,t:bigint,context:bigint,s:bigint,f:bigint>>"), "pii")
-    terms = disclosing(docs, scan.select("doc_id", F.inline("near")))
-    per_doc = terms.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("s", F.col("e").alias("f")))).alias("terms"))
-    rank = {k: i for i, k in enumerate(("email", "ip", "card", "phone", "term"))}
-    base = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.struct(
-        F.split_part(x, F.lit(":"), F.lit(2)).cast("bigint").alias("s"),
-        F.element_at(F.create_map(*(F.lit(v) for kv in rank.items() for v in kv)), F.split_part(x, F.lit(":"), F.lit(1))).alias("k"),
-        F.split_part(x, F.lit(":"), F.lit(3)).cast("bigint").alias("f"), x.alias("label")))
-    term = F.transform("terms", lambda x: F.struct(x["s"].alias("s"), F.lit(rank["term"]).alias("k"), x["f"].alias("f"),
-                                                   F.concat_ws(":", F.lit("term"), x["s"], x["f"]).alias("label")))
-    both = F.transform(F.array_sort(F.concat(base, F.coalesce(term, F.array().cast("array<struct<s:bigint,k:int,f:bigint,label:string>>")))), lambda x: x["label"])
-    return scan.drop("near").join(per_doc, "doc_id", "left").select(
-        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
-        F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_join(both, ",")).alias("spans"), "terms")
+                term = marks.spans(text or "", found)
+                rows.append((*(len(v) for v in found.values()), digest(found), ",".join(in_order(found | {"term": term})),
+                             [{"s": s, "f": f} for s, f in term] or None))
+            yield {"doc_id": batch.column(0)} | dict(zip(("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "terms"), list(zip(*rows)) or [[]] * 7))
+
+    return map_batches(docs, run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
+                       "spans string, terms array<struct<s:bigint,f:bigint>>")
 
 
 def _sanitised(text: str, spans: str) -> str:
@@ -215,19 +281,18 @@ def _sanitised(text: str, spans: str) -> str:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``; rows and columns stay."""
-    found = scan_pii(docs).where("spans <> '' and terms is not null").select(
-        F.col("doc_id").alias("_id"), F.transform("terms", lambda x: F.concat_ws(":", F.lit("term"), x["s"], x["f"])).alias("_terms")).dropDuplicates(["_id"])
-    wide = docs.join(found, docs["doc_id"] == F.col("_id"), "left").select(
-        *(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.struct("text", "_terms").alias("_body"))
+    terms = docs.sparkSession.sparkContext.broadcast(disclosing(docs))
+    made = []
 
     @F.pandas_udf("string")
-    def clean(body):
+    def clean(texts: pd.Series) -> pd.Series:
+        if not made:
+            made.append(_Disclosing(terms.value))
         out = []
-        for text, terms in zip(body["text"], body["_terms"]):
-            labels = in_order(entities(text)) if text else []
-            labels += list(terms) if terms is not None else []
+        for text in texts:
+            found = entities(text) if text else {}
+            labels = in_order(found | {"term": made[0].spans(text, found)}) if text else []
             out.append(_sanitised(text, ",".join(labels)) if labels else text)
         return pd.Series(out, dtype=object)
 
-    cleaned = wide.withColumn("_clean", clean("_body"))
-    return cleaned.select(*(F.col("_clean").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    return docs.withColumn("text", clean("text"))

@@ -247,6 +247,19 @@ def test_disclosing_terms(spark, make_docs):
         assert terms == (["kestrel"] if r["doc_id"] < 100 else [])
 
 
+def test_terms_are_marked_wherever_they_stand(spark, make_docs):
+    """Far from the entity, in documents without it, and short ones; a rare word of one document is not enough."""
+    rows = [(i, f"K7 {prose(30, i)} jo.do@mail.example.com from common{i % 2} {prose(30, 40 + i)} kestrel once{i}") for i in range(8)]
+    rows += [(50, f"{prose(20, 120)} (Kestrel) and K7, again")]
+    rows += [(100 + i, f"{prose(30, 60 + i)} wrote from common0 common1") for i in range(120)]
+    for r in pii.scan_pii(make_docs(rows)).collect():
+        text = dict(rows)[r["doc_id"]]
+        terms = [text[x["s"]:x["f"]] for x in r["terms"] or ()]
+        assert terms == ([] if r["doc_id"] >= 100 else ["Kestrel", "K7"] if r["doc_id"] == 50 else ["K7", "kestrel"])
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(rows)).collect()}
+    assert "estrel" not in cleaned[50] and "K7" not in cleaned[50]
+
+
 def test_op10(spark, texts, monkeypatch):
     got = _query(spark, "op10_lm_score")
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
