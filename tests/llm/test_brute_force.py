@@ -260,6 +260,13 @@ def test_terms_are_marked_wherever_they_stand(spark, make_docs):
     assert "estrel" not in cleaned[50] and "K7" not in cleaned[50]
 
 
+def test_two_contexts_are_enough_where_no_chance(spark, make_docs):
+    """A short name in both of an address's documents, of 3000."""
+    rows = [(i, f"Wu {prose(12, i)} jo.do@mail.example.com") for i in range(2)] + [(10 + i, prose(12, i % 150)) for i in range(3000)]
+    got = {r["doc_id"]: [dict(rows)[r["doc_id"]][x["s"]:x["f"]] for x in r["terms"] or ()] for r in pii.scan_pii(make_docs(rows)).collect()}
+    assert got == {i: ["Wu"] if i < 2 else [] for i in got}
+
+
 def test_op10(spark, texts, monkeypatch):
     got = _query(spark, "op10_lm_score")
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
