@@ -1,9 +1,8 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Training tokens are counted over the whole corpus. Word counts are kept
-exactly. A word pair seen ``MIN_PAIR`` times or more enters a Bloom filter once
-for each level up to floor(log2(count)); a reader probes level after level until
-one is missing, so the filter holds quantised counts without holding the pairs.
+exactly. Every word pair enters a Bloom filter once for each level up to
+floor(log2(count)) + 1; a reader probes level after level until one is missing, so the filter holds quantised counts without holding the pairs.
 Counts and filter are gathered in blocks by hash: a block's pairs are counted
 in one task and fill a slice of the filter that is sized by their number, so
 the filter grows with the corpus and its error does not (about 0.4 % per
@@ -32,7 +31,7 @@ BLOCK_TOKENS = 2_000_000        # training tokens per block, on average
 FLUSH = 3_000_000               # tokens that a task counts before it passes them on
 CHUNK = 1_000_000               # characters scored together
 BITS, HASHES = 11.6, 8          # bits per entry and probes: 0.4 % false positives
-MIN_PAIR, WEIGHT = 2, 0.4
+WEIGHT = 0.4
 END, BEGIN = b"", b"\n"         # no word equals either
 
 
@@ -104,8 +103,8 @@ def word_counts(train: DataFrame, blocks: int) -> DataFrame:
 
 
 def _levels(c: np.ndarray) -> np.ndarray:
-    """floor(log2(count)): the levels that a pair enters, 0 under MIN_PAIR."""
-    return np.where(c >= MIN_PAIR, np.frexp(c.astype(np.float64))[1] - 1, 0)
+    """floor(log2(count)) + 1: the levels that a pair enters."""
+    return np.frexp(c.astype(np.float64))[1].astype(np.int64)
 
 
 def _bits(h: np.ndarray, level, i: int, size) -> np.ndarray:
@@ -159,7 +158,7 @@ class Model:
         return np.where(self.h[at] == h, self.c[at], 0).astype(np.float64)
 
     def quantised(self, h: np.ndarray) -> np.ndarray:
-        """2 ** level of each pair by repeated probes, 0 for pairs that the filter lacks."""
+        """2 ** (level - 1) of each pair by repeated probes, 0 for pairs that the filter lacks."""
         block = np.searchsorted(self.cuts, h, "right")
         size, start = self.size[block], self.start[block]
         out, alive, level = np.zeros(len(h)), np.arange(len(h)), 1
@@ -169,7 +168,7 @@ class Model:
                 alive = alive[self.bits[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1 == 1]
                 if not len(alive):
                     break
-            out[alive] = 2.0 ** level
+            out[alive] = 2.0 ** (level - 1)
             level += 1
         return out
 

@@ -293,6 +293,13 @@ def test_filter_holds_quantised_counts():
     assert (m.quantised(rng.integers(0, 1 << 63, 20000).astype(np.uint64)) > 0).mean() < 0.01
 
 
+def test_filter_holds_pairs_seen_once():
+    h = np.random.default_rng(4).integers(0, 1 << 63, 20000).astype(np.uint64)
+    m = lm_score.Model([], [(0, lm_score.slice_of(h, np.ones(20000, np.int64)).tobytes())], 1, 1, 1)
+    got = m.quantised(h)
+    assert (got >= 1).all() and (got == 1).mean() > 0.98
+
+
 def test_probabilities_of_a_context_sum_to_one_at_most():
     words = {b"a": 6, b"b": 5, b"c": 3, b"": 2}
     n, v = sum(words.values()), len(words)
