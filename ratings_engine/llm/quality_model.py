@@ -26,6 +26,7 @@ from .text import MIX, map_batches, mixed, words_of
 BUCKETS = 1 << 18
 SAME, SAME_NEXT = 0, 1
 CHUNK = 500_000     # characters scored together
+LONG, PIECE = 64, 1 << 16   # bytes of a word that is not kept, characters of a long word hashed at once
 
 
 @dataclass(frozen=True)
@@ -38,29 +39,47 @@ class Training:
     seed: int = 7
 
 
-def word_buckets(words: list[bytes], grams: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, word position) of all features of ``words``: the word itself and
-    its character n-grams, with < and > as its ends (words are cut at 64 bytes for these)."""
+def word_buckets(words: list[bytes], grams: tuple):
+    """Yields (buckets, word position) of all features of ``words``: the words themselves and their
+    character n-grams, with < and > as ends. Long words come in pieces that overlap by an n-gram
+    less one character; about ``CHUNK`` characters are hashed at a time."""
     own = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint64, len(words))
-    marked = ["<" + w[:64].decode("utf-8", "replace") + ">" for w in words]
-    size = np.fromiter(map(len, marked), np.int64, len(words))
-    point = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    word = np.repeat(np.arange(len(words)), size)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(point))     # characters from here to the word's end
-    buckets, of = [mixed(own)], [np.arange(len(words))]
+    yield _bucket(own), np.arange(len(words))
+    pieces, of, size = [], [], 0
+    for i, w in enumerate(words):
+        marked = "<" + w.decode("utf-8", "replace") + ">"
+        for at in range(0, len(marked), PIECE):
+            pieces.append(marked[at:at + PIECE + max(grams) - 1])
+            of.append(i)
+            size += len(pieces[-1])
+            if size > CHUNK:
+                yield from _gram_buckets(pieces, of, grams)
+                pieces, of, size = [], [], 0
+    if pieces:
+        yield from _gram_buckets(pieces, of, grams)
+
+
+def _gram_buckets(pieces: list[str], of: list[int], grams: tuple):
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    point = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    piece = np.repeat(np.arange(len(pieces)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(point))     # characters from here to the piece's end
+    starts = size[piece] - left < PIECE                                 # what follows starts in the next piece
     for k in grams:
-        at = np.flatnonzero(left >= k)
+        at = np.flatnonzero((left >= k) & starts)
         h = np.full(len(at), k, np.uint64)
         for j in range(k):
             h = h * MIX + point[at + j]
-        buckets.append(mixed(h))
-        of.append(word[at])
-    return (np.concatenate(buckets) % np.uint64(BUCKETS - 2)).astype(np.int64) + 2, np.concatenate(of)
+        yield _bucket(h), np.asarray(of)[piece[at]]
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (mixed(h) % np.uint64(BUCKETS - 2)).astype(np.int64) + 2
 
 
 class Features(dict):
     """Word -> dense id; ``parts[id]`` are the buckets of the word and its character n-grams.
-    Starts anew past ``limit`` words, between two documents."""
+    Starts anew past ``limit`` words, between two documents; words over LONG bytes are forgotten there."""
 
     def __init__(self, grams=(3, 4), limit: int = 1 << 18):
         super().__init__()
@@ -69,19 +88,28 @@ class Features(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.parts = []
+        self.parts, self.n, self.long = [], 0, []
 
-    def learn(self, buckets: np.ndarray, of: np.ndarray, n: int) -> None:
+    def learn(self, found, n: int) -> None:
+        """The next ``n`` words, of which ``found`` yields (buckets, word position)."""
+        buckets, of = map(np.concatenate, zip(*found))
         order = np.argsort(of, kind="stable")
         self.parts += np.split(buckets[order], np.cumsum(np.bincount(of, minlength=n))[:-1])
 
+    def forget(self, at: int) -> None:
+        self.parts[at] = np.empty(0, np.int64)
+
     def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
+        if self.n > self.limit:
             self.reset()
+        for w in self.long:
+            self.forget(self.pop(w))
         new = [w for w in set(words) if w not in self]
+        self.long = [w for w in new if len(w) > LONG]
         if new:
-            self.update(zip(new, range(len(self), len(self) + len(new))))
-            self.learn(*word_buckets(new, self.grams), len(new))
+            self.update(zip(new, range(self.n, self.n + len(new))))
+            self.n += len(new)
+            self.learn(word_buckets(new, self.grams), len(new))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
@@ -93,16 +121,21 @@ class _Scored(Features):
         super().__init__(grams)
 
     def reset(self) -> None:
-        self.clear()
+        super().reset()
         self.sums, self.sizes = np.empty(0), np.empty(0)
 
-    def learn(self, buckets, of, n) -> None:
-        at = len(self) - n
-        if len(self) > len(self.sums):
-            grow = np.zeros(len(self) + len(self.sums) // 2)
+    def learn(self, found, n) -> None:
+        at = self.n - n
+        if self.n > len(self.sums):
+            grow = np.zeros(self.n + len(self.sums) // 2)
             self.sums, self.sizes = np.append(self.sums[:at], grow), np.append(self.sizes[:at], grow)
-        self.sums[at:len(self)] = np.bincount(of, self.shares[buckets], n)
-        self.sizes[at:len(self)] = np.bincount(of, minlength=n)
+        self.sums[at:self.n] = self.sizes[at:self.n] = 0
+        for buckets, of in found:
+            self.sums[at:self.n] += np.bincount(of, self.shares[buckets], n)
+            self.sizes[at:self.n] += np.bincount(of, minlength=n)
+
+    def forget(self, at: int) -> None:
+        pass    # two numbers a word stay until the reset
 
     def logits(self, texts: list, bias: float) -> np.ndarray:
         """The logit of each text; the words of all are looked up together."""

@@ -311,3 +311,20 @@ def test_probabilities_of_a_context_sum_to_one_at_most():
 def test_training_needs_no_labels(spark, make_docs):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in quality_model.score(make_docs([(1, "a b"), (2, None)]), empty).collect()} == {0.5}
+
+
+def test_long_words_count_whole(monkeypatch):
+    """Every n-gram once, across pieces, and the end of a text without blanks changes its score."""
+    monkeypatch.setattr(quality_model, "PIECE", 50)
+    def pairs(word):
+        buckets = [b for part, _ in quality_model.word_buckets([word.encode()], (3, 4)) for b in part]
+        return len(buckets), collections.Counter(buckets)
+    word = "".join(chr(0x4E00 + i % 1500) for i in range(1237))
+    cut = pairs(word)
+    assert cut[0] == 1 + (1239 - 2) + (1239 - 3)
+    monkeypatch.setattr(quality_model, "PIECE", 1 << 16)
+    assert pairs(word) == cut
+    shares = np.random.default_rng(1).normal(size=quality_model.BUCKETS)
+    scored = quality_model._Scored(shares, (3, 4))
+    a, b = (float(scored.logits([word[:300] + end], 0.0)[0]) for end in ("好" * 400, "坏" * 400))
+    assert a != b and scored.logits([word[:300] + "好" * 400, "x"], 0.0)[0] == pytest.approx(a) and sum(len(w) > 64 for w in scored) == 1
