@@ -3,8 +3,9 @@
 Strong spans (assignments, access identifiers, long hex) are always reported.
 Weak candidates -- something that could be an identifier, a secret or an
 endpoint -- mean little alone. They are joined by interval within a scope: each
-part reaches ``SCOPE`` code points to either side, and a weak candidate is
-reported only if the parts that complete it reach it too:
+part reaches ``SCOPE`` code points to either side and, in a block of several lines
+(blank lines end it), the whole block; a weak candidate is reported only if the
+parts that complete it reach it too:
 
     weak secret    needs an identifier or an endpoint
     weak identifier needs a secret
@@ -27,6 +28,7 @@ from .spans import digest, in_order, inside
 from .text import map_batches
 
 SCOPE = 240
+BLANK = re.compile(r"\n(?:[\x20\t\r]*\n)+")
 
 # Fixed patterns of the base kinds; the letters of the key names in either case.
 KEY = re.compile(r"(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in k) for k in
@@ -36,9 +38,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 # Weak candidates: a named identifier, a mixed token, a URL or host with port or a named endpoint.
-WEAK_ID = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,128})""", re.I | re.A)
+WEAK_ID = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""", re.I | re.A)
 WEAK_SECRET = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-WEAK_ENDPOINT = re.compile(r"""\b(?:(?:https?|ftp|jdbc:[a-z]{1,32}|postgres(?:ql)?|mysql|redis|amqp|s3)://[^\s"'<>]{3,2048}|(?:host|server|endpoint|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,253}(?::[0-9]{2,5})?)""", re.I | re.A)
+WEAK_ENDPOINT = re.compile(r"""\b(?:(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqp|s3)://[^\s"'<>]{3,}|(?:host|server|endpoint|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}(?::[0-9]{2,5})?)""", re.I | re.A)
 
 
 def strong_spans(text: str) -> dict[str, list[tuple[int, int]]]:
@@ -55,12 +57,29 @@ def _mixed(token: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(token).values()) >= 3.5
 
 
+class _Blocks:
+    """The blocks of a text: what lies between blank lines."""
+
+    def __init__(self, text: str):
+        self.text, gaps = text, [m.span() for m in BLANK.finditer(text)]
+        self.starts, self.ends = [0, *(e for _, e in gaps)], [*(s for s, _ in gaps), len(text)]
+        self.lined = {}
+
+    def scope(self, start: int, end: int) -> tuple[int, int]:
+        i, j = bisect_right(self.starts, start) - 1, max(0, bisect_right(self.starts, end - 1) - 1)
+        if i not in self.lined:
+            self.lined[i] = "\n" in self.text[self.starts[i]:self.ends[i]].strip()
+        if not self.lined[i]:
+            return start - SCOPE, end + SCOPE
+        return min(start - SCOPE, self.starts[i]), max(end + SCOPE, self.ends[j])
+
+
 class _Reach:
     """Sorted, merged intervals for one kind of part; ``near`` is the interval join's probe."""
 
-    def __init__(self, spans):
+    def __init__(self, spans, blocks: _Blocks):
         self.starts, self.ends = [], []
-        for s, e in sorted((s - SCOPE, e + SCOPE) for s, e in spans):
+        for s, e in sorted(blocks.scope(s, e) for s, e in spans):
             if self.ends and s <= self.ends[-1]:
                 self.ends[-1] = max(self.ends[-1], e)
             else:
@@ -81,8 +100,9 @@ def linked_spans(text: str, strong: dict) -> dict[str, list[tuple[int, int]]]:
         return {"weak_id": [], "weak_secret": [], "weak_endpoint": []}
     ids, ends = free(m.span() for m in WEAK_ID.finditer(text)), free(m.span() for m in WEAK_ENDPOINT.finditer(text))
     secrets = [s for s in secrets if not inside(ids, *s) and not inside(ends, *s)]
-    id_reach, end_reach = _Reach(ids + strong["access"]), _Reach(ends)
-    secret_reach = _Reach(secrets + strong["assign"] + strong["hex"])
+    blocks = _Blocks(text)
+    id_reach, end_reach = _Reach(ids + strong["access"], blocks), _Reach(ends, blocks)
+    secret_reach = _Reach(secrets + strong["assign"] + strong["hex"], blocks)
     return {"weak_id": [s for s in ids if secret_reach.near(s)],
             "weak_secret": [s for s in secrets if id_reach.near(s) or end_reach.near(s)],
             "weak_endpoint": [s for s in ends if secret_reach.near(s) and id_reach.near(s)]}

@@ -328,3 +328,16 @@ def test_long_words_count_whole(monkeypatch):
     scored = quality_model._Scored(shares, (3, 4))
     a, b = (float(scored.logits([word[:300] + end], 0.0)[0]) for end in ("好" * 400, "坏" * 400))
     assert a != b and scored.logits([word[:300] + "好" * 400, "x"], 0.0)[0] == pytest.approx(a) and sum(len(w) > 64 for w in scored) == 1
+
+
+def test_weak_parts_of_any_length_and_block():
+    def kinds(text):
+        return {k: [text[a:b] for a, b in v] for k, v in secrets.linked_spans(text, secrets.strong_spans(text)).items() if v}
+    key = "Zx81kQpT02vLm4Rr7BnW9s"
+    url = "https://store.example.org/x?sig=" + "aB3/" * 800 + key
+    assert kinds(f"user: bob\nsk = {key[::-1]} {url}") == {"weak_id": ["user: bob"], "weak_secret": [key[::-1]], "weak_endpoint": [url]}
+    name = "user: " + "q0" * 100
+    assert kinds(f"{name}\n{key}")["weak_id"] == [name]
+    lines = "\n".join(f"option{i} on" for i in range(60))
+    assert kinds(f"[db]\nuser: bob\n{lines}\n{key}") == {"weak_id": ["user: bob"], "weak_secret": [key]}
+    assert kinds(f"[db]\nuser: bob\n\n{lines}\n\n{key}\nx") == {}
