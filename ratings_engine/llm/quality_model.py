@@ -217,7 +217,7 @@ def trained(docs: DataFrame, labels: DataFrame, t: Training = Training()):
             shares, bias = train([(text, y) for _, text, y in sorted(rows, key=lambda r: (r[0], r[1] or ""))], t)
             yield {"shares": [shares.astype(np.float32).tobytes()], "bias": [bias]}
 
-    rows = map_batches(training_rows(docs, labels, t).coalesce(1), run, "shares binary, bias double").collect()
+    rows = map_batches(training_rows(docs, labels, t).repartition(1), run, "shares binary, bias double").collect()
     model = (np.frombuffer(rows[0]["shares"], np.float32), rows[0]["bias"]) if rows else (np.zeros(BUCKETS, np.float32), 0.0)
     return docs.sparkSession.sparkContext.broadcast(model)
 

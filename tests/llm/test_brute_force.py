@@ -341,3 +341,13 @@ def test_weak_parts_of_any_length_and_block():
     lines = "\n".join(f"option{i} on" for i in range(60))
     assert kinds(f"[db]\nuser: bob\n{lines}\n{key}") == {"weak_id": ["user: bob"], "weak_secret": [key]}
     assert kinds(f"[db]\nuser: bob\n\n{lines}\n\n{key}\nx") == {}
+
+
+def test_training_sample_is_shuffled_to_its_task(spark, make_docs, monkeypatch):
+    """Only the chosen rows meet in one task; the scan keeps its partitions."""
+    seen, real = [], quality_model.map_batches
+    monkeypatch.setattr(quality_model, "map_batches", lambda df, *a: seen.append(df) or real(df, *a))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality_model.trained(make_docs([(1, "a b"), (2, "c d")]), labels)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Coalesce" not in plan
