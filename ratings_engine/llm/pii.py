@@ -266,12 +266,14 @@ def scan_pii(docs: DataFrame) -> DataFrame:
 
 
 def _sanitised(text: str, spans: str) -> str:
-    """Entities become their kind, disclosing numbers their shape, other disclosing terms [TERM]."""
+    """Entities become their kind, disclosing numbers their shape, other disclosing terms [TERM].
+    Of spans that overlap in part, the later one is what the earlier leaves of it."""
     out, at = [], 0
     for kind, s, e in sorted((x.split(":") for x in spans.split(",")), key=lambda x: (int(x[1]), -int(x[2]))):
         s, e = int(s), int(e)
-        if s < at:
+        if e <= at:
             continue
+        s = max(s, at)
         old = text[s:e]
         new = re.sub(r"[0-9]", "0", old) if kind == "term" and old.isdigit() else f"[{kind.upper()}]"
         out += [text[at:s], new]

@@ -351,3 +351,8 @@ def test_training_sample_is_shuffled_to_its_task(spark, make_docs, monkeypatch):
     quality_model.trained(make_docs([(1, "a b"), (2, "c d")]), labels)
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and "Coalesce" not in plan
+
+
+def test_spans_that_overlap_are_replaced_whole():
+    for text, want in (("4111 1111 1111 1111@x.com", "[CARD][EMAIL]"), ("x 10.0.0.4 111 1111 1111 1111 y", "x [IP][CARD] y")):
+        assert pii._sanitised(text, ",".join(pii.in_order(pii.entities(text)))) == want
