@@ -10,8 +10,8 @@ term t reveals of an entity e is estimated from the corpus:
 with document frequencies over all N documents. A term whose share PMI / IC is
 ``DISCLOSURE`` or more is disclosing if its co-occurrence is no chance: of the n
 contexts of e, k lie in documents with t, and by the Chernoff bound so many have
-probability exp(-n KL(k/n, df(t)/N)) at most, which over all pairs tested must
-stay under ``RISK``. A context is the words around the entity (``REACH`` to either
+probability exp(-n KL(k/n, df(t)/N)) at most, which times all entities and all
+terms of the corpus must stay under ``RISK``. A context is the words around the entity (``REACH`` to either
 side), so copies of one passage count as one. Every occurrence of a disclosing term in
 every document is a span of kind ``term``, also where the entity is not spelled out.
 
@@ -188,9 +188,10 @@ def disclosing(docs: DataFrame) -> np.ndarray:
     if top is None:
         discard(scan, df_e)
         return np.empty(0, np.int64)
-    tests = scan.agg(F.sum(F.size(F.array_distinct("near.e")).cast("double") * F.size("ts"))).first()[0]
+    counts = materialize(_term_counts(docs), "terms")
+    tests = df_e.count() * counts.count()
     most = lambda n: total * F.pow(n / total, F.lit(DISCLOSURE)) * (1 + 1e-9)
-    df_t = _term_counts(docs).where(F.col("df") <= most(F.lit(top)))
+    df_t = counts.where(F.col("df") <= most(F.lit(top)))
     held = scan.select("key", F.explode("ts").alias("t")).join(df_t, "t")
     pairs = held.join(of.join(df_e, "e"), "key").where(F.col("df") <= most(F.col("df_e"))).groupBy("e", "t").agg(
         F.countDistinct("key").alias("df_et"), F.countDistinct("context").alias("contexts"), *(F.first(c).alias(c) for c in ("df", "df_e", "n_e")))
@@ -199,9 +200,9 @@ def disclosing(docs: DataFrame) -> np.ndarray:
     x = F.least("df_et", "contexts") / n
     q = F.least(F.col("df") / total, x)
     chance = n * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
-    terms = pairs.where(share >= DISCLOSURE).where(chance >= math.log(max(1.0, tests or 0) / RISK)).select("t").distinct()
+    terms = pairs.where(share >= DISCLOSURE).where(chance >= math.log(max(1, tests) / RISK)).select("t").distinct()
     out = np.sort(terms.toPandas()["t"].to_numpy(np.int64))
-    discard(scan, df_e)
+    discard(scan, df_e, counts)
     return out
 
 
