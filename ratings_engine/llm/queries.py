@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, lm_score, near_dup, packing, pii, quality_model, quality_rules, quotes, secrets, substring_dedup
+from . import decontaminate, divergence, fill_in_middle, lm_score, near_dup, packing, pii, quality_model, quality_rules, quotes, secrets, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": (op1, None),
     "op2_quality_classifier": (op2, None),
@@ -64,5 +76,8 @@ QUERIES = {
     "op8_pii": (op8, None),
     "op9_quote_linking": (op9, quotes.SQL),
     "op10_lm_score": (op10, None),
+    "op11_source_divergence": (op11, divergence.SQL),
+    "op12_fill_in_middle": (op12, fill_in_middle.SQL),
+    "op13_toxicity": (op13, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
