@@ -9,6 +9,8 @@ option.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,24 +62,40 @@ def sample_rows(df: DataFrame, n: int, total: int | None = None, key: str = COLS
                 seed: int = DEFAULTS.seed) -> DataFrame:
     """L4: exactly min(n, rows) rows, those of the smallest (hash, key).
 
-    The n-th smallest hash comes from the distributed selection of
+    The n-th smallest hash comes from the two-pass selection of
     ``functions.quantiles``; the sample is then a filter, so it keeps the
     input's partitioning and no task holds it whole. Only rows whose hash
     equals the n-th (equal keys, or a collision in 48 bits) are ordered by key.
+    ``total`` may tell the number of rows; a sample of all rows then needs no pass.
     """
-    from ..functions.quantiles import value_at_rank
+    from ..functions.quantiles import counts_around
 
-    total = df.count() if total is None else total
-    if n >= total:
+    if total is not None and n >= total:
         return df
     if n <= 0:
         return df.limit(0)
-    u = hash_unit(key, str(seed))
-    x = df.withColumn("_u", F.coalesce(u, F.lit(1.0)))
-    bound = value_at_rank(x, "_u", n - 1)
-    below = x.where(F.col("_u") < bound)
-    ties = x.where(F.col("_u") == bound).orderBy(key).limit(n - below.count())
-    return below.unionByName(ties).drop("_u")
+    u = F.coalesce(hash_unit(key, str(seed)), F.lit(1.0))
+    counted, _ = counts_around(df.select(u.alias("_u")), "_u", lambda rows: [min(n, rows) - 1])
+    if n >= counted.n:
+        return df
+    bound = counted.value_at(n - 1)
+    below = counted.split(bound)[0]
+    if counted.split(math.nextafter(bound, 2.0))[0] == n:
+        return df.where(u <= bound)
+    return df.where(u < bound).unionByName(df.where(u == bound).orderBy(key).limit(n - below))
+
+
+def by_hash(df: DataFrame, key: str = COLS.key, salt: str = str(DEFAULTS.seed)) -> DataFrame:
+    """``df`` range-partitioned and sorted by the hash of its key, kept as ``_u`` (a NULL key is 1.0). Once written,
+    ``_u < f`` reads the first files only: every nested fraction is a prefix of one ordered table."""
+    return df.withColumn("_u", F.coalesce(hash_unit(key, salt), F.lit(1.0))).repartitionByRange("_u").sortWithinPartitions("_u")
+
+
+def numbered_by_hash(df: DataFrame, key: str = COLS.key, seed: int = DEFAULTS.seed) -> DataFrame:
+    """``df`` with ``_pos``, a row's place in the order of (hash, key): ``_pos < n`` are the rows of ``sample_rows(df, n)``."""
+    from .windows import numbered
+
+    return numbered(df.withColumn("_u", F.coalesce(hash_unit(key, str(seed)), F.lit(1.0))), ["_u", key], "_pos").drop("_u")
 
 
 def nested_fractions(train: DataFrame, fractions=(0.1, 0.2, 0.3, 0.5, 0.7, 1.0), key: str = COLS.key,

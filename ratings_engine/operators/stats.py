@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COLS, Cols
-from ..functions.quantiles import exact_quantiles, approx_quantiles
+from ..functions.quantiles import approx_quantiles, box_plot
 from ..functions.formatting import short_title
 from ..functions.temporal import rating_year_col, month_col
 
@@ -99,8 +99,9 @@ def activity_histogram(r: DataFrame, bins: int = 60, c: Cols = COLS) -> DataFram
 
 def five_number_summary(values: DataFrame, col: str, exact: bool = True, rel_err: float = 0.01) -> DataFrame:
     """q1, median, q3, whisker ends at 1.5 IQR and the outlier count (box plot)."""
-    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    q = exact_quantiles(values, col, probs) if exact else approx_quantiles(values, col, probs, rel_err)
+    if exact:
+        return box_plot(values, col)
+    q = approx_quantiles(values, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, rel_err)
     q = q.select("q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")

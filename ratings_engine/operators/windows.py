@@ -35,11 +35,12 @@ DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str, hot_rows: int = DEFAULT_HOT_ROWS):
+def hot_keys(counts: DataFrame, key: str | list[str], count_col: str, hot_rows: int = DEFAULT_HOT_ROWS):
     """(hot-key table with ``_n``, number of hot keys, their rows) from a
     per-key count table; one small action. The table has at most
     total/hot_rows rows."""
-    hot = counts.where(F.col(count_col) > hot_rows).select(key, F.col(count_col).alias("_n"))
+    keys = [key] if isinstance(key, str) else list(key)
+    hot = counts.where(F.col(count_col) > hot_rows).select(*keys, F.col(count_col).alias("_n"))
     s = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()   # one row
     return hot, int(s["keys"]), int(s["rows"] or 0)
 
@@ -92,10 +93,11 @@ def ordered_sequence(df: DataFrame, key: str, order: list[str], lag_col: str, *,
     return cold.unionByName(hot_out.select(*cold.columns))
 
 
-def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_cols: list[str], *,
+def salted_join(df: DataFrame, stats: DataFrame, key: str | list[str], count_col: str, salt_cols: list[str], *,
                 hot_rows: int = DEFAULT_HOT_ROWS, how: str = "left", hot: tuple | None = None) -> DataFrame:
     """Join per-key ``stats`` (one row per key, with its row count in
     ``count_col``) back to the rows ``df`` without a hot key landing in one task.
+    ``key`` is one column or several.
 
     Keys with more than ``hot_rows`` rows get ``ceil(count / hot_rows)`` salts:
     their rows pick a salt from a hash of ``salt_cols`` (deterministic, so a
@@ -106,18 +108,33 @@ def salted_join(df: DataFrame, stats: DataFrame, key: str, count_col: str, salt_
     Without ``hot`` the salting is planned unconditionally (no action); with
     a ``hot_keys`` result showing no hot key it is the plain join.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if hot is not None and not hot[1]:   # known: no hot key -> the plain join (AQE still guards at run time)
-        return _null_safe(df, stats, [key], how)
-    hot_table = hot[0] if hot is not None else stats.select(key, F.col(count_col).alias("_n")) \
+        return _null_safe(df, stats, keys, how)
+    hot_table = hot[0] if hot is not None else stats.select(*keys, F.col(count_col).alias("_n")) \
         .where(F.col("_n") > hot_rows)
-    hot = hot_table.select(F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns"))
-    x = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
+    hot = F.broadcast(hot_table.select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns")))
+    x = _null_safe(df, hot, keys, "left")
     x = x.withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
                      .otherwise(F.pmod(F.xxhash64(*salt_cols), F.col("_ns"))).cast("int")).drop("_ns")
-    s = stats.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
+    s = _null_safe(stats, hot, keys, "left")
     s = s.withColumn("_salt", F.explode(F.when(F.col("_ns").isNull(), F.array(F.lit(0)))
                                         .otherwise(F.sequence(F.lit(0), F.col("_ns") - 1)))).drop("_ns")
-    return _null_safe(x, s, [key, "_salt"], how).drop("_salt")
+    return _null_safe(x, s, [*keys, "_salt"], how).drop("_salt")
+
+
+def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
+    """Number the rows from 0 in the total order of ``order`` (unique), without one task that holds them all:
+    range-partitioned, written once with the partition id, numbered within each partition, and moved by
+    the sizes of the partitions before (one row per partition)."""
+    from ..config import materialize
+
+    parts = materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).select(
+        "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1
+    return parts.withColumn(out, local).join(F.broadcast(offsets), "_pid").withColumn(out, F.col(out) + F.col("_off")).drop("_pid", "_off")
 
 
 def _null_safe(x: DataFrame, s: DataFrame, keys: list[str], how: str) -> DataFrame:
