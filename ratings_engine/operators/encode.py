@@ -2,30 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import materialize
+from .windows import DEFAULT_HOT_ROWS, numbered, salted_join
+
+
+#: An index of at most this many labels (some MB) is broadcast, a larger one meets the rows in a salted join.
+BROADCAST_LABELS = 50_000
+
+
+def label_index(counts: DataFrame, col: str, n: str = "n") -> DataFrame:
+    """(label, label_index, n) from label counts: 0 for the most frequent label, ties by label. The
+    order is a distributed prefix count, so the label list never sits in one place. NULL has no index."""
+    c = counts.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label")).agg(F.sum(n).alias("n"))
+    x = numbered(c, [F.desc("n"), F.asc("label")], "label_index")
+    return x.select("label", F.col("label_index").cast("double").alias("label_index"), "n")
+
 
 def encode_category(df: DataFrame, col: str, index_col: str = "genre_index",
                     vec_col: str = "genre_encoded", one_hot: bool = True,
-                    fit_on: DataFrame | None = None) -> DataFrame:
-    """E1 + E2: frequency-ordered index (ties by label), unseen labels kept;
-    one-hot with the last slot dropped. With ``keep`` there are labels + 1
-    slots, so every known label keeps its slot.
-
-    Fitting counts labels with a distributed aggregate; only the label list
-    (one entry per category) reaches the driver. ``fit_on`` may be a leaner
-    frame with the same label column and row multiset (e.g. before wide
-    joins), so the fit does not recompute the whole upstream plan.
+                    fit_on: DataFrame | None = None, counts: DataFrame | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """E1 + E2: frequency-ordered index (ties by label), unseen and NULL labels kept as one more;
+    one-hot with that last slot dropped, so every known label keeps its slot.
+
+    The index is a table joined to the rows (``label_index``); the driver only learns how
+    many labels there are. ``fit_on`` may be a leaner frame with the same label
+    column and row multiset (e.g. before wide joins), ``counts`` a table (label
+    column, n) that is known already.
     """
-    stages = [StringIndexer(inputCol=col, outputCol=index_col, handleInvalid="keep",
-                            stringOrderType="frequencyDesc")]
-    if one_hot:
-        stages.append(OneHotEncoder(inputCol=index_col, outputCol=vec_col, dropLast=True))
-    return Pipeline(stages=stages).fit(df if fit_on is None else fit_on.select(col)).transform(df)
+    if counts is None:
+        counts = (df if fit_on is None else fit_on).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    index = materialize(label_index(counts, col), "labels")
+    labels = index.count()
+    x = df.withColumn("_label", F.col(col).cast("string"))
+    index = index.withColumnsRenamed({"label": "_label", "label_index": "_index", "n": "_label_n"})
+    if labels <= BROADCAST_LABELS:
+        x = x.join(F.broadcast(index), "_label", "left")
+    else:
+        x = salted_join(x, index, "_label", "_label_n", df.columns, hot_rows=hot_rows)
+    x = x.withColumn(index_col, F.coalesce("_index", F.lit(float(labels)))).drop("_label", "_index", "_label_n")
+    if not one_hot:
+        return x
+    widest = df.sparkSession.range(1).select(F.lit(float(labels)).alias(index_col))
+    return OneHotEncoder(inputCol=index_col, outputCol=vec_col, dropLast=True).fit(widest).transform(x)
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_invalid: str = "skip") -> DataFrame:

@@ -19,7 +19,7 @@ from ..config import COLS, DEFAULTS, Cols
 from ..functions import items as fi
 from ..functions import temporal as ft
 from ..functions.quantiles import rounded_variance
-from .windows import DEFAULT_HOT_ROWS, ordered_sequence, salted_join
+from .windows import DEFAULT_HOT_ROWS, _null_safe, hot_keys, ordered_sequence, salted_join
 
 
 def user_stats_table(r: DataFrame, c: Cols = COLS) -> DataFrame:
@@ -86,19 +86,15 @@ def item_features(r: DataFrame, items: DataFrame, stats: DataFrame | None = None
 
 def user_category_mean(r: DataFrame, category: str = "primary_genre", c: Cols = COLS,
                        hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """round(avg,3) per (user, category), joined back.
+    """round(avg,3) per (user, category), joined back on both keys.
 
-    The means are folded into one map per user (one entry per category the
-    user rated, bounded by the number of categories) with the user's row
-    count, so the join back is on the user alone and can be salted for hot users.
+    One statistics row per pair, however many categories a user or the table has; the
+    join is salted by the pair's row count, so neither a hot user nor a hot pair
+    meets in one task. A NULL category has no mean.
     """
-    per = r.groupBy(c.user, category).agg(F.round(F.avg(c.rating), 3).alias("_m"), F.count(F.lit(1)).alias("_c"))
-    # a NULL category gets no entry (a map key cannot be NULL): its lookup is
-    # NULL, as the (user, NULL) join key would match nothing
-    entry = F.when(F.col(category).isNotNull(), F.struct(category, "_m"))
-    s = per.groupBy(c.user).agg(F.map_from_entries(F.collect_list(entry)).alias("_ug"), F.sum("_c").alias("_n"))
-    j = salted_join(r, s, c.user, "_n", _salt_cols(r, c), hot_rows=hot_rows)
-    return j.withColumn("user_genre_avg_rating", F.element_at("_ug", F.col(category))).drop("_ug", "_n")
+    per = (r.where(F.col(category).isNotNull()).groupBy(c.user, category)
+           .agg(F.round(F.avg(c.rating), 3).alias("user_genre_avg_rating"), F.count(F.lit(1)).alias("_n")))
+    return salted_join(r, per, [c.user, category], "_n", _salt_cols(r, c), hot_rows=hot_rows).drop("_n")
 
 
 def rating_order(r: DataFrame, c: Cols = COLS, hot_rows: int = DEFAULT_HOT_ROWS,
@@ -139,38 +135,37 @@ def all_features(r: DataFrame, items: DataFrame, c: Cols = COLS, encode: bool =
     other features). When ``r`` is itself expensive (a join or a view rather
     than a table scan) pass ``materialize_input=True`` to write it once.
     """
+    from ..config import materialize
     from .encode import encode_category
 
     if materialize_input:
-        from ..config import materialize
         r = materialize(r)
     dim = items.select(c.item, fi.title_year_col(c.title).alias("movie_year"),
                        fi.genre_count_col(c.genres).alias("genre_count"),
                        fi.fill_unknown_col(fi.primary_genre_col(c.genres)).alias("primary_genre"), c.genres)
-    # ratings with their (filled) category: for label counts and user x category means
-    items_all = item_stats_table(r, c).join(dim, c.item, "left")   # key-sized join
+    # Key-sized tables, each aggregated and written once: the joins below, the hot-key
+    # tables and the label counts all read them.
+    items_all = materialize(item_stats_table(r, c).join(dim, c.item, "left")
+                            .withColumn("primary_genre", fi.fill_unknown_col("primary_genre")), "items")
+    hot_items = hot_keys(items_all, c.item, "item_rating_count", hot_rows)
     salt = _salt_cols(r, c)
     r_cat = salted_join(r.select(*dict.fromkeys([c.user, c.item, c.rating, *salt])),
                         items_all.select(c.item, "item_rating_count", "primary_genre"), c.item, "item_rating_count",
-                        salt, hot_rows=hot_rows) \
-        .select(c.user, c.rating, fi.fill_unknown_col("primary_genre").alias("primary_genre"))
-    # user x category means folded into the user table as a map (one entry per
-    # category the user rated: bounded by the number of categories), so the
-    # wide frame is shuffled once for both user-level joins.
-    ug = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("_m")) \
-        .groupBy(c.user).agg(F.map_from_entries(F.collect_list(F.struct("primary_genre", "_m"))).alias("_ug"))
-    users = user_stats_table(r, c).join(ug, c.user, "left")
-
-    df = rating_order(ft.temporal_features(r, c), c, hot_rows)
-    # hot users / items are salted (planned without any action): no join task
-    # receives all rows of a hot key
-    df = salted_join(df, users, c.user, "user_rating_count", salt, hot_rows=hot_rows) \
-        .withColumn("user_rating_deviation", F.round(F.col(c.rating) - F.col("user_avg_rating"), 3))
-    df = salted_join(df, items_all, c.item, "item_rating_count", salt, hot_rows=hot_rows)
+                        salt, hot_rows=hot_rows, hot=hot_items).select(c.user, c.rating, "primary_genre")
+    per = r_cat.groupBy(c.user, "primary_genre").agg(F.round(F.avg(c.rating), 3).alias("user_genre_avg_rating"),
+                                                     F.count(F.lit(1)).alias("_pair_n"))
+    # user columns ride on the (user, category) rows: one join of the wide frame brings both
+    pairs = materialize(_null_safe(per, user_stats_table(r, c), [c.user], "left"), "pairs")
+    hot_pairs = hot_keys(pairs, [c.user, "primary_genre"], "_pair_n", hot_rows)
+    hot_users = hot_keys(pairs.groupBy(c.user).agg(F.max("user_rating_count").alias("_n")), c.user, "_n", hot_rows)
+
+    df = rating_order(ft.temporal_features(r, c), c, hot_rows, hot=hot_users)
+    df = salted_join(df, items_all, c.item, "item_rating_count", salt, hot_rows=hot_rows, hot=hot_items)
+    df = salted_join(df, pairs, [c.user, "primary_genre"], "_pair_n", salt, hot_rows=hot_rows, hot=hot_pairs).drop("_pair_n")
     ry = ft.rating_year_col(c.ts)
-    df = df.withColumns({"rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year")),
-                         "primary_genre": fi.fill_unknown_col("primary_genre")})
-    df = df.withColumn("user_genre_avg_rating", F.element_at("_ug", F.col("primary_genre"))).drop("_ug")
+    df = df.withColumns({"user_rating_deviation": F.round(F.col(c.rating) - F.col("user_avg_rating"), 3),
+                         "rating_year": ry, "item_age": fi.item_age_col(ry, F.col("movie_year"))})
     if encode:
-        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", fit_on=r_cat)
+        counts = pairs.groupBy("primary_genre").agg(F.sum("_pair_n").alias("n"))
+        df = encode_category(df, "primary_genre", "genre_index", "genre_encoded", counts=counts)
     return df

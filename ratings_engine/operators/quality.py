@@ -9,7 +9,7 @@ flagged users are removed with an anti-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,30 +77,55 @@ def duplicate_extra(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts)) -> Data
                  F.coalesce(F.sum(F.col("dup_count") - 1), F.lit(0)).cast("bigint").alias("dup_extra"))
 
 
-def remove_duplicates(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts),
-                      order=(COLS.ts, COLS.key)) -> DataFrame:
-    """One row per key -- the first by ``order`` (deterministic "keep first").
+def _leading(df: DataFrame, name: str) -> Column:
+    """A fixed-width value that orders as the column does, as far as it goes: the column itself, or the
+    first eight bytes of a text as a number (an aggregate over it is hash-based; over a text it would sort)."""
+    t = df.schema[name].dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        first = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 8)), 16, "0")
+        return F.conv(first, 16, 10).cast("decimal(20,0)")
+    if isinstance(t, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)):
+        return F.col(name)
+    return F.lit(0)
+
 
-    Implemented as ``min(struct(order..., rest...))`` per key: an aggregate with
-    a map-side partial step, so a copy group holding a third of all rows is
-    reduced in every map task instead of being sorted in a single window task.
-    Pass ``order=None`` for the reference's keep-any ``dropDuplicates``.
+def remove_duplicates(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts),
+                      order=(COLS.ts, COLS.key), hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """One row per key -- the first by ``order``, then by the remaining columns (deterministic
+    "keep first"; NULLs come first).
+
+    Two phases. A hash aggregate over fixed-width values counts each key and
+    finds the least leading order value; keys that occur once need nothing more,
+    which is the mass of the rows: they pass through a join that keeps what has
+    no repeated key. Of a repeated key only the rows with the least leading
+    value are ordered in full. Copies that are equal in all columns are merged
+    before, and a key with more than ``hot_rows`` copies is salted, so no task holds
+    a large copy group. Pass ``order=None`` for the reference's keep-any
+    ``dropDuplicates``.
     """
     keys = list(keys)
     if order is None:
         return df.dropDuplicates(keys)
-    ordered = list(order) + [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(ordered)])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    pos = {c: i for i, c in enumerate(ordered)}
-    return agg.select(*[F.col(c) if c in keys else F.col(f"_first._o{pos[c]}").alias(c) for c in df.columns])
+    ordered = [c for c in order if c not in keys] + [c for c in df.columns if c not in keys and c not in order]
+    if not ordered:
+        return df.dropDuplicates(keys)
+    lead = _leading(df, ordered[0])
+    none = F.col(ordered[0]).isNull()
+    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.min(lead).alias("_least"), F.max(none).alias("_none"))
+                .where("_copies > 1"))
+    x = salted_join(df, repeated, keys, "_copies", ordered, hot_rows=hot_rows)
+    once = x.where("_copies is null").select(*df.columns)
+    first = F.when(F.col("_none"), none).otherwise(lead == F.col("_least"))
+    copies = x.where(F.col("_copies").isNotNull() & first).select(*df.columns).distinct()
+    w = Window.partitionBy(*keys).orderBy(*ordered)
+    return once.unionByName(copies.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first"))
 
 
 def iqr_bounds(df: DataFrame, col: str = COLS.rating, exact: bool = True,
                rel_err: float = DEFAULTS.quantile_rel_err, k: float = 1.5) -> DataFrame:
     """q1, median, q3, iqr and the k*IQR fences (one row).
 
-    ``exact`` uses a value histogram (bounded by distinct values); otherwise
+    ``exact`` selects in two passes (``functions.quantiles``); otherwise
     ``percentile_approx`` with accuracy 1/rel_err, like ``approxQuantile``.
     """
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}

@@ -79,6 +79,28 @@ def q_w5(spark, sf):
     return fe.user_category_mean(r).select("row_key", "primary_genre", "user_genre_avg_rating")
 
 
+_USER_ORDER_SQL = f"""
+with r as (select r0.*, string_split(row_key, '-')[1] as order_id from {{R}} r0)
+select row_key, order_id, {rd('avg(rating) over (partition by user_id, order_id)', 3)} as user_genre_avg_rating from r"""
+
+
+def _by_order(spark, sf, **kw):
+    r = ratings_view(spark, sf).withColumn("order_id", F.split("row_key", "-")[0])
+    return fe.user_category_mean(r, "order_id", **kw).select("row_key", "order_id", "user_genre_avg_rating")
+
+
+@register("w5_user_order_mean", _USER_ORDER_SQL)
+def q_w5_order(spark, sf):
+    """W5 with a category of many values (one per order, 15 000 at sf0.01)."""
+    return _by_order(spark, sf)
+
+
+@register("w5_user_order_mean_hot_split", _USER_ORDER_SQL)
+def q_w5_order_hot(spark, sf):
+    """Same, pairs of over two rows salted."""
+    return _by_order(spark, sf, hot_rows=2)
+
+
 _ORDER_SQL = """
 select row_key,
        cast(row_number() over (partition by user_id order by ts, item_id, row_key) as int) as rating_order,
