@@ -158,18 +158,29 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score", bins: int
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", steps: int = 20) -> DataFrame:
     """Thresholds 0, 1/steps, ..., 1 with prediction = score >= t; FPR, TPR
-    (0 on an empty class) from one aggregate of 2*(steps+1) conditional counts."""
+    (0 on an empty class), as a cumulative histogram.
+
+    Each row falls into the bucket of the highest threshold it reaches, found
+    by comparing with the thresholds themselves (a multiplication could round a
+    score across one); one hash aggregate counts the classes by bucket. The running
+    sum from the top goes over at most steps + 2 rows. A NULL score reaches no
+    threshold; NaN reaches all.
+    """
     y, s = F.col(label), F.col(score)
-    aggs = [F.count_if(y == 1).alias("_P"), F.count_if(y != 1).alias("_N")]
-    for i in range(steps + 1):
-        t = i / steps
-        aggs += [F.count_if((s >= t) & (y == 1)).alias(f"_tp{i}"), F.count_if((s >= t) & (y != 1)).alias(f"_fp{i}")]
-    one = df.agg(*aggs)
-    pts = F.array(*[F.struct(F.lit(i).alias("step"), (F.lit(i) / F.lit(steps)).alias("threshold"),
-                             _safe_div(F.col(f"_fp{i}"), F.col("_N")).alias("fpr"),
-                             _safe_div(F.col(f"_tp{i}"), F.col("_P")).alias("tpr"))
-                    for i in range(steps + 1)])
-    return one.select(F.inline(pts))
+    grid = [i / steps for i in range(steps + 1)]
+    near = F.greatest(F.lit(0), F.least(F.lit(steps), F.floor(F.try_divide(s, F.lit(1.0 / steps))).cast("int")))
+    at = lambda i: F.element_at(F.array(*map(F.lit, grid)), i + 1)
+    bucket = (F.when(s.isNull() | (s < 0.0), -1).when(F.isnan(s.cast("double")) | (s >= 1.0), steps)
+              .when((near < steps) & (s >= at(F.least(near + 1, F.lit(steps)))), near + 1).when(s < at(near), near - 1).otherwise(near))
+    hist = df.groupBy(bucket.alias("step")).agg(F.count_if(y == 1).alias("p"), F.count_if(y != 1).alias("n"))
+    steps_ = df.sparkSession.range(-1, steps + 1).select(F.col("id").cast("int").alias("step"))
+    rows = steps_.join(F.broadcast(hist), "step", "left").groupBy().agg(      # at most steps + 2 rows
+        F.sort_array(F.collect_list(F.struct("step", F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("n", F.lit(0)).alias("n")))).alias("h"))
+    total = lambda name, lo: F.aggregate(F.filter("h", lambda x: x["step"] >= lo), F.lit(0).cast("bigint"), lambda a, x: a + x[name])
+    pts = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: F.struct(
+        i.alias("step"), (i / F.lit(steps)).alias("threshold"),
+        _safe_div(total("n", i), total("n", F.lit(-1))).alias("fpr"), _safe_div(total("p", i), total("p", F.lit(-1))).alias("tpr")))
+    return rows.select(F.inline(pts))
 
 
 def residual_summary(df: DataFrame, label: str = "label", prediction: str = "prediction",

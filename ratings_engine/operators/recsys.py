@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COLS, DEFAULTS, Cols, checkpoint_dir
-from .evaluate import global_mean, group_means, regression_metrics
+from .evaluate import regression_metrics
 
 REC_TYPE = T.ArrayType(T.StructType([T.StructField(COLS.item, T.IntegerType()),
                                      T.StructField(COLS.rating, T.FloatType())]))
@@ -46,17 +46,28 @@ def predict_from_means(test: DataFrame, means: DataFrame, key: str, mean_col: st
 
 def baseline_rmse(train: DataFrame, test: DataFrame, c: Cols = COLS) -> DataFrame:
     """RMSE of the global, user-mean and item-mean predictors on test
-    (users/items unseen in training dropped). One row per baseline."""
-    g = test.crossJoin(F.broadcast(global_mean(train, c)))  # one-row side
-    parts = [("global_mean", regression_metrics(g, c.rating, "global_mean"))]
-    for key in (c.user, c.item):
-        p = predict_from_means(test, group_means(train, key, c), key, f"{key}_mean")
-        parts.append((f"{key}_mean", regression_metrics(p, c.rating, f"{key}_mean")))
-    out = None
-    for name, m in parts:
-        x = m.select(F.lit(name).alias("baseline"), "rmse", "n")
-        out = x if out is None else out.unionByName(x)
-    return out
+    (users/items unseen in training dropped). One row per baseline.
+
+    One pass over both sides: grouping sets over user, item and all rows give
+    each group the training sum and count and the test count, sum and sum of
+    squares; with the training mean m a group's squared error is
+    sum(y^2) - 2 m sum(y) + n m^2. No row meets a mean by a join, so a hot user or
+    item is reduced in the map tasks.
+    """
+    side = lambda x, is_train: x.select(c.user, c.item, F.col(c.rating).cast("double").alias("_y"), F.lit(is_train).alias("_t"))
+    of = lambda t, x: F.sum(F.when(F.col("_t") == t, x))
+    y = F.col("_y")
+    g = side(train, True).unionByName(side(test, False)).groupingSets([[c.user], [c.item], []], c.user, c.item).agg(
+        F.grouping_id().alias("_g"), of(True, y).alias("_sum"), F.count(F.when(F.col("_t"), y)).alias("_n"),
+        of(False, y).alias("_ty"), of(False, y * y).alias("_tyy"), F.count_if(~F.col("_t")).alias("_tn"))
+    m = F.col("_sum") / F.col("_n")
+    e = g.where("_n > 0 and _tn > 0").select("_g", "_tn", (F.col("_tyy") - 2 * m * F.col("_ty") + F.col("_tn") * m * m).alias("_sse"))
+    names = {"global_mean": 3, f"{c.user}_mean": 1, f"{c.item}_mean": 2}       # grouping ids
+    one = e.agg(*(f for i, g in enumerate(names.values()) for f in (
+        F.sum(F.when(F.col("_g") == g, F.col("_sse"))).alias(f"_sse{i}"), F.sum(F.when(F.col("_g") == g, F.col("_tn"))).alias(f"_n{i}"))))
+    return one.select(F.inline(F.array(*(F.struct(
+        F.lit(name).alias("baseline"), F.sqrt(F.greatest(F.col(f"_sse{i}"), F.lit(0.0)) / F.col(f"_n{i}")).alias("rmse"),
+        F.coalesce(F.col(f"_n{i}"), F.lit(0)).alias("n")) for i, name in enumerate(names)))))
 
 
 # ------------------------------------------------------------------ ALS
@@ -174,33 +185,77 @@ def load_or_fit_als(path: str, train: DataFrame, rank: int = 10, max_iter: int =
 
 
 def recommend_top_k(model: ALSModel, k: int = 10, exclude_seen: DataFrame | None = None,
-                    c: Cols = COLS, base: int = 4) -> DataFrame:
+                    c: Cols = COLS, block: int = 2048) -> DataFrame:
     """Top-K items for every user, already-rated items included (as the reference).
 
-    With ``exclude_seen`` (the training (user, item) pairs) every user gets
-    the K best items they have not rated, exactly: users are grouped by
-    g = ceil(log_base(seen + 1)) and each group asks ALS for K + base^g - 1 >=
-    K + seen candidates (``recommendForUserSubset``), so after removing seen
-    items at least K remain. There are at most ~log_base(items) groups (one
-    scoring job each); no fixed cap is put on a user's candidates. Returned in
-    long form (user, item, score, rank).
+    With ``exclude_seen`` (the training (user, item) pairs) every user gets the K
+    best items they have not rated, in long form (user, item, score, rank; ties by
+    item id). See ``recommend_unseen``.
     """
     if exclude_seen is None:
         return model.recommendForAllUsers(k)
-    seen = exclude_seen.select(c.user, c.item).distinct()
-    counts = seen.groupBy(c.user).agg(F.count(F.lit(1)).alias("_s"))
-    grp = model.userFactors.select(F.col("id").alias(c.user)).join(counts, c.user, "left") \
-        .select(c.user, F.ceil(F.log(float(base), F.coalesce(F.col("_s"), F.lit(0)) + 1) - 1e-9)
-                .cast("int").alias("_g"))
-    groups = [r["_g"] for r in grp.select("_g").distinct().collect()]   # <= log_base(items) + 1 values
-    out = None
-    for g in sorted(groups):
-        users = grp.where(F.col("_g") == g).select(c.user)
-        recs = recs_long(model.recommendForUserSubset(users, k + base ** max(g, 0) - 1), c)
-        x = recs.join(seen, [c.user, c.item], "left_anti")
-        out = x if out is None else out.unionByName(x)
-    w = Window.partitionBy(c.user).orderBy(F.desc("score"), F.asc(c.item))   # <= K + seen rows per user
-    return out.drop("rank").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return recommend_unseen(model.userFactors, model.itemFactors, exclude_seen, k, c, block)
+
+
+def recommend_unseen(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame, k: int = 10,
+                     c: Cols = COLS, block: int = 2048) -> DataFrame:
+    """The K best unseen items per user as a blocked factor product with a bounded merge.
+
+    Users and items are dealt into blocks of about ``block`` rows by a hash of their
+    id; a cell is one user block with one item block. Each cell meets its factors
+    and the seen pairs that fall into it, scores its users against its items in one
+    product, leaves out the seen pairs and keeps at most K items per user. What a
+    user has seen is spread over all item blocks, so a cell holds at most
+    block x block pairs however busy a user is, and the merge ranks at most K
+    rows per user and item block (cut within each task before the shuffle). A user
+    who has seen all but m < K items gets m rows; ids outside the model are ignored.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    n_u, n_i = (max(1, -(-f.count() // block)) for f in (user_factors, item_factors))
+    deal = lambda col, n: F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    none = F.lit(None).cast("int")
+    users = user_factors.select(deal("id", n_u).alias("_ub"), every(n_i).alias("_ib"), F.col("id").alias("_u"), none.alias("_i"), "features")
+    items = item_factors.select(every(n_u).alias("_ub"), deal("id", n_i).alias("_ib"), none.alias("_u"), F.col("id").alias("_i"), "features")
+    pairs = (seen.select(F.col(c.user).cast("int").alias("_u"), F.col(c.item).cast("int").alias("_i")).dropna().distinct()
+             .select(deal("_u", n_u).alias("_ub"), deal("_i", n_i).alias("_ib"), "_u", "_i", F.lit(None).cast("array<float>").alias("features")))
+
+    def best(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        u, i, f = (cell.column(n).combine_chunks() for n in ("_u", "_i", "features"))
+        is_user, is_item = np.asarray(i.is_null()), np.asarray(u.is_null())
+
+        if not is_user.any() or not is_item.any():
+            return schema.empty_table()
+
+        def side(mask, ids):
+            at = pa.array(np.flatnonzero(mask))
+            ids, rows = np.asarray(ids.take(at)), f.take(at).flatten()
+            order = np.argsort(ids)
+            return ids[order], np.asarray(rows, np.float64).reshape(len(ids), -1)[order]
+
+        (uid, uf), (iid, itf) = side(is_user, u), side(is_item, i)
+        score = (uf @ itf.T).astype(np.float32)
+        at = pa.array(np.flatnonzero(~is_user & ~is_item))
+        su, si = np.asarray(u.take(at)), np.asarray(i.take(at))
+        pu, pi = np.searchsorted(uid, su), np.searchsorted(iid, si)
+        known = (pu < len(uid)) & (pi < len(iid))
+        known[known] = (uid[pu[known]] == su[known]) & (iid[pi[known]] == si[known])
+        score[pu[known], pi[known]] = -np.inf
+        least = np.partition(score, max(0, len(iid) - k), axis=1)[:, max(0, len(iid) - k)]
+        row, col = np.nonzero((score >= least[:, None]) & (score > -np.inf))       # K per user, and ties with the K-th
+        value = score[row, col]
+        order = np.lexsort((col, -value, row))
+        row, col, value = row[order], col[order], value[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return pa.table([pa.array(uid[row[keep]], pa.int32()), pa.array(iid[col[keep]], pa.int32()), pa.array(value[keep], pa.float32())], schema=schema)
+
+    schema = pa.schema([(c.user, pa.int32()), (c.item, pa.int32()), ("score", pa.float32())])
+    found = users.unionByName(items).unionByName(pairs).groupBy("_ub", "_ib").applyInArrow(best, f"{c.user} int, {c.item} int, score float")
+    w = Window.partitionBy(c.user).orderBy(F.desc("score"), F.asc(c.item))
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 # ------------------------------------------------------------------ deterministic recommender
