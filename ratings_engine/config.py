@@ -45,6 +45,7 @@ class Thresholds:
     split_ratio: float = 0.8
     seed: int = 42
     max_offsets_per_trigger: int = 10_000
+    max_bytes_per_trigger: str = "128m"
     trigger_seconds: int = 10
 
 

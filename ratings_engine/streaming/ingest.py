@@ -22,7 +22,7 @@ from ..sources.schema import WIRE_COLUMNS, WIRE_ITEM, WIRE_RATING, WIRE_TS, WIRE
 
 def read_rating_stream(spark: SparkSession, source: str = "kafka", *, servers: str | None = None,
                        topic: str = "ratings", path: str | None = None,
-                       max_per_trigger: int = DEFAULTS.max_offsets_per_trigger,
+                       max_per_trigger: int | None = None, max_bytes_per_trigger: int | str | None = None,
                        starting: str = "earliest", min_partitions: int | None = None) -> DataFrame:
     """S1 + T2: raw stream with a string-castable ``value`` and a ``kafka_timestamp``.
 
@@ -31,21 +31,28 @@ def read_rating_stream(spark: SparkSession, source: str = "kafka", *, servers: s
     Messages are keyed by user, so one hot user fills one topic partition;
     ``min_partitions`` makes Spark split large offset ranges of a partition
     over several tasks instead of one.
-    ``source='files'``: JSON lines under ``path``, ``max_per_trigger`` files per
-    micro-batch; the file's modification time stands in for the broker time.
+    ``source='files'``: JSON lines under ``path``; the file's modification time stands in
+    for the broker time. A micro-batch is bounded in bytes (``max_bytes_per_trigger``, a number or
+    ``128m``), whatever the sizes of the files; a file larger than that is a batch of its own.
+    ``max_per_trigger`` bounds the number of files instead.
+
+    A source takes its own kind of bound only: rows for Kafka, bytes or files for files.
     """
+    if max_bytes_per_trigger is not None and (source == "kafka" or max_per_trigger is not None):
+        raise ValueError("bytes bound a file source, and not together with a number of files")
     if source == "kafka":
         raw = (spark.readStream.format("kafka")
                .option("kafka.bootstrap.servers", servers)
                .option("subscribe", topic)
                .option("startingOffsets", starting)
-               .option("maxOffsetsPerTrigger", max_per_trigger)
+               .option("maxOffsetsPerTrigger", max_per_trigger or DEFAULTS.max_offsets_per_trigger)
                .option("failOnDataLoss", "false"))
         if min_partitions:
             raw = raw.option("minPartitions", min_partitions)
         raw = raw.load()
         return raw.select("key", "value", F.col("timestamp").alias("kafka_timestamp"))
-    raw = spark.readStream.format("text").option("maxFilesPerTrigger", max_per_trigger).load(path)
+    bound = ("maxFilesPerTrigger", max_per_trigger) if max_per_trigger is not None else ("maxBytesPerTrigger", max_bytes_per_trigger or DEFAULTS.max_bytes_per_trigger)
+    raw = spark.readStream.format("text").option(*bound).load(path)
     return raw.select(F.lit(None).cast("binary").alias("key"), F.col("value"),
                       F.col("_metadata.file_modification_time").alias("kafka_timestamp"))
 
