@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import materialize
@@ -15,11 +15,14 @@ from .windows import DEFAULT_HOT_ROWS, numbered, salted_join
 BROADCAST_LABELS = 50_000
 
 
-def label_index(counts: DataFrame, col: str, n: str = "n") -> DataFrame:
-    """(label, label_index, n) from label counts: 0 for the most frequent label, ties by label. The
-    order is a distributed prefix count, so the label list never sits in one place. NULL has no index."""
+def label_index(counts: DataFrame, col: str, n: str = "n", small: int = BROADCAST_LABELS) -> DataFrame:
+    """(label, label_index, n) from label counts: 0 for the most frequent label, ties by label. NULL has no
+    index. Up to ``small`` labels, which a first pass counts, are numbered in one task; beyond, the
+    order is a distributed prefix count, so the label list never sits in one place."""
     c = counts.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("label")).agg(F.sum(n).alias("n"))
-    x = numbered(c, [F.desc("n"), F.asc("label")], "label_index")
+    c = materialize(c, "label_counts")
+    order = [F.desc("n"), F.asc("label")]
+    x = c.withColumn("label_index", F.row_number().over(Window.orderBy(*order)) - 1) if c.count() <= small else numbered(c, order, "label_index")
     return x.select("label", F.col("label_index").cast("double").alias("label_index"), "n")
 
 
@@ -36,7 +39,7 @@ def encode_category(df: DataFrame, col: str, index_col: str = "genre_index",
     """
     if counts is None:
         counts = (df if fit_on is None else fit_on).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    index = materialize(label_index(counts, col), "labels")
+    index = label_index(counts, col, small=BROADCAST_LABELS)
     labels = index.count()
     x = df.withColumn("_label", F.col(col).cast("string"))
     index = index.withColumnsRenamed({"label": "_label", "label_index": "_index", "n": "_label_n"})

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import COLS, DEFAULTS, Cols
+from ..config import COLS, DEFAULTS, Cols, materialize
 from ..functions.quantiles import approx_quantiles, exact_quantiles, rounded_stddev
-from .windows import DEFAULT_HOT_ROWS, salted_join
+from .windows import DEFAULT_HOT_ROWS, hot_keys, salted_join
 
 CRITICAL = (COLS.user, COLS.item, COLS.rating, COLS.ts)
 
@@ -100,7 +100,8 @@ def remove_duplicates(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts),
     no repeated key. Of a repeated key only the rows with the least leading
     value are ordered in full. Copies that are equal in all columns are merged
     before, and a key with more than ``hot_rows`` copies is salted, so no task holds
-    a large copy group. Pass ``order=None`` for the reference's keep-any
+    a large copy group. The repeated keys are written once (an action); without any, ``df``
+    itself is the result. Pass ``order=None`` for the reference's keep-any
     ``dropDuplicates``.
     """
     keys = list(keys)
@@ -111,9 +112,11 @@ def remove_duplicates(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts),
         return df.dropDuplicates(keys)
     lead = _leading(df, ordered[0])
     none = F.col(ordered[0]).isNull()
-    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.min(lead).alias("_least"), F.max(none).alias("_none"))
-                .where("_copies > 1"))
-    x = salted_join(df, repeated, keys, "_copies", ordered, hot_rows=hot_rows)
+    repeated = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.min(lead).alias("_least"), F.max(none).alias("_none"))
+                           .where("_copies > 1"), "repeated")
+    if repeated.isEmpty():
+        return df
+    x = salted_join(df, repeated, keys, "_copies", ordered, hot_rows=hot_rows, hot=hot_keys(repeated, keys, "_copies", hot_rows))
     once = x.where("_copies is null").select(*df.columns)
     first = F.when(F.col("_none"), none).otherwise(lead == F.col("_least"))
     copies = x.where(F.col("_copies").isNotNull() & first).select(*df.columns).distinct()
@@ -216,7 +219,6 @@ def quality_report(df: DataFrame, keys=(COLS.user, COLS.item, COLS.ts), order=(C
     dups = duplicate_extra(nonmissing, keys).select(F.col("dup_extra").alias("duplicate_rows"))
     dedup = remove_duplicates(nonmissing, keys, order)
     if materialize_dedup:
-        from ..config import materialize
         dedup = materialize(dedup, "dedup")
     b = iqr_bounds(dedup, c.rating, exact, rel_err)
     oc = outlier_counts(dedup, b, c.rating, lo, hi)

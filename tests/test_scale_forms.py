@@ -142,7 +142,8 @@ def test_label_index_equals_string_indexer(spark, monkeypatch, limit):
 
 def test_label_index_of_100_000_labels(spark):
     df = spark.range(150_000).select(F.concat(F.lit("label"), F.when(F.col("id") < 100_000, F.col("id")).otherwise(F.col("id") % 777)).alias("g"))
-    index = en.label_index(df.groupBy("g").agg(F.count("*").alias("n")), "g")
+    index, one_task = (en.label_index(df.groupBy("g").agg(F.count("*").alias("n")), "g", small=small) for small in (1000, 200_000))
+    assert rows(index) == rows(one_task)
     got = [(r["label"], r["n"]) for r in index.orderBy("label_index").collect()]
     counts = {}
     for r in df.collect():
