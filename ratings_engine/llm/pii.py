@@ -8,16 +8,19 @@ term t reveals of an entity e is estimated from the corpus:
     PMI(e, t) = log(N * df(e, t) / (df(e) * df(t)))     IC(e) = log(N / df(e))
 
 with document frequencies over all N documents. A term whose share PMI / IC is
-``DISCLOSURE`` or more is disclosing if its co-occurrence is no chance: of the n
+``DISCLOSURE`` or more is disclosing if their co-occurrence is no chance: of the n
 contexts of e, k lie in documents with t, and by the Chernoff bound so many have
-probability exp(-n KL(k/n, df(t)/N)) at most, which times all entities and all
-terms of the corpus must stay under ``RISK``. A context is the words around the entity (``REACH`` to either
-side), so copies of one passage count as one. Every occurrence of a disclosing term in
-every document is a span of kind ``term``, also where the entity is not spelled out.
+probability exp(-n KL(k/n, df(t)/N)) at most. Tested are the pairs that
+share ``SHARED`` contexts or more: a single context goes with all of its words alike and
+tells none apart. Of the tested pairs those are kept whose false-discovery rate
+(Benjamini-Hochberg) is at most ``RISK``, so what is found in a part of a corpus does not get
+lost as other entities and terms are added. A context is the words around the entity (``REACH``
+to either side), so copies of one passage count as one. Every occurrence of a disclosing term
+in every document is a span of kind ``term``, also where the entity is not spelled out.
 
 The share of a pair is under ``DISCLOSURE`` whenever df(t) is above
-N * (df(e) / N) ** DISCLOSURE, so pairs are formed only below it. The set of
-disclosing terms (8 bytes each) is broadcast.
+N * (df(e) / N) ** DISCLOSURE, so pairs are formed only below it. Up to ``BROADCAST``
+disclosing terms (8 bytes each) go to all tasks; more of them meet the documents' terms in a join.
 """
 
 from __future__ import annotations
@@ -33,10 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import discard, materialize
-from .spans import digest, in_order, inside
+from .spans import Cover, digest, in_order
 from .text import Vocab, map_batches, signed
 
-DISCLOSURE, RISK, REACH = 0.75, 0.05, 8
+DISCLOSURE, RISK, REACH, SHARED = 0.75, 0.05, 8, 2
+BROADCAST = 1 << 20
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -46,7 +50,6 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\x20\x09-\x0D]+")
-BLANKS = "\x20\t\n\v\f\r"
 EDGES = ".,;:!?()[]{}\"'<>|*#&%$"
 
 
@@ -170,8 +173,8 @@ def _counted(parts):
     return {"t": signed(t), "df": n}
 
 
-def disclosing(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the terms above the disclosure threshold, over the whole corpus."""
+def disclosing(docs: DataFrame) -> DataFrame:
+    """(t): hashes of the terms above the disclosure threshold, over the whole corpus, written."""
 
     def run(batches):
         for batch in batches:
@@ -187,9 +190,8 @@ def disclosing(docs: DataFrame) -> np.ndarray:
     top = df_e.agg(F.max("df_e")).first()[0]
     if top is None:
         discard(scan, df_e)
-        return np.empty(0, np.int64)
+        return docs.sparkSession.createDataFrame([], "t bigint")
     counts = materialize(_term_counts(docs), "terms")
-    tests = df_e.count() * counts.count()
     most = lambda n: total * F.pow(n / total, F.lit(DISCLOSURE)) * (1 + 1e-9)
     df_t = counts.where(F.col("df") <= most(F.lit(top)))
     held = scan.select("key", F.explode("ts").alias("t")).join(df_t, "t")
@@ -200,10 +202,25 @@ def disclosing(docs: DataFrame) -> np.ndarray:
     x = F.least("df_et", "contexts") / n
     q = F.least(F.col("df") / total, x)
     chance = n * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
-    terms = pairs.where(share >= DISCLOSURE).where(chance >= math.log(max(1, tests) / RISK)).select("t").distinct()
-    out = np.sort(terms.toPandas()["t"].to_numpy(np.int64))
-    discard(scan, df_e, counts)
-    return out
+    tested = materialize(pairs.where(F.col("contexts") >= SHARED).select("t", share.alias("share"), chance.alias("chance")), "tested")
+    terms = materialize(tested.where((F.col("share") >= DISCLOSURE) & (F.col("chance") >= _least_chance(tested))).select("t").distinct(), "disclosing")
+    discard(scan, df_e, counts, tested)
+    return terms
+
+
+BIN, TOP = 1 / 16, 60.0     # steps of -log probability, and where they end
+
+
+def _least_chance(tested: DataFrame) -> float:
+    """The -log probability from which on pairs are kept: the lowest at which the expected share of
+    chance finds, tests * probability / pairs kept, is at most ``RISK``. One small histogram."""
+    hist = tested.groupBy(F.floor(F.least("chance", F.lit(TOP)) / BIN).cast("int").alias("b")).count().collect()    # TOP / BIN rows at most
+    tests, kept, least = sum(r["count"] for r in hist), 0, math.inf
+    for r in sorted(hist, key=lambda r: -r["b"]):
+        kept += r["count"]
+        if tests * math.exp(-r["b"] * BIN) <= RISK * kept:
+            least = r["b"] * BIN
+    return least
 
 
 class _Disclosing(dict):
@@ -225,20 +242,50 @@ class _Disclosing(dict):
             self.clear()
         if not len(self.terms):
             return []
-        words = {w for w in set(text.encode("utf-8", "surrogatepass").split()) if self[w]}
-        if not words:
+        words = {w.decode("utf-8", "surrogatepass") for w in set(text.encode("utf-8", "surrogatepass").split()) if self[w]}
+        return _occurrences(text, found, words) if words else []
+
+
+def _occurrences(text: str, found: dict, words: set) -> list[tuple[int, int]]:
+    """Spans of the terms of ``words`` in one pass over the text, outside its entities."""
+    taken, out = Cover(s for v in found.values() for s in v), []
+    for m in TERM.finditer(text):
+        if m[0] in words and not taken.meets(*m.span()):
+            term, left = _clean(m[0])
+            out.append((m.start() + left, m.start() + left + len(term)))
+    return out
+
+
+def _with_terms(docs: DataFrame, terms: DataFrame):
+    """(``docs``, marker): the marker gives the term spans of (text, entities, held). With few terms it holds the set and
+    ``held`` is null; with more, ``docs`` gets a column ``_held`` with the disclosing terms of each row, by a join."""
+    if terms.count() <= BROADCAST:
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(terms.toPandas()["t"].to_numpy(np.int64)))
+        made = []
+
+        def mark(text, found, held):
+            if not made:
+                made.append(_Disclosing(known.value))
+            return made[0].spans(text, found)
+
+        return docs.withColumn("_held", F.lit(None).cast("array<bigint>")), mark
+
+    def hashes(batches):
+        for batch in batches:
+            of = [sorted({_hash(_clean(w)[0].lower()) for w in TERM.findall(t or "")}) for t in batch.column(1).to_pylist()]
+            yield {"_key": batch.column(0), "ts": of}
+
+    rows = materialize(docs.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+    long = map_batches(rows.select("_key", "text"), hashes, "_key bigint, ts array<bigint>").select("_key", F.explode("ts").alias("t"))
+    held = long.join(terms, "t", "left_semi").groupBy("_key").agg(F.collect_list("t").alias("_held"))   # at most a row's own terms
+
+    def mark(text, found, held):
+        if held is None or not len(held):
             return []
-        taken, out = sorted(s for v in found.values() for s in v), []
-        for word in words:
-            word = word.decode("utf-8", "surrogatepass")
-            term, left = _clean(word)
-            at = text.find(word)
-            while at >= 0:
-                end = at + len(word)
-                if (not at or text[at - 1] in BLANKS) and (end == len(text) or text[end] in BLANKS) and not inside(taken, at, end):
-                    out.append((at + left, at + left + len(term)))
-                at = text.find(word, end)     # a word with blanks around it does not overlap itself
-        return sorted(out)
+        held = set(held)
+        return _occurrences(text, found, {w for w in set(TERM.findall(text)) if _hash(_clean(w)[0].lower()) in held})
+
+    return rows.join(held, "_key", "left").drop("_key"), mark
 
 
 def scan_pii(docs: DataFrame) -> DataFrame:
@@ -246,18 +293,18 @@ def scan_pii(docs: DataFrame) -> DataFrame:
 
     ``spans`` lists base and term spans of the whole text (code points, end
     exclusive), ``terms`` the term spans alone, null if there are none. Null and
-    empty texts have none. Each row counts as a document, whatever its doc_id.
+    empty texts have none; long texts are read whole, in time proportional to their length. Each
+    row counts as a document, whatever its doc_id. No rows, no result; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    terms = docs.sparkSession.sparkContext.broadcast(disclosing(docs))
+    docs, mark = _with_terms(docs, disclosing(docs))
 
     def run(batches):
-        marks = _Disclosing(terms.value)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text, held in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 found = entities(text or "")
-                term = marks.spans(text or "", found)
+                term = mark(text or "", found, held)
                 rows.append((*(len(v) for v in found.values()), digest(found), ",".join(in_order(found | {"term": term})),
                              [{"s": s, "f": f} for s, f in term] or None))
             yield {"doc_id": batch.column(0)} | dict(zip(("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "terms"), list(zip(*rows)) or [[]] * 7))
@@ -283,19 +330,21 @@ def _sanitised(text: str, spans: str) -> str:
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data and disclosing terms replaced in ``text``; rows and columns stay."""
-    terms = docs.sparkSession.sparkContext.broadcast(disclosing(docs))
-    made = []
+    """``docs`` with personal data and disclosing terms replaced in ``text``; rows and columns stay.
+
+    Null and empty texts stay as they are; long texts are read whole. Rows that repeat an id are each a
+    document. Columns of any name may come along (but ``_held`` and ``_key``). No rows, no result.
+    """
+    columns = docs.columns
+    docs, mark = _with_terms(docs, disclosing(docs))
 
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        if not made:
-            made.append(_Disclosing(terms.value))
+    def clean(texts: pd.Series, held: pd.Series) -> pd.Series:
         out = []
-        for text in texts:
+        for text, terms in zip(texts, held):
             found = entities(text) if text else {}
-            labels = in_order(found | {"term": made[0].spans(text, found)}) if text else []
+            labels = in_order(found | {"term": mark(text, found, terms)}) if text else []
             out.append(_sanitised(text, ",".join(labels)) if labels else text)
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn("text", clean("text"))
+    return docs.withColumn("text", clean("text", "_held")).select(*columns)

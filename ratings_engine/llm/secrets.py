@@ -3,9 +3,8 @@
 Strong spans (assignments, access identifiers, long hex) are always reported.
 Weak candidates -- something that could be an identifier, a secret or an
 endpoint -- mean little alone. They are joined by interval within a scope: each
-part reaches ``SCOPE`` code points to either side and, in a block of several lines
-(blank lines end it), the whole block; a weak candidate is reported only if the
-parts that complete it reach it too:
+part reaches ``SCOPE`` code points to either side, but not across a blank line,
+and a weak candidate is reported only if the parts that complete it reach it:
 
     weak secret    needs an identifier or an endpoint
     weak identifier needs a secret
@@ -24,10 +23,10 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spans import digest, in_order, inside
+from .spans import Cover, digest, in_order
 from .text import map_batches
 
-SCOPE = 240
+SCOPE = 800
 BLANK = re.compile(r"\n(?:[\x20\t\r]*\n)+")
 
 # Fixed patterns of the base kinds; the letters of the key names in either case.
@@ -57,63 +56,36 @@ def _mixed(token: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(token).values()) >= 3.5
 
 
-class _Blocks:
-    """The blocks of a text: what lies between blank lines."""
-
-    def __init__(self, text: str):
-        self.text, gaps = text, [m.span() for m in BLANK.finditer(text)]
-        self.starts, self.ends = [0, *(e for _, e in gaps)], [*(s for s, _ in gaps), len(text)]
-        self.lined = {}
-
-    def scope(self, start: int, end: int) -> tuple[int, int]:
-        i, j = bisect_right(self.starts, start) - 1, max(0, bisect_right(self.starts, end - 1) - 1)
-        if i not in self.lined:
-            self.lined[i] = "\n" in self.text[self.starts[i]:self.ends[i]].strip()
-        if not self.lined[i]:
-            return start - SCOPE, end + SCOPE
-        return min(start - SCOPE, self.starts[i]), max(end + SCOPE, self.ends[j])
-
-
-class _Reach:
-    """Sorted, merged intervals for one kind of part; ``near`` is the interval join's probe."""
-
-    def __init__(self, spans, blocks: _Blocks):
-        self.starts, self.ends = [], []
-        for s, e in sorted(blocks.scope(s, e) for s, e in spans):
-            if self.ends and s <= self.ends[-1]:
-                self.ends[-1] = max(self.ends[-1], e)
-            else:
-                self.starts.append(s)
-                self.ends.append(e)
-
-    def near(self, span) -> bool:
-        i = bisect_right(self.ends, span[0])
-        return i < bisect_left(self.starts, span[1])
-
-
-def linked_spans(text: str, strong: dict) -> dict[str, list[tuple[int, int]]]:
-    """Weak candidates completed by their complementary parts (empty lists otherwise)."""
-    taken = [s for spans in strong.values() for s in spans]
-    free = lambda spans: [s for s in spans if not inside(taken, *s)]
+def linked_spans(text: str, strong: dict, scope: int = SCOPE) -> dict[str, list[tuple[int, int]]]:
+    """Weak candidates completed by their complementary parts within ``scope`` code points (empty lists otherwise)."""
+    taken = Cover(s for spans in strong.values() for s in spans)
+    free = lambda spans: [s for s in spans if not taken.meets(*s)]
     secrets = free(m.span() for m in WEAK_SECRET.finditer(text) if _mixed(m[0]))
     if not secrets and not strong["assign"] and not strong["hex"]:
         return {"weak_id": [], "weak_secret": [], "weak_endpoint": []}
     ids, ends = free(m.span() for m in WEAK_ID.finditer(text)), free(m.span() for m in WEAK_ENDPOINT.finditer(text))
-    secrets = [s for s in secrets if not inside(ids, *s) and not inside(ends, *s)]
-    blocks = _Blocks(text)
-    id_reach, end_reach = _Reach(ids + strong["access"], blocks), _Reach(ends, blocks)
-    secret_reach = _Reach(secrets + strong["assign"] + strong["hex"], blocks)
-    return {"weak_id": [s for s in ids if secret_reach.near(s)],
-            "weak_secret": [s for s in secrets if id_reach.near(s) or end_reach.near(s)],
-            "weak_endpoint": [s for s in ends if secret_reach.near(s) and id_reach.near(s)]}
+    named = Cover(ids + ends)
+    secrets = [s for s in secrets if not named.meets(*s)]
+    gaps = [m.span() for m in BLANK.finditer(text)]
+    starts, stops = [0, *(e for _, e in gaps)], [*(s for s, _ in gaps), len(text)]
+
+    def reach(spans):
+        return Cover((max(s - scope, starts[bisect_right(starts, s) - 1]), min(e + scope, stops[bisect_left(stops, e)])) for s, e in spans)
+
+    id_reach, end_reach = reach(ids + strong["access"]), reach(ends)
+    secret_reach = reach(secrets + strong["assign"] + strong["hex"])
+    return {"weak_id": [s for s in ids if secret_reach.meets(*s)],
+            "weak_secret": [s for s in secrets if id_reach.meets(*s) or end_reach.meets(*s)],
+            "weak_endpoint": [s for s in ends if secret_reach.meets(*s) and id_reach.meets(*s)]}
 
 
-def scan_secrets(docs: DataFrame) -> DataFrame:
+def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``docs(doc_id, text)`` -> per row (doc_id, n_assign, n_access, n_hex,
     base_sha256, spans, n_weak_id, n_weak_secret, n_weak_endpoint).
 
     Spans are code points of the whole text, end exclusive. A null or empty
-    text has none; a null doc_id stays null; repeated rows are scanned each.
+    text has none; a null doc_id stays null; repeated rows are scanned each. Parts
+    link within ``scope`` code points of one block. A long text of many spans takes time in proportion.
     """
 
     def run(batches):
@@ -121,7 +93,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             rows = []
             for text in batch.column(1).to_pylist():
                 strong = strong_spans(text or "")
-                weak = linked_spans(text or "", strong)
+                weak = linked_spans(text or "", strong, scope)
                 rows.append((*(len(v) for v in strong.values()), digest(strong), ",".join(in_order(strong | weak)), *(len(v) for v in weak.values())))
             yield {"doc_id": batch.column(0)} | dict(zip(COLUMNS, list(zip(*rows)) or [[]] * len(COLUMNS)))
 

@@ -356,3 +356,85 @@ def test_training_sample_is_shuffled_to_its_task(spark, make_docs, monkeypatch):
 def test_spans_that_overlap_are_replaced_whole():
     for text, want in (("4111 1111 1111 1111@x.com", "[CARD][EMAIL]"), ("x 10.0.0.4 111 1111 1111 1111 y", "x [IP][CARD] y")):
         assert pii._sanitised(text, ",".join(pii.in_order(pii.entities(text)))) == want
+
+
+def _linked(text, scope):
+    """Added spans of the secret scan, pair by pair."""
+    strong = secrets.strong_spans(text)
+    taken = [s for v in strong.values() for s in v]
+    meet = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    free = lambda spans, other: [s for s in spans if not any(meet(s, t) for t in other)]
+    ids = free([m.span() for m in secrets.WEAK_ID.finditer(text)], taken)
+    ends = free([m.span() for m in secrets.WEAK_ENDPOINT.finditer(text)], taken)
+    keys = free([m.span() for m in secrets.WEAK_SECRET.finditer(text) if secrets._mixed(m[0])], taken + ids + ends)
+
+    def near(a, others):
+        return any((max(a[0], b[0]) - min(a[1], b[1]) < scope) and not re.search(r"\n[\x20\t\r]*\n", text[min(a[1], b[1]):max(a[0], b[0])]) for b in others)
+    strong_keys = keys + strong["assign"] + strong["hex"]
+    names = ids + strong["access"]
+    return {"weak_id": [s for s in ids if near(s, strong_keys)], "weak_secret": [s for s in keys if near(s, names) or near(s, ends)],
+            "weak_endpoint": [s for s in ends if near(s, strong_keys) and near(s, names)]}
+
+
+def test_linked_parts_match_pair_by_pair():
+    rng = np.random.default_rng(8)
+    parts = ["user: bob", "client_id=abc.def", "Zx81kQpT02vLm4Rr7BnW9s", "qqWW12eeRR34ttYY56uu", "https://db.example.org:5432/x", "host = h1.example", "AKIA" + "Q" * 16,
+             "token: abcdef99", "0123456789abcdef01234567", "word", "plain words here", "\n", "\n\n", "\n \n", "x" * 90]
+    found = 0
+    for _ in range(400):
+        text = " ".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(2, 30)))
+        got = secrets.linked_spans(text, secrets.strong_spans(text), 200)
+        assert got == _linked(text, 200), text
+        found += sum(map(len, got.values()))
+    assert found > 300
+
+
+def test_texts_of_many_spans_take_time_in_proportion():
+    import time
+    line = "token = abcdef123456\nuser: bob7\nkey Zx81kQpT02vLm4Rr7BnW9s mail jo@example.com 10.0.0.1\n"
+
+    def seconds(n):
+        text = line * n
+        t = time.perf_counter()
+        secrets.linked_spans(text, secrets.strong_spans(text))
+        pii._occurrences(text, pii.entities(text), {"bob7"})
+        return time.perf_counter() - t
+    seconds(100)
+    assert seconds(8000) < 40 * max(seconds(800), 0.005)        # 100 where each span is held against all others
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_recurring_addresses_disclose_their_company(spark, make_docs, monkeypatch, limit):
+    """Addresses that recur in a corpus of other addresses: names that go with one are found, whatever else the corpus
+    holds, broadcast or joined; the words of an address seen once are not."""
+    monkeypatch.setattr(pii, "BROADCAST", limit)
+    rows, i = [], 0
+    for a in range(12):
+        for k in range(5):
+            i += 1
+            rows.append((i, f"{prose(25, i)} Name{a} {prose(9, i + 7)} person{a}@mail.example.com {prose(14, i + 3)} only{i}"))
+    rows += [(1000 + j, f"{prose(30, j % 190)} single{j}@mail.example.com rare{j} {prose(20, j % 170)}") for j in range(400)]
+    rows += [(5000, "(NAME3), alone"), (5000, "Name3 Name4"), (5001, None), (5002, "")]
+    text = collections.defaultdict(list)
+    for d, t in rows:
+        text[d].append(t)
+    got = {}
+    for r in pii.scan_pii(make_docs(rows)).collect():
+        spans = sorted((x["s"], x["f"]) for x in r["terms"] or ())
+        got.setdefault(r["doc_id"], []).append(spans)
+    for d, ts in text.items():
+        want = sorted([m.span() for m in re.finditer(r"(?i)name\d+", t or "")] for t in ts)
+        assert sorted(got[d]) == want, d
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(rows)).collect()}
+    assert "Name3" not in clean[16] and "[TERM]" in clean[16] and "rare1" in clean[1001] and clean[5001] is None
+
+
+def test_false_discovery_rate_of_the_bins(spark):
+    rng = np.random.default_rng(6)
+    for shape in (rng.exponential(1, 500), np.concatenate([rng.exponential(1, 500), rng.uniform(8, 90, 60)]), np.full(3, 1.0), np.full(3, 70.0)):
+        least = pii._least_chance(spark.createDataFrame([(float(x),) for x in shape], "chance double"))
+        p = np.sort(np.exp(-np.minimum(shape, pii.TOP)))
+        ok = np.flatnonzero(p <= pii.RISK * np.arange(1, len(p) + 1) / len(p))
+        exact = -np.log(p[ok[-1]]) if len(ok) else np.inf
+        assert least == exact or exact - pii.BIN <= least <= exact + 1.0 and (shape >= least).sum() >= 0.9 * len(ok)
+    assert pii._least_chance(spark.createDataFrame([], "chance double")) == float("inf")
