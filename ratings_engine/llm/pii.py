@@ -9,13 +9,13 @@ term t reveals of an entity e is estimated from the corpus:
 
 with document frequencies over all N documents. A term whose share PMI / IC is
 ``DISCLOSURE`` or more is disclosing if their co-occurrence is no chance: of the n
-contexts of e, k lie in documents with t, and by the Chernoff bound so many have
-probability exp(-n KL(k/n, df(t)/N)) at most. Tested are the pairs that
-share ``SHARED`` contexts or more: a single context goes with all of its words alike and
-tells none apart. Of the tested pairs those are kept whose false-discovery rate
-(Benjamini-Hochberg) is at most ``RISK``, so what is found in a part of a corpus does not get
-lost as other entities and terms are added. A context is the words around the entity (``REACH``
-to either side), so copies of one passage count as one. Every occurrence of a disclosing term
+documents of e, a share x holds t, and by the Chernoff bound so many have
+probability exp(-n KL(x, df(t)/N)) at most. n counts documents by what differs
+between them (``_entities``): a document and its copies, edited here and there, are little over
+one. Tested are the pairs that share ``SHARED`` such documents or more: a single
+one goes with all of its words alike and tells none apart. Of the tested pairs those
+are kept whose false-discovery rate (Benjamini-Hochberg) is at most ``RISK``, so what is found in
+a part of a corpus does not get lost as other entities and terms are added. Every occurrence of a disclosing term
 in every document is a span of kind ``term``, also where the entity is not spelled out.
 
 The share of a pair is under ``DISCLOSURE`` whenever df(t) is above
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -39,7 +39,8 @@ from ..config import discard, materialize
 from .spans import Cover, digest, in_order
 from .text import Vocab, map_batches, signed
 
-DISCLOSURE, RISK, REACH, SHARED = 0.75, 0.05, 8, 2
+DISCLOSURE, RISK, SHARED = 0.75, 0.05, 1.5
+BINS, STEP = 16, 0x9E3779B97F4A7C15       # of a document's sketch
 BROADCAST = 1 << 20
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -111,33 +112,22 @@ def _hash(s: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _outside(text: str, found: dict) -> tuple[list, list, list]:
-    """(entity spans, word spans, those of the words that meet no entity)."""
-    spans = sorted((s, e) for v in found.values() for s, e in v)
-    words = [m.span() for m in TERM.finditer(text)]
-    out, at, end = [], 0, 0
-    for a, b in words:
-        while at < len(spans) and spans[at][0] < b:
-            end = max(end, spans[at][1])
-            at += 1
-        if end <= a:
-            out.append((a, b))
-    return spans, words, out
-
-
-def _seen(text: str, found: dict) -> tuple[list, list]:
-    """Distinct (entity, context) and distinct terms of a document."""
-    spans, words, free = _outside(text, found)
+def _seen(text: str, found: dict) -> tuple[list, list, list]:
+    """Of a document with entities: these, its distinct terms outside them, and a sketch of the terms, the
+    least hash of each of ``BINS`` bins. An empty bin takes the next one's, changed by the distance, so
+    that two documents agree in a bin as often as they share words; without terms there is no sketch."""
+    spans = [s for v in found.values() for s in v]
     if not spans:
-        return [], []
-    starts, around = [s for s, _ in words], set(free)
-    near = set()
-    for s, e in spans:
-        first, last = bisect_right(starts, s) - 1, bisect_right(starts, e - 1)
-        context = [w for w in (*words[max(0, first - REACH):first], *words[last:last + REACH]) if w in around]
-        near.add((_hash(text[s:e].lower()), _hash(" ".join(text[a:b] for a, b in context))))
-    terms = {_clean(text[a:b])[0].lower() for a, b in free}
-    return sorted(near), sorted(map(_hash, terms - {""}))
+        return [], [], []
+    taken = Cover(spans)
+    terms = {_clean(m[0])[0].lower() for m in TERM.finditer(text) if not taken.meets(*m.span())}
+    hashes, least, sketch = sorted(map(_hash, terms - {""})), {}, []
+    for h in reversed(hashes):
+        least[h % BINS] = h
+    for i in range(BINS) if least else ():
+        step = next(d for d in range(BINS) if (i + d) % BINS in least)
+        sketch.append((least[(i + step) % BINS] + step * STEP + (1 << 63)) % (1 << 64) - (1 << 63))
+    return sorted({_hash(text[s:e].lower()) for s, e in spans}), hashes, sketch
 
 
 def _term_counts(docs: DataFrame) -> DataFrame:
@@ -179,35 +169,48 @@ def disclosing(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = [r for text in batch.column(0).to_pylist() if text and (r := _seen(text, entities(text)))[0]]
-            yield {"near": [[{"e": e, "context": c} for e, c in near] for near, _ in rows], "ts": [t for _, t in rows]}
+            yield dict(zip(("es", "ts", "sketch"), zip(*rows))) if rows else {"es": [], "ts": [], "sketch": []}
 
     total = docs.count()
-    scan = map_batches(docs.select("text"), run, "near array<struct<e:bigint,context:bigint>>, ts array<bigint>")
+    scan = map_batches(docs.select("text"), run, "es array<bigint>, ts array<bigint>, sketch array<bigint>")
     scan = materialize(scan.withColumn("key", F.monotonically_increasing_id()), "pii")
-    of = scan.select("key", F.inline("near"))
-    df_e = of.groupBy("e").agg(F.countDistinct("key").alias("df_e"), F.countDistinct("context").alias("n_e")).where(F.col("df_e") < total)
-    df_e = materialize(df_e, "entities")
+    of = scan.select("key", F.explode("es").alias("e"))
+    df_e = _entities(scan).where(F.col("df_e") < total)
+    known = df_e = materialize(df_e, "entities")
+    df_e = df_e.where(F.col("n_e") >= SHARED)
     top = df_e.agg(F.max("df_e")).first()[0]
     if top is None:
-        discard(scan, df_e)
+        discard(scan, known)
         return docs.sparkSession.createDataFrame([], "t bigint")
     counts = materialize(_term_counts(docs), "terms")
     most = lambda n: total * F.pow(n / total, F.lit(DISCLOSURE)) * (1 + 1e-9)
     df_t = counts.where(F.col("df") <= most(F.lit(top)))
     held = scan.select("key", F.explode("ts").alias("t")).join(df_t, "t")
     pairs = held.join(of.join(df_e, "e"), "key").where(F.col("df") <= most(F.col("df_e"))).groupBy("e", "t").agg(
-        F.countDistinct("key").alias("df_et"), F.countDistinct("context").alias("contexts"), *(F.first(c).alias(c) for c in ("df", "df_e", "n_e")))
+        F.count("*").alias("df_et"), *(F.first(c).alias(c) for c in ("df", "df_e", "n_e")))     # a document has each e and each t once
     share = F.log(F.lit(total) * F.col("df_et") / (F.col("df_e") * F.greatest("df", "df_et"))) / F.log(F.lit(total) / F.col("df_e"))
-    n = F.least("df_e", "n_e")
-    x = F.least("df_et", "contexts") / n
+    x = F.col("df_et") / F.col("df_e")
     q = F.least(F.col("df") / total, x)
-    chance = n * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
-    tested = materialize(pairs.where(F.col("contexts") >= SHARED).select("t", share.alias("share"), chance.alias("chance")), "tested")
+    chance = F.col("n_e") * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
+    tested = materialize(pairs.where(F.col("n_e") * x >= SHARED).select("t", share.alias("share"), chance.alias("chance")), "tested")
     terms = materialize(tested.where((F.col("share") >= DISCLOSURE) & (F.col("chance") >= _least_chance(tested))).select("t").distinct(), "disclosing")
-    discard(scan, df_e, counts, tested)
+    discard(scan, known, counts, tested)
     return terms
 
 
+def _entities(scan: DataFrame) -> DataFrame:
+    """(e, df_e, n_e): documents of each entity, and how many they amount to. In each bin of the
+    sketches, documents are counted by the value there; the inverse Simpson index of the counts is n if all differ
+    and little over 1 if most agree. Two documents agree in a bin as often as they share words, so the
+    mean over the bins counts a copy as a small part of a document, and different texts nearly whole."""
+    df_e = scan.select(F.explode("es").alias("e")).groupBy("e").agg(F.count("*").alias("df_e"))
+    long = (scan.select(F.explode("es").alias("e"), "sketch").join(df_e.where("df_e > 1").select("e"), "e", "left_semi")
+            .select("e", F.posexplode("sketch").alias("at", "q")))
+    bins = long.groupBy("e", "at", "q").agg(F.count("*").alias("c")).groupBy("e", "at").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("cc"))
+    index = bins.groupBy("e").agg(F.avg(F.col("n") * F.col("n") / F.col("cc")).alias("n_e"))
+    return df_e.join(index, "e", "left").select("e", "df_e", F.coalesce("n_e", F.lit(1.0)).alias("n_e"))
+
+
 BIN, TOP = 1 / 16, 60.0     # steps of -log probability, and where they end
 
 

@@ -438,3 +438,21 @@ def test_false_discovery_rate_of_the_bins(spark):
         exact = -np.log(p[ok[-1]]) if len(ok) else np.inf
         assert least == exact or exact - pii.BIN <= least <= exact + 1.0 and (shape >= least).sum() >= 0.9 * len(ok)
     assert pii._least_chance(spark.createDataFrame([], "chance double")) == float("inf")
+
+
+def test_copies_of_a_document_disclose_nothing(spark, make_docs):
+    """One text with an address, copied 40 times with edited words, among other texts; and its address in other texts too."""
+    rng = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(120)]
+    base[60] = "jo.do@mail.example.com"
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for at in rng.choice(59, rng.integers(0, 7), replace=False):
+            w[at] = f"e{rng.integers(0, 500)}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, prose(40, i % 190)) for i in range(400)]
+    assert all(r["terms"] is None for r in pii.scan_pii(make_docs(rows)).collect())
+    rows += [(1000 + i, f"{prose(40, i)} Quill jo.do@mail.example.com") for i in range(4)] + [(2000, f"b1 b2 Quill jo.do@mail.example.com {prose(12, 9)}")]
+    got = {r["doc_id"]: r["terms"] for r in pii.scan_pii(make_docs(rows)).collect()}
+    assert got[3] is None and got[100] is None
