@@ -49,6 +49,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotes(table(spark, sf_dir, "conversations"))
 
 
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9 where conversations do quote: over replies derived from the same table."""
+    return quotes.link_quotes(quotes.quoting_replies(table(spark, sf_dir, "conversations")))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -79,5 +84,6 @@ QUERIES = {
     "op11_source_divergence": (op11, divergence.SQL),
     "op12_fill_in_middle": (op12, fill_in_middle.SQL),
     "op13_toxicity": (op13, None),
+    "quote_linking_of_replies": (replies, quotes.SQL_OF_REPLIES),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

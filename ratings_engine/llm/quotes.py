@@ -169,8 +169,24 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
                       "reply_to", F.coalesce("top", "turn").alias("thread"), number("depth"), body(F.col("text")).alias("body"))
 
 
-# In DuckDB, by whole lines and their first message; a recursive query follows the replies.
-# It agrees with the above where no line has two originals and quotes keep their lines.
+def quoting_replies(conversations: DataFrame) -> DataFrame:
+    """``conversations(conv_id, turn, role, text)`` where turns quote an earlier one above their own text: whole, wrapped
+    anew, only its first line, or that line at level 2. A table to try the linking on, from real messages, where a
+    corpus quotes nothing itself; it has a row for each row with a conv_id and turn that do not repeat."""
+    own = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    said = own.select("conv_id", F.col("turn").alias("of"), F.col("role").alias("by"), F.col("text").alias("said"))
+    x = own.withColumn("of", F.col("turn") - 1 - F.col("turn") % 3).join(said, ["conv_id", "of"], "left")
+    first = F.split_part("said", F.lit("\n"), F.lit(1))
+    shown = (F.when(F.col("turn") % 4 == 0, F.col("said")).when(F.col("turn") % 4 == 1, F.regexp_replace("said", r"((?:[^ \n]+ ){6})", "$1\n"))
+             .otherwise(first))
+    mark = F.when(F.col("turn") % 4 == 3, ">> ").otherwise("> ")
+    quoted = F.concat(mark, F.replace(shown, F.lit("\n"), F.concat(F.lit("\n"), mark)))
+    return x.select("conv_id", "turn", "role", F.when(F.col("said").isNotNull(), F.concat("by", F.lit(" wrote:\n"), quoted, F.lit("\n\n"), "text"))
+                    .otherwise(F.col("text")).alias("text"))
+
+
+# In DuckDB: the nearest earlier message that holds a run, found by comparing texts instead of hashes;
+# a recursive query follows the replies.
 SQL = r"""
 with recursive messages as (
   select row_number() over () as key, cast(conv_id as bigint) conv_id, cast(turn as bigint) turn, cast(role as varchar) as role, coalesce(text, '') as text
@@ -181,11 +197,29 @@ marked as (
   select *, length(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+')) - length(replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+'), '>', '')) as level from raw),
 long as (
   select *, trim(regexp_replace(lower(regexp_replace(line, '^[ \t]*(?:>[ \t]*)+', '')), '[^\p{L}\p{N}]+', ' ', 'g')) as norm from marked),
+placed as (
+  select *, pos - row_number() over (partition by key, level order by pos) as block from long where conv_id is not null and turn is not null),
+quoted as (
+  select *, row_number() over (partition by key, level, block order by pos) - 1 as i, count(*) over (partition by key, level, block) as size
+  from placed where level > 0 and norm <> ''),
+tall as (select *, unnest(range(0, ceil(log2(size))::int + 1)) as j from quoted),
+runs as (
+  select key, conv_id, turn, level, block, j, floor(i / pow(2, j))::bigint as run, list(pos order by pos) as at, string_agg(norm, ' ' order by pos) as words
+  from tall group by key, conv_id, turn, level, block, j, floor(i / pow(2, j))::bigint),
+said as (select key, conv_id, turn, list(norm order by pos) as ls from long where level = 0 and norm <> '' and turn is not null group by key, conv_id, turn),
+starts as (select *, unnest(range(1, len(ls) + 1)) as a from said),
+pieces as (select conv_id, turn, ls, a, unnest(range(a, len(ls) + 1)) as b from starts),
+whole_lines as (select distinct conv_id, turn, array_to_string(ls[a:b], ' ') as words from pieces),
+whole as (
+  select r.key, r.level, r.block, r.j, r.run, max(w.turn) as origin from runs r join whole_lines w on w.conv_id = r.conv_id and w.words = r.words and w.turn < r.turn group by all),
+part as (
+  select r.key, r.level, r.block, r.j, r.run, max(o.turn) as origin from runs r join said o on o.conv_id = r.conv_id and o.turn < r.turn
+    and contains(' ' || array_to_string(o.ls, ' ') || ' ', ' ' || r.words || ' ') group by all),
 origins as (
-  select conv_id, norm, min(turn) as origin from long where level = 0 and norm <> '' group by all),
-linked as (
-  select key, q.conv_id, q.turn, level, origin, count(*) as n from long q join origins o on q.conv_id = o.conv_id and q.norm = o.norm
-  where level > 0 and q.norm <> '' and origin < q.turn group by all),
+  select r.key, r.conv_id, r.turn, r.level, r.j, unnest(r.at) as pos, coalesce(w.origin, p.origin) as origin
+  from runs r join part p using (key, level, block, j, run) left join whole w using (key, level, block, j, run)),
+found as (select key, conv_id, turn, level, pos, arg_max(origin, j) as origin from origins group by all),
+linked as (select key, conv_id, turn, level, origin, count(*) as n from found group by all),
 parent as (
   select distinct on (key) key, conv_id, turn, origin as reply_to, sum(n) over (partition by key) as n_linked
   from linked order by key, level, n desc, origin desc),
@@ -207,3 +241,16 @@ select m.conv_id, m.turn, m.role, cast(coalesce(n_lines, 0) as bigint) as n_line
 from messages m left join counted c on c.key = m.key left join parent p on p.key = m.key
 left join root r on r.conv_id = m.conv_id and r.turn = m.turn left join bodies b on b.key = m.key
 """
+
+_REPLIES = r"""
+derived as (
+  select c.conv_id, c.turn, c.role,
+    case when s.conv_id is null then coalesce(c.text, '')
+         else s.role || ' wrote:' || chr(10) || m.mark || replace(
+           case when c.turn % 4 = 0 then coalesce(s.text, '') when c.turn % 4 = 1 then regexp_replace(coalesce(s.text, ''), '((?:[^ \n]+ ){6})', '\1' || chr(10), 'g')
+                else split_part(coalesce(s.text, ''), chr(10), 1) end, chr(10), chr(10) || m.mark) || chr(10) || chr(10) || coalesce(c.text, '') end as text
+  from (select *, case when turn % 4 = 3 then '>> ' else '> ' end as mark from conversations) m
+  join conversations c on c.conv_id = m.conv_id and c.turn = m.turn
+  left join conversations s on s.conv_id = c.conv_id and s.turn = c.turn - 1 - c.turn % 3),
+"""
+SQL_OF_REPLIES = SQL.replace("with recursive messages", "with recursive" + _REPLIES + "messages").replace("from conversations),", "from derived),")

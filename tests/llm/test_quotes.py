@@ -1,7 +1,9 @@
 import duckdb
 import pytest
 
+import __spark_entry__ as entry
 from ratings_engine.llm import quotes
+from tests.conftest import SF_SMALL
 
 ROWS = [
     (1, 0, "a", "Shall we meet on Monday?\nBring the plan."),
@@ -48,19 +50,6 @@ def test_replies_threads_and_bodies(spark):
     assert got[4, 1]["reply_to"] == 0 and got[4, 1]["max_level"] == 2 and got[4, 1]["body"] == "end"
 
 
-@pytest.mark.parametrize("rows", [ROWS, []])
-def test_duckdb_agrees(spark, rows):
-    got = _rows(spark, rows)
-    con = duckdb.connect()
-    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
-    if rows:
-        con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
-    want = con.execute(quotes.SQL)
-    names = [d[0] for d in want.description]
-    key = lambda r: tuple((x is None, str(x)) for x in r)
-    assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=key) == sorted(want.fetchall(), key=key)
-
-
 REPEATED = [
     (1, 1, "a", "Good morning all"),
     (1, 2, "b", "The report is due on Friday"),
@@ -78,6 +67,19 @@ REPEATED = [
 ]
 
 
+@pytest.mark.parametrize("rows", [ROWS, REPEATED, []])
+def test_duckdb_agrees(spark, rows):
+    got = _rows(spark, rows)
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    if rows:
+        con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    want = con.execute(quotes.SQL)
+    names = [d[0] for d in want.description]
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=key) == sorted(want.fetchall(), key=key)
+
+
 def test_nearest_message_that_holds_the_passage(spark):
     got = {r["turn"]: (r["reply_to"], r["n_quoted"], r["n_linked"]) for r in _rows(spark, REPEATED).collect() if r["n_quoted"]}
     assert got == {9: (7, 2, 2), 10: (7, 3, 3), 11: (7, 1, 1), 12: (7, 2, 1), 9000: (5000, 1, 1), 9001: (5000, 2, 2), 9003: (5000, 1, 1)}
@@ -86,3 +88,9 @@ def test_nearest_message_that_holds_the_passage(spark):
 def test_no_python_in_the_plan(spark):
     plan = _rows(spark, ROWS)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_replies_derived_from_the_table_are_linked(spark):
+    got = entry.queries()["quote_linking_of_replies"](spark, SF_SMALL).collect()
+    assert sum(r["n_linked"] for r in got) > 0.9 * sum(r["n_quoted"] for r in got) > 50
+    assert {r["max_level"] for r in got} == {0, 1, 2} and max(r["depth"] for r in got) > 2
