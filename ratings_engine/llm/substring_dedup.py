@@ -125,26 +125,27 @@ def _join(words: list[bytes]) -> str:
 
 
 def anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
-    """(h, doc_id): the distinct anchors of each document."""
+    """(h, doc_id, tk): the distinct anchors of each row; ``tk`` tells rows of one doc_id apart."""
 
     def emit(batches):
         vocab = Vocab()
         for batch in batches:
-            ids, hs = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, tks, hs = [], [], []
+            for doc, text, tk in zip(*(c.to_pylist() for c in batch.columns)):
                 h = vocab.hashes(words_of(text))
                 if len(h) >= window:
                     a = anchors_of(h, window, run)
                     hs.append(np.unique(a[np.append(True, a[1:] != a[:-1])]))
                     ids.append(np.full(len(hs[-1]), doc))
+                    tks.append(np.full(len(hs[-1]), tk))
             if hs:
-                yield {"h": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids)}
+                yield {"h": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids), "tk": np.concatenate(tks)}
 
-    return map_batches(docs, emit, "h bigint, doc_id bigint")
+    return map_batches(docs.select("doc_id", "text", "tk"), emit, "h bigint, doc_id bigint, tk bigint")
 
 
 def routed(docs: DataFrame, hits: DataFrame, window: int, run: int) -> DataFrame:
-    """(owner, copies, copy, role, doc_id, start, text): role 0 the parts of a
+    """(owner, copies, copy, role, doc_id, tk, start, text): role 0 the parts of a
     reference shard, role 1 the runs of windows to be matched against it."""
 
     def emit(batches):
@@ -154,7 +155,7 @@ def routed(docs: DataFrame, hits: DataFrame, window: int, run: int) -> DataFrame
             hits = batch.column(2)
             ends, flat = hits.offsets.to_numpy(), hits.values
             all_known, all_owner, all_copies = (flat.field(c).to_numpy() for c in ("h", "owner", "copies"))
-            for n, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            for n, (doc, text, tk) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)))):
                 words = words_of(text)
                 h = signed(anchors_of(vocab.hashes(words), window, run))
                 some = slice(ends[n], ends[n + 1])
@@ -172,30 +173,30 @@ def routed(docs: DataFrame, hits: DataFrame, window: int, run: int) -> DataFrame
                     run_of = _join(words[a:int(starts[part[-1]]) + window])
                     o, c = int(owner[j]), int(copies[j])
                     if o == doc:
-                        rows += [(o, c, k, 0, doc, a, run_of) for k in range(c)]
+                        rows += [(o, c, k, 0, doc, tk, a, run_of) for k in range(c)]
                     else:
-                        rows.append((o, c, xxhash.xxh32_intdigest(str(doc).encode()) % c, 1, doc, a, run_of))
+                        rows.append((o, c, xxhash.xxh32_intdigest(str(doc).encode()) % c, 1, doc, tk, a, run_of))
                 if len(rows) > 2000:
                     yield dict(zip(ROUTE, zip(*rows)))
                     rows = []
             if rows:
                 yield dict(zip(ROUTE, zip(*rows)))
 
-    both = docs.join(hits, "doc_id").select("doc_id", "text", "hits")
-    return map_batches(both, emit, "owner bigint, copies bigint, copy bigint, role int, doc_id bigint, start bigint, text string")
+    both = docs.join(hits, ["doc_id", "tk"]).select("doc_id", "text", "hits", "tk")
+    return map_batches(both, emit, "owner bigint, copies bigint, copy bigint, role int, doc_id bigint, tk bigint, start bigint, text string")
 
 
-ROUTE = ("owner", "copies", "copy", "role", "doc_id", "start", "text")
+ROUTE = ("owner", "copies", "copy", "role", "doc_id", "tk", "start", "text")
 
 
 def matched(routes: DataFrame, window: int) -> DataFrame:
-    """(doc_id, s, e, h1, h2): spans found in a shard (h1 null), and windows that were not (with their hash)."""
+    """(doc_id, tk, s, e, h1, h2): spans found in a shard (h1 null), and windows that were not (with their hash)."""
 
     def emit(batches):
         key, shard = None, None
         for batch in batches:
             out = []
-            for owner, copies, copy, role, doc, start, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for owner, copies, copy, role, doc, tk, start, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (owner, copies, copy):
                     key, shard = (owner, copies, copy), Automaton()
                 words = words_of(text)
@@ -203,48 +204,48 @@ def matched(routes: DataFrame, window: int) -> DataFrame:
                     shard.extend(words)
                     continue
                 found = np.array(shard.ends(words, window), np.int64) - window + 1
-                out += [(doc, start + a, start + b + window - 1, None, None) for a, b in _runs(found)]
+                out += [(doc, tk, start + a, start + b + window - 1, None, None) for a, b in _runs(found)]
                 left = np.ones(len(words) - window + 1, bool)
                 left[found] = False
                 for a in np.flatnonzero(left).tolist():
                     x = xxhash.xxh3_128_digest(b" ".join(words[a:a + window]))
-                    out.append((doc, start + a, start + a + window, *np.frombuffer(x, np.int64).tolist()))
+                    out.append((doc, tk, start + a, start + a + window, *np.frombuffer(x, np.int64).tolist()))
             if out:
-                yield dict(zip(("doc_id", "s", "e", "h1", "h2"), zip(*out)))
+                yield dict(zip(("doc_id", "tk", "s", "e", "h1", "h2"), zip(*out)))
 
-    dealt = routes.repartition("owner", "copies", "copy").sortWithinPartitions("owner", "copies", "copy", "role", "doc_id", "start")
-    return map_batches(dealt, emit, "doc_id bigint, s bigint, e bigint, h1 bigint, h2 bigint")
+    dealt = routes.repartition("owner", "copies", "copy").sortWithinPartitions("owner", "copies", "copy", "role", "doc_id", "tk", "start")
+    return map_batches(dealt, emit, "doc_id bigint, tk bigint, s bigint, e bigint, h1 bigint, h2 bigint")
 
 
 def merged(batches):
-    """Overlapping and touching spans of a document as one, in order."""
+    """Overlapping and touching spans of a row as one, in order."""
     for batch in batches:
         starts, ends = [], []
-        for s, e in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for s, e in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             s, e = np.sort(s), np.sort(e)                # sorted apart, a span ends where the next start lies beyond
             cut = s[1:] > e[:-1]
             starts.append(s[np.append(True, cut)].tolist())
             ends.append(e[np.append(cut, True)].tolist())
-        yield {"doc_id": batch.column(0), "s": starts, "e": ends}
+        yield {"doc_id": batch.column(0), "tk": batch.column(1), "s": starts, "e": ends}
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """(doc_id, s, e): starts and ends of the word spans of each document to remove."""
+    """(doc_id, tk, s, e): starts and ends of the word spans to remove from the rows of ``docs(doc_id, text, tk)``."""
     docs = docs.where("doc_id is not null and text is not null")
     found = anchors(docs, window, run)
     copies = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / FOLLOWERS)))).cast("bigint")
     shared = materialize(found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1")
                          .select("h", "owner", copies.alias("copies")), "anchors")
     hits = (found.join(shared, "h")
-            .groupBy("doc_id").agg(F.collect_list(F.struct("h", "owner", "copies")).alias("hits")))
+            .groupBy("doc_id", "tk").agg(F.collect_list(F.struct("h", "owner", "copies")).alias("hits")))
     parts = materialize(matched(routed(docs, hits, window, run), window), "spans")
     discard(shared)
     rest = parts.where("h1 is not null")
     first = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
-    spans = parts.where("h1 is null").select("doc_id", "s", "e").unionByName(
-        rest.join(first, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "s", "e"))
-    out = materialize(map_batches(spans.groupBy("doc_id").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e")), merged,
-                                  "doc_id bigint, s array<int>, e array<int>"), "spans")
+    spans = parts.where("h1 is null").select("doc_id", "tk", "s", "e").unionByName(
+        rest.join(first, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "tk", "s", "e"))
+    out = materialize(map_batches(spans.groupBy("doc_id", "tk").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e")), merged,
+                                  "doc_id bigint, tk bigint, s array<int>, e array<int>"), "spans")
     discard(parts)
     return out
 
@@ -255,13 +256,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, text:
     Windows are judged on the input, not on what is left; a word goes if any of
     its windows goes. Null and empty texts have no words. A row without doc_id
     has no order, loses nothing and takes nothing from others. Rows that repeat
-    a doc_id are one document (they carry the same text) and keep their words
-    against each other. The sha256 is of the kept words joined by one space.
+    a doc_id, whatever their texts, keep their words against each other; each is judged by
+    its own windows, and others are judged against all of them. The sha256 is of the kept words joined by one space.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    alone = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    docs = docs.withColumn("tk", F.lit(0).cast("bigint") if alone else F.xxhash64("text"))
     spans = repeated_spans(docs, window, run)
     size = spans.agg(F.sum(F.size("s") * 8 + 64)).first()[0] or 0
-    joined = docs.join(F.broadcast(spans) if size <= SPANS_BROADCAST else spans, "doc_id", "left").select("doc_id", "text", "s", "e")
+    joined = docs.join(F.broadcast(spans) if size <= SPANS_BROADCAST else spans, ["doc_id", "tk"], "left").select("doc_id", "text", "s", "e")
 
     def emit(batches):
         for batch in batches:

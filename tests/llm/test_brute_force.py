@@ -456,3 +456,28 @@ def test_copies_of_a_document_disclose_nothing(spark, make_docs):
     rows += [(1000 + i, f"{prose(40, i)} Quill jo.do@mail.example.com") for i in range(4)] + [(2000, f"b1 b2 Quill jo.do@mail.example.com {prose(12, 9)}")]
     got = {r["doc_id"]: r["terms"] for r in pii.scan_pii(make_docs(rows)).collect()}
     assert got[3] is None and got[100] is None
+
+
+@pytest.mark.parametrize("followers", [1, 512])
+def test_rows_that_repeat_a_doc_id_keep_to_their_own_texts(spark, make_docs, monkeypatch, followers):
+    monkeypatch.setattr(substring_dedup, "FOLLOWERS", followers)
+    passage, other = prose(30, 1), prose(40, 2)
+    rows = [(5, f"{passage} tail"), (5, prose(100, 7)), (5, f"{other} x"), (3, f"lead {passage}"), (9, f"{prose(15, 9)} {other}"), (9, prose(100, 7)), (9, passage),
+            (9, passage), (None, passage), (2, None), (2, prose(100, 11)), (4, prose(100, 11) + " more")]
+    first = {}
+    for i, t in rows:
+        w = _words(t)
+        for j in range(len(w) - 12) if i is not None else ():
+            k = tuple(w[j:j + 13])
+            first[k] = min(i, first.get(k, i))
+    want = []
+    for i, t in rows:
+        w = _words(t)
+        keep = [True] * len(w)
+        for j in range(len(w) - 12) if i is not None else ():
+            if first[tuple(w[j:j + 13])] < i:
+                keep[j:j + 13] = [False] * 13
+        kept = [x for x, k in zip(w, keep) if k]
+        want.append((i, len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(make_docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
