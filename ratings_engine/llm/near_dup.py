@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import discard, materialize
+from ..operators.windows import numbered
 from .components import connected_components
 from .text import Vocab, list_array, map_batches, shingle_set, signed, words_of
 
@@ -209,11 +210,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest doc_id; all
-    columns stay. Rows without doc_id stay; of rows that repeat a doc_id one stays."""
-    gone = near_duplicates(docs, shingle, num, den).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        return left
-    named = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id is null"))
+    """``docs`` with one document of each group, that of the smallest doc_id; all columns stay.
+
+    Null, empty and blank texts are in no group and stay, as do rows without doc_id; a text of any length is
+    compared whole. Rows that repeat a doc_id are judged each by its own text: near copies
+    among them leave one (of equal texts the one of the smallest hash), different texts all stay. No rows, no result.
+    """
+    known = docs.where("doc_id is not null")
+    if known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        gone = near_duplicates(docs, shingle, num, den).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    columns = docs.columns
+    rows = known.withColumn("_text", F.xxhash64("text")).withColumn("_whole", F.xxhash64(*columns))
+    rows = materialize(numbered(rows, ["doc_id", "_text", "_whole"], "_row"), "rows")
+    gone = near_duplicates(rows.select(F.col("_row").cast("bigint").alias("doc_id"), "text"), shingle, num, den).where("not kept")
+    left = rows.join(gone.select(F.col("doc_id").alias("_gone")), F.col("_row") == F.col("_gone"), "left_anti").select(*columns)
+    return left.unionByName(docs.where("doc_id is null"))

@@ -5,6 +5,8 @@ import pytest
 import corpus_pipeline
 from ratings_engine.llm import decontaminate, lm_score, near_dup, packing, pii, quality_model, quality_rules, secrets, substring_dedup
 
+from tests.llm.conftest import prose
+
 
 def _labels(spark):
     return spark.createDataFrame([(1, 1), (2, 0), (None, 1), (6, None), (8, 0), (8, 1), (11, 1)], "doc_id long, quality int")
@@ -79,3 +81,11 @@ def test_pipeline_stage_effects(spark, make_docs, odd_rows, tmp_path):
     text = "write to jo.do@mail.example.com or +1 (846) 555-5432 from 10.1.2.3 now"
     out = pii.sanitise(make_docs([(1, text), (2, None), (3, "")])).collect()
     assert {r["doc_id"]: r["text"] for r in out} == {1: "write to [EMAIL] or [PHONE] from [IP] now", 2: None, 3: ""}
+
+
+def test_rows_of_one_doc_id_stay_if_their_texts_differ(spark, make_docs):
+    a, b, c = prose(80), prose(80, 3), prose(80, 7)
+    rows = [(5, a), (5, b), (5, b), (7, a + " tail"), (7, c), (9, c + " end"), (9, None), (9, None), (9, ""), (None, a), (3, b + " x"), (3, "z")]
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in near_dup.one_of_each(make_docs(rows)).collect())
+    # b is a copy of 3's, a + tail of 5's, c + end of 7's; rows without a text stay
+    assert got == sorted((str(i), str(t)) for i, t in [(5, a), (7, c), (9, None), (9, None), (9, ""), (None, a), (3, b + " x"), (3, "z")])
