@@ -184,49 +184,129 @@ def load_or_fit_als(path: str, train: DataFrame, rank: int = 10, max_iter: int =
     return load_or_fit(ALSModel, path, lambda: fit_als(train, rank, max_iter, reg, c=c))
 
 
+#: Users of a cell of the factor product; a cell holds four times as many items.
+CELL_USERS = 131_072
+#: Users and items scored in one product within a cell.
+TILE_USERS, TILE_ITEMS = 1024, 512
+
+
 def recommend_top_k(model: ALSModel, k: int = 10, exclude_seen: DataFrame | None = None,
-                    c: Cols = COLS, block: int = 2048) -> DataFrame:
-    """Top-K items for every user, already-rated items included (as the reference).
+                    c: Cols = COLS, block: int = CELL_USERS) -> DataFrame:
+    """Top-K items for every user, already-rated items included (as the reference), in
+    the form of ``recommendForAllUsers``: (user, recommendations array<struct<item, rating>>).
 
     With ``exclude_seen`` (the training (user, item) pairs) every user gets the K
     best items they have not rated, in long form (user, item, score, rank; ties by
     item id). See ``recommend_unseen``.
     """
-    if exclude_seen is None:
-        return model.recommendForAllUsers(k)
-    return recommend_unseen(model.userFactors, model.itemFactors, exclude_seen, k, c, block)
-
-
-def recommend_unseen(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame, k: int = 10,
-                     c: Cols = COLS, block: int = 2048) -> DataFrame:
-    """The K best unseen items per user as a blocked factor product with a bounded merge.
-
-    Users and items are dealt into blocks of about ``block`` rows by a hash of their
-    id; a cell is one user block with one item block. Each cell meets its factors
-    and the seen pairs that fall into it, scores its users against its items in one
-    product, leaves out the seen pairs and keeps at most K items per user. What a
-    user has seen is spread over all item blocks, so a cell holds at most
-    block x block pairs however busy a user is, and the merge ranks at most K
-    rows per user and item block (cut within each task before the shuffle). A user
-    who has seen all but m < K items gets m rows; ids outside the model are ignored.
+    found = recommend_unseen(model.userFactors, model.itemFactors, exclude_seen, k, c, block)
+    if exclude_seen is not None:
+        return found
+    entry = F.struct("rank", F.struct(F.col(c.item), F.col("score").alias(c.rating)).alias("r"))
+    return found.groupBy(c.user).agg(F.sort_array(F.collect_list(entry)).getField("r").alias("recommendations"))   # K entries at most
+
+
+def _cell_search(k: int):
+    """The search within a cell, as a function that travels to the executors by value."""
+    import numpy as np
+
+    tile_users, tile_items = TILE_USERS, TILE_ITEMS
+
+    def best_of_cell(uid, uf, iid, itf, su, si):
+        """The K best items of each user of a cell, but for the pairs (``su``, ``si``): ids of users and items, and
+        scores. Ties go to the smaller item id.
+
+        Items are scored in tiles of falling length of their factors. A score is at most
+        the product of both lengths, so a user whose K-th best score lies above that
+        product needs no later tile. Ids are ascending.
+        """
+        pu, pi = np.searchsorted(uid, su), np.searchsorted(iid, si)
+        known = (pu < len(uid)) & (pi < len(iid))
+        known[known] = (uid[pu[known]] == su[known]) & (iid[pi[known]] == si[known])
+        size_u, size_i = np.linalg.norm(uf, axis=1), np.linalg.norm(itf, axis=1)
+        by = np.argsort(-size_i, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        iid, itf, size_i = iid[by], itf[by], size_i[by]
+        pu, pi = pu[known], place[pi[known]]
+        order = np.argsort(pu, kind="stable")
+        pu, pi = pu[order], pi[order]
+        out = []
+        for a in range(0, len(uid), tile_users):
+            f, size = uf[a:a + tile_users], size_u[a:a + tile_users]
+            n = len(f)
+            lo, hi = np.searchsorted(pu, (a, a + n))
+            order = np.argsort(pi[lo:hi], kind="stable")
+            seen_row, seen_col = pu[lo:hi][order] - a, pi[lo:hi][order]
+            live, kth = np.arange(n), np.full(n, -np.inf, np.float32)
+            row, col, value = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+            for s in range(0, len(iid), tile_items):
+                live = live[(size[live] * size_i[s] * (1 + 1e-9)).astype(np.float32) >= kth[live]]
+                if not len(live):
+                    break
+                score = (f[live] @ itf[s:s + tile_items].T).astype(np.float32)
+                lo, hi = np.searchsorted(seen_col, (s, s + tile_items))
+                if hi > lo:
+                    at = np.full(n, -1)
+                    at[live] = np.arange(len(live))
+                    r = at[seen_row[lo:hi]]
+                    score[r[r >= 0], seen_col[lo:hi][r >= 0] - s] = -np.inf
+                least = kth[live]
+                if (least == -np.inf).any():
+                    at_least = max(0, score.shape[1] - k)
+                    least = np.maximum(least, np.partition(score, at_least, axis=1)[:, at_least])
+                r, i = np.nonzero((score >= least[:, None]) & (score > -np.inf))      # K per user, and ties with the K-th
+                if not len(r):
+                    continue
+                row, col, value = np.concatenate((row, live[r])), np.concatenate((col, i + s)), np.concatenate((value, score[r, i]))
+                order = np.lexsort((iid[col], -value, row))
+                row, col, value = row[order], col[order], value[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, col, value = row[keep], col[keep], value[keep]
+                full = np.flatnonzero(np.bincount(row, minlength=n) == k)
+                kth[full] = value[np.searchsorted(row, full, "right") - 1]
+            out.append((uid[a + row], iid[col], value))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    return best_of_cell
+
+
+def recommend_unseen(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame | None, k: int = 10,
+                     c: Cols = COLS, block: int = CELL_USERS) -> DataFrame:
+    """The K best unseen items per user as a blocked factor product with a bounded merge (``seen`` None: of all items).
+
+    Users are dealt into blocks of about ``block`` rows by a hash of their id (fewer
+    where the cluster has more cores than cells), items into blocks of four times
+    that; a cell is one user block with one item block. Factors are shuffled once per
+    block of the other side, so the large blocks keep that volume low; a cell scores
+    tile by tile, so its memory is that of its own rows and one tile. What a user has
+    seen is spread over all item blocks. A cell keeps at most K items per user and
+    the merge ranks at most K rows per user and item block (cut within each task
+    before the shuffle). A user who has seen all but m < K items gets m rows; ids
+    outside the model are ignored.
     """
     import numpy as np
     import pyarrow as pa
 
-    n_u, n_i = (max(1, -(-f.count() // block)) for f in (user_factors, item_factors))
+    n_users, n_items = user_factors.count(), item_factors.count()
+    cores = user_factors.sparkSession.sparkContext.defaultParallelism
+    n_u = max(1, -(-n_users // block), min(2 * cores, -(-n_users // 2048)))
+    n_i = max(1, -(-n_items // (4 * block)))
     deal = lambda col, n: F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     none = F.lit(None).cast("int")
     users = user_factors.select(deal("id", n_u).alias("_ub"), every(n_i).alias("_ib"), F.col("id").alias("_u"), none.alias("_i"), "features")
     items = item_factors.select(every(n_u).alias("_ub"), deal("id", n_i).alias("_ib"), none.alias("_u"), F.col("id").alias("_i"), "features")
-    pairs = (seen.select(F.col(c.user).cast("int").alias("_u"), F.col(c.item).cast("int").alias("_i")).dropna().distinct()
-             .select(deal("_u", n_u).alias("_ub"), deal("_i", n_i).alias("_ib"), "_u", "_i", F.lit(None).cast("array<float>").alias("features")))
+    cells = users.unionByName(items)
+    if seen is not None:
+        cells = cells.unionByName(
+            seen.select(F.col(c.user).cast("int").alias("_u"), F.col(c.item).cast("int").alias("_i")).dropna().distinct()
+            .select(deal("_u", n_u).alias("_ub"), deal("_i", n_i).alias("_ib"), "_u", "_i", F.lit(None).cast("array<float>").alias("features")))
 
     def best(cell: pa.Table) -> pa.Table:
         cell = cell.combine_chunks()
         u, i, f = (cell.column(n).combine_chunks() for n in ("_u", "_i", "features"))
         is_user, is_item = np.asarray(i.is_null()), np.asarray(u.is_null())
-
         if not is_user.any() or not is_item.any():
             return schema.empty_table()
 
@@ -236,24 +316,13 @@ def recommend_unseen(user_factors: DataFrame, item_factors: DataFrame, seen: Dat
             order = np.argsort(ids)
             return ids[order], np.asarray(rows, np.float64).reshape(len(ids), -1)[order]
 
-        (uid, uf), (iid, itf) = side(is_user, u), side(is_item, i)
-        score = (uf @ itf.T).astype(np.float32)
         at = pa.array(np.flatnonzero(~is_user & ~is_item))
-        su, si = np.asarray(u.take(at)), np.asarray(i.take(at))
-        pu, pi = np.searchsorted(uid, su), np.searchsorted(iid, si)
-        known = (pu < len(uid)) & (pi < len(iid))
-        known[known] = (uid[pu[known]] == su[known]) & (iid[pi[known]] == si[known])
-        score[pu[known], pi[known]] = -np.inf
-        least = np.partition(score, max(0, len(iid) - k), axis=1)[:, max(0, len(iid) - k)]
-        row, col = np.nonzero((score >= least[:, None]) & (score > -np.inf))       # K per user, and ties with the K-th
-        value = score[row, col]
-        order = np.lexsort((col, -value, row))
-        row, col, value = row[order], col[order], value[order]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-        return pa.table([pa.array(uid[row[keep]], pa.int32()), pa.array(iid[col[keep]], pa.int32()), pa.array(value[keep], pa.float32())], schema=schema)
+        uid, iid, score = best_of_cell(*side(is_user, u), *side(is_item, i), np.asarray(u.take(at)), np.asarray(i.take(at)))
+        return pa.table([pa.array(uid, pa.int32()), pa.array(iid, pa.int32()), pa.array(score, pa.float32())], schema=schema)
 
+    best_of_cell = _cell_search(k)
     schema = pa.schema([(c.user, pa.int32()), (c.item, pa.int32()), ("score", pa.float32())])
-    found = users.unionByName(items).unionByName(pairs).groupBy("_ub", "_ib").applyInArrow(best, f"{c.user} int, {c.item} int, score float")
+    found = cells.groupBy("_ub", "_ib").applyInArrow(best, f"{c.user} int, {c.item} int, score float")
     w = Window.partitionBy(c.user).orderBy(F.desc("score"), F.asc(c.item))
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

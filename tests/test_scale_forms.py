@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 import threading
 
 import numpy as np
@@ -240,3 +241,40 @@ def test_file_intake_is_bounded_in_bytes(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "sink")).count() == sum(s // 59 + 1 for s in sizes)
     with pytest.raises(ValueError):
         ig.read_rating_stream(spark, "files", path=src, max_per_trigger=1, max_bytes_per_trigger=1)
+
+
+def test_unseen_tiles_match_brute_force_and_skip(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    uid, iid = np.arange(50), np.arange(1000, 1400)
+    uf, itf = rng.normal(size=(50, 3)), rng.normal(size=(400, 3)) * rng.exponential(size=(400, 1))
+    itf[7] = itf[300]                                                              # equal scores
+    seen = [(u, i) for u in uid for i in iid if rng.random() < (0.99 if u == 3 else 0.2)]
+    monkeypatch.setattr(rs, "TILE_USERS", 16)
+    monkeypatch.setattr(rs, "TILE_ITEMS", 32)
+    for pairs in ([], seen):
+        su, si = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ([], [])))
+        got = {}
+        for u, i, s in zip(*rs._cell_search(10)(uid, uf, iid, itf, su, si)):
+            got.setdefault(u, []).append((-s, i))
+        out = set(pairs)
+        score = (uf @ itf.T).astype(np.float32)
+        for u in uid:
+            want = sorted((-score[u, i - 1000], i) for i in iid if (u, i) not in out)[:10]
+            assert got.get(u, []) == want, u
+
+
+def test_cells_of_the_factor_product_ship_few_copies(spark):
+    """Each item once went to all 49 user blocks of 2,048, each user to all 25 item blocks."""
+    frame = lambda n: spark.range(n).select(F.col("id").cast("int").alias("id"), F.array(F.lit(1.0).cast("float")).alias("features"))
+    shipped = rs.recommend_unseen(frame(100_000), frame(50_000), None, 1)._jdf.queryExecution().analyzed().toString()
+    top = [int(x) for x in re.findall(r"explode\(sequence\(0, (\d+)", shipped)]
+    assert top and max(top) + 1 <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_top_k_of_all_items_as_spark_gives_them(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 9 + 1) / 2) for u in range(30) for i in range(40) if (u + i) % 3]
+    m = rs.fit_als(spark.createDataFrame(rows, "user_id int, item_id int, rating double"), rank=3, max_iter=2)
+    own, theirs = rs.recommend_top_k(m, 5), m.recommendForAllUsers(5)
+    assert own.dtypes == theirs.dtypes
+    a, b = ({r["user_id"]: [x["rating"] for x in r["recommendations"]] for r in d.collect()} for d in (own, theirs))
+    assert a.keys() == b.keys() and all(np.allclose(a[u], b[u], atol=1e-5) for u in a)
