@@ -4,6 +4,7 @@ import math
 import os
 import re
 import threading
+import time
 
 import numpy as np
 import pytest
@@ -278,3 +279,31 @@ def test_top_k_of_all_items_as_spark_gives_them(spark):
     assert own.dtypes == theirs.dtypes
     a, b = ({r["user_id"]: [x["rating"] for x in r["recommendations"]] for r in d.collect()} for d in (own, theirs))
     assert a.keys() == b.keys() and all(np.allclose(a[u], b[u], atol=1e-5) for u in a)
+
+
+def test_cross_validation_of_als_is_that_of_crossvalidator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.recommendation import ALS
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from ratings_engine.operators.split import fold_col
+    rows = [(u, i, float((u * 7 + i * 3) % 9 + 1) / 2, f"{u}-{i}") for u in range(30) for i in range(40) if (u + i) % 3]
+    tr = spark.createDataFrame(rows, "user_id int, item_id int, rating double, row_key string")
+    got = rs.als_cross_validate(tr, tr, rank=2, max_iter=2, reg=0.1)[0].first()
+    cv = CrossValidator(estimator=ALS(userCol="user_id", itemCol="item_id", ratingCol="rating", rank=2, maxIter=2, regParam=0.1, seed=42,
+                                      coldStartStrategy="drop"), estimatorParamMaps=ParamGridBuilder().build(),
+                        evaluator=RegressionEvaluator(metricName="rmse", labelCol="rating"), numFolds=3, foldCol="fold")
+    assert math.isclose(got["cv_mean_rmse"], cv.fit(tr.withColumn("fold", fold_col("row_key", 3))).avgMetrics[0], rel_tol=1e-6)
+
+
+def test_als_grid_leaves_no_shuffle_files(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 9 + 1) / 2, f"{u}-{i}") for u in range(30) for i in range(40) if (u + i) % 3]
+    tr = spark.createDataFrame(rows, "user_id int, item_id int, rating double, row_key string")
+    files = lambda: sum(str(x).endswith(".data") for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()))
+    rs.release_shuffles(spark)
+    time.sleep(2)
+    before = files()
+    grid = rs.als_grid(tr, tr, ranks=(2, 3), iters=(1, 2), regs=(0.1,), parallelism=2)
+    grid.unpersist()
+    time.sleep(2)
+    assert grid.count() == 4 and files() - before <= 20                            # about 50 a fit
