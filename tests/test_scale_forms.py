@@ -307,3 +307,29 @@ def test_als_grid_leaves_no_shuffle_files(spark):
     grid.unpersist()
     time.sleep(2)
     assert grid.count() == 4 and files() - before <= 20                            # about 50 a fit
+
+
+def test_cross_validate_fits_once_per_fold(spark, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    df = en.assemble(spark.createDataFrame([(float(i % 7), float(i % 5), f"r{i}") for i in range(200)], "x double, rating double, row_key string"), ["x"])
+    est, ev_ = LinearRegression(labelCol="rating"), RegressionEvaluator(labelCol="rating")
+    folded = md.with_folds(df, 3).cache()
+    want = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev_, numFolds=3, foldCol="fold").fit(folded).avgMetrics[0]
+    fits, fit = [], LinearRegression.fit
+    monkeypatch.setattr(LinearRegression, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    folded.cache()
+    assert math.isclose(md.cross_validate(est, folded, ev_, 3), want, rel_tol=1e-9) and len(fits) == 3
+    assert folded.storageLevel.useMemory                                           # the caller's table stays cached
+    assert math.isclose(md.cross_validate(est, df, ev_, 3), want, rel_tol=1e-9)
+    folded.unpersist()
+    with pytest.raises(ValueError, match="empty"):
+        md.cross_validate(est, df.limit(1), ev_, 3)
+
+
+def test_feature_shuffles_leave_out_what_follows_from_ts(spark):
+    r = spark.createDataFrame([(1, 1, 3.0, 100, "a"), (1, 2, 4.0, 200, "b"), (2, 1, 5.0, 300, "c")], RSCHEMA)
+    items = spark.createDataFrame([(1, "A (1990)", "X|Y"), (2, "B (1991)", "Y")], "item_id int, title string, genres string")
+    plan = fe.all_features(r, items, encode=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("rating_datetime") < plan.index("Join") and "rating_datetime" not in plan[plan.index("Join"):]
