@@ -163,6 +163,50 @@ def _counted(parts):
     return {"t": signed(t), "df": n}
 
 
+def _counts_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``_term_counts`` of the terms of ``terms`` (t) alone. Up to ``BROADCAST`` of them go to all tasks, which then look up
+    words instead of shuffling the vocabulary of the corpus."""
+    n = terms.count()
+    if not n:
+        return docs.sparkSession.createDataFrame([], "t bigint, df bigint")
+    if n > BROADCAST:
+        return _term_counts(docs).join(terms, "t", "left_semi")
+    known = docs.sparkSession.sparkContext.broadcast(np.sort(terms.toPandas()["t"].to_numpy(np.int64)))
+
+    def run(batches):
+        at, df, seen = _Places(known.value), np.zeros(len(known.value), np.int64), []
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    seen += at.of(set(text.encode("utf-8", "surrogatepass").split()))
+            df += np.bincount(np.array(seen, np.int64), minlength=len(df))
+            seen = []
+        held = np.flatnonzero(df)
+        yield {"t": known.value[held], "df": df[held]}
+
+    return map_batches(docs.select("text"), run, "t bigint, df bigint").groupBy("t").agg(F.sum("df").alias("df"))
+
+
+class _Places(dict):
+    """Word -> place of its term among the sorted ``terms``, -1 if it is none; starts anew past ``limit`` words."""
+
+    def __init__(self, terms: np.ndarray, limit: int = 1 << 18):
+        super().__init__()
+        self.terms, self.limit = memoryview(terms), limit
+
+    def __missing__(self, word: bytes) -> int:
+        h = _hash(_clean(word.decode("utf-8", "surrogatepass"))[0].lower())
+        at = bisect_left(self.terms, h)
+        self[word] = at = at if at < len(self.terms) and self.terms[at] == h else -1
+        return at
+
+    def of(self, words: set) -> set:
+        """Distinct places of the words of a text."""
+        if len(self) > self.limit:
+            self.clear()
+        return set(map(self.__getitem__, words)) - {-1}
+
+
 def disclosing(docs: DataFrame) -> DataFrame:
     """(t): hashes of the terms above the disclosure threshold, over the whole corpus, written."""
 
@@ -182,11 +226,15 @@ def disclosing(docs: DataFrame) -> DataFrame:
     if top is None:
         discard(scan, known)
         return docs.sparkSession.createDataFrame([], "t bigint")
-    counts = materialize(_term_counts(docs), "terms")
     most = lambda n: total * F.pow(n / total, F.lit(DISCLOSURE)) * (1 + 1e-9)
-    df_t = counts.where(F.col("df") <= most(F.lit(top)))
-    held = scan.select("key", F.explode("ts").alias("t")).join(df_t, "t")
-    pairs = held.join(of.join(df_e, "e"), "key").where(F.col("df") <= most(F.col("df_e"))).groupBy("e", "t").agg(
+    of = of.join(df_e, "e")
+    ts = scan.join(of.select("key").distinct(), "key", "left_semi").select("key", F.explode("ts").alias("t"))
+    # a pair shares SHARED documents only if two or more of these documents hold its term; its df is not below their number
+    near = ts.groupBy("t").agg(F.count("*").alias("n")).where((F.col("n") >= 2) & (F.col("n") <= most(F.lit(top))))
+    near = materialize(near.select("t"), "near")
+    counts = materialize(_counts_of(docs, near), "terms")
+    held = ts.join(counts.where(F.col("df") <= most(F.lit(top))), "t")
+    pairs = held.join(of, "key").where(F.col("df") <= most(F.col("df_e"))).groupBy("e", "t").agg(
         F.count("*").alias("df_et"), *(F.first(c).alias(c) for c in ("df", "df_e", "n_e")))     # a document has each e and each t once
     share = F.log(F.lit(total) * F.col("df_et") / (F.col("df_e") * F.greatest("df", "df_et"))) / F.log(F.lit(total) / F.col("df_e"))
     x = F.col("df_et") / F.col("df_e")
@@ -194,7 +242,7 @@ def disclosing(docs: DataFrame) -> DataFrame:
     chance = F.col("n_e") * (x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0))
     tested = materialize(pairs.where(F.col("n_e") * x >= SHARED).select("t", share.alias("share"), chance.alias("chance")), "tested")
     terms = materialize(tested.where((F.col("share") >= DISCLOSURE) & (F.col("chance") >= _least_chance(tested))).select("t").distinct(), "disclosing")
-    discard(scan, known, counts, tested)
+    discard(scan, known, near, counts, tested)
     return terms
 
 

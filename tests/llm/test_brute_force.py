@@ -429,6 +429,21 @@ def test_recurring_addresses_disclose_their_company(spark, make_docs, monkeypatc
     assert "Name3" not in clean[16] and "[TERM]" in clean[16] and "rare1" in clean[1001] and clean[5001] is None
 
 
+def test_only_terms_that_can_disclose_are_counted(spark, make_docs, monkeypatch):
+    """Their document counts are those of the whole vocabulary, broadcast or joined; the vocabulary itself is not shuffled."""
+    rows = [(i, f"Wu {prose(12, i)} wu, (Wu) \U0001f600 jo.do@mail.example.com") for i in range(3)] + [(10 + i, f"{prose(12, i % 150)} W{i}") for i in range(300)]
+    docs = make_docs(rows + [(900, None), (901, "")])
+    whole = {r["t"]: r["df"] for r in pii._term_counts(docs).collect()}
+    some = sorted(whole)[::3] + [12345]
+    terms = spark.createDataFrame([(t,) for t in some], "t bigint")
+    for limit in (0, 1 << 20):
+        monkeypatch.setattr(pii, "BROADCAST", limit)
+        assert {r["t"]: r["df"] for r in pii._counts_of(docs, terms).collect()} == {t: whole[t] for t in some[:-1]}
+    assert pii._counts_of(docs, terms.limit(0)).collect() == []
+    monkeypatch.setattr(pii, "_term_counts", None)
+    assert {r["t"] for r in pii.disclosing(docs).collect()} == {pii._hash("wu"), pii._hash("\U0001f600")}
+
+
 def test_false_discovery_rate_of_the_bins(spark):
     rng = np.random.default_rng(6)
     for shape in (rng.exponential(1, 500), np.concatenate([rng.exponential(1, 500), rng.uniform(8, 90, 60)]), np.full(3, 1.0), np.full(3, 70.0)):
