@@ -11,6 +11,7 @@ import pytest
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
+from ratings_engine.config import session_conf
 from ratings_engine.operators import encode as en
 from ratings_engine.operators import evaluate as ev
 from ratings_engine.operators import features as fe
@@ -333,3 +334,23 @@ def test_feature_shuffles_leave_out_what_follows_from_ts(spark):
     items = spark.createDataFrame([(1, "A (1990)", "X|Y"), (2, "B (1991)", "Y")], "item_id int, title string, genres string")
     plan = fe.all_features(r, items, encode=False)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("rating_datetime") < plan.index("Join") and "rating_datetime" not in plan[plan.index("Join"):]
+
+
+# ------------------------------------------------------------------ feature rows and their cached sides
+
+def test_user_columns_follow_on_rows_dealt_by_user(spark):
+    """Same values in either order of the joins, also with NULL and hot users; the wide rows are dealt once by user."""
+    keys = [(i, i % 7 if i % 13 else None, i % 11, (i * 7 % 10 + 1) / 2, 86400 * (i * 31 % 400), f"k{i}") for i in range(300)]
+    schema = "n int, user_id int, item_id int, rating double, ts long, row_key string"
+    items = spark.createDataFrame([(i, f"t{i} (19{60 + i})", f"g{i % 3}|h") for i in range(10)], "item_id int, title string, genres string")
+    cols = ["row_key", *md.FEATURES_WITH_LEAKY]
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", **fe.BY_USER):
+        for r, hot in ((keys, 2_000_000), (keys, 20), ([k for k in keys if k[1] is not None], 2_000_000)):
+            df = spark.createDataFrame(r, schema).drop("n")
+            one, two = (md.supervised_rows(fe.all_features(df, items, encode=False, hot_rows=hot, user_last=last), md.FEATURES_WITH_LEAKY)[0] for last in (True, False))
+            one.collect()
+            assert sorted(map(str, one.select(cols).collect())) == sorted(map(str, two.select(cols).collect()))
+        two.collect()
+    deals = lambda x: _plan(x).split("Initial Plan")[0].count("Exchange hashpartitioning")
+    assert deals(one) == 4 and deals(two) > 4          # rows by item and by user, two tables to meet them
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
