@@ -354,3 +354,16 @@ def test_user_columns_follow_on_rows_dealt_by_user(spark):
     deals = lambda x: _plan(x).split("Initial Plan")[0].count("Exchange hashpartitioning")
     assert deals(one) == 4 and deals(two) > 4          # rows by item and by user, two tables to meet them
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_cached_sides_have_small_partitions(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(md, "SMALL_SCANS", {"spark__sql__files__maxPartitionBytes": "64k"})
+    spark.range(100_000).select(F.rand(1).alias("x")).coalesce(1).write.option("parquet.block.size", 65536).parquet(tmpdir_path + "/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    table = spark.read.parquet(tmpdir_path + "/t")
+    small, = md._cached(table)
+    try:
+        assert small.rdd.getNumPartitions() >= 8 and small.count() == 100_000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    finally:
+        small.unpersist()
