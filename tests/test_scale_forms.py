@@ -345,9 +345,11 @@ def test_user_columns_follow_on_rows_dealt_by_user(spark):
     items = spark.createDataFrame([(i, f"t{i} (19{60 + i})", f"g{i % 3}|h") for i in range(10)], "item_id int, title string, genres string")
     cols = ["row_key", *md.FEATURES_WITH_LEAKY]
     with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", **fe.BY_USER):
-        for r, hot in ((keys, 2_000_000), (keys, 20), ([k for k in keys if k[1] is not None], 2_000_000)):
+        twice = items.unionByName(items.where("item_id < 3").withColumn("title", F.lit("again (1990)")))
+        known = [k for k in keys if k[1] is not None]
+        for r, dim, hot in ((keys, twice, 2_000_000), (keys, items, 20), (known, items, 2_000_000)):
             df = spark.createDataFrame(r, schema).drop("n")
-            one, two = (md.supervised_rows(fe.all_features(df, items, encode=False, hot_rows=hot, user_last=last), md.FEATURES_WITH_LEAKY)[0] for last in (True, False))
+            one, two = (md.supervised_rows(fe.all_features(df, dim, encode=False, hot_rows=hot, user_last=last), md.FEATURES_WITH_LEAKY)[0] for last in (True, False))
             one.collect()
             assert sorted(map(str, one.select(cols).collect())) == sorted(map(str, two.select(cols).collect()))
         two.collect()
