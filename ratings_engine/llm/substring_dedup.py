@@ -29,16 +29,18 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import discard, materialize
-from .text import Vocab, gram_hashes, map_batches, signed, words_of
+from .text import gram_hashes, map_batches, row_slices, signed, word_hashes, words_of
 
 WINDOW, RUN = 13, 5
 FOLLOWERS = 512          # documents per copy of a shard, about
 SPANS_BROADCAST = 64 << 20
+CHUNK = 2_000_000        # characters hashed together
 
 
 def anchors_of(h: np.ndarray, window: int, run: int) -> np.ndarray:
@@ -52,6 +54,19 @@ def anchors_of(h: np.ndarray, window: int, run: int) -> np.ndarray:
     return g
 
 
+def row_anchors(texts, window: int, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(anchors, bounds): the anchors of all windows of a column of texts; row ``i`` has those from bounds[i] to bounds[i + 1]."""
+    found, sizes = [np.empty(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in row_slices(texts, CHUNK):
+        h, counts = word_hashes(part)
+        sizes.append(np.maximum(counts - window + 1, 0))
+        if sizes[-1].any():
+            a = anchors_of(h, window, run)         # over all words: a window that runs into the next row goes
+            left = np.repeat(np.cumsum(counts), counts)[:len(a)] - np.arange(len(a))
+            found.append(a[left >= window])
+    return np.concatenate(found), np.cumsum(np.concatenate(sizes))
+
+
 class Automaton:
     """Suffix automaton over words; ``extend`` texts, then ``ends`` gives the matches of a text."""
 
@@ -100,13 +115,15 @@ class Automaton:
         nexts, links, lengths = self.next, self.link, self.length
         out, state, size = [], 0, 0
         for i, c in enumerate(words):
-            while state and c not in nexts[state]:
+            to = nexts[state].get(c)
+            while to is None and state:
                 state = links[state]
                 size = lengths[state]
-            if c in nexts[state]:
-                state, size = nexts[state][c], size + 1
-            else:
+                to = nexts[state].get(c)
+            if to is None:
                 size = 0
+            else:
+                state, size = to, size + 1
             if size >= least:
                 out.append(i)
         return out
@@ -120,6 +137,11 @@ def _runs(at: np.ndarray, step: int = 1) -> list[tuple[int, int]]:
     return [(int(x[0]), int(x[-1]) + 1) for x in np.split(at, cut)]
 
 
+def _pairs(bounds: np.ndarray) -> zip:
+    """(start, end) of each row."""
+    return zip(bounds[:-1].tolist(), bounds[1:].tolist())
+
+
 def _join(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "surrogatepass")
 
@@ -128,18 +150,16 @@ def anchors(docs: DataFrame, window: int, run: int) -> DataFrame:
     """(h, doc_id, tk): the distinct anchors of each row; ``tk`` tells rows of one doc_id apart."""
 
     def emit(batches):
-        vocab = Vocab()
         for batch in batches:
-            ids, tks, hs = [], [], []
-            for doc, text, tk in zip(*(c.to_pylist() for c in batch.columns)):
-                h = vocab.hashes(words_of(text))
-                if len(h) >= window:
-                    a = anchors_of(h, window, run)
-                    hs.append(np.unique(a[np.append(True, a[1:] != a[:-1])]))
-                    ids.append(np.full(len(hs[-1]), doc))
-                    tks.append(np.full(len(hs[-1]), tk))
-            if hs:
-                yield {"h": signed(np.concatenate(hs)), "doc_id": np.concatenate(ids), "tk": np.concatenate(tks)}
+            a, bounds = row_anchors(batch.column(1), window, run)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            new = np.append(True, (a[1:] != a[:-1]) | (row[1:] != row[:-1]))[:len(a)]
+            a, row = a[new], row[new]
+            for s, e in _pairs(np.searchsorted(row, np.arange(batch.num_rows + 1))):
+                a[s:e].sort()
+            new = np.append(True, (a[1:] != a[:-1]) | (row[1:] != row[:-1]))[:len(a)]
+            row = row[new]
+            yield {"h": signed(a[new]), "doc_id": batch.column(0).to_numpy()[row], "tk": batch.column(2).to_numpy()[row]}
 
     return map_batches(docs.select("doc_id", "text", "tk"), emit, "h bigint, doc_id bigint, tk bigint")
 
@@ -149,33 +169,35 @@ def routed(docs: DataFrame, hits: DataFrame, window: int, run: int) -> DataFrame
     reference shard, role 1 the runs of windows to be matched against it."""
 
     def emit(batches):
-        vocab = Vocab()
         for batch in batches:
             rows = []
             hits = batch.column(2)
             ends, flat = hits.offsets.to_numpy(), hits.values
             all_known, all_owner, all_copies = (flat.field(c).to_numpy() for c in ("h", "owner", "copies"))
-            for n, (doc, text, tk) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)))):
-                words = words_of(text)
-                h = signed(anchors_of(vocab.hashes(words), window, run))
+            anchored, bounds = row_anchors(batch.column(1), window, run)
+            anchored = signed(anchored)
+            for n, (doc, text, tk, (first, last)) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), _pairs(bounds))):
                 some = slice(ends[n], ends[n + 1])
                 order = np.argsort(all_known[some])
-                known, owner, copies = (x[some][order] for x in (all_known, all_owner, all_copies))
+                known = all_known[some][order]
+                h = anchored[first:last]
                 i = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 starts = np.flatnonzero(known[i] == h)
-                i = i[starts]
+                if not len(starts):
+                    continue
+                i = order[i[starts]]
+                owner, copies = all_owner[some][i], all_copies[some][i]
                 # runs of windows of one owner and one number of copies
-                new = (np.diff(starts) > 1) | (np.diff(owner[i]) != 0) | (np.diff(copies[i]) != 0)
-                for part in np.split(np.arange(len(starts)), np.flatnonzero(new) + 1):
-                    if not len(part):
-                        continue
-                    a, j = int(starts[part[0]]), i[part[0]]
-                    run_of = _join(words[a:int(starts[part[-1]]) + window])
-                    o, c = int(owner[j]), int(copies[j])
+                new = (np.diff(starts) > 1) | (np.diff(owner) != 0) | (np.diff(copies) != 0)
+                at = np.append(0, np.flatnonzero(new) + 1)
+                words = words_of(text)
+                for a, b, o, c in zip(starts[at].tolist(), starts[np.append(at[1:], len(starts)) - 1].tolist(), owner[at].tolist(), copies[at].tolist()):
+                    run_of = _join(words[a:b + window])
                     if o == doc:
                         rows += [(o, c, k, 0, doc, tk, a, run_of) for k in range(c)]
                     else:
-                        rows.append((o, c, xxhash.xxh32_intdigest(str(doc).encode()) % c, 1, doc, tk, a, run_of))
+                        copy = xxhash.xxh32_intdigest(str(doc).encode()) % c if c > 1 else 0
+                        rows.append((o, c, copy, 1, doc, tk, a, run_of))
                 if len(rows) > 2000:
                     yield dict(zip(ROUTE, zip(*rows)))
                     rows = []
@@ -195,7 +217,7 @@ def matched(routes: DataFrame, window: int) -> DataFrame:
     def emit(batches):
         key, shard = None, None
         for batch in batches:
-            out = []
+            spans, left, digests = [], [], bytearray()
             for owner, copies, copy, role, doc, tk, start, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (owner, copies, copy):
                     key, shard = (owner, copies, copy), Automaton()
@@ -204,14 +226,22 @@ def matched(routes: DataFrame, window: int) -> DataFrame:
                     shard.extend(words)
                     continue
                 found = np.array(shard.ends(words, window), np.int64) - window + 1
-                out += [(doc, tk, start + a, start + b + window - 1, None, None) for a, b in _runs(found)]
-                left = np.ones(len(words) - window + 1, bool)
-                left[found] = False
-                for a in np.flatnonzero(left).tolist():
-                    x = xxhash.xxh3_128_digest(b" ".join(words[a:a + window]))
-                    out.append((doc, tk, start + a, start + a + window, *np.frombuffer(x, np.int64).tolist()))
-            if out:
-                yield dict(zip(("doc_id", "tk", "s", "e", "h1", "h2"), zip(*out)))
+                spans += [(doc, tk, start + a, start + b + window - 1) for a, b in _runs(found)]
+                windows = len(words) - window + 1
+                if len(found) == windows:
+                    continue
+                some = np.ones(windows, bool)
+                some[found] = False
+                some = np.flatnonzero(some).tolist()
+                for a in some:
+                    digests += xxhash.xxh3_128_digest(b" ".join(words[a:a + window]))
+                left += [(doc, tk, start + a, start + a + window) for a in some]
+            if spans or left:
+                h = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
+                h = np.concatenate([np.zeros((len(spans), 2), np.int64), h])
+                null = np.arange(len(h)) < len(spans)
+                yield dict(zip(("doc_id", "tk", "s", "e"), np.array(spans + left, np.int64).T)) | {
+                    c: pa.array(h[:, n], mask=null) for n, c in enumerate(("h1", "h2"))}
 
     dealt = routes.repartition("owner", "copies", "copy").sortWithinPartitions("owner", "copies", "copy", "role", "doc_id", "tk", "start")
     return map_batches(dealt, emit, "doc_id bigint, tk bigint, s bigint, e bigint, h1 bigint, h2 bigint")

@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
-from ratings_engine.llm import components, lm_score, near_dup, packing, pii, quality_model, secrets, substring_dedup
+from ratings_engine.llm import components, lm_score, near_dup, packing, pii, quality_model, secrets, substring_dedup, text
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import prose
 
@@ -496,3 +497,31 @@ def test_rows_that_repeat_a_doc_id_keep_to_their_own_texts(spark, make_docs, mon
         want.append((i, len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
     got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(make_docs(rows)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+ODD_TEXTS = [None, "", " ", "one", "\n", " lead and trail \n", "a\x0bb\x0cc\r\nd\te", "é\x85ü\xa0ñ\x1cz ÀB Ab aB", *(prose(40 + i, i) for i in range(30)), "x " * 200]
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_words_of_a_column_hash_as_words_of_a_text(lower):
+    want = [text.Vocab().hashes(text.words_of(t, lower)) for t in ODD_TEXTS]
+    for part in (pa.array(ODD_TEXTS), pa.array(["cut", *ODD_TEXTS, "off"]).slice(1, len(ODD_TEXTS))):
+        h, counts = text.word_hashes(part, lower)
+        assert counts.tolist() == list(map(len, want)) and np.array_equal(h, np.concatenate(want))
+    assert [x for part in text.row_slices(pa.array(ODD_TEXTS), 100) for x in part.to_pylist()] == ODD_TEXTS
+
+
+@pytest.mark.parametrize("chunk", [300, 1 << 20])
+def test_anchors_of_a_batch_are_those_of_its_rows(spark, make_docs, monkeypatch, chunk):
+    taken, calls, real = [], [], substring_dedup.gram_hashes
+    monkeypatch.setattr(substring_dedup, "CHUNK", chunk, raising=False)
+    monkeypatch.setattr(substring_dedup, "map_batches", lambda df, fn, schema: taken.append(fn))
+    substring_dedup.anchors(make_docs([]).selectExpr("doc_id", "text", "0L as tk"), 13, 5)
+    ids = list(range(7, 7 + len(ODD_TEXTS)))
+    want = {(i, int(a)) for i, t in zip(ids, ODD_TEXTS) if len(w := text.words_of(t)) >= 13
+            for a in text.signed(substring_dedup.anchors_of(text.Vocab().hashes(w), 13, 5))}
+    monkeypatch.setattr(substring_dedup, "gram_hashes", lambda *a: calls.append(1) or real(*a))
+    out = list(taken[0](iter([pa.RecordBatch.from_pydict({"doc_id": ids, "text": ODD_TEXTS, "tk": [0] * len(ids)})])))
+    rows = [(d, h) for cols in out for d, h in zip(cols["doc_id"].tolist(), cols["h"].tolist())]
+    assert len(rows) == len(want) and set(rows) == want
+    assert len(calls) == 1 if chunk > 10000 else len(calls) > 1          # once per slice, not per row
