@@ -20,18 +20,20 @@ they stay under ``BROADCAST`` bytes; beyond it the same sums come from joins.
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import materialize
-from .text import MIX, Vocab, map_batches, mixed, signed, words_of
+from .text import MIX, Vocab, map_batches, mixed, row_slices, signed, word_hashes, words_of
 
 BROADCAST = 384 << 20
 BLOCK_TOKENS = 2_000_000        # training tokens per block, on average
 FLUSH = 3_000_000               # tokens that a task counts before it passes them on
-CHUNK = 1_000_000               # characters scored together
+CHUNK = 1_000_000               # characters counted or scored together
 BITS, HASHES = 11.6, 8          # bits per entry and probes: 0.4 % false positives
 WEIGHT = 0.4
+REMEMBERED = 1 << 18            # hashes whose counts a scoring task keeps, a power of two
 END, BEGIN = b"", b"\n"         # no word equals either
 
 
@@ -44,6 +46,21 @@ def _pair(h: np.ndarray) -> np.ndarray:
     return mixed(h[:-1] * MIX + h[1:])
 
 
+def _sequences(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(h, starts, token) of a column of texts: the hashes of BEGIN, words and END
+    of each text, where each text starts, and which of ``h[1:]`` are tokens."""
+    words, counts = word_hashes(texts, lower=True)
+    starts = np.append(0, np.cumsum(counts + 2))
+    h = np.empty(starts[-1], np.uint64)
+    inner = np.ones(len(h), bool)
+    for at, mark in ((starts[:-1], BEGIN), (starts[1:] - 1, END)):
+        h[at], inner[at] = xxhash.xxh64_intdigest(mark), False
+    h[inner] = words
+    token = np.ones(max(0, len(h) - 1), bool)
+    token[starts[1:-1] - 1] = False        # from one text's END to the next one's BEGIN
+    return h, starts[:-1], token
+
+
 def _gathered(docs: DataFrame, blocks: int, pairs: bool) -> DataFrame:
     """(block, h, c): sorted hashes and counts of one task's tokens, cut by block (the hash's range)."""
 
@@ -57,15 +74,14 @@ def _gathered(docs: DataFrame, blocks: int, pairs: bool) -> DataFrame:
                    "c": [c[ends[i]:ends[i + 1]].astype(np.int64).tobytes() for i in some]}
 
     def run(batches):
-        vocab, parts, size = Vocab(), [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                h = vocab.hashes([BEGIN, *words_of(text, lower=True), END])
-                parts.append(_pair(h) if pairs else h[1:])
-                size += len(parts[-1])
-                if size > FLUSH:
-                    yield from flush(parts)
-                    parts, size = [], 0
+        parts, size = [], 0
+        for texts in (part for batch in batches for part in row_slices(batch.column(0), CHUNK)):
+            h, _, token = _sequences(texts)
+            parts.append((_pair(h) if pairs else h[1:])[token])
+            size += len(parts[-1])
+            if size > FLUSH:
+                yield from flush(parts)
+                parts, size = [], 0
         if parts:
             yield from flush(parts)
 
@@ -77,8 +93,11 @@ def _merged(batches):
     now, hs, cs = None, [], []
 
     def done():
-        h, where = np.unique(np.concatenate(hs), return_inverse=True)
-        return now, h, np.bincount(where, np.concatenate(cs)).astype(np.int64)
+        h = np.concatenate(hs)
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        return now, h[first], np.add.reduceat(np.concatenate(cs)[order], first)
 
     for batch in batches:
         for block, h, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -107,23 +126,23 @@ def _levels(c: np.ndarray) -> np.ndarray:
     return np.frexp(c.astype(np.float64))[1].astype(np.int64)
 
 
-def _bits(h: np.ndarray, level, i: int, size) -> np.ndarray:
-    """Bit of probe ``i`` for (hash, level) in slices of ``size`` bits."""
+def _probes(h: np.ndarray, level) -> tuple[np.ndarray, np.ndarray]:
+    """(first, step) of (hash, level): probe ``i`` is the bit (first + i * step) % size of a slice."""
     a = mixed(h + np.uint64(0x632BE59BD9B4E019 * level % (1 << 64)))
-    return (a + np.uint64(i) * (mixed(a) | np.uint64(1))) % size
+    return a, mixed(a) | np.uint64(1)
 
 
 def slice_of(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     """A block's slice of the filter: its pairs, once per level."""
     levels = _levels(c)
     size = np.uint64(max(64, int(levels.sum() * BITS) // 8 * 8 + 8))
-    bits = np.zeros(int(size) // 8, np.uint8)
+    bits = np.zeros(int(size), bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        member = h[levels >= level]
-        for i in range(HASHES):
-            b = _bits(member, level, i, size)
-            np.bitwise_or.at(bits, (b >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (b & np.uint64(7)).astype(np.uint8)))
-    return bits
+        probe, step = _probes(h[levels >= level], level)
+        for _ in range(HASHES):
+            bits[(probe % size).view(np.int64)] = True
+            probe += step
+    return np.packbits(bits, bitorder="little")
 
 
 def pair_filter(train: DataFrame, blocks: int) -> DataFrame:
@@ -163,55 +182,55 @@ class Model:
         size, start = self.size[block], self.start[block]
         out, alive, level = np.zeros(len(h)), np.arange(len(h)), 1
         while len(alive):
-            for i in range(HASHES):
-                b = _bits(h[alive], level, i, size[alive]) + start[alive]
-                alive = alive[self.bits[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1 == 1]
+            probe, step = _probes(h[alive], level)
+            of, at = size[alive], start[alive]
+            for _ in range(HASHES):
+                b = probe % of + at
+                there = np.flatnonzero(self.bits[(b >> np.uint64(3)).view(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1)
+                if len(there) < len(alive):
+                    alive, probe, step, of, at = (x[there] for x in (alive, probe, step, of, at))
                 if not len(alive):
                     break
+                probe = probe + step
             out[alive] = 2.0 ** (level - 1)
             level += 1
         return out
 
     def log_terms(self, now: np.ndarray, before: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(base, model) log10 probability of each token from its count, its predecessor's and the pair."""
+        """(base, model) log10 probability of each token from its count, its predecessor's and the pair's quantised one."""
         p = (now + 1) / (self.n + self.v + 1)
-        share = WEIGHT * np.minimum(1, self.quantised(pairs) / np.maximum(before, 1)) + (1 - WEIGHT) * p
+        share = WEIGHT * np.minimum(1, pairs / np.maximum(before, 1)) + (1 - WEIGHT) * p
         return np.log10(p), np.log10(np.where(before > 0, share, p))
 
 
-class _Counted(Vocab):
-    """A word's count is looked up once and kept beside its hash."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.known = model, np.empty(0)
-
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, count) per word."""
-        ids = self.ids(words)
-        if len(self.table) < len(self.known):
-            self.known = np.empty(0)
-        if len(self.table) > len(self.known):
-            fresh = np.array(self.table[len(self.known):], np.uint64)
-            self.known = np.append(self.known, self.model.counts(fresh))
-        return np.frombuffer(self.table, np.uint64)[ids], self.known[ids]
-
-
-def _scored(model: Model, vocab: _Counted, texts: list, begin: int):
-    """(n_tokens, n_known, base, score) per text; the texts' tokens are looked up together."""
-    words, ends = [], []
-    for text in texts:
-        words += (BEGIN, *words_of(text, lower=True), END)
-        ends.append(len(words))
-    h, c = vocab.of(words)
-    starts = np.array([0, *ends[:-1]])
+class _Remembered:
+    """Values of hashes by ``of``, kept in one slot per hash; a later hash of ``least`` or more takes the slot."""
+
+    def __init__(self, of, least: float = 0.0):
+        self.of, self.least = of, least
+        self.key, self.value = np.zeros(REMEMBERED, np.uint64), np.zeros(REMEMBERED)
+        self.key[0] = 1                    # no slot starts with a hash of its own
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        slot = (h & np.uint64(REMEMBERED - 1)).view(np.int64)
+        out = self.value[slot]
+        new = np.flatnonzero(self.key[slot] != h)
+        new = new[np.argsort(h[new])]      # in the order of the counts and slices that are read
+        value = out[new] = self.of(h[new])
+        keep = new[value >= self.least]
+        self.key[slot[keep]], self.value[slot[keep]] = h[keep], out[keep]
+        return out
+
+
+def _scored(model: Model, count, quantised, texts, begin: int):
+    """(n_tokens, n_known, base, score) of a column of texts; their tokens are looked up together."""
+    h, starts, token = _sequences(texts)
+    c = count(h)
     c[starts] = begin
-    token = np.ones(len(h) - 1, bool)
-    token[starts[1:] - 1] = False          # from one text's END to the next one's BEGIN
     first = starts - np.arange(len(starts))
-    base, model_terms = model.log_terms(c[1:][token], c[:-1][token], _pair(h)[token])
-    known = np.add.reduceat((c[1:][token] > 0).astype(np.int64), first)
-    return list(zip((np.diff([*first, len(base)])).tolist(), known.tolist(), np.add.reduceat(base, first).tolist(), np.add.reduceat(model_terms, first).tolist()))
+    now = c[1:][token]
+    base, model_terms = model.log_terms(now, c[:-1][token], quantised(_pair(h)[token]))
+    return (np.diff([*first, len(base)]), *(np.add.reduceat(x, first) for x in ((now > 0).astype(np.int64), base, model_terms)))
 
 
 def score(docs: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
@@ -241,19 +260,12 @@ def score(docs: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        vocab = _Counted(m)
+        count, quantised = _Remembered(m.counts), _Remembered(m.quantised, 2.0)
         for batch in batches:
-            rows, texts, size = [], [], 0
-            for text in batch.column(1).to_pylist():
-                texts.append(text)
-                size += len(text or "")
-                if size > CHUNK:
-                    rows += _scored(m, vocab, texts, begin)
-                    texts, size = [], 0
-            if texts:
-                rows += _scored(m, vocab, texts, begin)
-            cols = list(zip(*rows)) or [[]] * 4
-            yield {"doc_id": batch.column(0), "train_tokens": [n] * len(rows)} | dict(zip(("n_tokens", "n_known", "base_score", "score"), cols))
+            cols = [_scored(m, count, quantised, texts, begin) for texts in row_slices(batch.column(1), CHUNK)]
+            if cols:
+                yield {"doc_id": batch.column(0), "train_tokens": np.full(batch.num_rows, n)} | dict(
+                    zip(("n_tokens", "n_known", "base_score", "score"), map(np.concatenate, zip(*cols))))
 
     return map_batches(docs, run, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").select(
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

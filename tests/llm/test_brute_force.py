@@ -525,3 +525,30 @@ def test_anchors_of_a_batch_are_those_of_its_rows(spark, make_docs, monkeypatch,
     rows = [(d, h) for cols in out for d, h in zip(cols["doc_id"].tolist(), cols["h"].tolist())]
     assert len(rows) == len(want) and set(rows) == want
     assert len(calls) == 1 if chunk > 10000 else len(calls) > 1          # once per slice, not per row
+
+
+def test_filter_hashes_a_pair_once_per_level(monkeypatch):
+    rng, hashed, real = np.random.default_rng(5), [], lm_score.mixed
+    h, c = rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(1, 70, 5000)
+    monkeypatch.setattr(lm_score, "mixed", lambda x: hashed.append(len(x)) or real(x))
+    m = lm_score.Model([], [(0, lm_score.slice_of(h, c).tobytes())], 1, 1, 1)
+    levels = int(np.frexp(c.astype(float))[1].sum())
+    assert sum(hashed) == 2 * levels
+    hashed.clear()
+    m.quantised(h)
+    assert 2 * (levels + len(h)) <= sum(hashed) < 2.1 * (levels + len(h))          # and the level that is missing
+
+
+def test_frequent_pairs_are_probed_once(monkeypatch):
+    monkeypatch.setattr(lm_score, "REMEMBERED", 64)
+    asked, rng = [], np.random.default_rng(6)
+    value = dict(zip([0, 1, 64, *rng.integers(0, 1 << 63, 200).tolist()], [0.0, 1.0, *(2.0 ** rng.integers(0, 6, 201))]))
+    kept = lm_score._Remembered(lambda h: asked.append(len(h)) or np.array([value[x] for x in h.tolist()]), 2.0)
+    keys = np.array(list(value), np.uint64)
+    for _ in range(20):
+        h = rng.choice(keys, 300)
+        assert kept(h).tolist() == [value[x] for x in h.tolist()]
+    some = [x for x in value if value[x] >= 2][:1] * 50
+    kept(np.array(some, np.uint64))
+    asked.clear()
+    assert kept(np.array(some, np.uint64)).tolist() == [value[some[0]]] * 50 and sum(asked) == 0
