@@ -30,6 +30,7 @@ from .text import MIX, Vocab, map_batches, mixed, row_slices, signed, word_hashe
 BROADCAST = 384 << 20
 BLOCK_TOKENS = 2_000_000        # training tokens per block, on average
 FLUSH = 3_000_000               # tokens that a task counts before it passes them on
+BATCH_HASHES = 1 << 19          # hashes passed on in one Arrow batch, about
 CHUNK = 1_000_000               # characters counted or scored together
 BITS, HASHES = 11.6, 8          # bits per entry and probes: 0.4 % false positives
 WEIGHT = 0.4
@@ -69,7 +70,8 @@ def _gathered(docs: DataFrame, blocks: int, pairs: bool) -> DataFrame:
         cuts = np.searchsorted(h, np.array([(i << 64) // blocks for i in range(1, blocks)], np.uint64))
         ends = [0, *cuts.tolist(), len(h)]
         at = [i for i in range(blocks) if ends[i] < ends[i + 1]]
-        for some in (at[i:i + 64] for i in range(0, len(at), 64)):
+        step = min(64, max(1, BATCH_HASHES * blocks // max(1, len(h))))
+        for some in (at[i:i + step] for i in range(0, len(at), step)):
             yield {"block": some, "h": [h[ends[i]:ends[i + 1]].tobytes() for i in some],
                    "c": [c[ends[i]:ends[i + 1]].astype(np.int64).tobytes() for i in some]}
 
@@ -254,9 +256,11 @@ def score(docs: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
     if size > broadcast_bytes:
         return score_by_joins(docs, words, slices, blocks, n, v)
     begin = train.count()
-    model = Model([(r["block"], r["h"], r["c"]) for r in words.select("block", "h", "c").collect()],
-                  [(r["block"], bytes(r["bits"])) for r in slices.collect()], blocks, n, v)
+    # partition by partition: the driver's JVM holds one at a time, its Python the arrays and their parts
+    model = Model([tuple(r) for r in words.select("block", "h", "c").toLocalIterator()],
+                  [tuple(r) for r in slices.select("block", "bits").toLocalIterator()], blocks, n, v)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    del model
 
     def run(batches):
         m = shared.value
