@@ -32,3 +32,40 @@ def test_grid_is_the_published_one(spark, monkeypatch, query):
     assert len(rows) == {qm.q_r3: 27, qm.q_r4: 9, qm.q_a25: 9, qm.q_r5: 1}[query]
     if query is qm.q_r5:
         assert best == {"rank": 20, "max_iter": 15, "reg": 0.01, "folds": 3}
+
+
+# ------------------------------------------------------------------ supervised models
+
+@pytest.fixture()
+def few_rows(spark, monkeypatch):
+    """60 feature rows in place of the feature table; returns the number of training rows."""
+    data = [(f"r{i}", float(i % 10) / 2, float(i % 2), *(float(i * j % 7) for j in range(len(md.FEATURES_WITH_LEAKY)))) for i in range(60)]
+    df = spark.createDataFrame(data, ["row_key", "rating", "label_cls", *md.FEATURES_WITH_LEAKY])
+    monkeypatch.setattr(qm, "feature_rows", lambda spark, sf: df)
+    return df.where(split_flag()).count()
+
+
+def _settings(models):
+    keep = ("maxIter", "regParam", "numTrees", "maxDepth")
+    return {k: {p.name: v for p, v in m.extractParamMap().items() if p.name in keep} for k, m in models.items()}
+
+
+def _asked(monkeypatch, name, result):
+    """What the query hands to the operator: rows of its training side and the settings of its models."""
+    asked = []
+
+    def operator(tr, te, models=None, *a, **kw):
+        asked.append((tr.count(), _settings(models)))
+        return result
+
+    monkeypatch.setattr(md, name, operator)
+    return asked
+
+
+def test_importances_come_from_all_training_rows(spark, monkeypatch, few_rows):
+    from pyspark.ml.classification import RandomForestClassifier
+    asked, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, tr: asked.append((tr.count(), self.getNumTrees(), self.getMaxDepth())) or fit(self, tr))
+    got = qm.q_e4(spark, "x").collect()
+    assert asked == [(few_rows, 50, 8)]
+    assert [r["feature"] for r in got] == md.FEATURES_WITH_LEAKY and abs(sum(r["importance"] for r in got) - 1) < 1e-9
