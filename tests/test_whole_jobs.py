@@ -69,3 +69,11 @@ def test_importances_come_from_all_training_rows(spark, monkeypatch, few_rows):
     got = qm.q_e4(spark, "x").collect()
     assert asked == [(few_rows, 50, 8)]
     assert [r["feature"] for r in got] == md.FEATURES_WITH_LEAKY and abs(sum(r["importance"] for r in got) - 1) < 1e-9
+
+
+def test_summary_compares_models_of_all_training_rows(spark, monkeypatch, few_rows):
+    cls = spark.createDataFrame([("c", 0.5, 0.5, 1.0)], "model string, accuracy double, f1 double, seconds double")
+    reg = spark.createDataFrame([("r", 0.5, 0.5, 1.0)], "model string, rmse double, r2 double, seconds double")
+    classifiers, regressors = _asked(monkeypatch, "compare_classifiers", (cls, {})), _asked(monkeypatch, "compare_regressors", (reg, {}))
+    assert qm.q_g11(spark, "x").count() == 2
+    assert classifiers == [(few_rows, _settings(md.classifiers()))] and regressors == [(few_rows, _settings(md.regressors()))]
