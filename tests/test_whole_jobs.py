@@ -77,3 +77,9 @@ def test_summary_compares_models_of_all_training_rows(spark, monkeypatch, few_ro
     classifiers, regressors = _asked(monkeypatch, "compare_classifiers", (cls, {})), _asked(monkeypatch, "compare_regressors", (reg, {}))
     assert qm.q_g11(spark, "x").count() == 2
     assert classifiers == [(few_rows, _settings(md.classifiers()))] and regressors == [(few_rows, _settings(md.regressors()))]
+
+
+def test_regressors_are_compared_at_published_settings(spark, monkeypatch, few_rows):
+    asked = _asked(monkeypatch, "compare_regressors", (spark.range(1), {}))
+    qm.q_g5(spark, "x")
+    assert asked == [(few_rows, _settings(md.regressors()))]
