@@ -83,3 +83,11 @@ def test_regressors_are_compared_at_published_settings(spark, monkeypatch, few_r
     asked = _asked(monkeypatch, "compare_regressors", (spark.range(1), {}))
     qm.q_g5(spark, "x")
     assert asked == [(few_rows, _settings(md.regressors()))]
+
+
+def test_learning_curve_fits_both_models_on_all_rows_of_a_fraction(spark, monkeypatch, few_rows):
+    asked, forest = [], md.RandomForestClassifier
+    monkeypatch.setattr(md, "RandomForestClassifier", lambda **kw: asked.append((kw["numTrees"], kw["maxDepth"])) or forest(**kw | {"numTrees": 2}))
+    got = qm.q_g9(spark, "x").collect()
+    assert [r["fraction"] for r in got] == [0.1, 0.2, 0.3, 0.5, 0.7, 1.0] and got[-1]["n_train"] == few_rows
+    assert all(r["n_train_classifier"] == r["n_train"] for r in got) and asked == [(30, 6)] * 6
