@@ -91,3 +91,11 @@ def test_learning_curve_fits_both_models_on_all_rows_of_a_fraction(spark, monkey
     got = qm.q_g9(spark, "x").collect()
     assert [r["fraction"] for r in got] == [0.1, 0.2, 0.3, 0.5, 0.7, 1.0] and got[-1]["n_train"] == few_rows
     assert all(r["n_train_classifier"] == r["n_train"] for r in got) and asked == [(30, 6)] * 6
+
+
+def test_residuals_of_the_boosted_trees_too(spark, monkeypatch, few_rows):
+    models = md.regressors(fast=True)
+    asked = []
+    monkeypatch.setattr(md, "regressors", lambda fast=False: asked.append(fast) or models)
+    assert {r["model"] for r in qm.q_residuals_fitted(spark, "x").select("model").distinct().collect()} == set(models)
+    assert asked == [False]
