@@ -99,3 +99,9 @@ def test_residuals_of_the_boosted_trees_too(spark, monkeypatch, few_rows):
     monkeypatch.setattr(md, "regressors", lambda fast=False: asked.append(fast) or models)
     assert {r["model"] for r in qm.q_residuals_fitted(spark, "x").select("model").distinct().collect()} == set(models)
     assert asked == [False]
+
+
+def test_confusion_matrices_of_models_of_all_training_rows(spark, monkeypatch, few_rows):
+    asked = _asked(monkeypatch, "all_confusion_matrices", spark.range(1))
+    qm.q_m12(spark, "x")
+    assert asked == [(few_rows, _settings(md.classifiers()))]
