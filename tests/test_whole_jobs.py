@@ -105,3 +105,14 @@ def test_confusion_matrices_of_models_of_all_training_rows(spark, monkeypatch, f
     asked = _asked(monkeypatch, "all_confusion_matrices", spark.range(1))
     qm.q_m12(spark, "x")
     assert asked == [(few_rows, _settings(md.classifiers()))]
+
+
+def test_summary_of_fitted_models_uses_all_training_rows(spark, monkeypatch, few_rows):
+    from pyspark.ml.classification import LogisticRegression
+    asked, fit, als = [], LogisticRegression.fit, rs.fit_als
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, tr: asked.append((tr.count(), self.getMaxIter())) or fit(self, tr))
+    monkeypatch.setattr(rs, "fit_als", lambda tr, rank=10, max_iter=10, reg=0.1: asked.append((rank, max_iter, reg)) or als(tr, 2, 1))
+    ratings = spark.createDataFrame([(u, i, float((u + i) % 5), f"{u}-{i}") for u in range(8) for i in range(8)], "user_id int, item_id int, rating double, row_key string")
+    monkeypatch.setattr(qm, "split", lambda spark, sf: (ratings.where(split_flag()), ratings.where(~split_flag())))
+    assert qm.q_m13_fitted(spark, "x").count() > 0
+    assert asked == [(10, 10, 0.1), (few_rows, 20)]
