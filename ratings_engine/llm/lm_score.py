@@ -14,24 +14,28 @@ The score interpolates, with u the word before w and c~ the quantised count
     p(w | u) = L * c~(u, w) / c(u) + (1 - L) * p(w)     p(w) = (c(w) + 1) / (N + V + 1)
 
 and p(w | u) = p(w) where u was not seen. Counts and filter are broadcast while
-they stay under ``BROADCAST`` bytes; beyond it the same sums come from joins.
+they stay under ``BROADCAST`` bytes; beyond it each chunk of texts asks the blocks
+for its distinct words and pairs.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import materialize
-from .text import MIX, Vocab, map_batches, mixed, row_slices, signed, word_hashes, words_of
+from .text import MIX, map_batches, mixed, row_slices, word_hashes
 
 BROADCAST = 384 << 20
 BLOCK_TOKENS = 2_000_000        # training tokens per block, on average
 FLUSH = 3_000_000               # tokens that a task counts before it passes them on
 BATCH_HASHES = 1 << 19          # hashes passed on in one Arrow batch, about
 CHUNK = 1_000_000               # characters counted or scored together
+ASKED = 18_000_000              # characters whose words and pairs are asked for together
 BITS, HASHES = 11.6, 8          # bits per entry and probes: 0.4 % false positives
 WEIGHT = 0.4
 REMEMBERED = 1 << 18            # hashes whose counts a scoring task keeps, a power of two
@@ -62,17 +66,30 @@ def _sequences(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, starts[:-1], token
 
 
+def _packed(h: np.ndarray) -> bytes:
+    """Ascending hashes as the bytes of their steps, by place: the high ones are zeros, which shuffles compress."""
+    return np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _cuts(blocks: int) -> np.ndarray:
+    """First hash of each block but the first."""
+    return np.array([(i << 64) // blocks for i in range(1, blocks)], np.uint64)
+
+
 def _gathered(docs: DataFrame, blocks: int, pairs: bool) -> DataFrame:
     """(block, h, c): sorted hashes and counts of one task's tokens, cut by block (the hash's range)."""
 
     def flush(parts):
         h, c = np.unique(np.concatenate(parts), return_counts=True)
-        cuts = np.searchsorted(h, np.array([(i << 64) // blocks for i in range(1, blocks)], np.uint64))
-        ends = [0, *cuts.tolist(), len(h)]
+        ends = [0, *np.searchsorted(h, _cuts(blocks)).tolist(), len(h)]
         at = [i for i in range(blocks) if ends[i] < ends[i + 1]]
         step = min(64, max(1, BATCH_HASHES * blocks // max(1, len(h))))
         for some in (at[i:i + step] for i in range(0, len(at), step)):
-            yield {"block": some, "h": [h[ends[i]:ends[i + 1]].tobytes() for i in some],
+            yield {"block": some, "h": [_packed(h[ends[i]:ends[i + 1]]) for i in some],
                    "c": [c[ends[i]:ends[i + 1]].astype(np.int64).tobytes() for i in some]}
 
     def run(batches):
@@ -107,7 +124,7 @@ def _merged(batches):
                 if hs:
                     yield done()
                 now, hs, cs = block, [], []
-            hs.append(np.frombuffer(h, np.uint64))
+            hs.append(_unpacked(h))
             cs.append(np.frombuffer(c, np.int64))
     if hs:
         yield done()
@@ -169,7 +186,7 @@ class Model:
         self.bits = np.concatenate(parts)
         self.size = np.array([len(p) * 8 for p in parts], np.uint64)
         self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.uint64)
-        self.cuts = np.array([(i << 64) // blocks for i in range(1, blocks)], np.uint64)
+        self.cuts = _cuts(blocks)
         self.n, self.v = n, v
 
     def counts(self, h: np.ndarray) -> np.ndarray:
@@ -224,9 +241,9 @@ class _Remembered:
         return out
 
 
-def _scored(model: Model, count, quantised, texts, begin: int):
-    """(n_tokens, n_known, base, score) of a column of texts; their tokens are looked up together."""
-    h, starts, token = _sequences(texts)
+def _scored(model: Model, count, quantised, sequences, begin: int):
+    """(n_tokens, n_known, base, score) of the texts of ``_sequences``; their tokens are looked up together."""
+    h, starts, token = sequences
     c = count(h)
     c[starts] = begin
     first = starts - np.arange(len(starts))
@@ -266,7 +283,7 @@ def score(docs: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
         m = shared.value
         count, quantised = _Remembered(m.counts), _Remembered(m.quantised, 2.0)
         for batch in batches:
-            cols = [_scored(m, count, quantised, texts, begin) for texts in row_slices(batch.column(1), CHUNK)]
+            cols = [_scored(m, count, quantised, _sequences(texts), begin) for texts in row_slices(batch.column(1), CHUNK)]
             if cols:
                 yield {"doc_id": batch.column(0), "train_tokens": np.full(batch.num_rows, n)} | dict(
                     zip(("n_tokens", "n_known", "base_score", "score"), map(np.concatenate, zip(*cols))))
@@ -275,53 +292,98 @@ def score(docs: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def _asked(sequences: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and pairs of some texts, ascending."""
+    return np.unique(np.concatenate([h for h, _, _ in sequences])), np.unique(np.concatenate([_pair(h)[token] for h, _, token in sequences]))
+
+
 def score_by_joins(docs: DataFrame, words: DataFrame, slices: DataFrame, blocks: int, n: int, v: int) -> DataFrame:
-    """The same scores where counts and filter are too large to broadcast: a
-    row per token position, joined with the counts of its word and of the word
-    before, and probed against its block's slice, which travels by block."""
+    """The same scores where counts and filter are too large to broadcast.
+
+    Texts are written in chunks of about ``ASKED`` characters. A chunk asks every block for its distinct words and
+    pairs, so what is shuffled are 8 bytes for each of them (less, as they ascend), not a row per token. Counts and levels
+    come back in the order asked, without the hashes, and meet their texts again by chunk. A task holds one block
+    or one chunk; a single longer text is a chunk of its own.
+    """
     begin = docs.where(~held_out()).count()
-    rows = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
 
-    def split(batches):
-        vocab = Vocab()
-        for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = vocab.hashes([BEGIN, *words_of(text, lower=True), END])
-                pairs = _pair(h)
-                cuts = np.array([(i << 64) // blocks for i in range(1, blocks)], np.uint64)
-                yield {"row": np.full(len(pairs), row), "u": signed(h[:-1]), "w": signed(h[1:]), "pair": signed(pairs),
-                       "block": np.searchsorted(cuts, pairs, "right"), "first": np.arange(len(pairs)) == 0}
-
-    def unpack(batches):
+    def dealt(batches):
+        done, chunk = 0, None
         for batch in batches:
-            for h, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield {"x": np.frombuffer(h, np.int64), "c": np.frombuffer(c, np.int64)}
+            length = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_numpy().astype(np.int64)
+            row = batch.column(0).to_numpy()
+            if chunk is None and len(row):
+                chunk = int(row[0])            # ids of a task's rows ascend by one
+            ends = done + np.cumsum(length)
+            done = int(ends[-1]) if len(ends) else done
+            yield {"chunk": chunk + (ends // ASKED if len(ends) else ends), "row": row, "doc_id": batch.column(1), "text": batch.column(2)}
+
+    rows = materialize(map_batches(docs.select(F.monotonically_increasing_id(), "doc_id", "text"), dealt, "chunk bigint, row bigint, doc_id bigint, text string"), "rows")
+
+    def ask(batches):
+        """A chunk may come in parts (of several tasks), each known by its first row."""
+        now, first, found = None, None, []
+
+        def asks():
+            cut = [(x, [0, *np.searchsorted(x, _cuts(blocks)).tolist(), len(x)]) for x in _asked(found)]
+            at = [i for i in range(blocks) if any(e[i] < e[i + 1] for _, e in cut)]
+            step = min(64, max(1, BATCH_HASHES * blocks // sum(len(x) for x, _ in cut)))
+            for some in (at[i:i + step] for i in range(0, len(at), step)):
+                yield {"block": some, "o": np.ones(len(some)), "chunk": [now] * len(some), "first": [first] * len(some), "bits": [None] * len(some)} | {
+                    k: [_packed(x[e[i]:e[i + 1]]) for i in some] for k, (x, e) in zip("hc", cut)}
 
-    tokens = map_batches(rows.select("row", "text"), split, "row bigint, u bigint, w bigint, pair bigint, block int, first boolean")
-    counts = map_batches(words.select("h", "c"), unpack, "x bigint, c bigint")
-
-    def probe(batches):
+        for batch in batches:
+            chunk, row = (batch.column(i).to_numpy() for i in range(2))
+            ends = [*(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            for a, b in zip([0, *ends], ends):
+                if a == b:
+                    continue
+                if chunk[a] != now:
+                    if found:
+                        yield from asks()
+                    now, first, found = int(chunk[a]), int(row[a]), []
+                found += map(_sequences, row_slices(batch.column(2).slice(a, b - a), CHUNK))
+        if found:
+            yield from asks()
+
+    def answer(batches):
         m = now = None
+        known = {}
         for batch in batches:
-            block, pair, bits = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for b, p, x in zip(block, pair, bits):
-                if x is not None:
-                    m, now = Model([], [(0, x)], 1, n, v), b
+            for block, chunk, first, h, c, bits in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if block != now:
+                    m, now, known = None, block, {}
+                if chunk is None:              # the block's counts or its slice, sorted before all that ask
+                    known |= {"bits": bits} if bits is not None else {"words": (0, h, c)}
                     continue
-                q = m.quantised(np.array(p, np.int64).view(np.uint64)) if now == b else np.zeros(len(p))
-                yield {"pair": p, "q": q}
-
-    # Distinct pairs in groups of some thousands meet their slice: the slice sorts first within its block.
-    salts = F.pmod(F.xxhash64("pair"), F.lit(64))
-    groups = tokens.select("block", "pair").distinct().withColumn("part", salts).groupBy("block", "part").agg(F.collect_list("pair").alias("pairs"))
-    both = groups.select("block", F.col("pairs"), F.lit(None).cast("binary").alias("bits"), F.lit(1).alias("o")).unionByName(
-        slices.select("block", F.array().cast("array<bigint>").alias("pairs"), "bits", F.lit(0).alias("o")))
-    quantised = map_batches(both.repartition(blocks, "block").sortWithinPartitions("block", "o").select("block", "pairs", "bits"), probe, "pair bigint, q double")
-    joined = (tokens.join(counts.withColumnsRenamed({"x": "w", "c": "cw"}), "w", "left").join(counts.withColumnsRenamed({"x": "u", "c": "cu"}), "u", "left")
-              .join(quantised, "pair", "left"))
-    cw, cu = F.coalesce("cw", F.lit(0)), F.when(F.col("first"), F.lit(begin)).otherwise(F.coalesce("cu", F.lit(0)))
-    p = (cw + 1) / F.lit(float(n + v + 1))
-    mix = F.when(cu > 0, WEIGHT * F.least(F.lit(1.0), F.col("q") / cu) + (1 - WEIGHT) * p).otherwise(p)
-    sums = joined.groupBy("row").agg(F.count("*").alias("n_tokens"), F.count_if(cw > 0).alias("n_known"),
-                                     F.sum(F.log10(p)).alias("base_score"), F.sum(F.log10(mix)).alias("score"))
-    return rows.join(sums, "row").select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
+                m = m or Model([known["words"]] if "words" in known else [], [(0, known["bits"])] if "bits" in known else [], 1, n, v)
+                levels = np.frexp(m.quantised(_unpacked(c)))[1]
+                yield {"chunk": [chunk], "first": [first], "block": [block], "counts": [m.counts(_unpacked(h)).astype(np.int64).tobytes()],
+                       "levels": [levels.astype(np.uint8).tobytes()]}
+
+    none = lambda t, k: F.lit(None).cast(t).alias(k)
+    asked = map_batches(rows.select("chunk", "row", "text"), ask, "block int, o int, chunk bigint, first bigint, h binary, c binary, bits binary")
+    of = lambda x, *cols: x.select("block", F.lit(0).alias("o"), none("bigint", "chunk"), none("bigint", "first"), *cols)
+    both = asked.unionByName(of(words, "h", "c", none("binary", "bits"))).unionByName(of(slices, none("binary", "h"), none("binary", "c"), "bits"))
+    answers = materialize(map_batches(both.repartition(blocks, "block").sortWithinPartitions("block", "o").select("block", "chunk", "first", "h", "c", "bits"),
+                                      answer, "chunk bigint, first bigint, block int, counts binary, levels binary"), "answers")
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+    def meet(texts: pa.Table, found: pa.Table) -> pa.Table:
+        texts, found = texts.sort_by("row").combine_chunks(), found.sort_by([("first", "ascending"), ("block", "ascending")])
+        row, first = texts["row"].to_numpy(), found["first"].to_numpy()
+        out, m = [], Model([], [], 1, n, v)
+        starts = np.unique(first)
+        for f, a, b in zip(starts.tolist(), np.searchsorted(row, starts).tolist(), [*np.searchsorted(row, starts[1:]).tolist(), len(row)]):
+            part = texts.slice(a, b - a)
+            sequences = [_sequences(x) for x in row_slices(part["text"].combine_chunks(), CHUNK)]
+            values = [np.frombuffer(b"".join(found[k].filter(pa.array(first == f)).to_pylist()), t) for k, t in (("counts", np.int64), ("levels", np.uint8))]
+            h, pairs = _asked(sequences)
+            c, q = values[0].astype(np.float64), np.where(values[1] > 0, np.ldexp(0.5, values[1].astype(np.int64)), 0.0)
+            cols = [_scored(m, lambda x, h=h, c=c: c[np.searchsorted(h, x)], lambda x, p=pairs, q=q: q[np.searchsorted(p, x)], s, begin) for s in sequences]
+            out.append(pa.table([part["doc_id"], *(pa.array(np.concatenate(x), t) for x, t in zip(zip(*cols), schema.types[1:]))], schema=schema))
+        return pa.concat_tables(out)
+
+    scored = rows.select("chunk", "row", "doc_id", "text").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        meet, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")

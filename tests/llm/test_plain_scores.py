@@ -149,3 +149,14 @@ def test_op10_score_with_exact_pair_counts(spark, documents):
         more += got[i] - exact
         total += len(ws) - 1
     assert more / total < 0.02
+
+
+def test_large_models_are_asked_by_chunk(spark, monkeypatch):
+    """No row per token: chunks of texts ask for their distinct words and pairs. Scores are those of the broadcast model."""
+    monkeypatch.setattr(lm_score, "ASKED", 2000)
+    texts = [" ".join(f"w{(i * j) % 37}" for j in range(i % 60)) for i in range(300)] + [None, "", "w1 " * 3000]
+    docs = spark.createDataFrame([(i if i % 50 else None, t) for i, t in enumerate(texts)] * 2, "doc_id bigint, text string").repartition(3)
+    asked = lm_score.score(docs, broadcast_bytes=0)
+    assert "Join" not in asked._jdf.queryExecution().optimizedPlan().toString()
+    plain = lambda df: sorted((r["doc_id"] or -1, r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in df.collect())
+    assert plain(asked) == plain(lm_score.score(docs))
