@@ -369,3 +369,20 @@ def test_cached_sides_have_small_partitions(spark, tmpdir_path, monkeypatch):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     finally:
         small.unpersist()
+
+
+# ------------------------------------------------------------------ blocks of ALS
+
+def test_blocks_of_als_keep_their_size(spark, monkeypatch):
+    rows = [(u, i, float((u * 7 + i * 3) % 9 + 1) / 2, f"{u}-{i}") for u in range(30) for i in range(40) if (u + i) % 3]
+    tr = spark.createDataFrame(rows, "user_id int, item_id int, rating double, row_key string")
+    assert rs.als_blocks(20_000_000) == {} and rs.als_blocks(173_000_000)["numUserBlocks"] == 87
+    asked, fit = [], rs.ALS.fit
+    monkeypatch.setattr(rs.ALS, "fit", lambda self, df: asked.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self, df))
+    few, _ = rs.als_grid(tr, tr, (2,), (3,), (0.1,)), rs.als_cross_validate(tr, tr, rank=2, max_iter=2)
+    assert set(asked) == {(10, 10)}
+    monkeypatch.setattr(rs, "BLOCK_RATINGS", 50)
+    asked.clear()
+    many, _ = rs.als_grid(tr, tr, (2,), (3,), (0.1,)), rs.als_cross_validate(tr, tr, rank=2, max_iter=2)
+    assert set(asked) == {(16, 16)} and len(asked) == 5
+    assert abs(many.first()["rmse"] - few.first()["rmse"]) < 0.2
