@@ -386,3 +386,20 @@ def test_blocks_of_als_keep_their_size(spark, monkeypatch):
     many, _ = rs.als_grid(tr, tr, (2,), (3,), (0.1,)), rs.als_cross_validate(tr, tr, rank=2, max_iter=2)
     assert set(asked) == {(16, 16)} and len(asked) == 5
     assert abs(many.first()["rmse"] - few.first()["rmse"]) < 0.2
+
+
+# ------------------------------------------------------------------ many hot keys
+
+def test_many_hot_keys_are_not_broadcast(spark):
+    """With a threshold of two rows nearly every pair is hot; their table meets the rows by a shuffle."""
+    r = spark.range(900).select((F.col("id") % 30).cast("int").alias("user_id"), (F.col("id") % 7).cast("double").alias("rating"), F.col("id").alias("ts"),
+                                F.col("id").cast("string").alias("row_key"), F.when(F.col("id") % 13 > 0, F.concat(F.lit("c"), F.floor(F.col("id") % 60 / 30))).alias("cat"))
+    r = r.unionByName(r.where("ts < 9"))
+    few, many = (fe.user_category_mean(r, "cat", hot_rows=n) for n in (2, 2_000_000))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and few.columns == many.columns
+    hinted = lambda x: re.findall(r"ResolvedHint|strategy=broadcast", x._jdf.queryExecution().analyzed().toString())
+    bounds = re.findall(r"_n#\w+ > (?:cast\()?(\d+)", few._jdf.queryExecution().analyzed().toString())
+    assert hinted(few) and bounds and "2000000" in bounds        # what is still broadcast is bounded by total/2,000,000 rows
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = fe.user_category_mean(r, "cat", hot_rows=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2 and plan.count("Join LeftOuter") > 3
