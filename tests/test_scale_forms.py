@@ -403,3 +403,17 @@ def test_many_hot_keys_are_not_broadcast(spark):
     with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = fe.user_category_mean(r, "cat", hot_rows=2)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") == 2 and plan.count("Join LeftOuter") > 3
+
+
+def test_learning_curve_and_folds_fill_small_partitions(spark, monkeypatch):
+    asked, cached = [], md._cached
+    monkeypatch.setattr(md, "_cached", lambda *frames: asked.append(len(frames)) or cached(*frames))
+    df = spark.createDataFrame([(f"r{i}", float(i % 10), float(i % 7), float(i % 2)) for i in range(200)], "row_key string, rating double, x double, label_cls double")
+    tr, te = md.split_sides(df, ["x"])
+    md.learning_curve(tr, te, (0.5, 1.0), trees=2, depth=2)
+    assert asked == [1, 1, 1]                                    # the test side and each fraction
+    asked.clear()
+    from ratings_engine.plans import q_models as qm
+    monkeypatch.setattr(qm, "supervised", lambda spark, sf, fraction: (tr, te, ["x"]))
+    monkeypatch.setattr(md, "cross_validate", lambda est, frame, *a: float(frame.storageLevel.useMemory))
+    assert {r["cv_value"] for r in qm.q_g8(spark, "x").collect()} == {1.0} and asked == [2]
